@@ -33,11 +33,15 @@ def present_destination(df: DataFrame, destination: Sequence[str] | None) -> lis
     return [c for c in ("index", "source", "sourcetype") if c in df.columns]
 
 
+def _raw_col(raw: Column | str) -> Column:
+    return raw if isinstance(raw, Column) else F.col(raw)
+
+
 def assign_batches(
     df: DataFrame,
     order: Sequence[str],
     block_size: int = BLOCK_SIZE,
-    raw: str = "raw",
+    raw: Column | str = "raw",
     destination: Sequence[str] | None = None,
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
@@ -47,11 +51,14 @@ def assign_batches(
 
     ``order`` is the event order (unique per destination), e.g. ``["event_id"]``
     or the file order key of :func:`eventloom.sources.read_event_file`.
+    ``raw`` may be a column name or an expression over the row (such as
+    :func:`eventloom.functions.event_text`); an expression is only sized here,
+    so the shuffle carries the narrower source columns, not the text.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
-    size = byte_length(raw, unit) + F.lit(1)
+    size = byte_length(_raw_col(raw), unit) + F.lit(1)
     with_cum = running_sum(df, size, order, dest, segment, n_segments, out="_cum")
     return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum")
 
@@ -65,7 +72,7 @@ def batch_of(cum: Column | str, block_size: int = BLOCK_SIZE) -> Column:
 def build_payloads(
     assigned: DataFrame,
     order: Sequence[str],
-    raw: str = "raw",
+    raw: Column | str = "raw",
     destination: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per (destination, batch): ``batch_id, n_events, n_bytes, payload``.
@@ -76,7 +83,7 @@ def build_payloads(
     Group sizes are bounded by the block size plus the longest event.
     """
     dest = present_destination(assigned, destination)
-    line = F.struct(*[F.col(o) for o in order], F.concat(F.col(raw), F.lit(LF)).alias("_line"))
+    line = F.struct(*[F.col(o) for o in order], F.concat(_raw_col(raw), F.lit(LF)).alias("_line"))
     pieces = assigned.groupBy(*dest, SEG, "batch_id").agg(
         F.sort_array(F.collect_list(line)).alias("_lines"),
         F.count(F.lit(1)).alias("_n"),
@@ -98,7 +105,7 @@ def batch_events(
     df: DataFrame,
     order: Sequence[str],
     block_size: int = BLOCK_SIZE,
-    raw: str = "raw",
+    raw: Column | str = "raw",
     destination: Sequence[str] | None = None,
     segment: Sequence[str] | None = None,
     unit: str = "bytes",

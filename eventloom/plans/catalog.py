@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.fields import columns_map
+from eventloom.functions.fields import event_text
 from eventloom.functions.lines import byte_length
 from eventloom.functions.timefmt import event_timestamp
 from eventloom.operators.batching import (
@@ -36,6 +36,7 @@ from eventloom.operators.format import (
 from eventloom.operators.lines import normalize_lines
 from eventloom.operators.prefix import running_sums
 from eventloom.operators.search import dequote_columns, page, search, search_stats
+from eventloom.plans.ship import table_batches
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import deliver
 from eventloom.sinks.export import export_results, read_export
@@ -107,16 +108,22 @@ def q_event_metadata(spark, sf):
 
 def _lineitem_routed(spark, sf, dest_col):
     li = read_table(spark, sf, "lineitem")
-    return format_events(with_destination(li, sourcetype=F.col(dest_col)), LINEITEM_FIELDS, "l_shipdate")
+    return with_destination(li, sourcetype=F.col(dest_col))
+
+
+def lineitem_text():
+    return event_text(LINEITEM_FIELDS, "l_shipdate")
 
 
 def q_batch_assign(spark, sf):
-    assigned = assign_batches(_lineitem_routed(spark, sf, "l_returnflag"), LINEITEM_ORDER, BLOCK_SIZE)
+    assigned = assign_batches(_lineitem_routed(spark, sf, "l_returnflag"), LINEITEM_ORDER, BLOCK_SIZE,
+                              raw=lineitem_text())
     return assigned.select(*LINEITEM_ORDER, "sourcetype", "batch_id")
 
 
 def _lineitem_payloads(spark, sf):
-    return batch_events(_lineitem_routed(spark, sf, "l_linestatus"), LINEITEM_ORDER, BLOCK_SIZE)
+    return table_batches(_lineitem_routed(spark, sf, "l_linestatus"), LINEITEM_ORDER, LINEITEM_FIELDS,
+                         "l_shipdate")
 
 
 def q_batch_payload(spark, sf):
@@ -244,8 +251,7 @@ def _export(mode: str) -> Query:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Events routed by type, formatted, cut into request payloads."""
-    routed = format_events(_routed_events(spark, sf), EVENT_FIELDS, "ts")
-    payloads = batch_events(routed, ["event_id"], BLOCK_SIZE)
+    payloads = table_batches(_routed_events(spark, sf), ["event_id"], EVENT_FIELDS, "ts")
     return payloads.select("index", "source", "sourcetype", "batch_id", "n_events", "n_bytes",
                            F.md5("payload").alias("payload_md5"))
 

@@ -1,0 +1,39 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from eventloom.operators.batching import batch_events
+from eventloom.plans.ship import ship
+from eventloom.sinks.deliver import deliver
+
+
+def _payloads(spark):
+    rows = [(i, f"event {i} " + "é" * (i % 5), "hot" if i % 4 else "cold") for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, raw string, sourcetype string")
+    return batch_events(df, ["k"], 300)
+
+
+def test_receipts_md5_match_spark(spark):
+    p = _payloads(spark)
+    want = {(r.sourcetype, r.batch_id): r.h for r in p.select("sourcetype", "batch_id", F.md5("payload").alias("h")).collect()}
+    got = {(r.sourcetype, r.batch_id): r.status for r in deliver(p).collect()}
+    assert got == want and len(got) > 10
+
+
+def test_sender_sees_destination(spark):
+    def send(payload, dest):
+        return f"{dest['sourcetype']}:{payload.count(chr(10))}"
+    got = deliver(_payloads(spark), send).collect()
+    assert all(r.status == f"{r.sourcetype}:{r.n_events}" for r in got)
+    assert all(len(r.batch_key) == 64 for r in got)
+
+
+def test_ship_once_with_dead_letters(spark, tmp_path):
+    p = _payloads(spark)
+    receipts, rejected, totals = ship(p, limit=300, receipts_path=str(tmp_path / "r"))
+    n_rej = rejected.count()
+    assert receipts.count() + n_rej == p.count()
+    assert all(r.status == hashlib.md5(b"x").hexdigest() or len(r.status) == 32 for r in receipts.collect())
+    t = {r.sourcetype: r for r in totals.collect()}
+    assert sum(r.calls for r in t.values()) == receipts.count()
+    assert sum(r.rejected for r in t.values()) == n_rej

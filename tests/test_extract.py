@@ -1,0 +1,32 @@
+import datetime as dt
+
+from eventloom.operators.extract import extract_fields
+from eventloom.operators.format import format_events
+
+HOSTILE = [
+    'plain', 'with "quotes"', 'ends with backslash \\', 'pipe | inside', 'a|b="c"', '"', '\\"', '',
+    'multi\nline\r\ntext', 'x="y"|z="', 'unicode € 𝄞', '\\\\"|k="v', 'trailing"',
+]
+
+
+def test_backslash_escape_round_trips_every_value(spark):
+    rows = [(i, v, HOSTILE[-1 - i]) for i, v in enumerate(HOSTILE)]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    raw = format_events(df, ["id", "a", "b"], ts=False, escape="backslash")
+    got = extract_fields(raw, ["id", "a", "b"], escape="backslash", time_out=None).collect()
+    assert [(int(r.id), r.a, r.b) for r in got] == rows
+
+
+def test_unescaped_reader_handles_quotes_and_time(spark):
+    rows = [(dt.datetime(2024, 1, 2, 3, 4, 5, 678901), '{"k": 1}', "x")]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, props string, t string")
+    raw = format_events(df, ["props", "t"])
+    r = extract_fields(raw, ["props", "t", "missing"]).first()
+    assert r.props == '{"k": 1}' and r.t == "x" and r.missing is None
+    assert r._time == dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
+
+
+def test_first_of_duplicate_names(spark):
+    df = spark.createDataFrame([("1", "2")], "a string, b string")
+    raw = format_events(df, [("a", "a"), ("a", "b")], ts=False, escape="backslash")
+    assert extract_fields(raw, ["a"], escape="backslash", time_out=None).first().a == "1"
