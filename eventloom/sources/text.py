@@ -7,39 +7,31 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.common import to_col
 from eventloom.functions.lines import split_lines
-from eventloom.session import checkpoint_root
 
-# The stored, order-preserving key of a line read from files: which file, which
-# split of it, and the position inside that split.
-FILE_ORDER = ("file_path", "file_block_start", "line_in_block")
+# The order key of a line read from files: which file, which split of it, and an
+# id that increases with the line's position inside that split.
+FILE_ORDER = ("file_path", "file_block_start", "line_key")
 FILE_SEGMENT = ("file_path", "file_block_start")
 
 
-def read_event_file(spark: SparkSession, path: str | list[str], value: str = "raw",
-                    broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Lines of text files as events, with a stable order key.
+def read_event_file(spark: SparkSession, path: str | list[str], value: str = "raw") -> DataFrame:
+    """Lines of text files as events, with an order key.
 
-    Returns ``file_path, file_block_start, line_in_block, <value>``. A line ends
-    at LF, CR or CRLF. ``(file_path, file_block_start)`` comes from the file
-    source's metadata. ``line_in_block`` is the row's offset from the first id
-    of its split: ``monotonically_increasing_id`` numbers a task's rows
-    consecutively, so the offset is the same when a task is recomputed.
+    Returns ``file_path, file_block_start, line_key, <value>``. A line ends at LF,
+    CR or CRLF. ``(file_path, file_block_start)`` names the file split (file
+    source metadata) and is the natural segment of the two-level running sums.
+    ``line_key`` is ``monotonically_increasing_id()``: a split is read by one
+    task, front to back, so the id increases with the line's position inside the
+    split. Its absolute value depends on how splits are packed into tasks, but
+    running sums only compare ids inside one split and add per-split offsets, so
+    they are the same however the splits are packed when a job is re-planned or
+    a task is recomputed.
     """
-    lines = spark.read.text(path).select(
-        F.col("value").alias(value),
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block_start"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-    # A split is read by one task in order, so its ids are consecutive and its
-    # offsets follow from the split's first id (one small aggregate, no sort).
-    # The table has one row per file split (input size / maxPartitionBytes); it
-    # is checkpointed, counted, and broadcast only below ``broadcast_rows``.
-    checkpoint_root(spark)
-    firsts = lines.groupBy(*FILE_SEGMENT).agg(F.min("_mid").alias("_first")).checkpoint(eager=True)
-    side = F.broadcast(firsts) if firsts.count() <= broadcast_rows else firsts
-    return lines.join(side, list(FILE_SEGMENT)).select(
-        "file_path", "file_block_start", (F.col("_mid") - F.col("_first")).alias("line_in_block"), value
+        F.monotonically_increasing_id().alias("line_key"),
+        F.col("value").alias(value),
     )
 
 
