@@ -25,41 +25,54 @@ from eventloom.functions.fields import DEFAULT_DELIM
 FIELD_NAME = r"[A-Za-z_][A-Za-z0-9_.:-]*"
 
 
-def _unescaped_pattern(name: str, delim: str) -> str:
+def _unescaped_pairs_pattern(delim: str) -> str:
     d = re.escape(delim)
-    return rf'(?s)(?:^|{d}){re.escape(name)}="(.*?)"(?={d}{FIELD_NAME}="|\z)'
+    return rf'(?s){d}{FIELD_NAME}="(?:.*?)"(?={d}{FIELD_NAME}="|\z)'
 
 
 def _escaped_pairs_pattern(delim: str) -> str:
     d = re.escape(delim)
-    return rf'(?s){d}([^={d}"]+)="((?:[^"\\]++|\\.)*+)"'
-
-
-def extract_field(raw: Column | str, name: str, delim: str = DEFAULT_DELIM, escape: str = "none") -> Column:
-    """The value of the first field called ``name`` (null when absent)."""
-    r = to_col(raw)
-    if escape == "none":
-        pat = _unescaped_pattern(name, delim)
-        return F.when(r.rlike(pat), F.regexp_extract(r, pat, 1))
-    if escape == "backslash":
-        return F.element_at(fields_map(r, delim), F.lit(name))
-    raise ValueError(f"escape must be 'none' or 'backslash', got {escape!r}")
+    return rf'(?s){d}[^={d}"]+="(?:[^"\\]++|\\.)*+"'
 
 
 def unescape(v: Column) -> Column:
     return F.regexp_replace(v, r"(?s)\\(.)", "$1")
 
 
-def fields_map(raw: Column | str, delim: str = DEFAULT_DELIM) -> Column:
-    """All fields of backslash-escaped event text as ``map<string,string>`` (first name wins)."""
-    r = to_col(raw)
-    pat = _escaped_pairs_pattern(delim)
-    names = F.regexp_extract_all(r, F.lit(pat), 1)
-    values = F.transform(F.regexp_extract_all(r, F.lit(pat), 2), unescape)
-    entries = F.arrays_zip(names.alias("k"), values.alias("v"))
-    # keep the first occurrence of a repeated name, as a left-to-right reader would
-    firsts = F.filter(entries, lambda e, i: F.array_position(names, e["k"]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value"))))
+def fields_map(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash") -> Column:
+    """All fields of event text as ``map<string,string>``; the first of a repeated name wins.
+
+    One left-to-right regex pass finds the whole ``delim name="value"`` pairs;
+    names and values are then cut out with plain string functions.
+    """
+    if escape not in ("none", "backslash"):
+        raise ValueError(f"escape must be 'none' or 'backslash', got {escape!r}")
+    pat = _escaped_pairs_pattern(delim) if escape == "backslash" else _unescaped_pairs_pattern(delim)
+    pairs = F.regexp_extract_all(to_col(raw), F.lit(pat), 0)
+    d = len(delim)
+
+    def entry(p: Column) -> Column:
+        name = F.substring_index(F.substring(p, d + 1, 1 << 30), '="', 1)
+        n = F.length(name)
+        value = F.substring(p, n + d + 3, F.length(p) - n - d - 3)
+        if escape == "backslash":
+            value = unescape(value)
+        return F.struct(name.alias("key"), value.alias("value"))
+
+    # fold left to right so a repeated name keeps its first value; the pairs
+    # array is evaluated once (a lambda referring back to it would re-run the scan)
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(
+        F.transform(pairs, entry),
+        empty,
+        lambda acc, e: F.when(F.map_contains_key(acc, e["key"]), acc).otherwise(
+            F.map_concat(acc, F.create_map(e["key"], e["value"]))),
+    )
+
+
+def extract_field(raw: Column | str, name: str, delim: str = DEFAULT_DELIM, escape: str = "none") -> Column:
+    """The value of the first field called ``name`` (null when absent)."""
+    return F.element_at(fields_map(raw, delim, escape), F.lit(name))
 
 
 def event_time_text(raw: Column | str, delim: str = DEFAULT_DELIM) -> Column:

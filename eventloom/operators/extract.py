@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.extract import event_time_text, extract_field, fields_map
+from eventloom.functions.extract import event_time_text, fields_map
 from eventloom.functions.fields import DEFAULT_DELIM
 from eventloom.functions.timefmt import parse_event_timestamp
 
@@ -22,11 +22,13 @@ def extract_fields(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One string column per name (null when the event lacks it), plus the parsed
-    event time in ``time_out``."""
+    event time in ``time_out``. All names come from one pass over the text
+    (:func:`eventloom.functions.extract.fields_map`)."""
     cols = [F.col(k) for k in keep]
     if time_out:
         cols.append(parse_event_timestamp(event_time_text(raw, delim)).alias(time_out))
-    if escape == "backslash":
-        m = fields_map(raw, delim)
-        return df.select(*cols, *[F.element_at(m, F.lit(n)).alias(n) for n in names])
-    return df.select(*cols, *[extract_field(raw, n, delim, escape).alias(n) for n in names])
+    # project the map once; reading it by name in a second projection keeps
+    # Catalyst from inlining (and re-running) the scan once per name
+    with_map = df.select(*cols, fields_map(raw, delim, escape).alias("_fields"))
+    return with_map.select(*[c for c in with_map.columns if c != "_fields"],
+                           *[F.element_at("_fields", F.lit(n)).alias(n) for n in names])
