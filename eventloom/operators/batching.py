@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.lines import LF, byte_length
-from eventloom.operators.prefix import SEG, running_sum
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, SEG, running_sum
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -46,6 +46,7 @@ def assign_batches(
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
     n_segments: int | None = None,
+    split_rows: int = DEFAULT_SPLIT_ROWS,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
@@ -59,7 +60,7 @@ def assign_batches(
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
     size = byte_length(_raw_col(raw), unit) + F.lit(1)
-    with_cum = running_sum(df, size, order, dest, segment, n_segments, out="_cum")
+    with_cum = running_sum(df, size, order, dest, segment, n_segments, out="_cum", split_rows=split_rows)
     return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum")
 
 
@@ -109,9 +110,10 @@ def batch_events(
     destination: Sequence[str] | None = None,
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
+    split_rows: int = DEFAULT_SPLIT_ROWS,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
-    assigned = assign_batches(df, order, block_size, raw, destination, segment, unit)
+    assigned = assign_batches(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows)
     return build_payloads(assigned, order, raw, destination)
 
 

@@ -1,16 +1,21 @@
 """Distributed running sums in two levels.
 
-A running sum over a whole table written as one window without ``partitionBy``
-puts every row in one task. Instead:
-
-1. cut the order into *segments*: stored, order-preserving values (explicit
-   columns such as ``(file_path, file_block_start)``, or quantile buckets of the
-   first order column computed with ``percentile_approx`` so segments hold about
-   the same number of rows even when keys are clustered);
-2. sum each (partition, segment) and run a small window over those totals to get
-   each segment's base offset; that table has at most
-   ``partitions x segments`` rows, is checkpointed to the shared checkpoint
-   folder and counted, and is broadcast only below ``broadcast_rows``;
+A running sum written as one window per partition (destination) puts every row
+of a partition in one task; with one destination, or one that holds a third of
+all rows, that task holds a third of the data. Instead:
+
+1. cut the order into *segments*: stored, order-preserving values. Either
+   explicit columns such as ``(file_path, file_block_start)``, or quantile
+   buckets of the first order column (``percentile_approx``, then a JVM-side
+   binary search), so segments hold about the same number of rows even when
+   keys are clustered. Only *hot* partitions are cut: those with more than
+   ``split_rows`` rows (at most ``max_hot`` of them, largest first). A partition
+   below that is one segment with base 0, handled whole by one window task;
+2. sum each hot (partition, segment) and run a small window over those totals to
+   get each segment's base offset. That table has at most
+   ``hot partitions x segments`` rows; it is checkpointed to the shared
+   checkpoint folder, counted, and broadcast only below ``broadcast_rows``
+   (else the join shuffles on the same keys as the window that follows);
 3. add the base to a running sum inside each (partition, segment).
 
 Segment keys are never ``spark_partition_id()``: they must not change when a
@@ -29,10 +34,14 @@ from pyspark.sql import functions as F
 from eventloom.session import checkpoint_root
 
 SEG = "_seg"
-SEG_BASE = "_seg_base"
+HOT = "_hot"
 
 # Largest segment-offset table that is broadcast; above it the join shuffles.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# A partition with more rows than this is cut into segments.
+DEFAULT_SPLIT_ROWS = 1_000_000
+# At most this many hot partitions are cut (largest first); the list goes to the driver.
+MAX_HOT = 10_000
 MAX_SEGMENTS = 100_000
 
 
@@ -41,42 +50,78 @@ def default_segments(df: DataFrame) -> int:
     return max(64, min(MAX_SEGMENTS, 4 * sp))
 
 
-def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, out: str = SEG) -> DataFrame:
-    """Add ``out``: an order-preserving bucket of ``key`` with about equal row counts.
-
-    One aggregation pass over ``key`` (column-pruned) returns at most
-    ``n_segments - 1`` boundaries to the driver; a JVM-side binary search
-    (``Bucketizer``) then assigns buckets.
-    """
-    n = n_segments or default_segments(df)
+def _splits(df: DataFrame, key: str, n: int) -> list[float]:
+    """At most ``n - 1`` quantile boundaries of ``key`` (one key-only aggregation)."""
     probs = [i / n for i in range(1, n)]
     accuracy = max(10_000, 20 * n)
     row = df.select(F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("q")).first()
     bounds = sorted({float(b) for b in (row["q"] or []) if b is not None and not math.isnan(b)})
-    splits = [-math.inf, *bounds, math.inf]
+    return [-math.inf, *bounds, math.inf]
+
+
+def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFrame:
     tmp = f"{out}__key"
     with_key = df.withColumn(tmp, F.col(key).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep").transform(with_key)
     return bucketed.withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
-def add_segments(df: DataFrame, order: Sequence[str], segment: Sequence[str] | None,
-                 n_segments: int | None = None) -> DataFrame:
-    """Add ``_seg`` from explicit segment columns, or from quantiles of ``order[0]``."""
-    if segment:
-        cols = [F.col(c) for c in segment]
-        return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols))
-    return quantile_segments(df, order[0], n_segments)
-
-
-def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], broadcast_rows: int) -> DataFrame:
+def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, out: str = SEG) -> DataFrame:
+    """Add ``out``: an order-preserving bucket of ``key`` with about equal row counts."""
+    return _bucketize(df, key, _splits(df, key, n_segments or default_segments(df)), out)
+
+
+def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
+                   max_hot: int = MAX_HOT) -> DataFrame | None:
+    """The partitions with more than ``split_rows`` rows (largest ``max_hot``), as a
+    small DataFrame of their keys plus ``_hot = true``; ``None`` when there are none."""
+    spark = df.sparkSession
+    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(max_hot).collect()
+    if not top:
+        return None
+    schema = df.select(*partition_by).schema
+    return spark.createDataFrame([tuple(r[c] for c in partition_by) for r in top], schema).withColumn(
+        HOT, F.lit(True))
+
+
+def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int,
+                    n_rows: int | None = None) -> DataFrame:
     renamed = small.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
-    n = renamed.count()  # cheap: the table is checkpointed
+    n = renamed.count() if n_rows is None else n_rows
     side = F.broadcast(renamed) if n <= broadcast_rows else renamed
     cond = [big[k].eqNullSafe(side[f"__r_{k}"]) for k in keys]
-    joined = big.join(side, cond, "inner")
-    return joined.drop(*[f"__r_{k}" for k in keys])
+    return big.join(side, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (),
+                 segment: Sequence[str] | None = None, n_segments: int | None = None,
+                 split_rows: int = DEFAULT_SPLIT_ROWS, max_hot: int = MAX_HOT,
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, str]:
+    """Add ``_seg`` (and ``_hot`` when only some partitions are cut).
+
+    Returns the frame and the mode: ``'all'`` (every row segmented), ``'hot'``
+    (rows with ``_hot`` segmented, others ``_seg = 0``), ``'none'`` (one segment
+    per partition, ``_seg = 0``).
+    """
+    if segment:
+        cols = [F.col(c) for c in segment]
+        return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols)), "all"
+    key, n = order[0], n_segments or default_segments(df)
+    if not partition_by:
+        row = df.agg(F.count(F.lit(1)).alias("n")).first()
+        if row["n"] <= split_rows:
+            return df.withColumn(SEG, F.lit(0)), "none"
+        return _bucketize(df, key, _splits(df, key, n), SEG), "all"
+    hot = hot_partitions(df, partition_by, split_rows, max_hot)
+    if hot is None:
+        return df.withColumn(SEG, F.lit(0)), "none"
+    flagged = _null_safe_join(df, hot, list(partition_by), "left", broadcast_rows, n_rows=0)
+    flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+    splits = _splits(flagged.where(F.col(HOT)), key, n)
+    bucketed = _bucketize(flagged, key, splits, SEG)
+    return bucketed.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(F.lit(0))), "hot"
 
 
 def running_sums(
@@ -87,30 +132,40 @@ def running_sums(
     segment: Sequence[str] | None = None,
     n_segments: int | None = None,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    split_rows: int = DEFAULT_SPLIT_ROWS,
+    max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in ``order``,
-    all in the same pass (one segment table, one exchange, one sort).
+    """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
+    ``order``, all in the same pass (one offsets table, one exchange, one sort).
 
     ``order`` must be unique within a partition (ties would make the sums depend
-    on row arrival order). Keeps ``_seg`` and the per-row sizes ``_sz_<i>``
-    (in ``sizes`` order) for later per-segment work.
+    on row arrival order). Keeps ``_seg`` and the per-row sizes ``_sz_<i>`` (in
+    ``sizes`` order) for later per-segment work.
     """
     checkpoint_root(df.sparkSession)
-    seg_df = add_segments(df, order, segment, n_segments)
+    seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, max_hot, broadcast_rows)
     tmp = {out: f"_sz_{i}" for i, out in enumerate(sizes)}
-    seg_df = seg_df.select("*", *[c.cast("long").alias(tmp[o]) for o, c in sizes.items()])
+    seg_df = seg_df.select(*[c for c in seg_df.columns if c != HOT], *[F.col(HOT)] if mode == "hot" else [],
+                           *[c.cast("long").alias(tmp[o]) for o, c in sizes.items()])
     keys = [*partition_by, SEG]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out_cols = [c for c in seg_df.columns if c != HOT]
 
-    totals = seg_df.groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
+    if mode == "none":
+        return seg_df.select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()])
+
+    cut = seg_df.where(F.col(HOT)) if mode == "hot" else seg_df
+    totals = cut.groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
     w_tot = Window.partitionBy(*partition_by).orderBy(SEG).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bases = totals.select(*keys, *[(F.sum(f"{t}_tot").over(w_tot) - F.col(f"{t}_tot")).alias(f"{t}_base")
                                    for t in tmp.values()])
     bases = bases.checkpoint(eager=True)
 
-    joined = _null_safe_join(seg_df, bases, keys, broadcast_rows)
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.select(*seg_df.columns, *[(F.col(f"{t}_base") + F.sum(t).over(w)).alias(o) for o, t in tmp.items()])
-    return out
+    joined = _null_safe_join(seg_df, bases, keys, "left" if mode == "hot" else "inner", broadcast_rows)
+    return joined.select(
+        *out_cols,
+        *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],
+    )
 
 
 def running_sum(
@@ -122,9 +177,10 @@ def running_sum(
     n_segments: int | None = None,
     out: str = "cum",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    split_rows: int = DEFAULT_SPLIT_ROWS,
 ) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``size`` (see :func:`running_sums`);
     also keeps the per-row size as ``_size``."""
     size_c = size if isinstance(size, Column) else F.col(size)
-    res = running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows)
+    res = running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows, split_rows)
     return res.withColumnRenamed("_sz_0", "_size")

@@ -60,6 +60,7 @@ PREDICATE = "event_type = 'error' AND value > 100"
 WEEK = ("-7d@d", "@d")
 PAGE_OFFSET, PAGE_COUNT = 10, 25
 SMALL_BLOCK, SMALL_LIMIT = 8_192, 16_384
+HOT_SPLIT_ROWS = 10_000  # destinations above this are cut into segments
 
 
 # ---------------------------------------------------------------- Spark side
@@ -121,6 +122,14 @@ def q_batch_assign(spark, sf):
     return assigned.select(*LINEITEM_ORDER, "sourcetype", "batch_id")
 
 
+def q_batch_assign_hot(spark, sf):
+    """As ``batch_assign``, with every destination above 10,000 rows cut into
+    quantile segments (the path a destination holding much of the data takes)."""
+    assigned = assign_batches(_lineitem_routed(spark, sf, "l_returnflag"), LINEITEM_ORDER, BLOCK_SIZE,
+                              raw=lineitem_text(), split_rows=HOT_SPLIT_ROWS)
+    return assigned.select(*LINEITEM_ORDER, "sourcetype", "batch_id")
+
+
 def _lineitem_payloads(spark, sf):
     return table_batches(_lineitem_routed(spark, sf, "l_linestatus"), LINEITEM_ORDER, LINEITEM_FIELDS,
                          "l_shipdate")
@@ -264,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "format_event_default": q_format_event_default,
     "event_metadata": q_event_metadata,
     "batch_assign": q_batch_assign,
+    "batch_assign_hot": q_batch_assign_hot,
     "batch_payload": q_batch_payload,
     "oversize_batches": q_oversize_batches,
     "ship_totals": q_ship_totals,
@@ -368,6 +378,10 @@ ORACLES: dict[str, str] = {
         "SELECT " + LI_ORDER_SQL + ", sourcetype, batch_id FROM "
         + _batched(_lineitem_raw("l_returnflag"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
     ),
+    "batch_assign_hot": (
+        "SELECT " + LI_ORDER_SQL + ", sourcetype, batch_id FROM "
+        + _batched(_lineitem_raw("l_returnflag"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
+    ),
     "batch_payload": "SELECT * FROM " + _payloads(_lineitem_raw("l_linestatus"), "sourcetype",
                                                   LI_ORDER_SQL, BLOCK_SIZE),
     "oversize_batches": (

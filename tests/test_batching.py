@@ -50,13 +50,27 @@ def test_two_level_equals_global_window_with_hot_destination(spark):
     dest = ["hot" if i % 3 else f"d{i % 7}" for i in range(n)]  # two thirds in one destination
     lines = [("x" * (i % 37)) for i in range(n)]
     df = _lines_df(spark, lines, dest)
-    got = {(r.k): r.batch_id for r in
-           assign_batches(df, ["k"], 256, n_segments=40).select("k", "batch_id").collect()}
     # the same running sum written as one window per destination
     from pyspark.sql import Window
     w = Window.partitionBy("sourcetype").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.select("k", F.floor((F.sum(F.length("raw") + 1).over(w) - 1) / 256).alias("b")).collect()
-    assert got == {r.k: r.b for r in ref}
+    want = {r.k: r.b for r in ref}
+    for split_rows in (500, 10**9):  # hot destination cut into segments / nothing cut
+        a = assign_batches(df, ["k"], 256, n_segments=40, split_rows=split_rows)
+        got = {r.k: r.batch_id for r in a.select("k", "batch_id").collect()}
+        assert got == want
+    segs = a = assign_batches(df, ["k"], 256, n_segments=40, split_rows=500)
+    per = {(r.sourcetype, r._seg) for r in segs.select("sourcetype", "_seg").distinct().collect()}
+    assert len([p for p in per if p[0] == "hot"]) > 20 and all(s == 0 for d, s in per if d != "hot")
+
+
+def test_single_destination_cut_when_large(spark):
+    lines = ["y" * (i % 11) for i in range(2500)]
+    df = _lines_df(spark, lines)
+    text = "".join(line + "\n" for line in lines)
+    for split_rows in (100, 10**9):
+        got = batch_events(df, ["k"], 64, destination=[], unit="chars", split_rows=split_rows).orderBy("batch_id")
+        assert [r.payload for r in got.collect()] == block_loop(text, 64)
 
 
 def test_quantile_segments_are_balanced_and_ordered(spark):
