@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.lines import LF, byte_length
-from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, SEG, running_sum
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, running_sum
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -85,7 +85,8 @@ def build_payloads(
     """
     dest = present_destination(assigned, destination)
     line = F.struct(*[F.col(o) for o in order], F.concat(_raw_col(raw), F.lit(LF)).alias("_line"))
-    pieces = assigned.groupBy(*dest, SEG, "batch_id").agg(
+    seg_keys = [PKEY, *dest, SEG] if PKEY in assigned.columns else [*dest, SEG]
+    pieces = assigned.groupBy(*seg_keys, "batch_id").agg(
         F.sort_array(F.collect_list(line)).alias("_lines"),
         F.count(F.lit(1)).alias("_n"),
         F.sum("_size").alias("_b"),

@@ -35,6 +35,7 @@ from eventloom.session import checkpoint_root
 
 SEG = "_seg"
 HOT = "_hot"
+PKEY = "_pkey"  # hash of (partition, segment): the one exchange the window and later groupings reuse
 
 # Largest segment-offset table that is broadcast; above it the join shuffles.
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -145,23 +146,36 @@ def running_sums(
     checkpoint_root(df.sparkSession)
     seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, max_hot, broadcast_rows)
     tmp = {out: f"_sz_{i}" for i, out in enumerate(sizes)}
-    seg_df = seg_df.select(*[c for c in seg_df.columns if c != HOT], *[F.col(HOT)] if mode == "hot" else [],
-                           *[c.cast("long").alias(tmp[o]) for o, c in sizes.items()])
     keys = [*partition_by, SEG]
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out_cols = [c for c in seg_df.columns if c != HOT]
+    base_cols = [c for c in seg_df.columns if c != HOT]
+
+    def sized(frame: DataFrame) -> DataFrame:
+        return frame.select(*[c for c in frame.columns if c != HOT],
+                            *[c.cast("long").alias(tmp[o]) for o, c in sizes.items()])
+
+    # Exchange once on a hash of the window keys, then size rows after it. The
+    # hash column is part of the window spec (and of later per-segment groupings)
+    # so the exchange satisfies them even when Catalyst folds constant keys
+    # (e.g. a destination column that is null everywhere) out of those specs.
+    w = Window.partitionBy(PKEY, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out_cols = [PKEY, *base_cols, *tmp.values()]
+
+    def exchanged(frame: DataFrame) -> DataFrame:
+        return sized(frame.withColumn(PKEY, F.xxhash64(*keys)).repartition(PKEY))
 
     if mode == "none":
-        return seg_df.select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()])
+        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()])
 
     cut = seg_df.where(F.col(HOT)) if mode == "hot" else seg_df
-    totals = cut.groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
+    totals = sized(cut).groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
     w_tot = Window.partitionBy(*partition_by).orderBy(SEG).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bases = totals.select(*keys, *[(F.sum(f"{t}_tot").over(w_tot) - F.col(f"{t}_tot")).alias(f"{t}_base")
                                    for t in tmp.values()])
     bases = bases.checkpoint(eager=True)
 
-    joined = _null_safe_join(seg_df, bases, keys, "left" if mode == "hot" else "inner", broadcast_rows)
+    joined = _null_safe_join(seg_df.select(*base_cols), bases, keys, "left" if mode == "hot" else "inner",
+                             broadcast_rows)
+    joined = exchanged(joined)
     return joined.select(
         *out_cols,
         *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],
