@@ -70,11 +70,48 @@ def event_text(
     with_timestamp: bool = True,
 ) -> Column:
     """Timestamp, then ``delim name="value"`` for each field, in order."""
-    head: list[Column] = [event_timestamp(ts, compat)] if with_timestamp else []
+    head: list[Column] = [_stamp(ts, compat)] if with_timestamp else []
     parts = head + field_parts(fields, delim, escape)
     return F.concat(*parts) if parts else F.lit("")
 
 
+def _stamp(ts: Column | str | None, compat: bool) -> Column:
+    return F.coalesce(event_timestamp(ts, compat), F.lit(NULL_TEXT))
+
+
+# Fixed value: width of the default timestamp text for years 1000-9999.
+TS_TEXT_WIDTH = 28
+
+
+def event_size(
+    fields: FieldSpec,
+    ts: Column | str | None = None,
+    delim: str = DEFAULT_DELIM,
+    escape: str = "none",
+    compat: bool = False,
+    with_timestamp: bool = True,
+    unit: str = "bytes",
+) -> Column:
+    """Size of :func:`event_text` without building the text: the literal parts'
+    sizes plus each value's size (the timestamp has a fixed width in the
+    default layout)."""
+    measure = F.octet_length if unit == "bytes" else F.length
+    normalized = normalize_fields(fields)
+    const = sum(len(f'{delim}{name}="'.encode() if unit == "bytes" else f'{delim}{name}="') + 1
+                for name, _ in normalized)
+    total: Column = F.lit(const)
+    if with_timestamp:
+        text = _stamp(ts, compat)
+        if compat or ts is None:
+            total = total + measure(text)
+        else:
+            t = to_col(ts)
+            total = total + F.when(F.year(t).between(1000, 9999), F.lit(TS_TEXT_WIDTH)).otherwise(measure(text))
+    for _, c in normalized:
+        total = total + measure(value_text(c, escape))
+    return total.cast("long")
+
+
 def map_event_text(
     m: Column | str,
     ts: Column | str | None = None,
@@ -92,7 +129,7 @@ def map_event_text(
         return F.concat(F.lit(delim), e["key"].cast("string"), F.lit('="'), v, F.lit('"'))
 
     body = F.array_join(F.transform(F.map_entries(to_col(m)), entry), "")
-    return F.concat(event_timestamp(ts, compat), F.coalesce(body, F.lit("")))
+    return F.concat(_stamp(ts, compat), F.coalesce(body, F.lit("")))
 
 
 def columns_map(names: Iterable[str]) -> Column:

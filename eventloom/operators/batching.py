@@ -47,6 +47,7 @@ def assign_batches(
     unit: str = "bytes",
     n_segments: int | None = None,
     split_rows: int = DEFAULT_SPLIT_ROWS,
+    size: Column | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
@@ -55,11 +56,14 @@ def assign_batches(
     ``raw`` may be a column name or an expression over the row (such as
     :func:`eventloom.functions.event_text`); an expression is only sized here,
     so the shuffle carries the narrower source columns, not the text.
+    ``size`` may give the event's size directly (e.g.
+    :func:`eventloom.functions.fields.event_size`) so the text is not built
+    just to be measured; it must equal the size of ``raw`` in ``unit``.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
-    size = byte_length(_raw_col(raw), unit) + F.lit(1)
+    size = (size if size is not None else byte_length(_raw_col(raw), unit)) + F.lit(1)
     with_cum = running_sum(df, size, order, dest, segment, n_segments, out="_cum", split_rows=split_rows)
     return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum")
 
@@ -112,9 +116,11 @@ def batch_events(
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
     split_rows: int = DEFAULT_SPLIT_ROWS,
+    size: Column | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
-    assigned = assign_batches(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows)
+    assigned = assign_batches(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
+                              size=size)
     return build_payloads(assigned, order, raw, destination)
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.fields import event_text
+from eventloom.functions.fields import event_size, event_text
 from eventloom.functions.lines import byte_length
 from eventloom.functions.timefmt import event_timestamp
 from eventloom.operators.batching import (
@@ -116,9 +116,13 @@ def lineitem_text():
     return event_text(LINEITEM_FIELDS, "l_shipdate")
 
 
+def lineitem_size():
+    return event_size(LINEITEM_FIELDS, "l_shipdate")
+
+
 def q_batch_assign(spark, sf):
     assigned = assign_batches(_lineitem_routed(spark, sf, "l_returnflag"), LINEITEM_ORDER, BLOCK_SIZE,
-                              raw=lineitem_text())
+                              raw=lineitem_text(), size=lineitem_size())
     return assigned.select(*LINEITEM_ORDER, "sourcetype", "batch_id")
 
 
@@ -126,7 +130,7 @@ def q_batch_assign_hot(spark, sf):
     """As ``batch_assign``, with every destination above 10,000 rows cut into
     quantile segments (the path a destination holding much of the data takes)."""
     assigned = assign_batches(_lineitem_routed(spark, sf, "l_returnflag"), LINEITEM_ORDER, BLOCK_SIZE,
-                              raw=lineitem_text(), split_rows=HOT_SPLIT_ROWS)
+                              raw=lineitem_text(), size=lineitem_size(), split_rows=HOT_SPLIT_ROWS)
     return assigned.select(*LINEITEM_ORDER, "sourcetype", "batch_id")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.functions.fields import DEFAULT_DELIM, FieldSpec, event_text
+from eventloom.functions.fields import DEFAULT_DELIM, FieldSpec, event_size, event_text
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, ship_totals, split_oversize
 from eventloom.sinks.deliver import Sender, deliver_once, md5_sender
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, read_event_file
@@ -24,13 +24,15 @@ def table_batches(
     """Format every row as an event and cut the events into payloads, per destination
     (``index``/``source``/``sourcetype`` columns when present, see ``with_destination``).
 
-    The event text is passed on as an expression: it is sized before the shuffle
-    and built after it, so the shuffle moves source columns instead of text."""
+    The event text is passed on as an expression: it is measured without being
+    built (:func:`event_size`) and built only after the shuffle, so the shuffle
+    moves source columns instead of text."""
     ts_name = ts if isinstance(ts, str) else None
     fields = fields if fields is not None else [c for c in df.columns if c != ts_name]
     stamp = ts is not False
     raw = event_text(fields, ts if stamp else None, delim, escape, with_timestamp=stamp)
-    return batch_events(df, order, block_size, raw=raw)
+    size = event_size(fields, ts if stamp else None, delim, escape, with_timestamp=stamp)
+    return batch_events(df, order, block_size, raw=raw, size=size)
 
 
 def file_batches(spark: SparkSession, path: str | list[str], block_size: int = BLOCK_SIZE) -> DataFrame:

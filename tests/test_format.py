@@ -57,3 +57,24 @@ def test_destination_overrides_and_query_string(spark):
     assert got["c"] == ("main", "app", "web", "?source=app&sourcetype=web&index=main")
     none = with_destination(df).select(destination_query_string().alias("q")).first()[0]
     assert none == ""
+
+
+def test_event_size_equals_text_size(spark):
+    from eventloom.functions.fields import event_size
+    rows = [
+        (dt.datetime(2024, 1, 2, 3, 4, 5, 7000), 1.5, 'a"b\\c', None),
+        (dt.datetime(999, 1, 2), None, "€𝄞 unicode", 7),
+        (None, 2.0, "", -1),
+        (dt.datetime(2024, 12, 31, 23, 59, 59, 999999), 1e-7, "x" * 300, 0),
+    ]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, d double, s string, n int")
+    fields = ["d", "s", ("n", "n"), ("d", "d")]
+    for kw in [{}, {"escape": "backslash"}, {"compat": True}, {"delim": " || "}]:
+        for unit, fn in (("bytes", F.octet_length), ("chars", F.length)):
+            got = df.select(fn(event_text(fields, "ts", **kw)).alias("a"),
+                            event_size(fields, "ts", unit=unit, **kw).alias("b")).collect()
+            assert all(r.a == r.b for r in got), (kw, unit, got)
+    nostamp = df.select(F.octet_length(event_text(fields, with_timestamp=False)).alias("a"),
+                        event_size(fields, with_timestamp=False).alias("b")).collect()
+    assert all(r.a == r.b for r in nostamp)
+    assert df.where("ts is null").select(event_text(["n"], "ts")).first()[0] == 'null|n="-1"'
