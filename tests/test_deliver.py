@@ -37,3 +37,34 @@ def test_ship_once_with_dead_letters(spark, tmp_path):
     t = {r.sourcetype: r for r in totals.collect()}
     assert sum(r.calls for r in t.values()) == receipts.count()
     assert sum(r.rejected for r in t.values()) == n_rej
+
+
+class _FakeResponse:
+    def __init__(self, status=200, reason="OK"):
+        self.status, self.reason = status, reason
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *a):
+        return False
+
+
+def test_http_sender_builds_requests_without_network():
+    from eventloom.sinks.http import destination_url, http_post_sender
+
+    seen = []
+
+    def opener(req, timeout):
+        seen.append((req.full_url, req.get_method(), req.data, dict(req.header_items()), timeout))
+        return _FakeResponse()
+
+    send = http_post_sender("http://collector.invalid/ingest", {"Authorization": "Token abc"}, 5, opener)
+    status = send("a=\"€\"\n", {"index": "main", "source": "", "sourcetype": "web"})
+    assert status == "200 OK"
+    url, method, data, headers, timeout = seen[0]
+    assert url == "http://collector.invalid/ingest?sourcetype=web&index=main"
+    assert method == "POST" and data == "a=\"€\"\n".encode() and timeout == 5
+    assert headers["Authorization"] == "Token abc"
+    assert destination_url("http://h/x?a=1", {"source": "s"}) == "http://h/x?a=1&source=s"
+    assert destination_url("http://h/x", {}) == "http://h/x"
