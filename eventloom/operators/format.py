@@ -99,5 +99,7 @@ def destination_query_string(prefix: str = "?") -> Column:
 
 
 def raw_events(df: DataFrame, raw: Column | str = "raw") -> DataFrame:
-    """Ready event strings pass through unchanged (the raw-event path)."""
-    return df.select("*", to_col(raw).alias("raw")) if raw != "raw" else df
+    """Ready event strings pass through unchanged as ``raw`` (the raw-event path)."""
+    if isinstance(raw, str) and raw == "raw":
+        return df
+    return df.select(*[c for c in df.columns if c != "raw"], to_col(raw).cast("string").alias("raw"))

@@ -54,7 +54,7 @@ def default_segments(df: DataFrame) -> int:
 def _splits(df: DataFrame, key: str, n: int) -> list[float]:
     """At most ``n - 1`` quantile boundaries of ``key`` (one key-only aggregation)."""
     probs = [i / n for i in range(1, n)]
-    accuracy = max(10_000, 20 * n)
+    accuracy = max(10_000, min(20 * n, 1_000_000))  # bounds the per-task sketch size
     row = df.select(F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("q")).first()
     bounds = sorted({float(b) for b in (row["q"] or []) if b is not None and not math.isnan(b)})
     return [-math.inf, *bounds, math.inf]

@@ -36,7 +36,7 @@ from eventloom.operators.format import (
 from eventloom.operators.lines import normalize_lines
 from eventloom.operators.prefix import running_sums
 from eventloom.operators.search import dequote_columns, page, search, search_stats
-from eventloom.plans.ship import table_batches
+from eventloom.plans.ship import file_batches, table_batches
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import deliver
 from eventloom.sinks.export import export_results, read_export
@@ -167,6 +167,23 @@ def q_read_event_file(spark, sf):
     return sums.select((F.col("_n") - 1).alias("line_no"), batch_of("_cum", BLOCK_SIZE).alias("batch_id"), "raw")
 
 
+def q_format_event_escaped(spark, sf):
+    """Documents (quotes, backslashes, line breaks, non-ASCII) as backslash-escaped events."""
+    docs = format_events(read_table(spark, sf, "documents"), DOC_FIELDS, ts=False, escape="backslash")
+    return docs.select("doc_id", "raw")
+
+
+def q_file_receipts(spark, sf):
+    """Events written as ordered text files, cut into payloads in file order and
+    delivered (test sender: MD5 of the payload)."""
+    path = scratch_path(spark, "event-file")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (_formatted_events(spark, sf).repartitionByRange(n, "event_id").sortWithinPartitions("event_id")
+        .select("raw").write.text(path))
+    receipts = deliver(file_batches(spark, path, BLOCK_SIZE))
+    return receipts.select("batch_id", "n_events", "n_bytes", "status")
+
+
 def q_event_lines_from_text(spark, sf):
     docs = read_table(spark, sf, "documents")
     return lines_from_text(docs, "text").select("doc_id", "line_no", "line")
@@ -282,6 +299,8 @@ QUERIES: dict[str, Query] = {
     "oversize_batches": q_oversize_batches,
     "ship_totals": q_ship_totals,
     "read_event_file": q_read_event_file,
+    "format_event_escaped": q_format_event_escaped,
+    "file_receipts": q_file_receipts,
     "event_lines_from_text": q_event_lines_from_text,
     "event_array_payload": q_event_array_payload,
     "normalize_lines": q_normalize_lines,
@@ -404,6 +423,11 @@ ORACLES: dict[str, str] = {
         "SELECT line_no, batch_id, raw FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS line_no FROM "
         + _batched(_EVENTS_RAW, "", "event_id", BLOCK_SIZE) + ")"
     ),
+    "format_event_escaped": f"SELECT doc_id, {_event(DOC_FIELDS, None, escape=True)} AS raw FROM documents",
+    "file_receipts": (
+        "SELECT batch_id, n_events, n_bytes, md5(payload) AS status FROM "
+        + _payloads(_EVENTS_RAW, "", "event_id", BLOCK_SIZE)
+    ),
     "event_lines_from_text": (
         "SELECT doc_id, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM "
         f"(SELECT doc_id, {_split_lines('text')} AS l FROM documents)"
