@@ -68,3 +68,26 @@ def test_http_sender_builds_requests_without_network():
     assert headers["Authorization"] == "Token abc"
     assert destination_url("http://h/x?a=1", {"source": "s"}) == "http://h/x?a=1&source=s"
     assert destination_url("http://h/x", {}) == "http://h/x"
+
+
+def test_delivery_runs_without_package_on_worker_path(tmp_path):
+    """Executors get the delivery code by value: run from a folder where the
+    package is not importable by the Python workers."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "from eventloom.operators.batching import batch_events\n"
+        "from eventloom.sinks.deliver import deliver\n"
+        "df = spark.createDataFrame([(i, 'e%%d' %% i) for i in range(50)], 'k long, raw string')\n"
+        "print('RECEIPTS', deliver(batch_events(df, ['k'], 64, destination=[])).count())\n"
+    ) % repo
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "RECEIPTS" in out.stdout, out.stderr[-2000:]
