@@ -43,3 +43,27 @@ def test_run_search_counts_exports_and_empty_rule(spark, tmp_path):
     none = run_search(ev, "event_type = 'nope'", str(tmp_path / "none"), "csv", None, None, now)
     assert none.path is None and none.result_count == 0 and none.scan_count == ev.count()
     assert not (tmp_path / "none").exists()
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("content,lines", [
+    (b"aa\nbb", ["aa", "bb"]),                    # unterminated tail is kept
+    (b"aabb", ["aabb"]),                          # no LF: no padding, one event
+    (b"\nabc", ["", "abc"]),                      # LF only at index 0
+    (b"aa\nbbbbb", ["aa", "bbbbb"]),              # length a multiple of B, unterminated
+    (b"aaaaaaaaaa\nb\n", ["aaaaaaaaaa", "b"]),    # line longer than B stays whole
+    (b"a\r\nb\rc\n\nlast", ["a", "b", "c", "", "last"]),
+])
+def test_file_edge_cases_block_8(spark, tmp_path, content, lines):
+    p = tmp_path / "f.txt"
+    p.write_bytes(content)
+    got = file_batches(spark, str(p), block_size=8).orderBy("batch_id").collect()
+    assert "".join(r.payload for r in got) == "".join(line + "\n" for line in lines)
+    assert sum(r.n_events for r in got) == len(lines)
+    ends, off = [], 0
+    for line in lines:
+        off += len(line) + 1
+        ends.append((off - 1) // 8)
+    assert [r.batch_id for r in got] == sorted(set(ends))
