@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from eventloom.session import checkpoint_root
 
@@ -51,18 +52,32 @@ def default_segments(df: DataFrame) -> int:
     return max(64, min(MAX_SEGMENTS, 4 * sp))
 
 
+def key_number(df: DataFrame, key: str) -> Column | None:
+    """An order-preserving number for ``key`` (numbers, timestamps, dates); ``None``
+    for other types, which then cannot be cut into quantile segments."""
+    kind = df.schema[key].dataType
+    c = F.col(key)
+    if isinstance(kind, NumericType):
+        return c.cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("double")
+    return None
+
+
 def _splits(df: DataFrame, key: str, n: int) -> list[float]:
     """At most ``n - 1`` quantile boundaries of ``key`` (one key-only aggregation)."""
     probs = [i / n for i in range(1, n)]
     accuracy = max(10_000, min(20 * n, 1_000_000))  # bounds the per-task sketch size
-    row = df.select(F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("q")).first()
+    row = df.select(F.percentile_approx(key_number(df, key), probs, accuracy).alias("q")).first()
     bounds = sorted({float(b) for b in (row["q"] or []) if b is not None and not math.isnan(b)})
     return [-math.inf, *bounds, math.inf]
 
 
 def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFrame:
     tmp = f"{out}__key"
-    with_key = df.withColumn(tmp, F.col(key).cast("double"))
+    with_key = df.withColumn(tmp, key_number(df, key))
     bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep").transform(with_key)
     return bucketed.withColumn(out, F.col(out).cast("int")).drop(tmp)
 
@@ -110,6 +125,8 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
         cols = [F.col(c) for c in segment]
         return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols)), "all"
     key, n = order[0], n_segments or default_segments(df)
+    if key_number(df, key) is None:  # e.g. a string key: one segment per partition
+        return df.withColumn(SEG, F.lit(0)), "none"
     if not partition_by:
         row = df.agg(F.count(F.lit(1)).alias("n")).first()
         if row["n"] <= split_rows:

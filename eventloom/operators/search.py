@@ -97,20 +97,33 @@ def search_stats(
     return agg.select("scan_count", "event_count", result.cast("long").alias("result_count"))
 
 
-def page(df: DataFrame, order_by: Sequence[str | Column], offset: int = 0, count: int = 0) -> DataFrame:
+# Largest page (offset + count) served as a top-k; beyond it rows are numbered.
+TOPK_ROWS = 100_000
+
+
+def page(df: DataFrame, order_by: Sequence[str], offset: int = 0, count: int = 0,
+         topk_rows: int = TOPK_ROWS) -> DataFrame:
     """Rows ``offset .. offset+count`` in ``order_by`` order; ``count=0`` means all.
 
-    With a count this is a top-k (each task keeps ``offset + count`` rows);
-    without one it is a full sort.
+    A small page (``offset + count <= topk_rows``) is a top-k: each task keeps
+    ``offset + count`` rows. Anything else (a large offset, or an offset with no
+    count) numbers the rows with the two-level running sum and keeps the range,
+    so no step gathers the result into one task or the driver. ``order_by`` should
+    be unique (ties are cut in arbitrary order, as in SQL).
     """
     if offset < 0 or count < 0:
         raise ValueError("offset and count must be >= 0")
-    out = df.orderBy(*order_by)
-    if offset:
-        out = out.offset(offset)
+    if count and offset + count <= topk_rows:
+        return df.orderBy(*order_by).offset(offset).limit(count) if offset else df.orderBy(*order_by).limit(count)
+    if not offset and not count:
+        return df.orderBy(*order_by)
+    from eventloom.operators.prefix import running_sum
+
+    numbered = running_sum(df, F.lit(1), list(order_by), out="_row")
+    keep = F.col("_row") > offset
     if count:
-        out = out.limit(count)
-    return out
+        keep = keep & (F.col("_row") <= offset + count)
+    return numbered.where(keep).select(*df.columns)
 
 
 def dequote_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -83,3 +83,16 @@ def test_dequote_columns_only_strings(spark):
 
 def test_scratch_paths_unique(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_page_large_offsets_are_numbered_not_collected(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    want = [r.event_id for r in ev.orderBy("ts", "event_id").collect()]
+    got = page(ev, ["ts", "event_id"], 9_000, 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CollectLimit" not in plan and "TakeOrdered" not in plan
+    assert sorted(r.event_id for r in got.collect()) == sorted(want[9_000:])
+    mid = page(ev, ["ts", "event_id"], 100, 50, topk_rows=10)
+    assert sorted(r.event_id for r in mid.collect()) == sorted(want[100:150])
+    small = page(ev, ["ts", "event_id"], 100, 50)
+    assert [r.event_id for r in small.collect()] == want[100:150]
