@@ -241,6 +241,16 @@ def q_extract_fields_escaped(spark, sf):
     return extract_fields(docs, DOC_FIELDS, escape="backslash", time_out=None)
 
 
+def q_search_raw_events(spark, sf):
+    """Search what was shipped: event text files read back, fields extracted from
+    the text, then the time window (on the extracted ``_time``) and the predicate."""
+    path = scratch_path(spark, "shipped")
+    _formatted_events(spark, sf).select("raw").write.text(path)
+    fields = extract_fields(read_event_file(spark, path), EVENT_FIELDS)
+    hits = search(fields, "event_type = 'error' AND CAST(value AS DOUBLE) > 100", *WEEK, now=NOW, time_col="_time")
+    return hits.select("event_id", "event_type", "value", "props")
+
+
 def q_delivery_receipts(spark, sf):
     receipts = deliver(_lineitem_payloads(spark, sf))
     return receipts.select("sourcetype", "batch_id", "n_events", "n_bytes", "batch_key", "status")
@@ -311,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "dequote_output": q_dequote_output,
     "extract_fields": q_extract_fields,
     "extract_fields_escaped": q_extract_fields_escaped,
+    "search_raw_events": q_search_raw_events,
     "delivery_receipts": q_delivery_receipts,
     "stream_delivery": q_stream_delivery,
     "event_sink_roundtrip": q_event_sink_roundtrip,
@@ -461,6 +472,10 @@ ORACLES: dict[str, str] = {
     ),
     "extract_fields_escaped": "SELECT " + ", ".join(f"cast({f} as varchar) AS {f}" for f in DOC_FIELDS)
     + " FROM documents",
+    "search_raw_events": (
+        "SELECT cast(event_id AS VARCHAR) AS event_id, event_type, cast(value AS VARCHAR) AS value, props FROM "
+        + _WEEK_SEARCH
+    ),
     "delivery_receipts": (
         "SELECT sourcetype, batch_id, n_events, n_bytes, "
         "sha256(concat_ws(chr(31), '', '', sourcetype, cast(batch_id AS VARCHAR), payload)) AS batch_key, "
