@@ -5,18 +5,43 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, _null_safe_join
+from eventloom.session import checkpoint_root
 
 DEFAULT_PARTITIONS = ("index", "sourcetype")
+DEFAULT_ROWS_PER_FILE = 5_000_000
 
 
 def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT_PARTITIONS,
-                 fmt: str = "text", raw: str = "raw", mode: str = "overwrite") -> None:
+                 fmt: str = "text", raw: str = "raw", mode: str = "overwrite",
+                 rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
     """Write event text (``fmt='text'``, one line per event) or whole rows
-    (``parquet``) into one folder per destination. No repartition by destination:
-    a destination holding most rows would land in one task. Each task sorts its
-    rows by the partition columns and writes one file per destination it holds."""
+    (``parquet``) into one folder per destination.
+
+    With ``rows_per_file``, rows are first clustered so each destination is
+    written by ``ceil(rows / rows_per_file)`` tasks: a destination holding a
+    third of the data is spread evenly instead of landing in one task, and a
+    small one becomes one file instead of one per input task. The per-destination
+    counts table is checkpointed, counted and broadcast only below
+    ``broadcast_rows``. ``rows_per_file=None`` writes straight from the input tasks.
+    """
     parts = list(partition_by)
     out = df.select(*parts, raw) if fmt == "text" else df
+    if parts and rows_per_file:
+        checkpoint_root(df.sparkSession)
+        groups = out.groupBy(*parts).agg(
+            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))).cast("long").alias("_groups")
+        ).checkpoint(eager=True)
+        n_tasks = int(groups.agg(F.sum("_groups")).first()[0] or 1)
+        cols = out.columns
+        salted = _null_safe_join(out, groups, parts, "inner", broadcast_rows)
+        salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_groups")))
+        # one task per (destination, salt) group, up to hash collisions; a fixed
+        # count, so adaptive execution does not merge the groups back together
+        out = salted.repartition(n_tasks, *parts, "_salt").drop("_salt", "_groups")
     out.write.mode(mode).partitionBy(*parts).format(fmt).save(path)
 
 
