@@ -15,4 +15,5 @@ def normalize_lines(df: DataFrame, text: Column | str, out: str = "line", pos: s
     A value holding line breaks therefore becomes several lines on the wire.
     """
     exploded = df.select("*", F.posexplode(split_lines(to_col(text))).alias(pos, "_l"))
-    return exploded.withColumn(out, F.concat(F.col("_l"), F.lit(LF))).drop("_l")
+    return exploded.withColumn(pos, F.col(pos).cast("long")).withColumn(
+        out, F.concat(F.col("_l"), F.lit(LF))).drop("_l")

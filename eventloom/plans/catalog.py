@@ -225,7 +225,7 @@ def q_dequote_output(spark, sf):
     raw = _formatted_events(spark, sf)
     tokens = raw.select("event_id", F.posexplode(F.slice(F.split("raw", "[|]"), 2, 1 << 20)).alias("pos", "tok"))
     shown = tokens.select(
-        "event_id", "pos",
+        "event_id", F.col("pos").cast("long").alias("pos"),
         F.substring_index("tok", "=", 1).alias("field"),
         F.expr("substring(tok, instr(tok, '=') + 1)").alias("value"),
     )

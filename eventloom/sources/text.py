@@ -36,10 +36,12 @@ def read_event_file(spark: SparkSession, path: str | list[str], value: str = "ra
 
 
 def lines_from_text(df: DataFrame, text: Column | str, out: str = "line", pos: str = "line_no") -> DataFrame:
-    """One row per line of a multi-line text value, with its zero-based position."""
-    return df.select("*", F.posexplode(split_lines(to_col(text))).alias(pos, out))
+    """One row per line of a multi-line text value, with its zero-based position (bigint)."""
+    exploded = df.select("*", F.posexplode(split_lines(to_col(text))).alias(pos, out))
+    return exploded.withColumn(pos, F.col(pos).cast("long"))
 
 
 def events_from_array(df: DataFrame, arr: Column | str, out: str = "raw", pos: str = "pos") -> DataFrame:
-    """One row per element of an ``array<string>`` of events."""
-    return df.select("*", F.posexplode(to_col(arr)).alias(pos, out))
+    """One row per element of an ``array<string>`` of events, with its position (bigint)."""
+    exploded = df.select("*", F.posexplode(to_col(arr)).alias(pos, out))
+    return exploded.withColumn(pos, F.col(pos).cast("long"))

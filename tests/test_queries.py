@@ -6,6 +6,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from eventloom.sources.tables import TABLES
 from tools.check_oracles import canon
+from tools.check_types import SPARK_TO_DUCK
 
 from conftest import SF_SMOKE
 
@@ -29,6 +30,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(oracle_sql()[name])
     want, want_cols = canon(res.columns, res.fetchall())
     assert got_cols == want_cols
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema}
+    assert spark_types == dict(zip(res.columns, map(str, res.types)))
     assert len(got) == len(want)
     assert got == want
 
