@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.functions.fields import DEFAULT_DELIM, FieldSpec, event_size, event_text
-from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, ship_totals, split_oversize
-from eventloom.sinks.deliver import Sender, deliver_once, md5_sender
+from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, ship_totals
+from eventloom.session import scratch_path
+from eventloom.sinks.deliver import Sender, deliver, md5_sender
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, read_event_file
 
 
@@ -43,8 +45,17 @@ def file_batches(spark: SparkSession, path: str | list[str], block_size: int = B
 
 def ship(payloads: DataFrame, send: Sender = md5_sender, limit: int = MAX_PAYLOAD,
          receipts_path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Deliver accepted payloads once; return (receipts, rejected, totals)."""
-    payloads = payloads.checkpoint(eager=True)  # the same batches for sending and for counting
-    accepted, rejected = split_oversize(payloads, limit)
-    receipts = deliver_once(accepted, send, receipts_path)
-    return receipts, rejected, ship_totals(payloads, limit)
+    """Deliver every payload up to ``limit`` in one job; return (receipts, rejected, totals).
+
+    The job writes one ledger row per batch (below the shared checkpoint folder by
+    default): the receipt of a sent batch, or the text of a rejected one. Receipts,
+    dead letters and totals are read from that ledger, so the batching runs once
+    and later actions never send again.
+    """
+    spark = payloads.sparkSession
+    path = receipts_path or scratch_path(spark, "ledger")
+    deliver(payloads, send, limit=limit).write.mode("overwrite").parquet(path)
+    ledger = spark.read.parquet(path)
+    receipts = ledger.where(~F.col("rejected")).drop("rejected", "dead_letter")
+    rejected = ledger.where(F.col("rejected")).drop("status")
+    return receipts, rejected, ship_totals(ledger, limit)

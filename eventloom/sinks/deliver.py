@@ -42,29 +42,45 @@ def _cap_arrow_batch(spark) -> None:
         spark.conf.set(key, str(ARROW_ROWS_PER_BATCH))
 
 
-def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequence[str] | None = None) -> DataFrame:
-    """Receipts: destination, ``batch_id, n_events, n_bytes, batch_key, status``."""
+def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequence[str] | None = None,
+            limit: int | None = None) -> DataFrame:
+    """Receipts: destination, ``batch_id, n_events, n_bytes, batch_key, status``.
+
+    With ``limit``, a batch larger than ``limit`` is not sent: its row comes back
+    with ``status`` null, ``rejected = true`` and its text in ``dead_letter`` (null
+    for sent batches), so one job yields receipts and dead letters together.
+    """
     dest = present_destination(payloads, destination)
     _cap_arrow_batch(payloads.sparkSession)
     keyed = payloads.select(
         *dest, "batch_id", "n_events", "n_bytes", "payload",
-        F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(d), F.lit("")) for d in dest],
+        F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dest],
                            F.col("batch_id").cast("string"), F.col("payload")), 256).alias("batch_key"),
     ).sortWithinPartitions(*dest, "batch_id")
 
+    cols = [*dest, "batch_id", "n_events", "n_bytes", "batch_key", "status"]
+    extra = ["rejected", "dead_letter"] if limit is not None else []
+    types = {f.name: f.dataType.simpleString() for f in payloads.schema}
     out_schema = ", ".join(
-        [f"`{d}` string" for d in dest]
+        [f"`{d}` {types[d]}" for d in dest]
         + ["batch_id bigint", "n_events bigint", "n_bytes bigint", "batch_key string", "status string"]
+        + (["rejected boolean", "dead_letter string"] if extra else [])
     )
 
     def run(frames):
         for pdf in frames:
+            texts, sizes = pdf["payload"].tolist(), pdf["n_bytes"].tolist()
+            big = [limit is not None and n > limit for n in sizes]
             statuses = [
-                send(p, {d: pdf[d].iat[i] for d in dest}) for i, p in enumerate(pdf["payload"].tolist())
+                None if big[i] else send(t, {d: pdf[d].iat[i] for d in dest}) for i, t in enumerate(texts)
             ]
             res = pdf.drop(columns=["payload"])
             res["status"] = pd.Series(statuses, index=pdf.index, dtype="object")
-            yield res[[*dest, "batch_id", "n_events", "n_bytes", "batch_key", "status"]]
+            if extra:
+                res["rejected"] = pd.Series(big, index=pdf.index, dtype="bool")
+                res["dead_letter"] = pd.Series([t if b else None for t, b in zip(texts, big)], index=pdf.index,
+                                               dtype="object")
+            yield res[cols + extra]
 
     return keyed.mapInPandas(run, out_schema)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, split_oversize
+from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
 
 
@@ -47,21 +47,20 @@ def start_delivery(
 ) -> StreamingQuery:
     """Start the stream. ``events`` must already hold ``raw`` (see ``format_events``).
 
-    Writes ``receipts/stream_batch_id=N`` (and ``payloads/...`` when
-    ``keep_payloads``) and ``rejected/...`` below ``out_path``.
+    Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
+    ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
+    :func:`read_stream_receipts`), plus ``payloads/...`` when ``keep_payloads``.
     """
     order = list(order)
 
     def run(batch_df: DataFrame, epoch_id: int) -> None:
         payloads = batch_events(batch_df, order, block_size, destination=destination)
-        payloads = payloads.checkpoint(eager=True)  # send and record the same batches
-        accepted, rejected = split_oversize(payloads, limit)
-        tag = F.lit(epoch_id).cast("long").alias("stream_batch_id")
-        receipts = deliver(accepted, send, destination).select(tag, "*")
-        receipts.write.mode("overwrite").parquet(f"{out_path}/receipts/stream_batch_id={epoch_id}")
-        rejected.drop("payload").write.mode("overwrite").parquet(f"{out_path}/rejected/stream_batch_id={epoch_id}")
         if keep_payloads:
+            payloads = payloads.checkpoint(eager=True)  # the same batches for both outputs
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")
+        tag = F.lit(epoch_id).cast("long").alias("stream_batch_id")
+        ledger = deliver(payloads, send, destination, limit=limit).select(tag, "*")
+        ledger.write.mode("overwrite").parquet(f"{out_path}/ledger/stream_batch_id={epoch_id}")
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if processing_time:
@@ -69,3 +68,11 @@ def start_delivery(
     elif available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def read_stream_receipts(spark: SparkSession, out_path: str, rejected: bool = False) -> DataFrame:
+    """Receipts of sent batches (or, with ``rejected=True``, the dead letters)."""
+    ledger = spark.read.parquet(f"{out_path}/ledger")
+    if rejected:
+        return ledger.where(F.col("rejected")).drop("status")
+    return ledger.where(~F.col("rejected")).drop("rejected", "dead_letter")

@@ -91,3 +91,20 @@ def test_delivery_runs_without_package_on_worker_path(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
                          timeout=300)
     assert "RECEIPTS" in out.stdout, out.stderr[-2000:]
+
+
+def test_oversize_batches_are_not_sent_and_kept_as_dead_letters(spark):
+    p = _payloads(spark)
+
+    def send(payload, dest):
+        assert len(payload.encode()) <= 300, "an oversize batch was sent"
+        return "sent"
+
+    ledger = deliver(p, send, limit=300).collect()
+    want = {(r.sourcetype, r.batch_id): r.payload for r in p.collect()}
+    for r in ledger:
+        if r.rejected:
+            assert r.status is None and r.dead_letter == want[(r.sourcetype, r.batch_id)] and r.n_bytes > 300
+        else:
+            assert r.status == "sent" and r.dead_letter is None
+    assert any(r.rejected for r in ledger) and any(not r.rejected for r in ledger)

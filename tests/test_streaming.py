@@ -2,7 +2,7 @@ import shutil
 
 from eventloom.operators.format import format_events
 from eventloom.sources.tables import read_table
-from eventloom.streaming.delivery import read_event_stream, start_delivery
+from eventloom.streaming.delivery import read_event_stream, read_stream_receipts, start_delivery
 
 from conftest import SF_SMOKE
 
@@ -18,7 +18,8 @@ def test_stream_delivery_available_now_and_restart(spark, tmp_path):
         stream = format_events(read_event_stream(spark, str(src), schema), ["event_id", "event_type"], "ts")
         q = start_delivery(stream, ["event_id"], out, ckpt, block_size=4096, keep_payloads=True)
         q.awaitTermination()
-        return spark.read.parquet(f"{out}/receipts")
+        assert read_stream_receipts(spark, out, rejected=True).count() == 0
+        return read_stream_receipts(spark, out)
 
     n = read_table(spark, SF_SMOKE, "events").count()
     first = run()
