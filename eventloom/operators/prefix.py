@@ -6,9 +6,9 @@ all rows, that task holds a third of the data. Instead:
 
 1. cut the order into *segments*: stored, order-preserving values. Either
    explicit columns such as ``(file_path, file_block_start)``, or quantile
-   buckets of the first order column (``percentile_approx``, then a JVM-side
-   binary search), so segments hold about the same number of rows even when
-   keys are clustered. Only *hot* partitions are cut: those with more than
+   buckets of the first order column (``approxQuantile`` on a sample of about
+   200 rows per segment, then a JVM-side binary search), so segments hold about
+   the same number of rows even when keys are clustered. Only *hot* partitions are cut: those with more than
    ``split_rows`` rows (at most ``max_hot`` of them, largest first). A partition
    below that is one segment with base 0, handled whole by one window task;
 2. sum each hot (partition, segment) and run a small window over those totals to
@@ -30,7 +30,15 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    LongType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from eventloom.session import checkpoint_root
 
@@ -66,13 +74,26 @@ def key_number(df: DataFrame, key: str) -> Column | None:
     return None
 
 
-def _splits(df: DataFrame, key: str, n: int) -> list[float]:
-    """At most ``n - 1`` quantile boundaries of ``key`` (one key-only aggregation)."""
+# Rows sampled per segment to place the quantile boundaries.
+SAMPLE_ROWS_PER_SEGMENT = 200
+
+
+def _splits(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> list[float]:
+    """At most ``n - 1`` quantile boundaries of ``key``.
+
+    Computed on a fixed-seed sample of about ``200 n`` rows with
+    ``approxQuantile`` (a tree aggregation), so the sketches merged grow with
+    the number of segments, not with the data. The boundaries only balance the
+    segments; exactness of the sums does not depend on them.
+    """
     probs = [i / n for i in range(1, n)]
-    accuracy = max(10_000, min(20 * n, 1_000_000))  # bounds the per-task sketch size
-    row = df.select(F.percentile_approx(key_number(df, key), probs, accuracy).alias("q")).first()
-    bounds = sorted({float(b) for b in (row["q"] or []) if b is not None and not math.isnan(b)})
-    return [-math.inf, *bounds, math.inf]
+    keyed = df.select(key_number(df, key).alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k"))
+    if total_rows:
+        frac = SAMPLE_ROWS_PER_SEGMENT * n / total_rows
+        if frac < 1.0:
+            keyed = keyed.sample(withReplacement=False, fraction=frac, seed=17)
+    bounds = keyed.approxQuantile("_k", probs, 1.0 / (4 * n))
+    return [-math.inf, *sorted({float(b) for b in bounds if b is not None and not math.isnan(b)}), math.inf]
 
 
 def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFrame:
@@ -84,21 +105,23 @@ def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFr
 
 def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, out: str = SEG) -> DataFrame:
     """Add ``out``: an order-preserving bucket of ``key`` with about equal row counts."""
-    return _bucketize(df, key, _splits(df, key, n_segments or default_segments(df)), out)
+    n = n_segments or default_segments(df)
+    return _bucketize(df, key, _splits(df, key, n, df.count()), out)
 
 
 def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
                    max_hot: int = MAX_HOT) -> DataFrame | None:
     """The partitions with more than ``split_rows`` rows (largest ``max_hot``), as a
-    small DataFrame of their keys plus ``_hot = true``; ``None`` when there are none."""
+    small DataFrame of their keys, their row count ``_n`` and ``_hot = true``;
+    ``None`` when there are none."""
     spark = df.sparkSession
     counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.where(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(max_hot).collect()
     if not top:
         return None
-    schema = df.select(*partition_by).schema
-    return spark.createDataFrame([tuple(r[c] for c in partition_by) for r in top], schema).withColumn(
-        HOT, F.lit(True))
+    schema = StructType([*df.select(*partition_by).schema.fields, StructField("_n", LongType(), False)])
+    rows = [(*(r[c] for c in partition_by), int(r["_n"])) for r in top]
+    return spark.createDataFrame(rows, schema).withColumn(HOT, F.lit(True))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int,
@@ -128,16 +151,17 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
     if key_number(df, key) is None:  # e.g. a string key: one segment per partition
         return df.withColumn(SEG, F.lit(0)), "none"
     if not partition_by:
-        row = df.agg(F.count(F.lit(1)).alias("n")).first()
-        if row["n"] <= split_rows:
+        total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        if total <= split_rows:
             return df.withColumn(SEG, F.lit(0)), "none"
-        return _bucketize(df, key, _splits(df, key, n), SEG), "all"
+        return _bucketize(df, key, _splits(df, key, n, total), SEG), "all"
     hot = hot_partitions(df, partition_by, split_rows, max_hot)
     if hot is None:
         return df.withColumn(SEG, F.lit(0)), "none"
-    flagged = _null_safe_join(df, hot, list(partition_by), "left", broadcast_rows, n_rows=0)
+    hot_rows = int(hot.agg(F.sum("_n")).first()[0])
+    flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows, n_rows=0)
     flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    splits = _splits(flagged.where(F.col(HOT)), key, n)
+    splits = _splits(flagged.where(F.col(HOT)), key, n, hot_rows)
     bucketed = _bucketize(flagged, key, splits, SEG)
     return bucketed.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(F.lit(0))), "hot"
 
