@@ -16,6 +16,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 import re
+from zoneinfo import ZoneInfo
 
 # The default search window (start of yesterday to start of today)
 # and the relative-time unit names.
@@ -75,21 +76,32 @@ def _snap(t: dt.datetime, unit: str) -> dt.datetime:
     return t.replace(month=1, day=1, hour=0, minute=0, second=0, microsecond=0)
 
 
-def resolve_time(spec: str | dt.datetime | None, now: dt.datetime | str) -> dt.datetime | None:
-    """Resolve one time modifier to a naive wall-clock datetime (session zone)."""
+def _wall(t: dt.datetime, zone: str) -> dt.datetime:
+    """Naive wall-clock time in ``zone``; naive input is taken as already there."""
+    return t.astimezone(ZoneInfo(zone)).replace(tzinfo=None) if t.tzinfo else t
+
+
+def now_in(zone: str = "UTC") -> dt.datetime:
+    """The current wall-clock time in ``zone`` (naive)."""
+    return dt.datetime.now(ZoneInfo(zone)).replace(tzinfo=None)
+
+
+def resolve_time(spec: str | dt.datetime | None, now: dt.datetime | str, zone: str = "UTC") -> dt.datetime | None:
+    """Resolve one time modifier to a naive wall-clock datetime in ``zone`` (the
+    session time zone). Naive inputs are wall-clock times in that zone; times with
+    an offset and epoch seconds are converted to it."""
     if spec is None:
         return None
     if isinstance(spec, dt.datetime):
-        return spec.replace(tzinfo=None)
+        return _wall(spec, zone)
     s = str(spec).strip()
     if not s:
         return None
-    now_t = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
-    now_t = now_t.replace(tzinfo=None)
+    now_t = _wall(dt.datetime.fromisoformat(now) if isinstance(now, str) else now, zone)
     if s.lower() == "now":
         return now_t
     if re.fullmatch(r"\d{9,11}(\.\d+)?", s):
-        return dt.datetime.fromtimestamp(float(s), dt.timezone.utc).replace(tzinfo=None)
+        return _wall(dt.datetime.fromtimestamp(float(s), dt.timezone.utc), zone)
     m = _RELATIVE.match(s.lower())
     if m and (m.group("unit") or m.group("snap")):
         t = now_t
@@ -106,6 +118,6 @@ def resolve_time(spec: str | dt.datetime | None, now: dt.datetime | str) -> dt.d
             t = _snap(t, unit)
         return t
     try:
-        return dt.datetime.fromisoformat(s).replace(tzinfo=None)
+        return _wall(dt.datetime.fromisoformat(s), zone)
     except ValueError:
         raise ValueError(f"cannot read time modifier {spec!r}") from None

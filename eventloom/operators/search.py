@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType
 
 from eventloom.functions.lines import dequote
-from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST, resolve_time
+from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST, now_in, resolve_time
 
 
 def _time_literal(df: DataFrame, time_col: str, t: dt.datetime) -> Column:
@@ -38,10 +38,16 @@ def time_bounds(
     earliest: str | dt.datetime | None = DEFAULT_EARLIEST,
     latest: str | dt.datetime | None = DEFAULT_LATEST,
     now: dt.datetime | str | None = None,
+    zone: str = "UTC",
 ) -> tuple[dt.datetime | None, dt.datetime | None]:
-    """Resolve both modifiers against one ``now`` (driver's current time if not given)."""
-    now_t = now if now is not None else dt.datetime.now()
-    return resolve_time(earliest, now_t), resolve_time(latest, now_t)
+    """Resolve both modifiers against one ``now`` (the current time if not given),
+    as wall-clock times in ``zone``."""
+    now_t = now if now is not None else now_in(zone)
+    return resolve_time(earliest, now_t, zone), resolve_time(latest, now_t, zone)
+
+
+def session_zone(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
 
 
 def time_range(
@@ -51,8 +57,9 @@ def time_range(
     now: dt.datetime | str | None = None,
     time_col: str = "ts",
 ) -> DataFrame:
-    """Rows with ``earliest <= time_col < latest``; a ``None``/blank bound is open."""
-    lo, hi = time_bounds(earliest, latest, now)
+    """Rows with ``earliest <= time_col < latest``; a ``None``/blank bound is open.
+    Bounds are wall-clock times in the session time zone."""
+    lo, hi = time_bounds(earliest, latest, now, session_zone(df))
     out = df
     if lo is not None:
         out = out.where(F.col(time_col) >= _time_literal(df, time_col, lo))

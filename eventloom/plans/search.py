@@ -9,7 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
-from eventloom.operators.search import page, search, search_stats
+from eventloom.functions.timerange import now_in
+from eventloom.operators.search import page, search, search_stats, session_zone
 from eventloom.sinks.export import export_results
 
 
@@ -36,7 +37,7 @@ def run_search(
 ) -> SearchResult:
     """Counters first (one aggregation job); with zero results nothing is opened or
     written. Otherwise the page is exported in ``mode``."""
-    now = now if now is not None else dt.datetime.now()
+    now = now if now is not None else now_in(session_zone(df))
     stats = search_stats(df, predicate, earliest, latest, now, time_col, offset, count).first()
     if stats["result_count"] == 0:
         return SearchResult(stats["scan_count"], stats["event_count"], 0, None)

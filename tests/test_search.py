@@ -33,6 +33,14 @@ def test_resolve_time(spec, want):
     assert resolve_time(spec, NOW) == want
 
 
+def test_zones_and_offsets():
+    assert resolve_time("2024-01-10T05:00:00+02:00", NOW) == dt.datetime(2024, 1, 10, 3)
+    assert resolve_time("2024-01-10T05:00:00+02:00", NOW, "America/New_York") == dt.datetime(2024, 1, 9, 22)
+    assert resolve_time("1705312800", NOW, "Asia/Tokyo") == dt.datetime(2024, 1, 15, 19)
+    aware_now = dt.datetime(2024, 1, 16, 1, 0, tzinfo=dt.timezone.utc)
+    assert resolve_time("@d", aware_now, "America/Los_Angeles") == dt.datetime(2024, 1, 15)
+
+
 def test_bad_time_modifier():
     with pytest.raises(ValueError):
         resolve_time("-1fortnight", NOW)
