@@ -31,10 +31,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     DateType,
     LongType,
     NumericType,
     StructField,
+    StringType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -46,8 +48,10 @@ SEG = "_seg"
 HOT = "_hot"
 PKEY = "_pkey"  # hash of (partition, segment): the one exchange the window and later groupings reuse
 
-# Largest segment-offset table that is broadcast; above it the join shuffles.
+# Largest small-side table that is broadcast (rows and measured bytes); above
+# either bound the join shuffles.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # A partition with more rows than this is cut into segments.
 DEFAULT_SPLIT_ROWS = 1_000_000
 # At most this many hot partitions are cut (largest first); the list goes to the driver.
@@ -124,12 +128,50 @@ def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int =
     return spark.createDataFrame(rows, schema).withColumn(HOT, F.lit(True))
 
 
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+
+
+def _width_parts(col: Column, kind) -> tuple[list[Column], int]:
+    """Variable-size parts to measure, and the fixed bytes, of one column."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return [F.octet_length(col)], 0
+    if isinstance(kind, StructType):
+        cols, fixed = [], 0
+        for f in kind.fields:
+            c, w = _width_parts(col[f.name], f.dataType)
+            cols, fixed = cols + c, fixed + w
+        return cols, fixed
+    name = kind.simpleString()
+    return [], 16 if name.startswith("decimal") else _FIXED_WIDTH.get(name, 8)
+
+
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a small table: one aggregation that measures strings and
+    binaries exactly (inside structs too) and counts other values at fixed width."""
+    measured, fixed = [], 0
+    for f in df.schema.fields:
+        c, w = _width_parts(F.col(f.name), f.dataType)
+        measured, fixed = measured + c, fixed + w
+    sums = [F.coalesce(F.sum(m), F.lit(0)).alias(f"w{i}") for i, m in enumerate(measured)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    n = int(row["n"])
+    return n, n * fixed + sum(int(row[f"w{i}"]) for i in range(len(measured)))
+
+
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int,
-                    n_rows: int | None = None) -> DataFrame:
+                    n_rows: int | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Join on ``keys`` (nulls match nulls). ``small`` is broadcast only when its
+    measured size is within ``broadcast_rows`` and ``broadcast_bytes`` (callers
+    pass ``n_rows=0`` for tables bounded by construction); otherwise the join
+    shuffles both sides on the keys."""
     renamed = small.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
-    n = renamed.count() if n_rows is None else n_rows
-    side = F.broadcast(renamed) if n <= broadcast_rows else renamed
+    if n_rows is None:
+        n, size = table_size(renamed)  # cheap: the table is checkpointed
+        fits = n <= broadcast_rows and size <= broadcast_bytes
+    else:
+        fits = n_rows <= broadcast_rows
+    side = F.broadcast(renamed) if fits else renamed
     cond = [big[k].eqNullSafe(side[f"__r_{k}"]) for k in keys]
     return big.join(side, cond, how).drop(*[f"__r_{k}" for k in keys])
 

@@ -109,3 +109,16 @@ def test_oversize_and_totals(spark):
     assert [(r.batch_id, r.n_bytes) for r in ok.collect()] == [(3, 4)]
     t = ship_totals(payloads, 10).first()
     assert (t.read_bytes, t.sent_bytes, t.calls, t.rejected, t.n_events) == (27, 4, 1, 1, 3)
+
+
+def test_broadcast_only_within_measured_bytes(spark):
+    from eventloom.operators.prefix import _null_safe_join, table_size
+
+    small = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2), (None, 3)], "k string, v long")
+    assert table_size(small) == (3, 150 + 3 * 8)
+    big = spark.createDataFrame([("x" * 100,), (None,)], "k string")
+    for limit, broadcast in ((10_000, True), (100, False)):
+        joined = _null_safe_join(big, small, ["k"], "inner", 1_000_000, broadcast_bytes=limit)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastExchange" in plan) == broadcast
+        assert sorted(r.v for r in joined.collect()) == [1, 3]
