@@ -22,7 +22,6 @@ from pyspark.sql import SparkSession
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD
 from eventloom.operators.format import with_destination
-from eventloom.operators.search import dequote_columns
 from eventloom.plans.search import run_search
 from eventloom.plans.ship import ship
 from eventloom.operators.batching import batch_events
@@ -67,10 +66,8 @@ def cmd_search(spark: SparkSession, a: argparse.Namespace) -> dict:
     if not predicate:
         raise SystemExit("a search expression or --searchfile is required")
     df = spark.read.format(a.table_format).load(a.table)
-    if a.dequote:
-        df = dequote_columns(df)
     res = run_search(df, predicate, a.outfile, a.omode, a.earliest or None, a.latest or None, a.now,
-                     a.time_col, a.order_by.split(",") if a.order_by else None, a.offset, a.count)
+                     a.time_col, a.order_by.split(",") if a.order_by else None, a.offset, a.count, a.dequote)
     return {"scan_count": res.scan_count, "event_count": res.event_count, "result_count": res.result_count,
             "output": res.path}
 

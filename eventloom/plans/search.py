@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.functions.timerange import now_in
-from eventloom.operators.search import page, search, search_stats, session_zone
+from eventloom.operators.search import dequote_columns, page, search, search_stats, session_zone
 from eventloom.sinks.export import export_results
 
 
@@ -34,9 +34,11 @@ def run_search(
     order_by: Sequence[str] | None = None,
     offset: int = 0,
     count: int = 0,
+    dequote: bool = False,
 ) -> SearchResult:
     """Counters first (one aggregation job); with zero results nothing is opened or
-    written. Otherwise the page is exported in ``mode``."""
+    written. Otherwise the page is exported in ``mode``; ``dequote`` removes
+    surrounding double quotes from the exported string fields."""
     now = now if now is not None else now_in(session_zone(df))
     stats = search_stats(df, predicate, earliest, latest, now, time_col, offset, count).first()
     if stats["result_count"] == 0:
@@ -44,5 +46,7 @@ def run_search(
     hits = search(df, predicate, earliest, latest, now, time_col)
     if offset or count:
         hits = page(hits, order_by or [time_col], offset, count)
+    if dequote:
+        hits = dequote_columns(hits)
     path = export_results(hits, out_path, mode, check_empty=False)
     return SearchResult(stats["scan_count"], stats["event_count"], stats["result_count"], path)

@@ -23,3 +23,13 @@ def test_cli_search_with_search_file_and_empty_result(spark, tmp_path):
     none = main(["search", "event_type = 'nope'", "--table", f"{SF_SMALL}/events.parquet", "--earliest", "",
                  "--latest", "", "--outfile", str(tmp_path / "none")], spark)
     assert none["result_count"] == 0 and none["output"] is None and not (tmp_path / "none").exists()
+
+
+def test_cli_dequote_applies_to_output(spark, tmp_path):
+    src = tmp_path / "t.parquet"
+    spark.createDataFrame([(1, '"x"', __import__("datetime").datetime(2024, 1, 15, 1))],
+                          "id long, s string, ts timestamp_ntz").write.parquet(str(src))
+    out = main(["search", "s = '\"x\"'", "--table", str(src), "--earliest", "", "--latest", "", "--omode", "json",
+                "--outfile", str(tmp_path / "o"), "--dequote"], spark)
+    assert out["result_count"] == 1
+    assert spark.read.json(out["output"]).first().s == "x"
