@@ -96,8 +96,9 @@ def _splits(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> l
         frac = SAMPLE_ROWS_PER_SEGMENT * n / total_rows
         if frac < 1.0:
             keyed = keyed.sample(withReplacement=False, fraction=frac, seed=17)
-    bounds = keyed.approxQuantile("_k", probs, 1.0 / (4 * n))
-    return [-math.inf, *sorted({float(b) for b in bounds if b is not None and not math.isnan(b)}), math.inf]
+    bounds = sorted({float(b) for b in keyed.approxQuantile("_k", probs, 1.0 / (4 * n))
+                     if b is not None and not math.isnan(b)})
+    return [-math.inf, *(bounds or [0.0]), math.inf]  # at least one boundary (no keys: any will do)
 
 
 def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFrame:

@@ -122,3 +122,10 @@ def test_broadcast_only_within_measured_bytes(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert ("BroadcastExchange" in plan) == broadcast
         assert sorted(r.v for r in joined.collect()) == [1, 3]
+
+
+def test_segments_with_constant_or_null_keys(spark):
+    from eventloom.operators.prefix import running_sum
+    df = spark.createDataFrame([(i, 7 if i % 2 else None, "a") for i in range(300)], "i long, k long, raw string")
+    out = running_sum(df, F.lit(1), ["k", "i"], split_rows=10, out="c")
+    assert sorted(r.c for r in out.collect()) == list(range(1, 301))
