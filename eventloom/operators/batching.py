@@ -88,22 +88,18 @@ def build_payloads(
     Group sizes are bounded by the block size plus the longest event.
     """
     dest = present_destination(assigned, destination)
-    line = F.struct(*[F.col(o) for o in order], F.concat(_raw_col(raw), F.lit(LF)).alias("_line"))
     seg_keys = [PKEY, *dest, SEG] if PKEY in assigned.columns else [*dest, SEG]
-    pieces = assigned.groupBy(*seg_keys, "batch_id").agg(
-        F.sort_array(F.collect_list(line)).alias("_lines"),
+    by_order = ", ".join(f"`{c}`" for c in order)
+    lines = assigned.withColumn("_line", F.concat(_raw_col(raw), F.lit(LF)))
+    pieces = lines.groupBy(*seg_keys, "batch_id").agg(
+        F.expr(f"listagg(_line, '') WITHIN GROUP (ORDER BY {by_order})").alias("_piece"),
         F.count(F.lit(1)).alias("_n"),
         F.sum("_size").alias("_b"),
-    ).select(
-        *dest, SEG, "batch_id", "_n", "_b",
-        F.array_join(F.transform("_lines", lambda x: x["_line"]), "").alias("_piece"),
     )
     return pieces.groupBy(*dest, "batch_id").agg(
         F.sum("_n").cast("long").alias("n_events"),
         F.sum("_b").cast("long").alias("n_bytes"),
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct(SEG, "_piece"))), lambda x: x["_piece"]), ""
-        ).alias("payload"),
+        F.expr(f"listagg(_piece, '') WITHIN GROUP (ORDER BY {SEG})").alias("payload"),
     )
 
 
