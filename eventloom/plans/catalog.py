@@ -260,7 +260,8 @@ def q_stream_delivery(spark, sf):
     ev = _events(spark, sf)
     stream = read_event_stream(spark, sf, ev.schema, glob="events.parquet")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = start_delivery(format_events(stream, EVENT_FIELDS, "ts"), ["event_id"], out, ckpt, keep_payloads=True)
+    q = start_delivery(stream, ["event_id"], out, ckpt, keep_payloads=True,
+                       raw=event_text(EVENT_FIELDS, "ts"), size=event_size(EVENT_FIELDS, "ts"))
     q.awaitTermination()
     payloads = spark.read.parquet(f"{out}/payloads")
     lines = payloads.select(F.explode(F.split(F.regexp_replace("payload", "\n\\z", ""), "\n")).alias("raw"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -44,8 +44,13 @@ def start_delivery(
     keep_payloads: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
+    raw: Column | str = "raw",
+    size: Column | None = None,
 ) -> StreamingQuery:
-    """Start the stream. ``events`` must already hold ``raw`` (see ``format_events``).
+    """Start the stream. ``raw`` is the event text: a column of ``events`` (see
+    ``format_events``) or an expression over its columns (see ``event_text``,
+    with ``size`` from ``event_size``), which is then built only after the
+    batching shuffle, as in :func:`eventloom.plans.ship.table_batches`.
 
     Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
     ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
@@ -54,7 +59,7 @@ def start_delivery(
     order = list(order)
 
     def run(batch_df: DataFrame, epoch_id: int) -> None:
-        payloads = batch_events(batch_df, order, block_size, destination=destination)
+        payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size)
         if keep_payloads:
             payloads = payloads.checkpoint(eager=True)  # the same batches for both outputs
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")
