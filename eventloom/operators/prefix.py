@@ -82,23 +82,28 @@ def key_number(df: DataFrame, key: str) -> Column | None:
 SAMPLE_ROWS_PER_SEGMENT = 200
 
 
-def _splits(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> list[float]:
-    """At most ``n - 1`` quantile boundaries of ``key``.
-
-    Computed on a fixed-seed sample of about ``200 n`` rows with
-    ``approxQuantile`` (a tree aggregation), so the sketches merged grow with
-    the number of segments, not with the data. The boundaries only balance the
-    segments; exactness of the sums does not depend on them.
-    """
+def _quantiles(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> list[float]:
+    """``n - 1`` quantiles of ``key`` (repeats kept), on a fixed-seed sample of about
+    ``200 n`` rows with ``approxQuantile`` (a tree aggregation), so the sketches
+    merged grow with the number of segments, not with the data."""
     probs = [i / n for i in range(1, n)]
     keyed = df.select(key_number(df, key).alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k"))
     if total_rows:
         frac = SAMPLE_ROWS_PER_SEGMENT * n / total_rows
         if frac < 1.0:
             keyed = keyed.sample(withReplacement=False, fraction=frac, seed=17)
-    bounds = sorted({float(b) for b in keyed.approxQuantile("_k", probs, 1.0 / (4 * n))
-                     if b is not None and not math.isnan(b)})
-    return [-math.inf, *(bounds or [0.0]), math.inf]  # at least one boundary (no keys: any will do)
+    return [float(b) for b in keyed.approxQuantile("_k", probs, 1.0 / (4 * n)) if b is not None and not math.isnan(b)]
+
+
+def _to_splits(quantiles: list[float]) -> list[float]:
+    # at least one boundary (no keys: any will do)
+    return [-math.inf, *(sorted(set(quantiles)) or [0.0]), math.inf]
+
+
+def _splits(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> list[float]:
+    """At most ``n - 1`` quantile boundaries of ``key``. They only balance the
+    segments; exactness of the sums does not depend on them."""
+    return _to_splits(_quantiles(df, key, n, total_rows))
 
 
 def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFrame:
@@ -177,6 +182,55 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how:
     return big.join(side, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+# At most this many heavy leading-key values are cut again by the next order column.
+MAX_HEAVY_VALUES = 32
+_AFTER = 1 << 30  # sub-segment of rows after a heavy value inside its bucket
+
+
+def _segment(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None) -> DataFrame:
+    """``_seg`` for the rows selected by ``where`` (all rows when ``None``).
+
+    Buckets of ``order[0]``. A value of ``order[0]`` that fills two or more
+    quantile slots (one key value holding a large share of the rows) is cut
+    again by quantiles of ``order[1]``: its rows get ``(bucket, 1 + sub-bucket)``,
+    other rows ``(bucket, after)``. Both orders agree with ``order``.
+    """
+    key = order[0]
+    sampled = df if where is None else df.where(where)
+    q = _quantiles(sampled, key, n, rows)
+    out = _bucketize(df, key, _to_splits(q), SEG)
+    counts: dict[float, int] = {}
+    for v in q:
+        counts[v] = counts.get(v, 0) + 1
+    heavy = sorted((v for v, c in counts.items() if c >= 2), key=lambda v: -counts[v])[:MAX_HEAVY_VALUES]
+    if len(order) < 2 or not heavy or key_number(df, order[1]) is None:
+        return out
+    k1, k2 = key_number(df, key), key_number(df, order[1])
+    # one aggregation: quantiles of the next column for each heavy value, on a sample
+    part = sampled.where(k1.isin(heavy))
+    if rows:
+        heavy_rows = rows * sum(counts[v] for v in heavy) / len(q)
+        frac = SAMPLE_ROWS_PER_SEGMENT * n / max(heavy_rows, 1.0)
+        if frac < 1.0:
+            part = part.sample(withReplacement=False, fraction=frac, seed=19)
+    probs = [i / n for i in range(1, n)]
+    got = part.groupBy(k1.alias("_v")).agg(
+        F.percentile_approx(k2, probs, max(10_000, min(20 * n, 1_000_000))).alias("_q")).collect()
+    per_value = {float(r["_v"]): _to_splits([float(x) for x in (r["_q"] or []) if x is not None]) for r in got}
+    heavy = [v for v in heavy if v in per_value]
+    if not heavy:
+        return out
+    names = [f"_sub{i}" for i in range(len(heavy))]
+    staged = out.select("*", *[F.when(k1 == F.lit(v), k2).otherwise(F.lit(float("nan"))).alias(f"{c}_in")
+                               for c, v in zip(names, heavy)])
+    staged = Bucketizer(splitsArray=[per_value[v] for v in heavy], inputCols=[f"{c}_in" for c in names],
+                        outputCols=names, handleInvalid="keep").transform(staged)
+    sub = F.coalesce(*[F.when(k1 == F.lit(v), F.col(c).cast("int") + 1) for c, v in zip(names, heavy)],
+                     F.lit(_AFTER))
+    return staged.withColumn(SEG, F.struct(F.col(SEG).alias("b"), sub.alias("s"))).drop(
+        *names, *[f"{c}_in" for c in names])
+
+
 def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (),
                  segment: Sequence[str] | None = None, n_segments: int | None = None,
                  split_rows: int = DEFAULT_SPLIT_ROWS, max_hot: int = MAX_HOT,
@@ -197,16 +251,17 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
         total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
         if total <= split_rows:
             return df.withColumn(SEG, F.lit(0)), "none"
-        return _bucketize(df, key, _splits(df, key, n, total), SEG), "all"
+        return _segment(df, order, n, total, None), "all"
     hot = hot_partitions(df, partition_by, split_rows, max_hot)
     if hot is None:
         return df.withColumn(SEG, F.lit(0)), "none"
     hot_rows = int(hot.agg(F.sum("_n")).first()[0])
     flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows, n_rows=0)
     flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    splits = _splits(flagged.where(F.col(HOT)), key, n, hot_rows)
-    bucketed = _bucketize(flagged, key, splits, SEG)
-    return bucketed.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(F.lit(0))), "hot"
+    segmented = _segment(flagged, order, n, hot_rows, F.col(HOT))
+    zero = F.lit(0) if segmented.schema[SEG].dataType.simpleString() == "int" else F.struct(
+        F.lit(0).alias("b"), F.lit(0).alias("s"))
+    return segmented.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(zero)), "hot"
 
 
 def running_sums(

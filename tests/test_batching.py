@@ -129,3 +129,23 @@ def test_segments_with_constant_or_null_keys(spark):
     df = spark.createDataFrame([(i, 7 if i % 2 else None, "a") for i in range(300)], "i long, k long, raw string")
     out = running_sum(df, F.lit(1), ["k", "i"], split_rows=10, out="c")
     assert sorted(r.c for r in out.collect()) == list(range(1, 301))
+
+
+def test_heavy_leading_order_value_is_cut_by_next_column(spark):
+    """One value of the first order column holds a third of the rows."""
+    from pyspark.sql import Window
+
+    from eventloom.operators.prefix import running_sum
+    rows = [(7 if i % 3 == 0 else i, i, "x" * (i % 5)) for i in range(6000)]
+    for dest in (None, "d"):
+        df = spark.createDataFrame([(g, i, r, dest) for g, i, r in rows],
+                                   "g long, i long, raw string, sourcetype string")
+        part = ["sourcetype"] if dest else []
+        out = running_sum(df, F.length("raw") + 1, ["g", "i"], partition_by=part, n_segments=20,
+                          split_rows=100, out="c")
+        w = Window.partitionBy(*part).orderBy("g", "i").rowsBetween(Window.unboundedPreceding, 0)
+        want = {r.i: r.c for r in df.select("i", F.sum(F.length("raw") + 1).over(w).alias("c")).collect()}
+        got = out.select("i", "c", "_seg", "g").collect()
+        assert {r.i: r.c for r in got} == want
+        heavy_segments = {r._seg for r in got if r.g == 7}
+        assert len(heavy_segments) >= 4, heavy_segments
