@@ -120,10 +120,10 @@ def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, ou
 
 
 def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
-                   max_hot: int = MAX_HOT) -> DataFrame | None:
+                   max_hot: int = MAX_HOT) -> tuple[DataFrame, int] | None:
     """The partitions with more than ``split_rows`` rows (largest ``max_hot``), as a
-    small DataFrame of their keys, their row count ``_n`` and ``_hot = true``;
-    ``None`` when there are none."""
+    small DataFrame of their keys, their row count ``_n`` and ``_hot = true``, with
+    the total rows they hold; ``None`` when there are none."""
     spark = df.sparkSession
     counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.where(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(max_hot).collect()
@@ -131,7 +131,7 @@ def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int =
         return None
     schema = StructType([*df.select(*partition_by).schema.fields, StructField("_n", LongType(), False)])
     rows = [(*(r[c] for c in partition_by), int(r["_n"])) for r in top]
-    return spark.createDataFrame(rows, schema).withColumn(HOT, F.lit(True))
+    return spark.createDataFrame(rows, schema).withColumn(HOT, F.lit(True)), sum(r[-1] for r in rows)
 
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
@@ -252,10 +252,10 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
         if total <= split_rows:
             return df.withColumn(SEG, F.lit(0)), "none"
         return _segment(df, order, n, total, None), "all"
-    hot = hot_partitions(df, partition_by, split_rows, max_hot)
-    if hot is None:
+    found = hot_partitions(df, partition_by, split_rows, max_hot)
+    if found is None:
         return df.withColumn(SEG, F.lit(0)), "none"
-    hot_rows = int(hot.agg(F.sum("_n")).first()[0])
+    hot, hot_rows = found
     flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows, n_rows=0)
     flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
     segmented = _segment(flagged, order, n, hot_rows, F.col(HOT))
