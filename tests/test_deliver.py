@@ -108,3 +108,37 @@ def test_oversize_batches_are_not_sent_and_kept_as_dead_letters(spark):
         else:
             assert r.status == "sent" and r.dead_letter is None
     assert any(r.rejected for r in ledger) and any(not r.rejected for r in ledger)
+
+
+def test_ship_survives_failed_tasks(tmp_path):
+    """Every first task attempt fails (as on a lost executor); retries finish the
+    job and the ledger still holds exactly one receipt per batch."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys, hashlib; sys.path.insert(0, %r)\n"
+        "from pyspark import TaskContext\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2,3]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "spark.sparkContext.setCheckpointDir(%r)\n"
+        "from eventloom.operators.batching import batch_events\n"
+        "from eventloom.plans.ship import ship\n"
+        "def send(payload, dest):\n"
+        "    if TaskContext.get().attemptNumber() == 0:\n"
+        "        raise RuntimeError('task lost')\n"
+        "    return hashlib.md5(payload.encode()).hexdigest()\n"
+        "df = spark.createDataFrame([(i, 'event %%d' %% i, 'd%%d' %% (i %% 3)) for i in range(3000)],"
+        " 'k long, raw string, sourcetype string')\n"
+        "payloads = batch_events(df, ['k'], 2048)\n"
+        "receipts, rejected, totals = ship(payloads, send, receipts_path=%r)\n"
+        "n = payloads.count(); r = receipts.count(); k = receipts.select('sourcetype','batch_id').distinct().count()\n"
+        "print('RESULT', n, r, k, sum(t.n_events for t in totals.collect()))\n"
+    ) % (repo, str(tmp_path / "ckpt"), str(tmp_path / "ledger"))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    line = [x for x in out.stdout.splitlines() if x.startswith("RESULT")]
+    assert line, out.stderr[-3000:]
+    _, n, r, k, events = line[0].split()
+    assert int(n) == int(r) == int(k) > 3 and int(events) == 3000
