@@ -6,6 +6,7 @@ from eventloom.operators.batching import (
     build_payloads,
     ship_totals,
     split_oversize,
+    value_payloads,
 )
 from eventloom.operators.extract import extract_fields
 from eventloom.operators.format import (
@@ -23,5 +24,5 @@ __all__ = [
     "BLOCK_SIZE", "MAX_PAYLOAD", "assign_batches", "batch_events", "build_payloads", "dequote_columns",
     "destination_query_string", "extract_fields", "format_default_events", "format_event_maps", "format_events",
     "is_empty", "normalize_lines", "page", "quantile_segments", "running_sum", "search", "search_stats",
-    "ship_totals", "split_oversize", "time_range", "with_destination",
+    "ship_totals", "split_oversize", "time_range", "value_payloads", "with_destination",
 ]

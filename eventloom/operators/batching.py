@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.lines import LF, byte_length
+from eventloom.functions.lines import LF, byte_length, split_lines, wire_text
 from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, running_sum
 
 # Read block size, and the largest payload accepted
@@ -120,6 +120,21 @@ def batch_events(
     return build_payloads(assigned, order, raw, destination)
 
 
+def value_payloads(df: DataFrame, text: Column | str, keys: Sequence[str] = (), unit: str = "bytes") -> DataFrame:
+    """Each text value sent as one request: every line (LF, CR or CRLF) ended by one
+    LF. Returns ``keys``, ``batch_id`` (0), ``n_events`` (lines), ``n_bytes`` and
+    ``payload``; pass it to :func:`split_oversize` / ``deliver`` like batches."""
+    t = _raw_col(text)
+    payload = wire_text(t)
+    return df.select(
+        *keys,
+        F.lit(0).cast("long").alias("batch_id"),
+        F.size(split_lines(t)).cast("long").alias("n_events"),
+        byte_length(payload, unit).alias("n_bytes"),
+        payload.alias("payload"),
+    )
+
+
 def oversize(payloads: DataFrame, limit: int = MAX_PAYLOAD) -> Column:
     return F.col("n_bytes") > F.lit(limit)
 

@@ -23,6 +23,7 @@ from eventloom.operators.batching import (
     batch_events,
     batch_of,
     oversize,
+    value_payloads,
     ship_totals,
 )
 from eventloom.operators.extract import extract_fields
@@ -189,6 +190,12 @@ def q_event_lines_from_text(spark, sf):
     return lines_from_text(docs, "text").select("doc_id", "line_no", "line")
 
 
+def q_text_payloads(spark, sf):
+    """Each document's text as one request (lines re-ended by LF), with the oversize flag."""
+    p = value_payloads(read_table(spark, sf, "documents"), "text", ["doc_id"])
+    return p.select("doc_id", "n_events", "n_bytes", "payload", oversize(p, SMALL_LIMIT).alias("rejected"))
+
+
 def q_event_array_payload(spark, sf):
     conv = read_table(spark, sf, "conversations").withColumnRenamed("text", "raw")
     payloads = batch_events(conv, ["turn"], MAX_PAYLOAD, destination=["conv_id"])
@@ -313,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "format_event_escaped": q_format_event_escaped,
     "file_receipts": q_file_receipts,
     "event_lines_from_text": q_event_lines_from_text,
+    "text_payloads": q_text_payloads,
     "event_array_payload": q_event_array_payload,
     "normalize_lines": q_normalize_lines,
     "search_time_range": q_search_time_range,
@@ -444,6 +452,12 @@ ORACLES: dict[str, str] = {
         "SELECT doc_id, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM "
         f"(SELECT doc_id, {_split_lines('text')} AS l FROM documents)"
     ),
+    "text_payloads": (
+        "SELECT doc_id, len(l)::BIGINT AS n_events, octet_length(encode(p))::BIGINT AS n_bytes, p AS payload, "
+        f"octet_length(encode(p)) > {SMALL_LIMIT} AS rejected FROM (SELECT doc_id, l, CASE WHEN len(l) = 0 THEN '' "
+        "ELSE array_to_string(l, chr(10)) || chr(10) END AS p FROM "
+        f"(SELECT doc_id, {_split_lines('text')} AS l FROM documents))"
+    ),
     "event_array_payload": "SELECT * FROM " + _payloads(
         "(SELECT conv_id, turn, text AS raw FROM conversations)", "conv_id", "turn", MAX_PAYLOAD),
     "normalize_lines": (
