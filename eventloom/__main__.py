@@ -3,8 +3,9 @@
 Runs under ``spark-submit`` (or plain ``python`` with a local session); every step
 is a Spark job, the command line only reads options.
 
-ship    lines of event files -> destination -> payloads -> one POST per payload
-        (``--url``) or the MD5 test sender; prints per-destination totals.
+ship    lines of event files (``--file``) or rows of a table formatted as events
+        (``--table``) -> destination -> payloads -> one POST per payload (``--url``)
+        or the MD5 test sender; prints per-destination totals.
 search  a Spark SQL predicate (inline, or from ``--searchfile``: lines whose first
         non-blank character is ``#`` are skipped, the rest joined with spaces) over
         a table, in an ``--earliest``/``--latest`` window; prints the counters and
@@ -23,7 +24,7 @@ from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD
 from eventloom.operators.format import with_destination
 from eventloom.plans.search import run_search
-from eventloom.plans.ship import ship
+from eventloom.plans.ship import ship, table_batches
 from eventloom.operators.batching import batch_events
 from eventloom.sinks.deliver import md5_sender
 from eventloom.sinks.export import MODES
@@ -53,9 +54,19 @@ def _headers(pairs: list[str]) -> dict[str, str]:
 
 
 def cmd_ship(spark: SparkSession, a: argparse.Namespace) -> dict:
-    lines = read_event_file(spark, a.file)
-    routed = with_destination(lines, index=a.index, source=a.source, sourcetype=a.sourcetype)
-    payloads = batch_events(routed, list(FILE_ORDER), a.block_size, segment=list(FILE_SEGMENT))
+    if bool(a.file) == bool(a.table):
+        raise SystemExit("give exactly one of --file or --table")
+    if a.file:
+        lines = read_event_file(spark, a.file)
+        routed = with_destination(lines, index=a.index, source=a.source, sourcetype=a.sourcetype)
+        payloads = batch_events(routed, list(FILE_ORDER), a.block_size, segment=list(FILE_SEGMENT))
+    else:
+        if not a.order:
+            raise SystemExit("--table needs --order (a unique event order, e.g. an event id)")
+        rows = spark.read.format(a.table_format).load(a.table)
+        fields = a.fields.split(",") if a.fields else [c for c in rows.columns if c != a.ts]
+        routed = with_destination(rows, index=a.index, source=a.source, sourcetype=a.sourcetype)
+        payloads = table_batches(routed, a.order.split(","), fields, a.ts or None, a.delim, a.block_size)
     send = http_post_sender(a.url, _headers(a.header), a.timeout) if a.url else md5_sender
     receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts)
     return {"totals": [r.asDict() for r in totals.collect()], "rejected_batches": rejected.count()}
@@ -77,7 +88,13 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
 
     s = sub.add_parser("ship", help="ship a file (or folder) of events")
-    s.add_argument("--file", required=True, help="event file or folder, one event per line")
+    s.add_argument("--file", help="event file or folder, one event per line")
+    s.add_argument("--table", help="table whose rows are formatted as events")
+    s.add_argument("--table-format", default="parquet")
+    s.add_argument("--order", help="comma list: unique event order of --table rows")
+    s.add_argument("--ts", default="ts", help="time column of --table rows ('' stamps the send time)")
+    s.add_argument("--fields", help="comma list of --table columns to write (default: all but --ts)")
+    s.add_argument("--delim", default="|")
     s.add_argument("--index")
     s.add_argument("--source")
     s.add_argument("--sourcetype")

@@ -33,3 +33,10 @@ def test_cli_dequote_applies_to_output(spark, tmp_path):
                 "--outfile", str(tmp_path / "o"), "--dequote"], spark)
     assert out["result_count"] == 1
     assert spark.read.json(out["output"]).first().s == "x"
+
+
+def test_cli_ship_table(spark, tmp_path):
+    out = main(["ship", "--table", f"{SF_SMALL}/events.parquet", "--order", "event_id",
+                "--fields", "event_id,event_type", "--index", "main", "--receipts", str(tmp_path / "l")], spark)
+    (t,) = out["totals"]
+    assert t["n_events"] == 10000 and t["calls"] >= 1 and t["index"] == "main"
