@@ -45,16 +45,13 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     out.write.mode(mode).partitionBy(*parts).format(fmt).save(path)
 
 
-def read_events(spark: SparkSession, path: str, fmt: str = "text", raw: str = "raw") -> DataFrame:
-    """Read a partitioned event sink back; partition values stay strings."""
+def read_events(spark: SparkSession, path: str, fmt: str = "text", raw: str = "raw",
+                partition_by: Sequence[str] = DEFAULT_PARTITIONS) -> DataFrame:
+    """Read a partitioned event sink back. For text, the partition columns are
+    declared as strings in the read schema, so destination values such as ``007``
+    come back unchanged (no type inference, no session setting touched)."""
     reader = spark.read.option("basePath", path)
     if fmt == "text":
-        spark_conf = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-        try:
-            df = reader.text(path)
-            df.schema  # resolve partitions while inference is off
-        finally:
-            spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", spark_conf)
-        return df.withColumnRenamed("value", raw)
+        cols = ", ".join(["value string", *[f"`{p}` string" for p in partition_by]])
+        return reader.schema(cols).text(path).withColumnRenamed("value", raw)
     return reader.format(fmt).load(path)

@@ -25,3 +25,11 @@ def test_partitioned_sink_null_destination(spark, tmp_path):
     path = str(tmp_path / "sink")
     write_events(df, path)
     assert read_events(spark, path).count() == 2
+
+
+def test_partition_values_stay_strings(spark, tmp_path):
+    df = spark.createDataFrame([("007", "1.50", "a"), ("10", "x", "b")], "index string, sourcetype string, raw string")
+    path = str(tmp_path / "sink")
+    write_events(df, path)
+    back = {(r["index"], r.sourcetype, r.raw) for r in read_events(spark, path).collect()}
+    assert back == {("007", "1.50", "a"), ("10", "x", "b")}
