@@ -125,10 +125,15 @@ def test_broadcast_only_within_measured_bytes(spark):
 
 
 def test_segments_with_constant_or_null_keys(spark):
+    from pyspark.sql import Window
+
     from eventloom.operators.prefix import running_sum
-    df = spark.createDataFrame([(i, 7 if i % 2 else None, "a") for i in range(300)], "i long, k long, raw string")
-    out = running_sum(df, F.lit(1), ["k", "i"], split_rows=10, out="c")
-    assert sorted(r.c for r in out.collect()) == list(range(1, 301))
+    for make in (lambda i: 7 if i % 2 else None, lambda i: i if i % 3 else None, lambda i: 5):
+        df = spark.createDataFrame([(i, make(i), "a" * (i % 4)) for i in range(300)], "i long, k long, raw string")
+        out = running_sum(df, F.length("raw") + 1, ["k", "i"], split_rows=10, n_segments=8, out="c")
+        w = Window.orderBy("k", "i").rowsBetween(Window.unboundedPreceding, 0)
+        want = {r.i: r.c for r in df.select("i", F.sum(F.length("raw") + 1).over(w).alias("c")).collect()}
+        assert {r.i: r.c for r in out.collect()} == want
 
 
 def test_heavy_leading_order_value_is_cut_by_next_column(spark):
