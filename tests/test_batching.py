@@ -154,3 +154,22 @@ def test_heavy_leading_order_value_is_cut_by_next_column(spark):
         assert {r.i: r.c for r in got} == want
         heavy_segments = {r._seg for r in got if r.g == 7}
         assert len(heavy_segments) >= 4, heavy_segments
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    lines=st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.text(alphabet="xyz", max_size=12)),
+                   min_size=1, max_size=300),
+    block=st.sampled_from([16, 40]),
+    split_rows=st.sampled_from([0, 5, 50, 10**9]),
+)
+def test_payloads_per_destination_equal_block_loop(spark, lines, block, split_rows):
+    rows = [(i, text, dest) for i, (dest, text) in enumerate(lines)]
+    df = spark.createDataFrame(rows, "k long, raw string, sourcetype string")
+    got = batch_events(df, ["k"], block, unit="chars", split_rows=split_rows).collect()
+    by_dest = {}
+    for r in got:
+        by_dest.setdefault(r.sourcetype, []).append((r.batch_id, r.payload))
+    for dest in {d for _, _, d in rows}:
+        text = "".join(t + "\n" for _, t, d in rows if d == dest)
+        assert [p for _, p in sorted(by_dest[dest])] == block_loop(text, block)
