@@ -18,13 +18,14 @@ def table_batches(
     df: DataFrame,
     order: Sequence[str],
     fields: FieldSpec | None = None,
-    ts: str | None = "ts",
+    ts: str | None | bool = "ts",
     delim: str = DEFAULT_DELIM,
     block_size: int = BLOCK_SIZE,
     escape: str = "none",
 ) -> DataFrame:
     """Format every row as an event and cut the events into payloads, per destination
     (``index``/``source``/``sourcetype`` columns when present, see ``with_destination``).
+    ``ts=None`` stamps the send time; ``ts=False`` writes no timestamp.
 
     The event text is passed on as an expression: it is measured without being
     built (:func:`event_size`) and built only after the shuffle, so the shuffle

@@ -9,8 +9,8 @@ data is not funnelled through one task.
 Task retries and speculative tasks can call ``send`` again for a batch, so
 delivery is at-least-once. Every receipt carries ``batch_key``, a SHA-256 of
 destination, batch id and payload, that a receiver can use to drop repeats.
-Every action on the returned frame sends again: write the receipts once
-(:func:`deliver_once`) and read them back.
+Every action on the returned frame sends again: write the receipts once and
+read them back (:func:`eventloom.plans.ship.ship`, or :func:`deliver_once`).
 """
 
 from __future__ import annotations
