@@ -34,8 +34,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set to a local temp folder only if unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (remote session): use the setting as is
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return root.rstrip("/")
+    root = root or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="eventloom-ckpt-")
         sc.setCheckpointDir(root)

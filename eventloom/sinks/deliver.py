@@ -43,9 +43,12 @@ def _cap_arrow_batch(spark) -> None:
 
 
 def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequence[str] | None = None,
-            limit: int | None = None) -> DataFrame:
+            limit: int | None = None, tasks: int | None = None) -> DataFrame:
     """Receipts: destination, ``batch_id, n_events, n_bytes, batch_key, status``.
 
+    ``tasks`` fixes how many tasks send at once (batches hash-spread over them by
+    destination and batch); by default the payloads' own partitioning is used.
+
     With ``limit``, a batch larger than ``limit`` is not sent: its row comes back
     with ``status`` null, ``rejected = true`` and its text in ``dead_letter`` (null
     for sent batches), so one job yields receipts and dead letters together.
@@ -56,7 +59,10 @@ def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequenc
         *dest, "batch_id", "n_events", "n_bytes", "payload",
         F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dest],
                            F.col("batch_id").cast("string"), F.col("payload")), 256).alias("batch_key"),
-    ).sortWithinPartitions(*dest, "batch_id")
+    )
+    if tasks:
+        keyed = keyed.repartition(tasks, *dest, "batch_id")
+    keyed = keyed.sortWithinPartitions(*dest, "batch_id")
 
     cols = [*dest, "batch_id", "n_events", "n_bytes", "batch_key", "status"]
     extra = ["rejected", "dead_letter"] if limit is not None else []

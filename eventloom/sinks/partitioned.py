@@ -17,7 +17,7 @@ DEFAULT_ROWS_PER_FILE = 5_000_000
 def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT_PARTITIONS,
                  fmt: str = "text", raw: str = "raw", mode: str = "overwrite",
                  rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, max_tasks: int | None = None) -> None:
     """Write event text (``fmt='text'``, one line per event) or whole rows
     (``parquet``) into one folder per destination.
 
@@ -25,8 +25,10 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     written by ``ceil(rows / rows_per_file)`` tasks: a destination holding a
     third of the data is spread evenly instead of landing in one task, and a
     small one becomes one file instead of one per input task. The per-destination
-    counts table is checkpointed, counted and broadcast only below
-    ``broadcast_rows``. ``rows_per_file=None`` writes straight from the input tasks.
+    counts table is checkpointed, measured and broadcast only within its limits.
+    The write uses at most ``max_tasks`` tasks (default: 4 x shuffle partitions),
+    so many small destinations share tasks while a hot one keeps its spread.
+    ``rows_per_file=None`` writes straight from the input tasks.
     """
     parts = list(partition_by)
     out = df.select(*parts, raw) if fmt == "text" else df
@@ -35,7 +37,8 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
         groups = out.groupBy(*parts).agg(
             F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))).cast("long").alias("_groups")
         ).checkpoint(eager=True)
-        n_tasks = int(groups.agg(F.sum("_groups")).first()[0] or 1)
+        cap = max_tasks or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n_tasks = max(1, min(cap, int(groups.agg(F.sum("_groups")).first()[0] or 1)))
         cols = out.columns
         salted = _null_safe_join(out, groups, parts, "inner", broadcast_rows)
         salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_groups")))

@@ -142,3 +142,10 @@ def test_ship_survives_failed_tasks(tmp_path):
     assert line, out.stderr[-3000:]
     _, n, r, k, events = line[0].split()
     assert int(n) == int(r) == int(k) > 3 and int(events) == 3000
+
+
+def test_deliver_with_fixed_task_count(spark):
+    p = _payloads(spark)
+    d = deliver(p, tasks=5)
+    assert d.rdd.getNumPartitions() == 5
+    assert d.count() == p.count()

@@ -33,3 +33,12 @@ def test_partition_values_stay_strings(spark, tmp_path):
     write_events(df, path)
     back = {(r["index"], r.sourcetype, r.raw) for r in read_events(spark, path).collect()}
     assert back == {("007", "1.50", "a"), ("10", "x", "b")}
+
+
+def test_sink_caps_write_tasks_for_many_small_destinations(spark, tmp_path):
+    rows = [("main", f"st{i % 300}", f"e{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "index string, sourcetype string, raw string")
+    path = str(tmp_path / "sink")
+    write_events(df, path, rows_per_file=1000, max_tasks=16)
+    back = read_events(spark, path)
+    assert back.count() == 3000 and back.select("sourcetype").distinct().count() == 300
