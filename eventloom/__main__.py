@@ -68,7 +68,7 @@ def cmd_ship(spark: SparkSession, a: argparse.Namespace) -> dict:
         routed = with_destination(rows, index=a.index, source=a.source, sourcetype=a.sourcetype)
         payloads = table_batches(routed, a.order.split(","), fields, a.ts or None, a.delim, a.block_size)
     send = http_post_sender(a.url, _headers(a.header), a.timeout) if a.url else md5_sender
-    receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts)
+    receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts, a.tasks)
     return {"totals": [r.asDict() for r in totals.collect()], "rejected_batches": rejected.count()}
 
 
@@ -104,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--block-size", type=int, default=BLOCK_SIZE)
     s.add_argument("--limit", type=int, default=MAX_PAYLOAD, help="largest payload sent; larger ones are dead letters")
     s.add_argument("--receipts", help="where the per-batch ledger is written (default: below spark.checkpoint.dir)")
+    s.add_argument("--tasks", type=int, help="number of concurrent sending tasks (default: as partitioned)")
 
     q = sub.add_parser("search", help="search a table and export the results")
     q.add_argument("query", nargs="?", help="Spark SQL boolean expression")

@@ -45,17 +45,18 @@ def file_batches(spark: SparkSession, path: str | list[str], block_size: int = B
 
 
 def ship(payloads: DataFrame, send: Sender = md5_sender, limit: int = MAX_PAYLOAD,
-         receipts_path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+         receipts_path: str | None = None, tasks: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Deliver every payload up to ``limit`` in one job; return (receipts, rejected, totals).
 
     The job writes one ledger row per batch (below the shared checkpoint folder by
     default): the receipt of a sent batch, or the text of a rejected one. Receipts,
     dead letters and totals are read from that ledger, so the batching runs once
-    and later actions never send again.
+    and later actions never send again. ``tasks`` fixes the number of concurrent
+    sending tasks (see :func:`eventloom.sinks.deliver.deliver`).
     """
     spark = payloads.sparkSession
     path = receipts_path or scratch_path(spark, "ledger")
-    deliver(payloads, send, limit=limit).write.mode("overwrite").parquet(path)
+    deliver(payloads, send, limit=limit, tasks=tasks).write.mode("overwrite").parquet(path)
     ledger = spark.read.parquet(path)
     receipts = ledger.where(~F.col("rejected")).drop("rejected", "dead_letter")
     rejected = ledger.where(F.col("rejected")).drop("status")
