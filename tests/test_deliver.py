@@ -149,3 +149,14 @@ def test_deliver_with_fixed_task_count(spark):
     d = deliver(p, tasks=5)
     assert d.rdd.getNumPartitions() == 5
     assert d.count() == p.count()
+
+
+def test_http_sender_reports_error_status():
+    import urllib.error
+
+    from eventloom.sinks.http import http_post_sender
+
+    def opener(req, timeout):
+        raise urllib.error.HTTPError(req.full_url, 503, "Service Unavailable", {}, None)
+
+    assert http_post_sender("http://collector.invalid/x", opener=opener)("e\n", {}) == "503 Service Unavailable"

@@ -34,3 +34,15 @@ def test_lines_from_text_positions(spark):
 def test_dequote(spark):
     got = _col(spark, ['"abc"', '"a"b"', '"', '""', 'x"y"', '"ab"\n', None], dequote("t"))
     assert got == ["abc", 'a"b', '"', "", 'x"y"', '"ab"\n', None]
+
+
+def test_value_payloads_one_request_per_text(spark):
+    from eventloom.operators.batching import value_payloads
+    df = spark.createDataFrame([(1, "a\r\nb\rc"), (2, ""), (3, "€\n"), (4, None)], "id int, t string")
+    got = {r.id: (r.batch_id, r.n_events, r.n_bytes, r.payload) for r in value_payloads(df, "t", ["id"]).collect()}
+    assert got[1] == (0, 3, 6, "a\nb\nc\n")
+    assert got[2] == (0, 0, 0, "")
+    assert got[3] == (0, 1, 4, "€\n")
+    assert got[4][3] is None
+    chars = {r.id: r.n_bytes for r in value_payloads(df, "t", ["id"], unit="chars").collect()}
+    assert chars[3] == 2
