@@ -274,6 +274,7 @@ def running_sums(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     split_rows: int = DEFAULT_SPLIT_ROWS,
     max_hot: int = MAX_HOT,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
     ``order``, all in the same pass (one offsets table, one exchange, one sort).
@@ -312,9 +313,22 @@ def running_sums(
                                    for t in tmp.values()])
     bases = bases.checkpoint(eager=True)
 
-    joined = _null_safe_join(seg_df.select(*base_cols), bases, keys, "left" if mode == "hot" else "inner",
-                             broadcast_rows)
-    joined = exchanged(joined)
+    how = "left" if mode == "hot" else "inner"
+    n_bases, bases_bytes = table_size(bases)
+    if n_bases <= broadcast_rows and bases_bytes <= broadcast_bytes:
+        joined = exchanged(_null_safe_join(seg_df.select(*base_cols), bases, keys, how, broadcast_rows, n_rows=0))
+    else:
+        # Too big to broadcast: join on the hash alone (keys matched null-safely as a
+        # residual condition), so the join's exchange is the one the window needs.
+        big = seg_df.select(*base_cols).withColumn(PKEY, F.xxhash64(*keys))
+        small = bases.select(F.xxhash64(*keys).alias("__r_pkey"), *[F.col(k).alias(f"__r_{k}") for k in keys],
+                             *[c for c in bases.columns if c not in keys])
+        same = [F.coalesce(big[k] == small[f"__r_{k}"], big[k].isNull() & small[f"__r_{k}"].isNull())
+                for k in keys]
+        cond = big[PKEY] == small["__r_pkey"]
+        for c in same:
+            cond = cond & c
+        joined = sized(big.join(small, cond, how).drop("__r_pkey", *[f"__r_{k}" for k in keys]))
     return joined.select(
         *out_cols,
         *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],

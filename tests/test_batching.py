@@ -173,3 +173,26 @@ def test_payloads_per_destination_equal_block_loop(spark, lines, block, split_ro
     for dest in {d for _, _, d in rows}:
         text = "".join(t + "\n" for _, t, d in rows if d == dest)
         assert [p for _, p in sorted(by_dest[dest])] == block_loop(text, block)
+
+
+def test_offsets_too_big_to_broadcast_share_the_window_exchange(spark):
+    from pyspark.sql import Window
+
+    from eventloom.operators.prefix import running_sums
+    rows = [(i, f"d{i % 4}" if i % 5 else None, "q" * (i % 9)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "i long, sourcetype string, raw string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = running_sums(df, {"c": F.length("raw") + 1}, ["i"], ["sourcetype"], n_segments=16,
+                           split_rows=100, broadcast_bytes=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.i: r.c for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # only the bounded hot list
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert all("_pkey" in x or "__r_pkey" in x for x in exchanges[-2:]), exchanges
+    w = Window.partitionBy("sourcetype").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.i: r.c for r in df.select("i", F.sum(F.length("raw") + 1).over(w).alias("c")).collect()}
+    assert got == want
