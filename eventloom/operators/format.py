@@ -42,7 +42,7 @@ def format_events(
         fields = [c for c in df.columns if c != ts_name]
     stamp = ts is not False
     raw = event_text(fields, ts if stamp else None, delim, escape, compat, with_timestamp=stamp).alias(out)
-    return df.select("*", raw) if keep else df.select(raw)
+    return df.select(*[c for c in df.columns if c != out], raw) if keep else df.select(raw)
 
 
 def format_event_maps(
@@ -55,7 +55,7 @@ def format_event_maps(
     out: str = "raw",
 ) -> DataFrame:
     """Add ``out`` from a ``map`` column, one field per entry in map order."""
-    return df.select("*", map_event_text(m, ts, delim, escape, compat).alias(out))
+    return df.select(*[c for c in df.columns if c != out], map_event_text(m, ts, delim, escape, compat).alias(out))
 
 
 def format_default_events(df: DataFrame, names: list[str] | None = None, ts: Column | str | None = "ts",
@@ -63,7 +63,8 @@ def format_default_events(df: DataFrame, names: list[str] | None = None, ts: Col
     """A map of the named columns sent as one event with the default ``|`` delimiter."""
     ts_name = ts if isinstance(ts, str) else None
     names = names or [c for c in df.columns if c != ts_name]
-    return df.select("*", map_event_text(columns_map(names), ts, DEFAULT_DELIM).alias(out))
+    return df.select(*[c for c in df.columns if c != out],
+                     map_event_text(columns_map(names), ts, DEFAULT_DELIM).alias(out))
 
 
 def _override(value, default) -> Column:

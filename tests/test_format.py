@@ -78,3 +78,9 @@ def test_event_size_equals_text_size(spark):
                         event_size(fields, with_timestamp=False).alias("b")).collect()
     assert all(r.a == r.b for r in nostamp)
     assert df.where("ts is null").select(event_text(["n"], "ts")).first()[0] == 'null|n="-1"'
+
+
+def test_format_replaces_an_existing_raw_column(spark):
+    df = spark.createDataFrame([("old", 1)], "raw string, n int")
+    out = format_events(df, ["n"], ts=False)
+    assert out.columns == ["n", "raw"] and out.first().raw == '|n="1"'
