@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
+from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -32,6 +33,23 @@ def read_event_stream(spark: SparkSession, path: str, schema: StructType, fmt: s
     return reader.load(path)
 
 
+def read_event_file_stream(spark: SparkSession, path: str, glob: str | None = None,
+                           max_files_per_trigger: int | None = None, value: str = "raw") -> DataFrame:
+    """New text files in ``path`` as a stream of event lines with their file split
+    (``file_path``, ``file_block_start``); pass ``file_lines=True`` to
+    :func:`start_delivery`, which adds the in-split line key per micro-batch."""
+    reader = spark.readStream.format("text")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("file_block_start"),
+        F.col("value").alias(value),
+    )
+
+
 def start_delivery(
     events: DataFrame,
     order: Sequence[str],
@@ -46,11 +64,14 @@ def start_delivery(
     processing_time: str | None = None,
     raw: Column | str = "raw",
     size: Column | None = None,
+    file_lines: bool = False,
 ) -> StreamingQuery:
     """Start the stream. ``raw`` is the event text: a column of ``events`` (see
     ``format_events``) or an expression over its columns (see ``event_text``,
     with ``size`` from ``event_size``), which is then built only after the
     batching shuffle, as in :func:`eventloom.plans.ship.table_batches`.
+    With ``file_lines`` (a stream from :func:`read_event_file_stream`), lines are
+    batched in file order and ``order`` is ignored.
 
     Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
     ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
@@ -59,7 +80,12 @@ def start_delivery(
     order = list(order)
 
     def run(batch_df: DataFrame, epoch_id: int) -> None:
-        payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size)
+        if file_lines:
+            lines = batch_df.withColumn("line_key", F.monotonically_increasing_id())
+            payloads = batch_events(lines, list(FILE_ORDER), block_size, raw=raw, destination=destination,
+                                    segment=list(FILE_SEGMENT), size=size)
+        else:
+            payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size)
         if keep_payloads:
             payloads = payloads.checkpoint(eager=True)  # the same batches for both outputs
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")

@@ -31,3 +31,19 @@ def test_stream_delivery_available_now_and_restart(spark, tmp_path):
     third = run()
     assert third.select("stream_batch_id").distinct().count() == 2
     assert third.agg({"n_events": "sum"}).first()[0] == 2 * n
+
+
+def test_stream_of_event_files_in_file_order(spark, tmp_path):
+    from eventloom.streaming.delivery import read_event_file_stream
+    src = tmp_path / "logs"
+    src.mkdir()
+    lines = [f"e{i} " + "x" * (i % 7) for i in range(2000)]
+    (src / "a.log").write_text("".join(line + "\n" for line in lines[:1200]))
+    (src / "b.log").write_text("".join(line + "\r\n" for line in lines[1200:]))
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stream = read_event_file_stream(spark, str(src))
+    q = start_delivery(stream, [], out, ckpt, block_size=1024, keep_payloads=True, file_lines=True)
+    q.awaitTermination()
+    payloads = spark.read.parquet(f"{out}/payloads").orderBy("batch_id").collect()
+    assert "".join(r.payload for r in payloads) == "".join(line + "\n" for line in lines)
+    assert read_stream_receipts(spark, out).agg({"n_events": "sum"}).first()[0] == 2000
