@@ -44,7 +44,7 @@ from eventloom.sinks.export import export_results, read_export
 from eventloom.sinks.partitioned import read_events, write_events
 from eventloom.sources.tables import read_table
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, lines_from_text, read_event_file
-from eventloom.streaming.delivery import read_event_stream, start_delivery
+from eventloom.streaming.delivery import read_event_file_stream, read_event_stream, start_delivery
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -275,6 +275,22 @@ def q_stream_delivery(spark, sf):
     return lines
 
 
+def q_stream_file_delivery(spark, sf):
+    """Files of event lines shipped by a stream in file order; payload lines read back
+    with their batch, which must follow the file's line order."""
+    src = scratch_path(spark, "stream-files")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (_formatted_events(spark, sf).repartitionByRange(n, "event_id").sortWithinPartitions("event_id")
+        .select("raw").write.text(src))
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = start_delivery(read_event_file_stream(spark, src, glob="*.txt"), [], out, ckpt, keep_payloads=True,
+                       file_lines=True)
+    q.awaitTermination()
+    payloads = spark.read.parquet(f"{out}/payloads")
+    return payloads.select("batch_id", F.explode(F.split(F.regexp_replace("payload", "\n\\z", ""), "\n"))
+                           .alias("raw"))
+
+
 def q_event_sink_roundtrip(spark, sf):
     path = scratch_path(spark, "event-sink")
     routed = format_events(with_destination(_events(spark, sf), index="main", sourcetype=F.col("event_type")),
@@ -333,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "search_raw_events": q_search_raw_events,
     "delivery_receipts": q_delivery_receipts,
     "stream_delivery": q_stream_delivery,
+    "stream_file_delivery": q_stream_file_delivery,
     "event_sink_roundtrip": q_event_sink_roundtrip,
     "export_csv": _export("csv"),
     "export_json": _export("json"),
@@ -498,6 +515,7 @@ ORACLES: dict[str, str] = {
         + _payloads(_lineitem_raw("l_linestatus"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
     ),
     "stream_delivery": f"SELECT raw FROM {_EVENTS_RAW}",
+    "stream_file_delivery": "SELECT batch_id, raw FROM " + _batched(_EVENTS_RAW, "", "event_id", BLOCK_SIZE),
     "event_sink_roundtrip": f"SELECT 'main' AS \"index\", event_type AS sourcetype, raw FROM {_EVENTS_RAW}",
     "export_csv": "SELECT * FROM " + _WEEK_SEARCH,
     "export_json": "SELECT * FROM " + _WEEK_SEARCH,
