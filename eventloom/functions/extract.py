@@ -39,16 +39,16 @@ def unescape(v: Column) -> Column:
     return F.regexp_replace(v, r"(?s)\\(.)", "$1")
 
 
-def fields_map(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash") -> Column:
-    """All fields of event text as ``map<string,string>``; the first of a repeated name wins.
+def field_pairs(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash") -> Column:
+    """All ``delim name="value"`` pairs of event text, in order, as
+    ``array<struct<key, value>>`` (repeated names kept).
 
-    One left-to-right regex pass finds the whole ``delim name="value"`` pairs;
-    names and values are then cut out with plain string functions.
+    One left-to-right regex pass finds the whole pairs; names and values are then
+    cut out with plain string functions.
     """
     if escape not in ("none", "backslash"):
         raise ValueError(f"escape must be 'none' or 'backslash', got {escape!r}")
     pat = _escaped_pairs_pattern(delim) if escape == "backslash" else _unescaped_pairs_pattern(delim)
-    pairs = F.regexp_extract_all(to_col(raw), F.lit(pat), 0)
     d = len(delim)
 
     def entry(p: Column) -> Column:
@@ -59,11 +59,25 @@ def fields_map(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "bac
             value = unescape(value)
         return F.struct(name.alias("key"), value.alias("value"))
 
+    return F.transform(F.regexp_extract_all(to_col(raw), F.lit(pat), 0), entry)
+
+
+def first_value(pairs: Column | str, name: str) -> Column:
+    """The value of the first pair called ``name`` in a :func:`field_pairs` array
+    (null when absent). Refer to a projected pairs column, not the expression,
+    so the text is scanned once."""
+    p = to_col(pairs)
+    pos = F.array_position(p["key"], F.lit(name))
+    return F.when(pos > 0, F.element_at(p["value"], pos.cast("int")))
+
+
+def fields_map(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash") -> Column:
+    """All fields of event text as ``map<string,string>``; the first of a repeated name wins."""
     # fold left to right so a repeated name keeps its first value; the pairs
     # array is evaluated once (a lambda referring back to it would re-run the scan)
     empty = F.create_map().cast("map<string,string>")
     return F.aggregate(
-        F.transform(pairs, entry),
+        field_pairs(raw, delim, escape),
         empty,
         lambda acc, e: F.when(F.map_contains_key(acc, e["key"]), acc).otherwise(
             F.map_concat(acc, F.create_map(e["key"], e["value"]))),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.extract import event_time_text, fields_map
+from eventloom.functions.extract import event_time_text, field_pairs, first_value
 from eventloom.functions.fields import DEFAULT_DELIM
 from eventloom.functions.timefmt import parse_event_timestamp
 
@@ -27,8 +27,8 @@ def extract_fields(
     cols = [F.col(k) for k in keep]
     if time_out:
         cols.append(parse_event_timestamp(event_time_text(raw, delim)).alias(time_out))
-    # project the map once; reading it by name in a second projection keeps
+    # project the pairs once; looking names up in a second projection keeps
     # Catalyst from inlining (and re-running) the scan once per name
-    with_map = df.select(*cols, fields_map(raw, delim, escape).alias("_fields"))
-    return with_map.select(*[c for c in with_map.columns if c != "_fields"],
-                           *[F.element_at("_fields", F.lit(n)).alias(n) for n in names])
+    with_pairs = df.select(*cols, field_pairs(raw, delim, escape).alias("_pairs"))
+    return with_pairs.select(*[c for c in with_pairs.columns if c != "_pairs"],
+                             *[first_value("_pairs", n).alias(n) for n in names])
