@@ -18,10 +18,19 @@ LF = "\n"
 
 
 def split_lines(text: Column | str) -> Column:
-    """``array<string>`` of the lines of ``text`` (null stays null)."""
+    """``array<string>`` of the lines of ``text`` (null stays null).
+
+    Text without a CR (the common case) drops one final LF and splits on LF with
+    plain string functions; text holding a CR takes the regular-expression path.
+    """
     t = to_col(text)
-    body = F.regexp_replace(t, FINAL_BREAK, "")
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+    lf_only = F.when(t.endswith(LF), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)
+    with_cr = F.regexp_replace(t, FINAL_BREAK, "")
+    return (
+        F.when(t == "", F.array().cast("array<string>"))
+        .when(F.instr(t, "\r") == 0, F.split(lf_only, LF, -1))
+        .otherwise(F.split(with_cr, LINE_BREAK, -1))
+    )
 
 
 def wire_text(text: Column | str) -> Column:
