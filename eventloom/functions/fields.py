@@ -37,9 +37,12 @@ def value_text(value: Column | str, escape: str = "none") -> Column:
     """A field value as event text: cast to string, null -> ``null``, optional escaping."""
     _check_escape(escape)
     v = F.coalesce(to_col(value).cast("string"), F.lit(NULL_TEXT))
-    if escape == "backslash":
-        v = F.regexp_replace(v, r'([\\"])', r"\\$1")
-    return v
+    return _escaped(v) if escape == "backslash" else v
+
+
+def _escaped(v: Column) -> Column:
+    # backslashes first, then quotes: \ -> \\ and " -> \"
+    return F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
 
 
 def normalize_fields(fields: FieldSpec) -> list[tuple[str, Column]]:
@@ -125,7 +128,7 @@ def map_event_text(
     def entry(e: Column) -> Column:
         v = F.coalesce(e["value"].cast("string"), F.lit(NULL_TEXT))
         if escape == "backslash":
-            v = F.regexp_replace(v, r'([\\"])', r"\\$1")
+            v = _escaped(v)
         return F.concat(F.lit(delim), e["key"].cast("string"), F.lit('="'), v, F.lit('"'))
 
     body = F.array_join(F.transform(F.map_entries(to_col(m)), entry), "")

@@ -48,7 +48,9 @@ def array_payload(arr: Column | str) -> Column:
 
 def dequote(c: Column | str) -> Column:
     """Remove one pair of surrounding double quotes; other values are unchanged."""
-    return F.regexp_replace(to_col(c), r'(?s)^"(.*)"\z', "$1")
+    v = to_col(c)
+    quoted = v.startswith('"') & v.endswith('"') & (F.length(v) >= 2)
+    return F.when(quoted, v.substr(F.lit(2), F.length(v) - 2)).otherwise(v)
 
 
 def byte_length(c: Column | str, unit: str = "bytes") -> Column:
