@@ -46,7 +46,7 @@ def assign_batches(
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
     n_segments: int | None = None,
-    split_rows: int = DEFAULT_SPLIT_ROWS,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
@@ -111,7 +111,7 @@ def batch_events(
     destination: Sequence[str] | None = None,
     segment: Sequence[str] | None = None,
     unit: str = "bytes",
-    split_rows: int = DEFAULT_SPLIT_ROWS,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""

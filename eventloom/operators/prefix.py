@@ -233,7 +233,7 @@ def _segment(df: DataFrame, order: Sequence[str], n: int, rows: int | None, wher
 
 def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (),
                  segment: Sequence[str] | None = None, n_segments: int | None = None,
-                 split_rows: int = DEFAULT_SPLIT_ROWS, max_hot: int = MAX_HOT,
+                 split_rows: int | None = DEFAULT_SPLIT_ROWS, max_hot: int = MAX_HOT,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, str]:
     """Add ``_seg`` (and ``_hot`` when only some partitions are cut).
 
@@ -245,7 +245,9 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
         cols = [F.col(c) for c in segment]
         return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols)), "all"
     key, n = order[0], n_segments or default_segments(df)
-    if key_number(df, key) is None:  # e.g. a string key: one segment per partition
+    if split_rows is None or key_number(df, key) is None:
+        # never cut (caller knows partitions are small), or a key that cannot be
+        # cut (e.g. a string): one segment per partition, no counting job
         return df.withColumn(SEG, F.lit(0)), "none"
     if not partition_by:
         total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
@@ -272,7 +274,7 @@ def running_sums(
     segment: Sequence[str] | None = None,
     n_segments: int | None = None,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    split_rows: int = DEFAULT_SPLIT_ROWS,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
     max_hot: int = MAX_HOT,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
@@ -344,7 +346,7 @@ def running_sum(
     n_segments: int | None = None,
     out: str = "cum",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    split_rows: int = DEFAULT_SPLIT_ROWS,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
 ) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``size`` (see :func:`running_sums`);
     also keeps the per-row size as ``_size``."""

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT
 
@@ -65,13 +66,16 @@ def start_delivery(
     raw: Column | str = "raw",
     size: Column | None = None,
     file_lines: bool = False,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
 ) -> StreamingQuery:
     """Start the stream. ``raw`` is the event text: a column of ``events`` (see
     ``format_events``) or an expression over its columns (see ``event_text``,
     with ``size`` from ``event_size``), which is then built only after the
     batching shuffle, as in :func:`eventloom.plans.ship.table_batches`.
     With ``file_lines`` (a stream from :func:`read_event_file_stream`), lines are
-    batched in file order and ``order`` is ignored.
+    batched in file order and ``order`` is ignored. ``split_rows=None`` skips the
+    per-micro-batch count of rows per destination when micro-batches are known to
+    be small (e.g. bounded by ``maxFilesPerTrigger``).
 
     Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
     ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
@@ -85,7 +89,8 @@ def start_delivery(
             payloads = batch_events(lines, list(FILE_ORDER), block_size, raw=raw, destination=destination,
                                     segment=list(FILE_SEGMENT), size=size)
         else:
-            payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size)
+            payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size,
+                                    split_rows=split_rows)
         if keep_payloads:
             payloads = payloads.checkpoint(eager=True)  # the same batches for both outputs
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")

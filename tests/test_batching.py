@@ -55,7 +55,7 @@ def test_two_level_equals_global_window_with_hot_destination(spark):
     w = Window.partitionBy("sourcetype").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.select("k", F.floor((F.sum(F.length("raw") + 1).over(w) - 1) / 256).alias("b")).collect()
     want = {r.k: r.b for r in ref}
-    for split_rows in (500, 10**9):  # hot destination cut into segments / nothing cut
+    for split_rows in (500, 10**9, None):  # hot destination cut / nothing cut / not even counted
         a = assign_batches(df, ["k"], 256, n_segments=40, split_rows=split_rows)
         got = {r.k: r.batch_id for r in a.select("k", "batch_id").collect()}
         assert got == want
