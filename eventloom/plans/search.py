@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.functions.timerange import now_in
+from eventloom.operators.format import format_events
 from eventloom.operators.search import dequote_columns, page, search, search_stats, session_zone
 from eventloom.sinks.export import export_results
 
@@ -38,7 +39,8 @@ def run_search(
 ) -> SearchResult:
     """Counters first (one aggregation job); with zero results nothing is opened or
     written. Otherwise the page is exported in ``mode``; ``dequote`` removes
-    surrounding double quotes from the exported string fields."""
+    surrounding double quotes from the exported string fields. ``raw`` writes a
+    ``raw`` column, or each row formatted as event text when there is none."""
     now = now if now is not None else now_in(session_zone(df))
     stats = search_stats(df, predicate, earliest, latest, now, time_col, offset, count).first()
     if stats["result_count"] == 0:
@@ -48,5 +50,7 @@ def run_search(
         hits = page(hits, order_by or [time_col], offset, count)
     if dequote:
         hits = dequote_columns(hits)
+    if mode == "raw" and "raw" not in hits.columns:
+        hits = format_events(hits, ts=time_col, keep=False)  # rows written as event text
     path = export_results(hits, out_path, mode, check_empty=False)
     return SearchResult(stats["scan_count"], stats["event_count"], stats["result_count"], path)

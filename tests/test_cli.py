@@ -40,3 +40,12 @@ def test_cli_ship_table(spark, tmp_path):
                 "--fields", "event_id,event_type", "--index", "main", "--receipts", str(tmp_path / "l")], spark)
     (t,) = out["totals"]
     assert t["n_events"] == 10000 and t["calls"] >= 1 and t["index"] == "main"
+
+
+def test_cli_search_raw_output_formats_rows(spark, tmp_path):
+    out = main(["search", "event_type = 'error' AND value > 100", "--table", f"{SF_SMALL}/events.parquet",
+                "--earliest=-7d@d", "--latest=@d", "--now", "2024-01-16T09:30:00", "--omode", "raw",
+                "--outfile", str(tmp_path / "raw")], spark)
+    lines = [r.value for r in spark.read.text(out["output"]).collect()]
+    assert len(lines) == out["result_count"] == 68
+    assert all(x.startswith("2024-01-") and '|event_type="error"' in x for x in lines)
