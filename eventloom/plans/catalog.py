@@ -37,6 +37,7 @@ from eventloom.operators.format import (
 from eventloom.operators.lines import normalize_lines
 from eventloom.operators.prefix import running_sums
 from eventloom.operators.search import dequote_columns, page, search, search_stats
+from eventloom.plans.search import search_event_files
 from eventloom.plans.ship import file_batches, table_batches
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import deliver
@@ -253,8 +254,8 @@ def q_search_raw_events(spark, sf):
     the text, then the time window (on the extracted ``_time``) and the predicate."""
     path = scratch_path(spark, "shipped")
     _formatted_events(spark, sf).select("raw").write.text(path)
-    fields = extract_fields(read_event_file(spark, path), EVENT_FIELDS)
-    hits = search(fields, "event_type = 'error' AND CAST(value AS DOUBLE) > 100", *WEEK, now=NOW, time_col="_time")
+    hits = search_event_files(spark, path, EVENT_FIELDS, "event_type = 'error' AND CAST(value AS DOUBLE) > 100",
+                              *WEEK, now=NOW)
     return hits.select("event_id", "event_type", "value", "props")
 
 

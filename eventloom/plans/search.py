@@ -54,3 +54,25 @@ def run_search(
         hits = format_events(hits, ts=time_col, keep=False)  # rows written as event text
     path = export_results(hits, out_path, mode, check_empty=False)
     return SearchResult(stats["scan_count"], stats["event_count"], stats["result_count"], path)
+
+
+def search_event_files(
+    spark,
+    path: str | list[str],
+    fields: Sequence[str],
+    predicate: str | Column | None = None,
+    earliest: str | dt.datetime | None = DEFAULT_EARLIEST,
+    latest: str | dt.datetime | None = DEFAULT_LATEST,
+    now: dt.datetime | str | None = None,
+    delim: str = "|",
+    escape: str = "none",
+) -> DataFrame:
+    """Search shipped event text: lines of event files, ``fields`` read out of the
+    text (strings) plus the event time ``_time``, then the time window on ``_time``
+    and the predicate (cast string fields in it as needed)."""
+    from eventloom.operators.extract import extract_fields
+    from eventloom.sources.text import read_event_file
+
+    extracted = extract_fields(read_event_file(spark, path), list(fields), delim=delim, escape=escape,
+                               keep=["file_path"])
+    return search(extracted, predicate, earliest, latest, now, time_col="_time")
