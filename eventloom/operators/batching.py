@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.lines import LF, byte_length, split_lines, wire_text
-from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, running_sum
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, _running_sum
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -60,12 +60,17 @@ def assign_batches(
     :func:`eventloom.functions.fields.event_size`) so the text is not built
     just to be measured; it must equal the size of ``raw`` in ``unit``.
     """
+    return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size)[0]
+
+
+def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segment=None, unit="bytes",
+            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None) -> tuple[DataFrame, str]:
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
     size = (size if size is not None else byte_length(_raw_col(raw), unit)) + F.lit(1)
-    with_cum = running_sum(df, size, order, dest, segment, n_segments, out="_cum", split_rows=split_rows)
-    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum")
+    with_cum, mode = _running_sum(df, size, order, dest, segment, n_segments, out="_cum", split_rows=split_rows)
+    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode
 
 
 def batch_of(cum: Column | str, block_size: int = BLOCK_SIZE) -> Column:
@@ -79,13 +84,16 @@ def build_payloads(
     order: Sequence[str],
     raw: Column | str = "raw",
     destination: Sequence[str] | None = None,
+    whole_segments: bool = False,
 ) -> DataFrame:
     """One row per (destination, batch): ``batch_id, n_events, n_bytes, payload``.
 
     Each event is followed by one LF. Pieces are first joined per
     (destination, segment, batch) where the rows already sit after the running
     sum (no exchange), then pieces, at most a few per batch, are joined per batch.
-    Group sizes are bounded by the block size plus the longest event.
+    Group sizes are bounded by the block size plus the longest event. When no
+    destination was cut into segments (``whole_segments``), every piece already is
+    a whole payload and the second grouping, with its exchange, is skipped.
     """
     dest = present_destination(assigned, destination)
     seg_keys = [PKEY, *dest, SEG] if PKEY in assigned.columns else [*dest, SEG]
@@ -96,6 +104,9 @@ def build_payloads(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_size").alias("_b"),
     )
+    if whole_segments:
+        return pieces.select(*dest, "batch_id", F.col("_n").cast("long").alias("n_events"),
+                             F.col("_b").cast("long").alias("n_bytes"), F.col("_piece").alias("payload"))
     return pieces.groupBy(*dest, "batch_id").agg(
         F.sum("_n").cast("long").alias("n_events"),
         F.sum("_b").cast("long").alias("n_bytes"),
@@ -115,9 +126,9 @@ def batch_events(
     size: Column | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
-    assigned = assign_batches(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
-                              size=size)
-    return build_payloads(assigned, order, raw, destination)
+    assigned, mode = _assign(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
+                             size=size)
+    return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"))
 
 
 def value_payloads(df: DataFrame, text: Column | str, keys: Sequence[str] = (), unit: str = "bytes") -> DataFrame:

@@ -266,7 +266,7 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
     return segmented.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(zero)), "hot"
 
 
-def running_sums(
+def _running_sums(
     df: DataFrame,
     sizes: dict[str, Column],
     order: Sequence[str],
@@ -306,7 +306,7 @@ def running_sums(
         return sized(frame.withColumn(PKEY, F.xxhash64(*keys)).repartition(PKEY))
 
     if mode == "none":
-        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()])
+        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()]), mode
 
     cut = seg_df.where(F.col(HOT)) if mode == "hot" else seg_df
     totals = sized(cut).groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
@@ -334,7 +334,25 @@ def running_sums(
     return joined.select(
         *out_cols,
         *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],
-    )
+    ), mode
+
+
+def running_sums(
+    df: DataFrame,
+    sizes: dict[str, Column],
+    order: Sequence[str],
+    partition_by: Sequence[str] = (),
+    segment: Sequence[str] | None = None,
+    n_segments: int | None = None,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
+    max_hot: int = MAX_HOT,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
+    ``order`` (see :func:`_running_sums`)."""
+    return _running_sums(df, sizes, order, partition_by, segment, n_segments, broadcast_rows, split_rows,
+                         max_hot, broadcast_bytes)[0]
 
 
 def running_sum(
@@ -350,6 +368,12 @@ def running_sum(
 ) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``size`` (see :func:`running_sums`);
     also keeps the per-row size as ``_size``."""
+    return _running_sum(df, size, order, partition_by, segment, n_segments, out, broadcast_rows, split_rows)[0]
+
+
+def _running_sum(df, size, order, partition_by=(), segment=None, n_segments=None, out="cum",
+                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS) -> tuple[DataFrame, str]:
     size_c = size if isinstance(size, Column) else F.col(size)
-    res = running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows, split_rows)
-    return res.withColumnRenamed("_sz_0", "_size")
+    res, mode = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows,
+                              split_rows)
+    return res.withColumnRenamed("_sz_0", "_size"), mode
