@@ -52,7 +52,10 @@ def assign_batches(
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
     ``order`` is the event order (unique per destination), e.g. ``["event_id"]``
-    or the file order key of :func:`eventloom.sources.read_event_file`.
+    or the file order key of :func:`eventloom.sources.read_event_file`. Its first
+    column should be a number, time or date, which large destinations are cut on;
+    with another first column pass ``segment`` (stored, order-preserving columns,
+    as the file readers do), or each destination is summed by one window task.
     ``raw`` may be a column name or an expression over the row (such as
     :func:`eventloom.functions.event_text`); an expression is only sized here,
     so the shuffle carries the narrower source columns, not the text.
