@@ -46,3 +46,11 @@ def test_value_payloads_one_request_per_text(spark):
     assert got[4][3] is None
     chars = {r.id: r.n_bytes for r in value_payloads(df, "t", ["id"], unit="chars").collect()}
     assert chars[3] == 2
+
+
+def test_line_feed_in_a_value_becomes_two_wire_lines(spark):
+    from eventloom.operators.format import format_events
+    df = spark.createDataFrame([(1, "x\ny")], "id int, a string")
+    raw = format_events(df, ["a"], ts=False)
+    lines = [r.line for r in normalize_lines(raw, "raw").orderBy("line_no").collect()]
+    assert lines == ['|a="x\n', 'y"\n']
