@@ -27,7 +27,9 @@ from eventloom.session import scratch_path
 
 Sender = Callable[[str, dict], str]
 
-# Payloads are up to ~1 MB; cap rows per Arrow batch so one batch stays small.
+# Payloads are up to ~1 MB; Arrow batches to Python must stay small. Spark 4 caps
+# them by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB by default);
+# only where that setting is missing are rows per batch capped instead.
 ARROW_ROWS_PER_BATCH = 64
 
 
@@ -37,6 +39,8 @@ def md5_sender(payload: str, destination: dict) -> str:
 
 
 def _cap_arrow_batch(spark) -> None:
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None:
+        return  # batches are already bounded by bytes; leave the session as it is
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > ARROW_ROWS_PER_BATCH:
         spark.conf.set(key, str(ARROW_ROWS_PER_BATCH))
