@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.lines import LF, byte_length, split_lines, wire_text
-from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, _running_sum
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, _running_sum, join_segments
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -72,8 +72,9 @@ def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segme
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
     size = (size if size is not None else byte_length(_raw_col(raw), unit)) + F.lit(1)
-    with_cum, mode = _running_sum(df, size, order, dest, segment, n_segments, out="_cum", split_rows=split_rows)
-    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode
+    with_cum, mode, bases = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
+                                         split_rows=split_rows)
+    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode, bases
 
 
 def batch_of(cum: Column | str, block_size: int = BLOCK_SIZE) -> Column:
@@ -88,6 +89,8 @@ def build_payloads(
     raw: Column | str = "raw",
     destination: Sequence[str] | None = None,
     whole_segments: bool = False,
+    segments: DataFrame | None = None,
+    block_size: int | None = None,
 ) -> DataFrame:
     """One row per (destination, batch): ``batch_id, n_events, n_bytes, payload``.
 
@@ -97,6 +100,12 @@ def build_payloads(
     Group sizes are bounded by the block size plus the longest event. When no
     destination was cut into segments (``whole_segments``), every piece already is
     a whole payload and the second grouping, with its exchange, is skipped.
+
+    With the per-segment offsets (``segments``, from the running sum, and
+    ``block_size``) only the pieces that continue a batch begun in an earlier
+    segment move: each is re-keyed to the segment holding its batch's first line,
+    and the pieces are regrouped on the hash of that owning segment. A piece that
+    owns its batch keeps its hash, so it stays in the partition it is in.
     """
     dest = present_destination(assigned, destination)
     seg_keys = [PKEY, *dest, SEG] if PKEY in assigned.columns else [*dest, SEG]
@@ -110,6 +119,8 @@ def build_payloads(
     if whole_segments:
         return pieces.select(*dest, "batch_id", F.col("_n").cast("long").alias("n_events"),
                              F.col("_b").cast("long").alias("n_bytes"), F.col("_piece").alias("payload"))
+    if segments is not None and block_size and PKEY in assigned.columns:
+        return _merge_at_owner(pieces, segments, dest, block_size)
     return pieces.groupBy(*dest, "batch_id").agg(
         F.sum("_n").cast("long").alias("n_events"),
         F.sum("_b").cast("long").alias("n_bytes"),
@@ -117,6 +128,31 @@ def build_payloads(
     )
 
 
+def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], block_size: int) -> DataFrame:
+    keys = [*dest, SEG]
+    # per segment: the batch its predecessor ended in (a piece of that batch here
+    # continues it) and the segment holding that batch's first line, which is the
+    # segment just before the run of segments that all continue the same batch
+    w = Window.partitionBy(*dest).orderBy(SEG)
+    ended = F.when(F.col("_size_base") > 0, batch_of("_size_base", block_size))
+    table = segments.select(*keys, ended.alias("_c"))
+    table = table.select(*keys, "_c", F.lag(SEG).over(w).alias("_prev"), F.lag("_c").over(w).alias("_prev_c"))
+    starts = F.col("_prev_c").isNull() | (F.col("_prev_c") != F.col("_c"))
+    owner = F.last(F.when(starts, F.col("_prev")), ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    table = table.select(*keys, "_c", owner.alias("_owner")).checkpoint(eager=True)
+
+    flagged, _ = join_segments(pieces, table, keys, "left")
+    moves = F.col("_c").isNotNull() & (F.col("batch_id") == F.col("_c"))
+    target = flagged.withColumn("_tseg", F.when(moves, F.col("_owner")).otherwise(F.col(SEG)))
+    target = target.withColumn("_tkey", F.xxhash64(*[F.col(d) for d in dest], F.col("_tseg")))
+    return target.repartition("_tkey").groupBy("_tkey", *dest, "_tseg", "batch_id").agg(
+        F.sum("_n").cast("long").alias("n_events"),
+        F.sum("_b").cast("long").alias("n_bytes"),
+        F.expr(f"listagg(_piece, '') WITHIN GROUP (ORDER BY {SEG})").alias("payload"),
+    ).select(*dest, "batch_id", "n_events", "n_bytes", "payload")
+
+
 def batch_events(
     df: DataFrame,
     order: Sequence[str],
@@ -129,9 +165,10 @@ def batch_events(
     size: Column | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
-    assigned, mode = _assign(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
-                             size=size)
-    return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"))
+    assigned, mode, bases = _assign(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
+                                    size=size)
+    return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"), segments=bases,
+                          block_size=block_size)
 
 
 def value_payloads(df: DataFrame, text: Column | str, keys: Sequence[str] = (), unit: str = "bytes") -> DataFrame:

@@ -306,7 +306,7 @@ def _running_sums(
         return sized(frame.withColumn(PKEY, F.xxhash64(*keys)).repartition(PKEY))
 
     if mode == "none":
-        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()]), mode
+        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()]), mode, None
 
     cut = seg_df.where(F.col(HOT)) if mode == "hot" else seg_df
     totals = sized(cut).groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
@@ -316,25 +316,38 @@ def _running_sums(
     bases = bases.checkpoint(eager=True)
 
     how = "left" if mode == "hot" else "inner"
-    n_bases, bases_bytes = table_size(bases)
-    if n_bases <= broadcast_rows and bases_bytes <= broadcast_bytes:
-        joined = exchanged(_null_safe_join(seg_df.select(*base_cols), bases, keys, how, broadcast_rows, n_rows=0))
-    else:
-        # Too big to broadcast: join on the hash alone (keys matched null-safely as a
-        # residual condition), so the join's exchange is the one the window needs.
-        big = seg_df.select(*base_cols).withColumn(PKEY, F.xxhash64(*keys))
-        small = bases.select(F.xxhash64(*keys).alias("__r_pkey"), *[F.col(k).alias(f"__r_{k}") for k in keys],
-                             *[c for c in bases.columns if c not in keys])
-        same = [F.coalesce(big[k] == small[f"__r_{k}"], big[k].isNull() & small[f"__r_{k}"].isNull())
-                for k in keys]
-        cond = big[PKEY] == small["__r_pkey"]
-        for c in same:
-            cond = cond & c
-        joined = sized(big.join(small, cond, how).drop("__r_pkey", *[f"__r_{k}" for k in keys]))
+    big = seg_df.select(*base_cols).withColumn(PKEY, F.xxhash64(*keys))
+    joined, broadcasted = join_segments(big, bases, keys, how, broadcast_rows, broadcast_bytes)
+    if broadcasted:
+        joined = joined.repartition(PKEY)  # the exchange the window needs
+    joined = sized(joined)
     return joined.select(
         *out_cols,
         *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],
-    ), mode
+    ), mode, bases
+
+
+def join_segments(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  broadcast_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Join a small per-segment table onto ``big`` (which holds ``_pkey``, the hash of
+    ``keys``); keys match null-safely. Returns the frame and whether it was broadcast.
+
+    The small side is measured and broadcast only within ``broadcast_rows`` and
+    ``broadcast_bytes``, which keeps ``big``'s partitioning. Beyond that both sides
+    meet on ``_pkey`` alone (the keys as a residual condition), so a ``big``
+    already partitioned on ``_pkey`` is not exchanged and any other is exchanged
+    exactly as the window after it needs."""
+    limit = DEFAULT_BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    n, size = table_size(small)  # cheap: the table is checkpointed and small
+    if n <= broadcast_rows and size <= limit:
+        return _null_safe_join(big, small, keys, how, broadcast_rows, n_rows=0), True
+    right = small.select(F.xxhash64(*keys).alias("__r_pkey"), *[F.col(k).alias(f"__r_{k}") for k in keys],
+                         *[c for c in small.columns if c not in keys])
+    cond = big[PKEY] == right["__r_pkey"]
+    for k in keys:
+        cond = cond & F.coalesce(big[k] == right[f"__r_{k}"], big[k].isNull() & right[f"__r_{k}"].isNull())
+    return big.join(right, cond, how).drop("__r_pkey", *[f"__r_{k}" for k in keys]), False
 
 
 def running_sums(
@@ -372,8 +385,11 @@ def running_sum(
 
 
 def _running_sum(df, size, order, partition_by=(), segment=None, n_segments=None, out="cum",
-                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS) -> tuple[DataFrame, str]:
+                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS):
+    """(frame, mode, offsets table or None); the offsets' base column is ``_size_base``."""
     size_c = size if isinstance(size, Column) else F.col(size)
-    res, mode = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows,
-                              split_rows)
-    return res.withColumnRenamed("_sz_0", "_size"), mode
+    res, mode, bases = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows,
+                                     split_rows)
+    if bases is not None:
+        bases = bases.withColumnRenamed("_sz_0_base", "_size_base")
+    return res.withColumnRenamed("_sz_0", "_size"), mode, bases

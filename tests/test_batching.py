@@ -196,3 +196,20 @@ def test_offsets_too_big_to_broadcast_share_the_window_exchange(spark):
     w = Window.partitionBy("sourcetype").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.i: r.c for r in df.select("i", F.sum(F.length("raw") + 1).over(w).alias("c")).collect()}
     assert got == want
+
+
+def test_batches_spanning_many_segments_merge_at_their_owner(spark):
+    lines = [f"l{i}" for i in range(1500)]
+    df = _lines_df(spark, lines, ["d"] * len(lines))
+    text = "".join(line + "\n" for line in lines)
+    for bytes_limit in (64 * 1024 * 1024, 0):  # offsets broadcast / joined on the hash key
+        from eventloom.operators import prefix
+        old = prefix.DEFAULT_BROADCAST_BYTES
+        prefix.DEFAULT_BROADCAST_BYTES = bytes_limit
+        try:
+            got = batch_events(df, ["k"], 2000, unit="chars", split_rows=10).orderBy("batch_id").collect()
+        finally:
+            prefix.DEFAULT_BROADCAST_BYTES = old
+        assert [r.payload for r in got] == block_loop(text, 2000)  # ~300 lines per batch, ~23 per segment
+    plan = batch_events(df, ["k"], 2000, unit="chars", split_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "_tkey" in plan
