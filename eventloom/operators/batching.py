@@ -140,7 +140,8 @@ def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], blo
     starts = F.col("_prev_c").isNull() | (F.col("_prev_c") != F.col("_c"))
     owner = F.last(F.when(starts, F.col("_prev")), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    table = table.select(*keys, "_c", owner.alias("_owner")).checkpoint(eager=True)
+    # a small window over the checkpointed offsets: cheap to recompute, not checkpointed again
+    table = table.select(*keys, "_c", owner.alias("_owner"))
 
     flagged, _ = join_segments(pieces, table, keys, "left")
     moves = F.col("_c").isNotNull() & (F.col("batch_id") == F.col("_c"))
