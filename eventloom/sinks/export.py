@@ -47,7 +47,10 @@ def read_export(spark: SparkSession, path: str, mode: str, schema: StructType |
     """Read an export back, with the original schema when given."""
     if mode == "raw":
         return spark.read.text(path).withColumnRenamed("value", raw)
-    reader = spark.read.options(**_options(mode))
+    options = _options(mode)
+    if mode == "csv":
+        options["multiLine"] = "true"  # quoted values may hold line breaks
+    reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(mode).load(path)

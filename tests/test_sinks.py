@@ -42,3 +42,19 @@ def test_sink_caps_write_tasks_for_many_small_destinations(spark, tmp_path):
     write_events(df, path, rows_per_file=1000, max_tasks=16)
     back = read_events(spark, path)
     assert back.count() == 3000 and back.select("sourcetype").distinct().count() == 300
+
+
+def test_exports_round_trip_multiline_text(spark):
+    import pytest
+
+    from conftest import SF_SMALL
+    from eventloom.session import scratch_path
+    from eventloom.sinks.export import export_results, read_export
+    from eventloom.sources.tables import read_table
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    want = sorted(map(tuple, docs.collect()))
+    assert any("\n" in t for _, t in want) and any('"' in t for _, t in want)
+    for mode in ("csv", "json", "xml"):
+        path = export_results(docs, scratch_path(spark, f"docs-{mode}"), mode)
+        got = sorted(map(tuple, read_export(spark, path, mode, docs.schema).collect()), key=repr)
+        assert got == sorted(want, key=repr), pytest.fail(mode) if got != sorted(want, key=repr) else None
