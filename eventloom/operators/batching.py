@@ -28,11 +28,26 @@ MAX_PAYLOAD = 983_616
 
 
 def present_destination(df: DataFrame, destination: Sequence[str] | None) -> list[str]:
+    """Destination columns of event rows: as given, or those of ``index``,
+    ``source``, ``sourcetype`` that are present."""
     if destination is not None:
         return list(destination)
     return [c for c in ("index", "source", "sourcetype") if c in df.columns]
 
 
+# Columns of payload, receipt and ledger rows that are not destination keys.
+BATCH_FIELDS = ("batch_id", "n_events", "n_bytes", "payload", "batch_key", "status", "rejected", "dead_letter",
+                "stream_batch_id")
+
+
+def batch_keys(df: DataFrame, destination: Sequence[str] | None = None) -> list[str]:
+    """Destination columns of payload (or receipt) rows: as given, or every column
+    that is not a batch field, so payloads keyed by any destination columns keep them."""
+    if destination is not None:
+        return list(destination)
+    return [c for c in df.columns if c not in BATCH_FIELDS]
+
+
 def _raw_col(raw: Column | str) -> Column:
     return raw if isinstance(raw, Column) else F.col(raw)
 
@@ -198,7 +213,7 @@ def split_oversize(payloads: DataFrame, limit: int = MAX_PAYLOAD) -> tuple[DataF
 
 def ship_totals(payloads: DataFrame, limit: int = MAX_PAYLOAD, destination: Sequence[str] | None = None) -> DataFrame:
     """Per destination: bytes read, bytes sent, calls made, batches rejected, events."""
-    dest = present_destination(payloads, destination)
+    dest = batch_keys(payloads, destination)
     big = oversize(payloads, limit)
     return payloads.groupBy(*dest).agg(
         F.sum("n_bytes").cast("long").alias("read_bytes"),

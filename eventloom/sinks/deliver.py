@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.batching import present_destination
+from eventloom.operators.batching import batch_keys
 from eventloom.session import scratch_path
 
 Sender = Callable[[str, dict], str]
@@ -38,6 +38,13 @@ def md5_sender(payload: str, destination: dict) -> str:
     return hashlib.md5(payload.encode("utf-8")).hexdigest()
 
 
+def _plain(v):
+    """A destination value as a plain Python value (numpy scalars unwrapped, NaN/NA as None)."""
+    if v is None or (not isinstance(v, str) and pd.isna(v)):
+        return None
+    return v.item() if hasattr(v, "item") else v
+
+
 def _cap_arrow_batch(spark) -> None:
     if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None:
         return  # batches are already bounded by bytes; leave the session as it is
@@ -57,7 +64,7 @@ def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequenc
     with ``status`` null, ``rejected = true`` and its text in ``dead_letter`` (null
     for sent batches), so one job yields receipts and dead letters together.
     """
-    dest = present_destination(payloads, destination)
+    dest = batch_keys(payloads, destination)
     _cap_arrow_batch(payloads.sparkSession)
     keyed = payloads.select(
         *dest, "batch_id", "n_events", "n_bytes", "payload",
@@ -82,7 +89,7 @@ def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequenc
             texts, sizes = pdf["payload"].tolist(), pdf["n_bytes"].tolist()
             big = [limit is not None and n > limit for n in sizes]
             statuses = [
-                None if big[i] else send(t, {d: pdf[d].iat[i] for d in dest}) for i, t in enumerate(texts)
+                None if big[i] else send(t, {d: _plain(pdf[d].iat[i]) for d in dest}) for i, t in enumerate(texts)
             ]
             res = pdf.drop(columns=["payload"])
             res["status"] = pd.Series(statuses, index=pdf.index, dtype="object")

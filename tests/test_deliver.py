@@ -160,3 +160,21 @@ def test_http_sender_reports_error_status():
         raise urllib.error.HTTPError(req.full_url, 503, "Service Unavailable", {}, None)
 
     assert http_post_sender("http://collector.invalid/x", opener=opener)("e\n", {}) == "503 Service Unavailable"
+
+
+def test_any_destination_columns_reach_the_sender_and_receipts(spark):
+    from conftest import SF_SMALL
+    from eventloom.sources.tables import read_table
+
+    conv = read_table(spark, SF_SMALL, "conversations").withColumnRenamed("text", "raw")
+    payloads = batch_events(conv, ["turn"], 4096, destination=["conv_id"])
+
+    def send(payload, dest):
+        assert type(dest["conv_id"]) is int
+        return f"conv {dest['conv_id']}"
+
+    receipts, rejected, totals = ship(payloads, send)
+    rows = receipts.collect()
+    assert rows and all(r.status == f"conv {r.conv_id}" for r in rows)
+    assert totals.count() == conv.select("conv_id").distinct().count()
+    assert sum(r.n_events for r in totals.collect()) == conv.count()
