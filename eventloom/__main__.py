@@ -19,10 +19,11 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD
-from eventloom.operators.format import with_destination
+from eventloom.operators.format import DESTINATION, with_destination
 from eventloom.plans.search import run_search
 from eventloom.plans.ship import ship, table_batches
 from eventloom.operators.batching import batch_events
@@ -64,8 +65,14 @@ def cmd_ship(spark: SparkSession, a: argparse.Namespace) -> dict:
         if not a.order:
             raise SystemExit("--table needs --order (a unique event order, e.g. an event id)")
         rows = spark.read.format(a.table_format).load(a.table)
-        fields = a.fields.split(",") if a.fields else [c for c in rows.columns if c != a.ts]
-        routed = with_destination(rows, index=a.index, source=a.source, sourcetype=a.sourcetype)
+        names = a.fields.split(",") if a.fields else [c for c in rows.columns if c != a.ts]
+        # a data column named like a destination is written from a copy of its own
+        # value, and is that destination's default unless overridden
+        taken = [d for d in DESTINATION if d in rows.columns]
+        rows = rows.select("*", *[F.col(d).alias(f"__field_{d}") for d in taken])
+        fields = [(n, f"__field_{n}") if n in taken else (n, n) for n in names]
+        routed = with_destination(rows, index=a.index, source=a.source, sourcetype=a.sourcetype,
+                                  defaults={d: F.col(f"__field_{d}") for d in taken})
         payloads = table_batches(routed, a.order.split(","), fields, a.ts or None, a.delim, a.block_size)
     send = http_post_sender(a.url, _headers(a.header), a.timeout) if a.url else md5_sender
     receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts, a.tasks)

@@ -49,3 +49,11 @@ def test_cli_search_raw_output_formats_rows(spark, tmp_path):
     lines = [r.value for r in spark.read.text(out["output"]).collect()]
     assert len(lines) == out["result_count"] == 68
     assert all(x.startswith("2024-01-") and '|event_type="error"' in x for x in lines)
+
+
+def test_cli_ship_table_with_a_source_column(spark, tmp_path):
+    out = main(["ship", "--table", f"{SF_SMALL}/documents.parquet", "--order", "doc_id", "--ts", "",
+                "--fields", "doc_id,source,lang", "--index", "docs", "--receipts", str(tmp_path / "l")], spark)
+    by_source = {t["source"]: t for t in out["totals"]}
+    assert len(by_source) > 10 and all(k.startswith("src") for k in by_source)  # data column as default
+    assert sum(t["n_events"] for t in out["totals"]) == 1000
