@@ -87,9 +87,9 @@ def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segme
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
     size = (size if size is not None else byte_length(_raw_col(raw), unit)) + F.lit(1)
-    with_cum, mode, bases = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
-                                         split_rows=split_rows)
-    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode, bases
+    with_cum, mode, bases, measured = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
+                                                   split_rows=split_rows)
+    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode, bases, measured
 
 
 def batch_of(cum: Column | str, block_size: int = BLOCK_SIZE) -> Column:
@@ -106,6 +106,7 @@ def build_payloads(
     whole_segments: bool = False,
     segments: DataFrame | None = None,
     block_size: int | None = None,
+    segments_size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per (destination, batch): ``batch_id, n_events, n_bytes, payload``.
 
@@ -135,7 +136,7 @@ def build_payloads(
         return pieces.select(*dest, "batch_id", F.col("_n").cast("long").alias("n_events"),
                              F.col("_b").cast("long").alias("n_bytes"), F.col("_piece").alias("payload"))
     if segments is not None and block_size and PKEY in assigned.columns:
-        return _merge_at_owner(pieces, segments, dest, block_size)
+        return _merge_at_owner(pieces, segments, dest, block_size, segments_size)
     return pieces.groupBy(*dest, "batch_id").agg(
         F.sum("_n").cast("long").alias("n_events"),
         F.sum("_b").cast("long").alias("n_bytes"),
@@ -143,7 +144,8 @@ def build_payloads(
     )
 
 
-def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], block_size: int) -> DataFrame:
+def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], block_size: int,
+                    segments_size: tuple[int, int] | None = None) -> DataFrame:
     keys = [*dest, SEG]
     # per segment: the batch its predecessor ended in (a piece of that batch here
     # continues it) and the segment holding that batch's first line, which is the
@@ -158,7 +160,10 @@ def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], blo
     # a small window over the checkpointed offsets: cheap to recompute, not checkpointed again
     table = table.select(*keys, "_c", owner.alias("_owner"))
 
-    flagged, _ = join_segments(pieces, table, keys, "left")
+    # same rows as the measured offsets table; an upper bound of its bytes: ``_c``
+    # replaces the base column and ``_owner`` adds at most one more segment value
+    measured = None if segments_size is None else (segments_size[0], 2 * segments_size[1] + 8 * segments_size[0])
+    flagged, _ = join_segments(pieces, table, keys, "left", measured=measured)
     moves = F.col("_c").isNotNull() & (F.col("batch_id") == F.col("_c"))
     target = flagged.withColumn("_tseg", F.when(moves, F.col("_owner")).otherwise(F.col(SEG)))
     target = target.withColumn("_tkey", F.xxhash64(*[F.col(d) for d in dest], F.col("_tseg")))
@@ -181,10 +186,10 @@ def batch_events(
     size: Column | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
-    assigned, mode, bases = _assign(df, order, block_size, raw, destination, segment, unit, split_rows=split_rows,
-                                    size=size)
+    assigned, mode, bases, measured = _assign(df, order, block_size, raw, destination, segment, unit,
+                                              split_rows=split_rows, size=size)
     return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"), segments=bases,
-                          block_size=block_size)
+                          block_size=block_size, segments_size=measured)
 
 
 def value_payloads(df: DataFrame, text: Column | str, keys: Sequence[str] = (), unit: str = "bytes") -> DataFrame:

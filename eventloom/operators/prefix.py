@@ -306,7 +306,7 @@ def _running_sums(
         return sized(frame.withColumn(PKEY, F.xxhash64(*keys)).repartition(PKEY))
 
     if mode == "none":
-        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()]), mode, None
+        return exchanged(seg_df).select(*out_cols, *[F.sum(t).over(w).alias(o) for o, t in tmp.items()]), mode, None, None
 
     cut = seg_df.where(F.col(HOT)) if mode == "hot" else seg_df
     totals = sized(cut).groupBy(*keys).agg(*[F.sum(t).alias(f"{t}_tot") for t in tmp.values()])
@@ -317,19 +317,21 @@ def _running_sums(
 
     how = "left" if mode == "hot" else "inner"
     big = seg_df.select(*base_cols).withColumn(PKEY, F.xxhash64(*keys))
-    joined, broadcasted = join_segments(big, bases, keys, how, broadcast_rows, broadcast_bytes)
+    measured = table_size(bases)  # cheap: the table is checkpointed and small
+    joined, broadcasted = join_segments(big, bases, keys, how, broadcast_rows, broadcast_bytes, measured)
     if broadcasted:
         joined = joined.repartition(PKEY)  # the exchange the window needs
     joined = sized(joined)
     return joined.select(
         *out_cols,
         *[(F.coalesce(F.col(f"{t}_base"), F.lit(0)) + F.sum(t).over(w)).alias(o) for o, t in tmp.items()],
-    ), mode, bases
+    ), mode, bases, measured
 
 
 def join_segments(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  broadcast_bytes: int | None = None) -> tuple[DataFrame, bool]:
+                  broadcast_bytes: int | None = None,
+                  measured: tuple[int, int] | None = None) -> tuple[DataFrame, bool]:
     """Join a small per-segment table onto ``big`` (which holds ``_pkey``, the hash of
     ``keys``); keys match null-safely. Returns the frame and whether it was broadcast.
 
@@ -337,9 +339,10 @@ def join_segments(big: DataFrame, small: DataFrame, keys: Sequence[str], how: st
     ``broadcast_bytes``, which keeps ``big``'s partitioning. Beyond that both sides
     meet on ``_pkey`` alone (the keys as a residual condition), so a ``big``
     already partitioned on ``_pkey`` is not exchanged and any other is exchanged
-    exactly as the window after it needs."""
+    exactly as the window after it needs. ``measured`` (rows, bytes) skips
+    measuring ``small`` again when the caller knows its size."""
     limit = DEFAULT_BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    n, size = table_size(small)  # cheap: the table is checkpointed and small
+    n, size = measured if measured is not None else table_size(small)
     if n <= broadcast_rows and size <= limit:
         return _null_safe_join(big, small, keys, how, broadcast_rows, n_rows=0), True
     right = small.select(F.xxhash64(*keys).alias("__r_pkey"), *[F.col(k).alias(f"__r_{k}") for k in keys],
@@ -386,10 +389,11 @@ def running_sum(
 
 def _running_sum(df, size, order, partition_by=(), segment=None, n_segments=None, out="cum",
                  broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS):
-    """(frame, mode, offsets table or None); the offsets' base column is ``_size_base``."""
+    """(frame, mode, offsets table or None, its measured (rows, bytes) or None); the
+    offsets' base column is ``_size_base``."""
     size_c = size if isinstance(size, Column) else F.col(size)
-    res, mode, bases = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments, broadcast_rows,
-                                     split_rows)
+    res, mode, bases, measured = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments,
+                                               broadcast_rows, split_rows)
     if bases is not None:
         bases = bases.withColumnRenamed("_sz_0_base", "_size_base")
-    return res.withColumnRenamed("_sz_0", "_size"), mode, bases
+    return res.withColumnRenamed("_sz_0", "_size"), mode, bases, measured
