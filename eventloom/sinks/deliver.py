@@ -1,10 +1,11 @@
 """Delivering payloads: one call per batch on the executors, one receipt per batch.
 
 The transport is a caller-supplied ``send(payload: str, destination: dict) -> str``
-that runs on executors (an HTTP client, a message-queue producer, ...). Batches
-stay spread over tasks by (destination, batch) hash, and each task sends its
-share in (destination, batch_id) order, so a destination holding most of the
-data is not funnelled through one task.
+that runs on executors (an HTTP client, a message-queue producer, ...). Payloads
+are sent from the tasks that built them (a destination cut into segments by its
+segments' tasks, so one holding most of the data is not funnelled through one
+task), or re-spread over ``tasks``; each task sends its share in
+(destination, batch_id) order.
 
 Task retries and speculative tasks can call ``send`` again for a batch, so
 delivery is at-least-once. Every receipt carries ``batch_key``, a SHA-256 of
