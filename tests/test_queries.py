@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from eventloom.plans.catalog import ORACLES, QUERIES
 from eventloom.sources.tables import TABLES
 from tools.check_oracles import canon
 from tools.check_types import SPARK_TO_DUCK
@@ -20,14 +21,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMOKE)
+    df = QUERIES[name](spark, SF_SMOKE)
     got, got_cols = canon(df.columns, [tuple(r) for r in df.collect()])
-    res = con.sql(oracle_sql()[name])
+    res = con.sql(ORACLES[name])
     want, want_cols = canon(res.columns, res.fetchall())
     assert got_cols == want_cols
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema}
