@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,13 +81,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp) of every row; fp is the fingerprint as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": b["id"], "fp": fps})
+            fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps)], names=["id", "fp"])
 
     kind = dict(documents.dtypes)[id_col]
-    return documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInPandas(run, f"id {kind}, fp long")
+    return documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
 
 def pivots(n: int = PIVOTS) -> list[int]:
