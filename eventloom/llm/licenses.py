@@ -21,7 +21,6 @@ than the id and the text are not read.
 from __future__ import annotations
 
 import re
-import string
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
@@ -37,8 +36,8 @@ CONTAINED = 0.8
 SHORT = 16
 LINE, PARAGRAPH = 64, 400
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+# On UTF-8 bytes: lower() changes A-Z alone, and all bytes of other scripts belong to words.
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 # The base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -65,31 +64,31 @@ class Template(NamedTuple):
     least: int
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.translate(_LOWER))
+def words_of(text: bytes) -> list[bytes]:
+    return _WORD.findall(text.lower())
 
 
 def prepared(templates: Sequence[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED) -> list[Template]:
     out = []
     for k, (label, text) in enumerate(templates):
-        words = frozenset(words_of(text))
+        words = frozenset(w.decode() for w in words_of(text.encode()))
         tenths = round(contained * 10)
         out.append(Template(k, label, words, len(words) <= SHORT, -(-len(words) * tenths // 10)))
     return out
 
 
-def windows(words: list[str], size: int) -> Iterator[tuple[int, list[str]]]:
+def windows(words: list[bytes], size: int) -> Iterator[tuple[int, list[bytes]]]:
     """(start, words) of windows of ``size`` words, one every half of it."""
     step = size // 2
     for at in range(0, max(1, len(words) - step), step):
         yield at, words[at : at + size]
 
 
-def phrase_places(words: list[str], phrases: Sequence[tuple[str, str]] = PHRASES) -> dict[str, list[int]]:
+def phrase_places(words: list[bytes], phrases: Sequence[tuple[str, str]] = PHRASES) -> dict[str, list[int]]:
     """label -> starts of the places where the phrase's words stand one after the other."""
     out: dict[str, list[int]] = {}
     for phrase, label in phrases:
-        p = phrase.split(" ")
+        p = phrase.encode().split(b" ")
         at = -1
         try:
             while True:
@@ -108,15 +107,15 @@ _ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "arr
 
 def _parts(templates: list[Template]):
     """Of each text: its base result ('d'), the blocks that are long enough ('b'), and of each batch the lines of each word ('t')."""
-    vocabulary = frozenset().union(*(t.words for t in templates)) if templates else frozenset()
+    vocabulary = frozenset(w.encode() for t in templates for w in t.words)
     least = {s: min((t.least for t in templates if t.short == s), default=None) for s in (True, False)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, lines_with = [], Counter()
             for row, key, text in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "text"))):
-                every: list[str] = []
-                paragraph: list[str] = []
+                every: list[bytes] = []
+                paragraph: list[bytes] = []
                 blocks = []
 
                 def close() -> None:
@@ -125,7 +124,7 @@ def _parts(templates: list[Template]):
                             blocks.append((False, len(every) - len(paragraph) + at, w))
                     paragraph.clear()
 
-                for line in (text or "").split("\n"):
+                for line in (text or "").encode("utf-8", "surrogatepass").split(b"\n"):
                     w = words_of(line)
                     if not w:
                         if not line.strip():
@@ -141,11 +140,11 @@ def _parts(templates: list[Template]):
                     if short:
                         lines_with.update(known)
                     if known and least[short] is not None and len(known) >= least[short]:
-                        rows.append((row, None, "b", None, None, None, None, None, None, None, short, at, sorted(known)))
+                        rows.append((row, None, "b", None, None, None, None, None, None, None, short, at, sorted(w.decode() for w in known)))
                 places = phrase_places(every)
                 starts = [s for x in places.values() for s in x]
                 rows.append((row, key, "d", len(every), len(starts), min(starts, default=None), max(starts, default=None), sorted(places), None, None, None, None, None))
-            rows += [(None, None, "t", None, None, None, None, None, w, n, None, None, None) for w, n in lines_with.items()]
+            rows += [(None, None, "t", None, None, None, None, None, w.decode(), n, None, None, None) for w, n in lines_with.items()]
             kinds = [(c.split()[0], _ARROW.get(c.split()[1], batch.schema.field("id").type)) for c in _PARTS.split(", ")]
             columns = zip(*rows) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])

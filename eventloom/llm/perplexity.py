@@ -37,7 +37,7 @@ from eventloom.llm.common import small_side, stored
 
 ORDER = 4
 BATCH_BYTES = 8 << 20
-QUANTILE, SLACK, LEAST_TRUSTED = 0.99, 1.15, 50
+QUANTILE, SLACK, LEAST_TRUSTED, STEADY = 0.99, 1.15, 50, 40
 #: Trusted ids of up to so many are broadcast (8 bytes each); more are shuffled.
 TRUSTED = 2_000_000
 
@@ -147,7 +147,7 @@ def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     logp = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
     of: dict[str, float] = {}
-    out = []
+    out, sizes = [], []
     for text in texts.column("text").to_pylist():
         total, n = 0.0, 0
         for word in _WORD.findall(text or ""):
@@ -159,7 +159,8 @@ def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
             total += value
             n += len(word) + 1
         out.append(math.exp(-total / n) if n else None)
-    return pa.table([texts.column("id"), texts.column("lang"), pa.array(out, pa.float64())], names=["id", "lang", "perplexity"])
+        sizes.append(n)
+    return pa.table([texts.column("id"), texts.column("lang"), pa.array(out, pa.float64()), pa.array(sizes, pa.int64())], names=["id", "lang", "perplexity", "n"])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -168,19 +169,19 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(id, lang, perplexity) of every row; the model is counted over the documents whose id is in ``trusted``."""
+    """(id, lang, perplexity, n) of every row, n being the characters and word ends it is over; the model is counted over the documents whose id is in ``trusted``."""
     learned = documents.select("doc_id", "text").join(small_side(trusted, TRUSTED), F.col("doc_id") == F.col("trusted_id"), "left_semi")
     counts = stored(learned.select("text").mapInArrow(_count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     kind = dict(documents.dtypes)
     if counts.isEmpty():
-        return documents.select(F.col("doc_id").alias("id"), "lang", F.lit(None).cast("double").alias("perplexity"))
+        return documents.select(F.col("doc_id").alias("id"), "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(0).cast("long").alias("n"))
     model, contexts, floor = build_model(counts)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batch = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(max(1, math.ceil(size / BATCH_BYTES))))
     dealt = documents.select(F.col("doc_id").alias("id"), "lang", "text", batch.alias("batch")).repartition("batch")
     asked = dealt.mapInArrow(_questions, "batch long, gram string")
     answers = asked.join(log_probabilities(asked.select("gram").distinct(), model, contexts, floor), "gram").select("batch", "gram", "logp")
-    scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score, f"id {kind['doc_id']}, lang {kind['lang']}, perplexity double")
+    scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score, f"id {kind['doc_id']}, lang {kind['lang']}, perplexity double, n long")
     return stored(scored, "perplexities")
 
 
@@ -190,12 +191,16 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     scored = perplexities(documents, trusted)
     known = scored.join(small_side(trusted, TRUSTED), F.col("id") == F.col("trusted_id"), "left_semi").where("perplexity IS NOT NULL")
     cut = (F.percentile_approx("perplexity", QUANTILE, 10_000) * SLACK).alias("own")
-    overall = known.agg(cut).first()[0]
-    by = known.groupBy(F.col("lang").alias("of")).agg(cut, F.count("*").alias("n")).where(f"n >= {LEAST_TRUSTED} AND of IS NOT NULL").drop("n")
+    middle = F.percentile_approx("perplexity", 0.5, 10_000).alias("usual")
+    overall, usual = known.agg(cut, middle).first()
+    by = known.groupBy(F.col("lang").alias("of")).agg(cut, middle, F.count("*").alias("trusted_n")).where(f"trusted_n >= {LEAST_TRUSTED} AND of IS NOT NULL")
     rows = scored.join(small_side(stored(by, "thresholds"), 100_000), F.col("lang") == F.col("of"), "left")
+    # A few words say little: their perplexity counts as if STEADY usual characters stood beside them.
+    ours = F.log(F.coalesce("usual", F.lit(usual).cast("double")))
+    held = F.exp((F.log("perplexity") * F.col("n") + ours * STEADY) / (F.col("n") + STEADY))
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
-    rows = rows.select(F.col("id").alias("doc_id"), "lang", "perplexity", threshold.alias("threshold"))
+    rows = rows.select(F.col("id").alias("doc_id"), "lang", "perplexity", threshold.alias("threshold"), held.alias("held"))
     if overall is None:
         texts = documents.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), "text")
         return texts.select("doc_id", "lang", "perplexity", "threshold", F.coalesce(F.regexp_like("text", F.lit(_WORD.pattern)), F.lit(False)).alias("kept"))
-    return rows.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
+    return rows.withColumn("kept", F.coalesce(F.col("held") <= F.col("threshold"), F.lit(False))).drop("held")
