@@ -41,11 +41,18 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+def _either_case(word: str) -> str:
+    """ASCII letters in either case; unlike a flag, the same in all engines (some fold s with the long s)."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_NAMED = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+
 # The base kinds in their listed order. A run of 32 or more hex digits
 # is the only one whose length is in the pattern: shorter runs can't hold a match, so
 # the result is that of matching every run and dropping the short ones.
 BASE_RULES = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
+    Rule("assign", rf"""(?:{_NAMED})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
@@ -131,7 +138,8 @@ def scan_versions(versions: DataFrame, path: Sequence[str], text: str, ledger: s
     found = rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list(F.expr(spans_of)))).alias("spans"))
     ranked = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), (F.array_position(kinds, s["kind"]) - 1).cast("int").alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
-    blob, spans = fresh(versions, "blob"), fresh(versions, "spans")
+    only = versions.select(*path)
+    blob, spans = fresh(only, "blob"), fresh(only, "spans")
     found = found.select(F.col("blob").alias(blob), F.sort_array(ranked).alias(spans))
     paths = versions.select(*path, blob_of(F.col(text)).alias(blob))
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")

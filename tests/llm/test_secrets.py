@@ -1,0 +1,86 @@
+import hashlib
+import random
+import re
+
+import duckdb
+import pytest
+
+from eventloom.llm import secrets
+from eventloom.session import scratch_path
+
+SCHEMA = "doc_id long, text string, blob string, spans string, extra int"
+ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute(text):
+    """The base spans, as the contract words them."""
+    text = text or ""
+    spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    rank = ["assign", "access", "hex"]
+    spans.sort(key=lambda s: (s[1], rank.index(s[0])))
+    return {k: sum(s[0] == k for s in spans) for k in rank}, ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+PIECES = [
+    "token = ", "secret=", "PassWord: '", "api_key=\"", "apikey:", "abcdefgh", "token=token:", "AKIA", "AKIAAKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef" * 2, "deadbeef" * 4, "DEADBEEF" * 5,
+    " ", "\n", "é", "😀", "ſecret=abcdefghij", "x", "=", "'", "a1b2c3d4e5", "passwd", "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1B2" * 9,
+]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rnd = random.Random(5)
+    out = ["".join(rnd.choices(PIECES, k=rnd.randint(1, 12))) for _ in range(300)]
+    return out + [None, "", out[0], out[0], "token = abcdefghijkl " * 5000]
+
+
+def frame(spark, texts):
+    rows = [(k if k % 50 else None, t, "clash", "clash", 1) for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_spans_match_brute_force(spark, texts):
+    got = secrets.secret_digest(frame(spark, texts), scratch_path(spark, "ledger")).collect()
+    assert len(got) == len(texts)
+    want = []
+    for k, t in enumerate(texts):
+        n, base = brute(t)
+        want.append((k if k % 50 else None, n["assign"], n["access"], n["hex"], hashlib.sha256(base.encode()).hexdigest()))
+    assert sorted(tuple(r)[:5] for r in got if r.doc_id is not None) == sorted(w for w in want if w[0] is not None)
+    assert sorted(tuple(r)[1:5] for r in got if r.doc_id is None) == sorted(w[1:] for w in want if w[0] is None)
+    assert any("pem:" in r.spans for r in got) and any("github:" in r.spans for r in got)
+
+
+def test_oracle_on_awkward_texts(spark, texts):
+    con = duckdb.connect()
+    con.register("documents", frame(spark, texts).select("doc_id", "text").toPandas().dropna(subset=["doc_id"]).astype({"doc_id": "int64"}))
+    want = sorted(map(tuple, con.sql(secrets.ORACLE).fetchall()), key=repr)
+    got = secrets.secret_digest(frame(spark, texts).where("doc_id IS NOT NULL"), scratch_path(spark, "ledger")).collect()
+    assert sorted(map(tuple, got), key=repr) == want
+
+
+def test_only_unseen_pairs_are_scanned(spark):
+    ledger = scratch_path(spark, "ledger")
+    one = spark.createDataFrame([("a", 1, "token = abcdefgh1"), ("b", 1, "clean"), ("a2", 1, "token = abcdefgh1")], "path string, version int, text string")
+    two = one.union(spark.createDataFrame([("a", 2, "secret=zyxwvuts9"), ("c", 1, "clean")], one.schema))
+    first = secrets.scan_versions(one, ["path", "version"], "text", ledger, secrets.BASE_RULES).collect()
+    assert {(r.path, len(r.spans)) for r in first} == {("a", 1), ("a2", 1), ("b", 0)}
+    assert secrets.read_ledger(spark, ledger).count() == 2  # two blobs in three versions
+    second = secrets.scan_versions(two, ["path", "version"], "text", ledger, secrets.BASE_RULES).collect()
+    assert secrets.read_ledger(spark, ledger).count() == 3  # one new blob
+    assert sorted((r.path, r.version, len(r.spans)) for r in second) == [("a", 1, 1), ("a", 2, 1), ("a2", 1, 1), ("b", 1, 0), ("c", 1, 0)]
+    # A new version of one rule: every blob once more, by that rule alone; the old version's spans no longer count.
+    newer = (secrets.Rule("assign", r"(secret)=([a-z0-9]+)", 2, 8, version=2), *secrets.BASE_RULES[1:])
+    third = secrets.scan_versions(two, ["path", "version"], "text", ledger, newer).collect()
+    rows = secrets.read_ledger(spark, ledger)
+    assert rows.where("array_contains(rules, 'assign@2')").count() == 3
+    assert rows.where("array_contains(rules, 'assign@2') AND size(rules) = 1").count() == 3
+    assert sorted((r.path, r.version, len(r.spans)) for r in third) == [("a", 1, 0), ("a", 2, 1), ("a2", 1, 0), ("b", 1, 0), ("c", 1, 0)]
+    secrets.scan_new(two, "text", ledger, newer)
+    assert secrets.read_ledger(spark, ledger).count() == 6
+
+
+def test_empty_table(spark):
+    assert secrets.secret_digest(frame(spark, []), scratch_path(spark, "ledger")).count() == 0
