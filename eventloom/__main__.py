@@ -25,18 +25,23 @@ from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD
 from eventloom.operators.format import DESTINATION, with_destination
 from eventloom.plans.search import run_search
-from eventloom.plans.ship import ship, table_batches
-from eventloom.operators.batching import batch_events
+from eventloom.plans.ship import batch_file_lines, ship, table_batches
 from eventloom.sinks.deliver import md5_sender
 from eventloom.sinks.export import MODES
 from eventloom.sinks.http import http_post_sender
-from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, read_event_file
+from eventloom.sources.text import read_event_file
+
+
+#: Destinations whose totals are printed, and the most lines that a search file has.
+SHOWN, SEARCH_LINES = 100, 10_000
 
 
 def read_search_file(spark: SparkSession, path: str) -> str:
     """The predicate in a search file: non-comment lines joined with spaces (a small
     driver-side read of one file)."""
-    lines = [r.value for r in spark.read.text(path).collect()]
+    lines = [r.value for r in spark.read.text(path).limit(SEARCH_LINES + 1).collect()]
+    if len(lines) > SEARCH_LINES:
+        raise SystemExit(f"{path} has over {SEARCH_LINES} lines: not a search file")
     kept = [line for line in lines if not line.strip().startswith("#")]
     text = " ".join(kept).strip()
     if not text:
@@ -60,7 +65,7 @@ def cmd_ship(spark: SparkSession, a: argparse.Namespace) -> dict:
     if a.file:
         lines = read_event_file(spark, a.file)
         routed = with_destination(lines, index=a.index, source=a.source, sourcetype=a.sourcetype)
-        payloads = batch_events(routed, list(FILE_ORDER), a.block_size, segment=list(FILE_SEGMENT))
+        payloads = batch_file_lines(routed, a.block_size)
     else:
         if not a.order:
             raise SystemExit("--table needs --order (a unique event order, e.g. an event id)")
@@ -75,8 +80,10 @@ def cmd_ship(spark: SparkSession, a: argparse.Namespace) -> dict:
                                   defaults={d: F.col(f"__field_{d}") for d in taken})
         payloads = table_batches(routed, a.order.split(","), fields, a.ts or None, a.delim, a.block_size)
     send = http_post_sender(a.url, _headers(a.header), a.timeout) if a.url else md5_sender
-    receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts, a.tasks)
-    return {"totals": [r.asDict() for r in totals.collect()], "rejected_batches": rejected.count()}
+    receipts, rejected, totals = ship(payloads, send, a.limit, a.receipts, a.tasks, a.send_order, a.shipment)
+    out = {"destinations": totals.count(), "rejected_batches": rejected.count()}
+    most = totals.orderBy(F.desc("read_bytes")).limit(SHOWN)  # printed; the ledger has all
+    return {**out, "totals": [r.asDict() for r in most.collect()]}
 
 
 def cmd_search(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -111,6 +118,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--block-size", type=int, default=BLOCK_SIZE)
     s.add_argument("--limit", type=int, default=MAX_PAYLOAD, help="largest payload sent; larger ones are dead letters")
     s.add_argument("--receipts", help="where the per-batch ledger is written (default: below spark.checkpoint.dir)")
+    s.add_argument("--send-order", choices=("none", "destination"), default="destination",
+                   help="'destination': each one's batches one after the other; 'none': all tasks at once")
+    s.add_argument("--shipment", help="id of this shipment in batch keys (default: a new one)")
     s.add_argument("--tasks", type=int, help="number of concurrent sending tasks (default: as partitioned)")
 
     q = sub.add_parser("search", help="search a table and export the results")

@@ -52,7 +52,7 @@ def field_pairs(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "ba
     d = len(delim)
 
     def entry(p: Column) -> Column:
-        name = F.substring_index(F.substring(p, d + 1, 1 << 30), '="', 1)
+        name = F.substring_index(p.substr(F.lit(d + 1), F.length(p)), '="', 1)
         n = F.length(name)
         value = F.substring(p, n + d + 3, F.length(p) - n - d - 3)
         if escape == "backslash":

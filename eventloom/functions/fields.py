@@ -94,10 +94,12 @@ def event_size(
     compat: bool = False,
     with_timestamp: bool = True,
     unit: str = "bytes",
+    wire: bool = False,
 ) -> Column:
     """Size of :func:`event_text` without building the text: the literal parts'
     sizes plus each value's size (the timestamp has a fixed width in the
-    default layout)."""
+    default layout). With ``wire``, of the text as it is sent, where CRLF is one LF
+    (a value is always followed by its quote, so none spans two parts)."""
     measure = F.octet_length if unit == "bytes" else F.length
     normalized = normalize_fields(fields)
     const = sum(len(f'{delim}{name}="'.encode() if unit == "bytes" else f'{delim}{name}="') + 1
@@ -111,7 +113,8 @@ def event_size(
             t = to_col(ts)
             total = total + F.when(F.year(t).between(1000, 9999), F.lit(TS_TEXT_WIDTH)).otherwise(measure(text))
     for _, c in normalized:
-        total = total + measure(value_text(c, escape))
+        value = value_text(c, escape)
+        total = total + measure(F.replace(value, F.lit("\r\n"), F.lit("\n")) if wire else value)
     return total.cast("long")
 
 

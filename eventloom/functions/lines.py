@@ -40,6 +40,14 @@ def wire_text(text: Column | str) -> Column:
     return F.when(F.size(lines) == 0, F.lit("")).otherwise(F.concat(F.array_join(lines, LF), F.lit(LF)))
 
 
+def wire_event(text: Column | str) -> Column:
+    """One event's text with its line ends as they are sent: CRLF and CR become LF, and a
+    CR at the end is part of the line end that follows. Other text is left alone."""
+    t = to_col(text)
+    ended = F.replace(F.replace(F.concat(t, F.lit(LF)), F.lit("\r\n"), F.lit(LF)), F.lit("\r"), F.lit(LF))
+    return F.when(F.instr(t, "\r") == 0, t).otherwise(ended.substr(F.lit(1), F.length(ended) - 1))
+
+
 def array_payload(arr: Column | str) -> Column:
     """Payload of an array of events: each element followed by LF; ``''`` for an empty array."""
     a = to_col(arr)

@@ -12,7 +12,6 @@ from eventloom.functions.common import to_col
 # number (``.7``, ``.45``) the way the original builder's pattern
 # ``yyyy-MM-dd'T'HH:mm:ss.SZ`` does.
 EVENT_TS_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
-COMPAT_TS_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SZ"
 
 
 def event_timestamp(ts: Column | str | None = None, compat: bool = False) -> Column:
@@ -24,6 +23,12 @@ def event_timestamp(ts: Column | str | None = None, compat: bool = False) -> Col
     return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss."), millis, F.date_format(t, "Z"))
 
 
-def parse_event_timestamp(text: Column | str) -> Column:
-    """Inverse of :func:`event_timestamp` (default layout) as ``timestamp_ntz`` in the session zone."""
-    return F.to_timestamp(to_col(text), EVENT_TS_PATTERN).cast("timestamp_ntz")
+def parse_event_timestamp(text: Column | str, compat: bool = False) -> Column:
+    """Inverse of :func:`event_timestamp` as ``timestamp_ntz`` in the session zone; null for
+    text that is no event timestamp. ``compat`` reads the bare millisecond number."""
+    t = to_col(text)
+    if compat:
+        millis = F.regexp_extract(t, r"\.([0-9]{1,3})[+-][0-9]{4}$", 1)
+        padded = F.concat(F.substring_index(t, ".", 1), F.lit("."), F.lpad(millis, 3, "0"), F.right(t, F.lit(5)))
+        t = F.when(millis != "", padded)
+    return F.try_to_timestamp(t, F.lit(EVENT_TS_PATTERN)).cast("timestamp_ntz")

@@ -43,13 +43,10 @@ def _add_months(t: dt.datetime, months: int) -> dt.datetime:
     return t.replace(year=y, month=m + 1, day=day)
 
 
-def _shift(t: dt.datetime, n: int, unit: str) -> dt.datetime:
-    if unit == "s":
-        return t + dt.timedelta(seconds=n)
-    if unit == "m":
-        return t + dt.timedelta(minutes=n)
-    if unit == "h":
-        return t + dt.timedelta(hours=n)
+def _shift(t: dt.datetime, n: int, unit: str, zone: str = "UTC") -> dt.datetime:
+    if unit in ("s", "m", "h"):  # elapsed time, also across a clock change
+        step = dt.timedelta(seconds=n * {"s": 1, "m": 60, "h": 3600}[unit])
+        return _wall(t.replace(tzinfo=ZoneInfo(zone)).astimezone(dt.UTC) + step, zone)
     if unit == "d":
         return t + dt.timedelta(days=n)
     if unit == "w":
@@ -110,7 +107,7 @@ def resolve_time(spec: str | dt.datetime | None, now: dt.datetime | str, zone: s
             if unit is None:
                 raise ValueError(f"unknown time unit in {spec!r}")
             n = int(m.group("n") or 1)
-            t = _shift(t, -n if m.group("sign") == "-" else n, unit)
+            t = _shift(t, -n if m.group("sign") == "-" else n, unit, zone)
         if m.group("snap"):
             unit = _UNITS.get(m.group("snap"))
             if unit is None:

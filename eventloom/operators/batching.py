@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.lines import LF, byte_length, split_lines, wire_text
+from eventloom.functions.fields import NULL_TEXT
+from eventloom.functions.lines import LF, byte_length, split_lines, wire_event, wire_text
 from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, _running_sum, join_segments
 
 # Read block size, and the largest payload accepted
@@ -52,6 +53,13 @@ def _raw_col(raw: Column | str) -> Column:
     return raw if isinstance(raw, Column) else F.col(raw)
 
 
+def sent_text(raw: Column | str, normalize: bool = True) -> Column:
+    """An event as it is sent: a null event is the text ``null``; with ``normalize``
+    its line ends (CR, CRLF) are LFs, so that the payload needs no second split."""
+    text = F.coalesce(_raw_col(raw).cast("string"), F.lit(NULL_TEXT))
+    return wire_event(text) if normalize else text
+
+
 def assign_batches(
     df: DataFrame,
     order: Sequence[str],
@@ -63,9 +71,13 @@ def assign_batches(
     n_segments: int | None = None,
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
+    normalize: bool = True,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
+    A null event is sent, and sized, as ``null``. With ``normalize`` CR and CRLF in an
+    event are sent, and sized, as LF.
+
     ``order`` is the event order (unique per destination), e.g. ``["event_id"]``
     or the file order key of :func:`eventloom.sources.read_event_file`. Its first
     column should be a number, time or date, which large destinations are cut on;
@@ -76,17 +88,19 @@ def assign_batches(
     so the shuffle carries the narrower source columns, not the text.
     ``size`` may give the event's size directly (e.g.
     :func:`eventloom.functions.fields.event_size`) so the text is not built
-    just to be measured; it must equal the size of ``raw`` in ``unit``.
+    just to be measured; it must equal the size of ``raw`` in ``unit`` as it is sent
+    (``event_size(..., wire=normalize)``); null stands for a null event.
     """
-    return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size)[0]
+    return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size, normalize)[0]
 
 
 def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segment=None, unit="bytes",
-            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None) -> tuple[DataFrame, str]:
+            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True):
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
-    size = (size if size is not None else byte_length(_raw_col(raw), unit)) + F.lit(1)
+    size = F.coalesce(size, F.lit(len(NULL_TEXT))) if size is not None else byte_length(sent_text(raw, normalize), unit)
+    size = size + F.lit(1)
     with_cum, mode, bases, measured = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
                                                    split_rows=split_rows)
     return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode, bases, measured
@@ -107,8 +121,10 @@ def build_payloads(
     segments: DataFrame | None = None,
     block_size: int | None = None,
     segments_size: tuple[int, int] | None = None,
+    normalize: bool = True,
 ) -> DataFrame:
     """One row per (destination, batch): ``batch_id, n_events, n_bytes, payload``.
+    ``n_events`` counts events (rows); one whose text holds line ends is several lines.
 
     Each event is followed by one LF. Pieces are first joined per
     (destination, segment, batch) where the rows already sit after the running
@@ -126,7 +142,7 @@ def build_payloads(
     dest = present_destination(assigned, destination)
     seg_keys = [PKEY, *dest, SEG] if PKEY in assigned.columns else [*dest, SEG]
     by_order = ", ".join(f"`{c}`" for c in order)
-    lines = assigned.withColumn("_line", F.concat(_raw_col(raw), F.lit(LF)))
+    lines = assigned.withColumn("_line", F.concat(sent_text(raw, normalize), F.lit(LF)))
     pieces = lines.groupBy(*seg_keys, "batch_id").agg(
         F.expr(f"listagg(_line, '') WITHIN GROUP (ORDER BY {by_order})").alias("_piece"),
         F.count(F.lit(1)).alias("_n"),
@@ -184,12 +200,13 @@ def batch_events(
     unit: str = "bytes",
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
+    normalize: bool = True,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`."""
     assigned, mode, bases, measured = _assign(df, order, block_size, raw, destination, segment, unit,
-                                              split_rows=split_rows, size=size)
+                                              split_rows=split_rows, size=size, normalize=normalize)
     return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"), segments=bases,
-                          block_size=block_size, segments_size=measured)
+                          block_size=block_size, segments_size=measured, normalize=normalize)
 
 
 def value_payloads(df: DataFrame, text: Column | str, keys: Sequence[str] = (), unit: str = "bytes") -> DataFrame:

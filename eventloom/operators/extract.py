@@ -20,13 +20,15 @@ def extract_fields(
     escape: str = "none",
     time_out: str | None = "_time",
     keep: Sequence[str] = (),
+    compat: bool = False,
 ) -> DataFrame:
     """One string column per name (null when the event lacks it), plus the parsed
-    event time in ``time_out``. All names come from one pass over the text
+    event time in ``time_out`` (null for a line without a stamp; ``compat`` as the
+    formatter had it). All names come from one pass over the text
     (:func:`eventloom.functions.extract.fields_map`)."""
     cols = [F.col(k) for k in keep]
     if time_out:
-        cols.append(parse_event_timestamp(event_time_text(raw, delim)).alias(time_out))
+        cols.append(parse_event_timestamp(event_time_text(raw, delim), compat).alias(time_out))
     # project the pairs once; looking names up in a second projection keeps
     # Catalyst from inlining (and re-running) the scan once per name
     with_pairs = df.select(*cols, field_pairs(raw, delim, escape).alias("_pairs"))

@@ -5,12 +5,16 @@ of a partition in one task; with one destination, or one that holds a third of
 all rows, that task holds a third of the data. Instead:
 
 1. cut the order into *segments*: stored, order-preserving values. Either
-   explicit columns such as ``(file_path, file_block_start)``, or quantile
-   buckets of the first order column (``approxQuantile`` on a sample of about
-   200 rows per segment, then a JVM-side binary search), so segments hold about
-   the same number of rows even when keys are clustered. Only *hot* partitions are cut: those with more than
-   ``split_rows`` rows (at most ``max_hot`` of them, largest first). A partition
-   below that is one segment with base 0, handled whole by one window task;
+   explicit columns such as ``(file_path, file_block_start)``, or buckets whose
+   boundaries come from a fixed-seed sample of the order. A number, time or date
+   that comes first is bucketed by quantiles of its value as a double (a JVM-side
+   binary search; rounding can only put neighbours in one bucket). Where that is
+   not enough - a first column of another type, or keys that fill several
+   quantiles alone, because they repeat or because doubles cannot tell them apart -
+   the boundaries are whole order keys, compared in their own types column by
+   column, so text keys and heavy leading values are cut like any others. Only
+   *hot* partitions are cut: those with more than ``split_rows`` rows. Smaller ones
+   are one segment with base 0, handled whole by one window task;
 2. sum each hot (partition, segment) and run a small window over those totals to
    get each segment's base offset. That table has at most
    ``hot partitions x segments`` rows; it is checkpointed to the shared
@@ -33,9 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     DateType,
-    LongType,
     NumericType,
-    StructField,
     StringType,
     StructType,
     TimestampNTZType,
@@ -52,16 +54,16 @@ PKEY = "_pkey"  # hash of (partition, segment): the one exchange the window and
 # either bound the join shuffles.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-# A partition with more rows than this is cut into segments.
+# A partition with more rows than this is cut into segments of about a quarter of it.
 DEFAULT_SPLIT_ROWS = 1_000_000
-# At most this many hot partitions are cut (largest first); the list goes to the driver.
-MAX_HOT = 10_000
-MAX_SEGMENTS = 100_000
+# Boundaries are literals of the plan; beyond these many, segments hold more rows.
+MAX_SEGMENTS = 10_000
 
 
-def default_segments(df: DataFrame) -> int:
-    sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, min(MAX_SEGMENTS, 4 * sp))
+def default_segments(rows: int, split_rows: int | None = DEFAULT_SPLIT_ROWS) -> int:
+    """Segments for so many rows: a quarter of ``split_rows`` in each."""
+    per = max(1, (split_rows if split_rows is not None else DEFAULT_SPLIT_ROWS) // 4)
+    return max(2, min(MAX_SEGMENTS, math.ceil(rows / per)))
 
 
 def key_number(df: DataFrame, key: str) -> Column | None:
@@ -115,23 +117,19 @@ def _bucketize(df: DataFrame, key: str, splits: list[float], out: str) -> DataFr
 
 def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, out: str = SEG) -> DataFrame:
     """Add ``out``: an order-preserving bucket of ``key`` with about equal row counts."""
-    n = n_segments or default_segments(df)
-    return _bucketize(df, key, _splits(df, key, n, df.count()), out)
+    rows = df.count()
+    return _bucketize(df, key, _splits(df, key, n_segments or default_segments(rows), rows), out)
 
 
-def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
-                   max_hot: int = MAX_HOT) -> tuple[DataFrame, int] | None:
-    """The partitions with more than ``split_rows`` rows (largest ``max_hot``), as a
-    small DataFrame of their keys, their row count ``_n`` and ``_hot = true``, with
-    the total rows they hold; ``None`` when there are none."""
-    spark = df.sparkSession
+def hot_partitions(df: DataFrame, partition_by: Sequence[str],
+                   split_rows: int = DEFAULT_SPLIT_ROWS) -> tuple[DataFrame, int] | None:
+    """The partitions with more than ``split_rows`` rows, as a checkpointed DataFrame of
+    their keys, their row count ``_n`` and ``_hot = true``, with the total rows
+    they hold; ``None`` when there are none. The list stays off the driver."""
     counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(max_hot).collect()
-    if not top:
-        return None
-    schema = StructType([*df.select(*partition_by).schema.fields, StructField("_n", LongType(), False)])
-    rows = [(*(r[c] for c in partition_by), int(r["_n"])) for r in top]
-    return spark.createDataFrame(rows, schema).withColumn(HOT, F.lit(True)), sum(r[-1] for r in rows)
+    hot = counts.where(F.col("_n") > split_rows).withColumn(HOT, F.lit(True)).checkpoint(eager=True)
+    total = hot.agg(F.sum("_n")).first()[0]
+    return (hot, int(total)) if total else None
 
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
@@ -182,58 +180,64 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how:
     return big.join(side, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-# At most this many heavy leading-key values are cut again by the next order column.
-MAX_HEAVY_VALUES = 32
-_AFTER = 1 << 30  # sub-segment of rows after a heavy value inside its bucket
+def _comparable(df: DataFrame, c: str) -> Column:
+    """An order column as a value that a boundary read by the driver can be compared
+    with exactly: times and dates as whole numbers, everything else in its own type."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(F.col(c))
+    if isinstance(kind, DateType):
+        return F.unix_date(F.col(c))
+    if isinstance(kind, TimestampNTZType):
+        return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.col(c)
+
+
+def _key_segments(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None) -> DataFrame:
+    """``_seg`` = how many of at most ``n - 1`` boundaries, whole keys in ``order``, are
+    not after the row's key. Boundaries are every ``SAMPLE_ROWS_PER_KEY``-th row of
+    a sorted sample (bounded by ``SAMPLE_ROWS_PER_KEY * n`` rows)."""
+    sampled = (df if where is None else df.where(where)).select(
+        F.struct(*[_comparable(df, c).alias(f"k{i}") for i, c in enumerate(order)]).alias("key"))
+    frac = SAMPLE_ROWS_PER_KEY * n / max(rows or sampled.count(), 1)
+    if frac < 1.0:
+        sampled = sampled.sample(withReplacement=False, fraction=frac, seed=23)
+    got = sampled.agg(F.sort_array(F.collect_list("key")).alias("keys")).select(
+        F.size("keys").alias("n"), F.col("keys")).first()
+    step = max(1, math.ceil(got["n"] / n))
+    bounds = sorted(range(step, got["n"], step))
+    keys = list(dict.fromkeys(tuple(got["keys"][i]) for i in bounds))
+    if not keys:
+        return df.withColumn(SEG, F.lit(0))
+    fields = sampled.schema["key"].dataType.fields
+    table = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(k, fields)]) for k in keys])
+    key = F.struct(*[_comparable(df, c).alias(f.name) for c, f in zip(order, fields)])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(keys).bit_length()))])
+    # binary search: take a step while the boundary it reaches is not after the key
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(keys)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
+    return df.withColumn(SEG, found)
+
+
+# Rows of the sorted sample per boundary that is a whole key.
+SAMPLE_ROWS_PER_KEY = 20
 
 
 def _segment(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None) -> DataFrame:
-    """``_seg`` for the rows selected by ``where`` (all rows when ``None``).
-
-    Buckets of ``order[0]``. A value of ``order[0]`` that fills two or more
-    quantile slots (one key value holding a large share of the rows) is cut
-    again by quantiles of ``order[1]``: its rows get ``(bucket, 1 + sub-bucket)``,
-    other rows ``(bucket, after)``. Both orders agree with ``order``.
-    """
+    """``_seg`` for the rows selected by ``where`` (all rows when ``None``): buckets of
+    ``order[0]`` as a double where they are balanced, buckets of whole keys elsewhere."""
     key = order[0]
-    sampled = df if where is None else df.where(where)
-    q = _quantiles(sampled, key, n, rows)
-    out = _bucketize(df, key, _to_splits(q), SEG)
-    counts: dict[float, int] = {}
-    for v in q:
-        counts[v] = counts.get(v, 0) + 1
-    heavy = sorted((v for v, c in counts.items() if c >= 2), key=lambda v: -counts[v])[:MAX_HEAVY_VALUES]
-    if len(order) < 2 or not heavy or key_number(df, order[1]) is None:
-        return out
-    k1, k2 = key_number(df, key), key_number(df, order[1])
-    # one aggregation: quantiles of the next column for each heavy value, on a sample
-    part = sampled.where(k1.isin(heavy))
-    if rows:
-        heavy_rows = rows * sum(counts[v] for v in heavy) / len(q)
-        frac = SAMPLE_ROWS_PER_SEGMENT * n / max(heavy_rows, 1.0)
-        if frac < 1.0:
-            part = part.sample(withReplacement=False, fraction=frac, seed=19)
-    probs = [i / n for i in range(1, n)]
-    got = part.groupBy(k1.alias("_v")).agg(
-        F.percentile_approx(k2, probs, max(10_000, min(20 * n, 1_000_000))).alias("_q")).collect()
-    per_value = {float(r["_v"]): _to_splits([float(x) for x in (r["_q"] or []) if x is not None]) for r in got}
-    heavy = [v for v in heavy if v in per_value]
-    if not heavy:
-        return out
-    names = [f"_sub{i}" for i in range(len(heavy))]
-    staged = out.select("*", *[F.when(k1 == F.lit(v), k2).otherwise(F.lit(float("nan"))).alias(f"{c}_in")
-                               for c, v in zip(names, heavy)])
-    staged = Bucketizer(splitsArray=[per_value[v] for v in heavy], inputCols=[f"{c}_in" for c in names],
-                        outputCols=names, handleInvalid="keep").transform(staged)
-    sub = F.coalesce(*[F.when(k1 == F.lit(v), F.col(c).cast("int") + 1) for c, v in zip(names, heavy)],
-                     F.lit(_AFTER))
-    return staged.withColumn(SEG, F.struct(F.col(SEG).alias("b"), sub.alias("s"))).drop(
-        *names, *[f"{c}_in" for c in names])
+    if key_number(df, key) is None:
+        return _key_segments(df, order, n, rows, where)
+    q = _quantiles(df if where is None else df.where(where), key, n, rows)
+    if q and len(set(q)) <= 0.9 * len(q):  # some values fill two or more quantiles
+        return _key_segments(df, order, n, rows, where)
+    return _bucketize(df, key, _to_splits(q), SEG)
 
 
 def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (),
                  segment: Sequence[str] | None = None, n_segments: int | None = None,
-                 split_rows: int | None = DEFAULT_SPLIT_ROWS, max_hot: int = MAX_HOT,
+                 split_rows: int | None = DEFAULT_SPLIT_ROWS,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, str]:
     """Add ``_seg`` (and ``_hot`` when only some partitions are cut).
 
@@ -244,26 +248,21 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
     if segment:
         cols = [F.col(c) for c in segment]
         return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols)), "all"
-    key, n = order[0], n_segments or default_segments(df)
-    if split_rows is None or key_number(df, key) is None:
-        # never cut (caller knows partitions are small), or a key that cannot be
-        # cut (e.g. a string): one segment per partition, no counting job
+    if split_rows is None:  # never cut (the caller knows partitions are small): no counting job
         return df.withColumn(SEG, F.lit(0)), "none"
     if not partition_by:
         total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
         if total <= split_rows:
             return df.withColumn(SEG, F.lit(0)), "none"
-        return _segment(df, order, n, total, None), "all"
-    found = hot_partitions(df, partition_by, split_rows, max_hot)
+        return _segment(df, order, n_segments or default_segments(total, split_rows), total, None), "all"
+    found = hot_partitions(df, partition_by, split_rows)
     if found is None:
         return df.withColumn(SEG, F.lit(0)), "none"
     hot, hot_rows = found
-    flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows, n_rows=0)
+    flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows)
     flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    segmented = _segment(flagged, order, n, hot_rows, F.col(HOT))
-    zero = F.lit(0) if segmented.schema[SEG].dataType.simpleString() == "int" else F.struct(
-        F.lit(0).alias("b"), F.lit(0).alias("s"))
-    return segmented.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(zero)), "hot"
+    segmented = _segment(flagged, order, n_segments or default_segments(hot_rows, split_rows), hot_rows, F.col(HOT))
+    return segmented.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(F.lit(0))), "hot"
 
 
 def _running_sums(
@@ -275,7 +274,6 @@ def _running_sums(
     n_segments: int | None = None,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
-    max_hot: int = MAX_HOT,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
@@ -286,7 +284,7 @@ def _running_sums(
     ``sizes`` order) for later per-segment work.
     """
     checkpoint_root(df.sparkSession)
-    seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, max_hot, broadcast_rows)
+    seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, broadcast_rows)
     tmp = {out: f"_sz_{i}" for i, out in enumerate(sizes)}
     keys = [*partition_by, SEG]
     base_cols = [c for c in seg_df.columns if c != HOT]
@@ -362,13 +360,12 @@ def running_sums(
     n_segments: int | None = None,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
-    max_hot: int = MAX_HOT,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
     ``order`` (see :func:`_running_sums`)."""
     return _running_sums(df, sizes, order, partition_by, segment, n_segments, broadcast_rows, split_rows,
-                         max_hot, broadcast_bytes)[0]
+                         broadcast_bytes)[0]
 
 
 def running_sum(

@@ -108,29 +108,40 @@ def search_stats(
 TOPK_ROWS = 100_000
 
 
+def full_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """``order_by``, then every other column that can be ordered: rows that tie in all of
+    them are equal, so that pages taken by separate calls neither skip nor repeat any."""
+    rest = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.name not in order_by]
+    return [*order_by, *[c for c in rest if df.schema[c].dataType.simpleString() not in ("variant", "interval")]]
+
+
 def page(df: DataFrame, order_by: Sequence[str], offset: int = 0, count: int = 0,
-         topk_rows: int = TOPK_ROWS) -> DataFrame:
+         topk_rows: int = TOPK_ROWS, number: str | None = None) -> DataFrame:
     """Rows ``offset .. offset+count`` in ``order_by`` order; ``count=0`` means all.
 
-    A small page (``offset + count <= topk_rows``) is a top-k: each task keeps
-    ``offset + count`` rows. Anything else (a large offset, or an offset with no
-    count) numbers the rows with the two-level running sum and keeps the range,
-    so no step gathers the result into one task or the driver. ``order_by`` should
-    be unique (ties are cut in arbitrary order, as in SQL).
+    The result is sorted whatever its size, ties by the other columns. A small page
+    (``offset + count <= topk_rows``) is a top-k: each task keeps ``offset + count``
+    rows. Anything else (a large offset, or an offset with no count) numbers the rows
+    with the two-level running sum, keeps the range and sorts what it kept, so no
+    step gathers the result into one task or the driver. ``number`` names a column
+    for the row's number in the order, from 1; it takes the second way.
     """
     if offset < 0 or count < 0:
         raise ValueError("offset and count must be >= 0")
-    if count and offset + count <= topk_rows:
-        return df.orderBy(*order_by).offset(offset).limit(count) if offset else df.orderBy(*order_by).limit(count)
-    if not offset and not count:
-        return df.orderBy(*order_by)
+    order = full_order(df, order_by)
+    if number is None:
+        if count and offset + count <= topk_rows:
+            return df.orderBy(*order).offset(offset).limit(count) if offset else df.orderBy(*order).limit(count)
+        if not offset and not count:
+            return df.orderBy(*order)
     from eventloom.operators.prefix import running_sum
 
-    numbered = running_sum(df, F.lit(1), list(order_by), out="_row")
-    keep = F.col("_row") > offset
+    row = number or "_row"
+    numbered = running_sum(df, F.lit(1), order, out=row)
+    keep = F.col(row) > offset
     if count:
-        keep = keep & (F.col("_row") <= offset + count)
-    return numbered.where(keep).select(*df.columns)
+        keep = keep & (F.col(row) <= offset + count)
+    return numbered.where(keep).orderBy(row).select(*df.columns, *([number] if number else []))
 
 
 def dequote_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.fields import event_size, event_text
-from eventloom.functions.lines import byte_length
+from eventloom.functions.lines import array_payload, byte_length
 from eventloom.functions.timefmt import event_timestamp
 from eventloom.operators.batching import (
     BLOCK_SIZE,
@@ -32,20 +32,21 @@ from eventloom.operators.format import (
     format_default_events,
     format_event_maps,
     format_events,
+    raw_events,
     with_destination,
 )
 from eventloom.operators.lines import normalize_lines
 from eventloom.operators.prefix import running_sums
 from eventloom.operators.search import dequote_columns, page, search, search_stats
-from eventloom.plans.search import search_event_files
-from eventloom.plans.ship import file_batches, table_batches
+from eventloom.plans.search import run_search, search_event_files
+from eventloom.plans.ship import file_batches, ship, table_batches
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import deliver
 from eventloom.sinks.export import export_results, read_export
 from eventloom.sinks.partitioned import read_events, write_events
 from eventloom.sources.tables import read_table
-from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, lines_from_text, read_event_file
-from eventloom.streaming.delivery import read_event_file_stream, read_event_stream, start_delivery
+from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, events_from_array, lines_from_text, read_event_file
+from eventloom.streaming.delivery import read_event_file_stream, read_event_stream, read_stream_receipts, start_delivery
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +64,9 @@ WEEK = ("-7d@d", "@d")
 PAGE_OFFSET, PAGE_COUNT = 10, 25
 SMALL_BLOCK, SMALL_LIMIT = 8_192, 16_384
 HOT_SPLIT_ROWS = 10_000  # destinations above this are cut into segments
+BIG = 1 << 60  # added to order keys, where doubles are 256 apart
+LARGE_OFFSET, LARGE_COUNT = 120, 400
+STREAM_FILES = 4
 
 
 # ---------------------------------------------------------------- Spark side
@@ -182,7 +186,7 @@ def q_file_receipts(spark, sf):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (_formatted_events(spark, sf).repartitionByRange(n, "event_id").sortWithinPartitions("event_id")
         .select("raw").write.text(path))
-    receipts = deliver(file_batches(spark, path, BLOCK_SIZE))
+    receipts = deliver(file_batches(spark, path, BLOCK_SIZE, per_file=False))
     return receipts.select("batch_id", "n_events", "n_bytes", "status")
 
 
@@ -198,7 +202,7 @@ def q_text_payloads(spark, sf):
 
 
 def q_event_array_payload(spark, sf):
-    conv = read_table(spark, sf, "conversations").withColumnRenamed("text", "raw")
+    conv = raw_events(read_table(spark, sf, "conversations"), F.col("text"))
     payloads = batch_events(conv, ["turn"], MAX_PAYLOAD, destination=["conv_id"])
     return payloads.select("conv_id", "batch_id", "n_events", "n_bytes", "payload")
 
@@ -231,7 +235,7 @@ def q_search_page(spark, sf):
 def q_dequote_output(spark, sf):
     """The ``name="value"`` tokens of every event, values shown without their quotes."""
     raw = _formatted_events(spark, sf)
-    tokens = raw.select("event_id", F.posexplode(F.slice(F.split("raw", "[|]"), 2, 1 << 20)).alias("pos", "tok"))
+    tokens = raw.select("event_id", F.posexplode(F.expr("slice(split(raw, '[|]'), 2, size(split(raw, '[|]')))")).alias("pos", "tok"))
     shown = tokens.select(
         "event_id", F.col("pos").cast("long").alias("pos"),
         F.substring_index("tok", "=", 1).alias("field"),
@@ -260,7 +264,7 @@ def q_search_raw_events(spark, sf):
 
 
 def q_delivery_receipts(spark, sf):
-    receipts = deliver(_lineitem_payloads(spark, sf))
+    receipts = deliver(_lineitem_payloads(spark, sf), shipment="lineitem")
     return receipts.select("sourcetype", "batch_id", "n_events", "n_bytes", "batch_key", "status")
 
 
@@ -285,7 +289,7 @@ def q_stream_file_delivery(spark, sf):
         .select("raw").write.text(src))
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     q = start_delivery(read_event_file_stream(spark, src, glob="*.txt"), [], out, ckpt, keep_payloads=True,
-                       file_lines=True)
+                       file_lines=True, per_file=False)
     q.awaitTermination()
     payloads = spark.read.parquet(f"{out}/payloads")
     return payloads.select("batch_id", F.explode(F.split(F.regexp_replace("payload", "\n\\z", ""), "\n"))
@@ -300,20 +304,150 @@ def q_event_sink_roundtrip(spark, sf):
     return read_events(spark, path).select("index", "sourcetype", "raw")
 
 
+def _exported(spark, df: DataFrame, mode: str) -> DataFrame:
+    path = scratch_path(spark, f"export-{mode}")
+    written = export_results(df, path, mode)
+    if written is None:
+        return spark.createDataFrame([], df.schema)
+    return read_export(spark, written, mode, None if mode == "raw" else df.schema)
+
+
 def _export(mode: str) -> Query:
+    """All events, written and read back."""
     def q(spark, sf):
-        hits = _week_search(spark, sf)
-        if mode == "raw":
-            hits = format_events(hits, EVENT_FIELDS, "ts", keep=False)
-        path = scratch_path(spark, f"export-{mode}")
-        written = export_results(hits, path, mode)
-        if written is None:
-            return spark.createDataFrame([], hits.schema)
-        return read_export(spark, written, mode, None if mode == "raw" else hits.schema)
+        hits = _events(spark, sf)
+        return _exported(spark, format_events(hits, EVENT_FIELDS, "ts", keep=False) if mode == "raw" else hits, mode)
     q.__name__ = f"q_export_{mode}"
     return q
 
 
+def _export_documents(mode: str) -> Query:
+    """All documents (line breaks, quotes, several scripts), written and read back."""
+    def q(spark, sf):
+        return _exported(spark, read_table(spark, sf, "documents"), mode)
+    q.__name__ = f"q_export_documents_{mode}"
+    return q
+
+
+def q_batch_assign_big_keys(spark, sf):
+    """Order keys that doubles cannot tell apart, with the destinations cut."""
+    li = _lineitem_routed(spark, sf, "l_returnflag").withColumn("big_key", F.col("l_orderkey") + F.lit(BIG))
+    order = ["big_key", *LINEITEM_ORDER[1:]]
+    assigned = assign_batches(li, order, BLOCK_SIZE, raw=lineitem_text(), size=lineitem_size(), split_rows=HOT_SPLIT_ROWS)
+    return assigned.select(*order, "sourcetype", "batch_id")
+
+
+def q_batch_assign_string_key(spark, sf):
+    """A text order key with a long common prefix, with the destinations cut."""
+    key = F.concat(F.lit("orders/line-"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+                   *[F.lpad(F.col(c).cast("string"), 9, "0") for c in LINEITEM_ORDER[1:]])
+    li = _lineitem_routed(spark, sf, "l_returnflag").withColumn("text_key", key)
+    assigned = assign_batches(li, ["text_key"], BLOCK_SIZE, raw=lineitem_text(), size=lineitem_size(),
+                              split_rows=HOT_SPLIT_ROWS)
+    return assigned.select("text_key", "sourcetype", "batch_id")
+
+
+def q_batch_null_events(spark, sf):
+    """Conversations as event arrays with some null events (sent as ``null``)."""
+    conv = read_table(spark, sf, "conversations").withColumn(
+        "raw", F.when((F.col("conv_id") + F.col("turn")) % 3 != 0, F.col("text")))
+    payloads = batch_events(conv, ["turn"], SMALL_BLOCK, destination=["conv_id"])
+    return payloads.select("conv_id", "batch_id", "n_events", "n_bytes", "payload")
+
+
+def q_batch_payload_normalized(spark, sf):
+    """Documents with CRLF line ends; payloads hold LFs only."""
+    docs = read_table(spark, sf, "documents").withColumn("raw", F.replace("text", F.lit("\n"), F.lit("\r\n")))
+    return batch_events(docs, ["doc_id"], BLOCK_SIZE, destination=[]).select("batch_id", "n_events", "n_bytes", "payload")
+
+
+def q_batch_payload_hot(spark, sf):
+    """As ``batch_payload``, with both destinations cut into segments."""
+    payloads = table_batches(_lineitem_routed(spark, sf, "l_linestatus"), LINEITEM_ORDER, LINEITEM_FIELDS, "l_shipdate",
+                             split_rows=HOT_SPLIT_ROWS)
+    return payloads.select("sourcetype", "batch_id", "n_events", "n_bytes", "payload")
+
+
+def q_multi_file_batches(spark, sf):
+    """Events written as a file for each type; every file has batches of its own."""
+    path = scratch_path(spark, "event-files")
+    (_formatted_events(spark, sf).repartition("event_type").sortWithinPartitions("event_type", "event_id")
+        .select("event_type", "raw").write.partitionBy("event_type").text(path))
+    payloads = file_batches(spark, path, BLOCK_SIZE)
+    return payloads.select(F.regexp_extract("file_path", "event_type=([^/]*)/", 1).alias("event_type"), "batch_id",
+                           "n_events", "n_bytes", F.md5("payload").alias("payload_md5"))
+
+
+def q_array_payloads(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return docs.select("doc_id", array_payload(F.split("text", "\n")).alias("payload"))
+
+
+def q_array_events(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("events"))
+    return events_from_array(docs, "events").select("doc_id", "pos", "raw")
+
+
+def q_dead_letters(spark, sf):
+    """What ``ship`` keeps back: batches over the limit, with their text."""
+    docs = format_events(read_table(spark, sf, "documents"), DOC_FIELDS, ts=False)
+    _, rejected, _ = ship(batch_events(docs, ["doc_id"], SMALL_BLOCK, destination=[]), limit=SMALL_LIMIT)
+    return rejected.select("batch_id", "n_events", "n_bytes", "dead_letter")
+
+
+def q_stream_receipts(spark, sf):
+    """The same events twice, as two micro-batches: equal payloads, a key for each."""
+    src = scratch_path(spark, "stream-twice")
+    ev = _events(spark, sf)
+    for _ in range(2):
+        ev.repartition(STREAM_FILES).write.mode("append").parquet(src)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = start_delivery(read_event_stream(spark, src, ev.schema, glob="*.parquet", max_files_per_trigger=STREAM_FILES),
+                       ["event_id"], out, ckpt, raw=event_text(EVENT_FIELDS, "ts"), size=event_size(EVENT_FIELDS, "ts"))
+    q.awaitTermination()
+    receipts = read_stream_receipts(spark, out)
+    keys = receipts.groupBy("batch_id", "status").agg(F.countDistinct("batch_key").alias("n_keys"))
+    return receipts.join(keys, ["batch_id", "status"]).select(
+        F.col("stream_batch_id").cast("long").alias("stream_batch_id"), "batch_id", "n_events", "n_bytes", "status", "n_keys")
+
+
+def q_search_page_large(spark, sf):
+    """A page beyond the top-k limit, with each row's number."""
+    return page(_events(spark, sf), ["ts"], LARGE_OFFSET, LARGE_COUNT, topk_rows=PAGE_COUNT, number="row_no")
+
+
+def q_search_empty_result(spark, sf):
+    """A search that finds nothing writes nothing."""
+    found = run_search(_events(spark, sf), "event_type = 'no such type'", scratch_path(spark, "export-none"), "csv",
+                       *WEEK, now=NOW)
+    return spark.createDataFrame([(found.scan_count, found.event_count, found.result_count, found.path is not None)],
+                                 "scan_count long, event_count long, result_count long, written boolean")
+
+
+def q_extract_fields_compat(spark, sf):
+    shipped = _events(spark, sf).select(event_text(EVENT_FIELDS, "ts", compat=True).alias("raw"))
+    return extract_fields(shipped, EVENT_FIELDS, compat=True)
+
+
+def q_search_raw_mixed(spark, sf):
+    """Event files in which some lines are no events."""
+    path = scratch_path(spark, "mixed")
+    lines = _formatted_events(spark, sf).select("event_id", "raw")
+    stray = lines.where("event_id % 7 = 0").select("event_id", F.concat(F.lit("no stamp "), "event_id").alias("raw"))
+    lines.union(stray).select("raw").write.text(path)
+    hits = search_event_files(spark, path, EVENT_FIELDS, None, None, None, now=NOW)
+    return hits.select("event_id", "event_type", "_time")
+
+
+def q_event_sink_hot(spark, sf):
+    """One line repeated for every line item, all for one destination."""
+    path = scratch_path(spark, "event-sink-hot")
+    same = read_table(spark, sf, "lineitem").select(
+        F.lit("main").alias("index"), F.lit("hot").alias("sourcetype"), F.lit("the same line").alias("raw"))
+    write_events(same, path, rows_per_file=HOT_SPLIT_ROWS)
+    return read_events(spark, path).groupBy("index", "sourcetype", "raw").agg(F.count("*").alias("n"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Events routed by type, formatted, cut into request payloads."""
     payloads = table_batches(_routed_events(spark, sf), ["event_id"], EVENT_FIELDS, "ts")
@@ -357,6 +491,24 @@ QUERIES: dict[str, Query] = {
     "export_xml": _export("xml"),
     "export_raw": _export("raw"),
     "event_batches": flagship,
+    "batch_assign_big_keys": q_batch_assign_big_keys,
+    "batch_assign_string_key": q_batch_assign_string_key,
+    "batch_null_events": q_batch_null_events,
+    "batch_payload_normalized": q_batch_payload_normalized,
+    "batch_payload_hot": q_batch_payload_hot,
+    "multi_file_batches": q_multi_file_batches,
+    "array_payloads": q_array_payloads,
+    "array_events": q_array_events,
+    "dead_letters": q_dead_letters,
+    "stream_receipts": q_stream_receipts,
+    "search_page_large": q_search_page_large,
+    "search_empty_result": q_search_empty_result,
+    "extract_fields_compat": q_extract_fields_compat,
+    "search_raw_mixed": q_search_raw_mixed,
+    "event_sink_hot": q_event_sink_hot,
+    "export_documents_csv": _export_documents("csv"),
+    "export_documents_json": _export_documents("json"),
+    "export_documents_xml": _export_documents("xml"),
 }
 
 
@@ -511,17 +663,73 @@ ORACLES: dict[str, str] = {
     ),
     "delivery_receipts": (
         "SELECT sourcetype, batch_id, n_events, n_bytes, "
-        "sha256(concat_ws(chr(31), '', '', sourcetype, cast(batch_id AS VARCHAR), payload)) AS batch_key, "
+        "sha256(concat_ws(chr(31), 'lineitem', '', '', sourcetype, cast(batch_id AS VARCHAR), payload)) AS batch_key, "
         "md5(payload) AS status FROM "
         + _payloads(_lineitem_raw("l_linestatus"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
     ),
     "stream_delivery": f"SELECT raw FROM {_EVENTS_RAW}",
     "stream_file_delivery": "SELECT batch_id, raw FROM " + _batched(_EVENTS_RAW, "", "event_id", BLOCK_SIZE),
     "event_sink_roundtrip": f"SELECT 'main' AS \"index\", event_type AS sourcetype, raw FROM {_EVENTS_RAW}",
-    "export_csv": "SELECT * FROM " + _WEEK_SEARCH,
-    "export_json": "SELECT * FROM " + _WEEK_SEARCH,
-    "export_xml": "SELECT * FROM " + _WEEK_SEARCH,
-    "export_raw": f"SELECT {_event(EVENT_FIELDS)} AS raw FROM {_WEEK_SEARCH}",
+    "export_csv": "SELECT * FROM events",
+    "export_json": "SELECT * FROM events",
+    "export_xml": "SELECT * FROM events",
+    "export_raw": f"SELECT raw FROM {_EVENTS_RAW}",
+    "export_documents_csv": "SELECT * FROM documents",
+    "export_documents_json": "SELECT * FROM documents",
+    "export_documents_xml": "SELECT * FROM documents",
+    "batch_assign_big_keys": (
+        f"SELECT l_orderkey + {BIG} AS big_key, " + ", ".join(LINEITEM_ORDER[1:]) + ", sourcetype, batch_id FROM "
+        + _batched(_lineitem_raw("l_returnflag"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
+    ),
+    "batch_assign_string_key": (
+        "SELECT 'orders/line-' || lpad(cast(l_orderkey AS VARCHAR), 12, '0') || "
+        + " || ".join(f"lpad(cast({c} AS VARCHAR), 9, '0')" for c in LINEITEM_ORDER[1:])
+        + " AS text_key, sourcetype, batch_id FROM "
+        + _batched(_lineitem_raw("l_returnflag"), "sourcetype", LI_ORDER_SQL, BLOCK_SIZE)
+    ),
+    "batch_null_events": "SELECT * FROM " + _payloads(
+        "(SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 3 <> 0 THEN text ELSE 'null' END AS raw FROM conversations)",
+        "conv_id", "turn", SMALL_BLOCK),
+    "batch_payload_normalized": "SELECT * FROM " + _payloads(
+        "(SELECT doc_id, text AS raw FROM documents)", "", "doc_id", BLOCK_SIZE),
+    "batch_payload_hot": "SELECT * FROM " + _payloads(_lineitem_raw("l_linestatus"), "sourcetype",
+                                                      LI_ORDER_SQL, BLOCK_SIZE),
+    "multi_file_batches": (
+        "SELECT event_type, batch_id, n_events, n_bytes, md5(payload) AS payload_md5 FROM "
+        + _payloads(_EVENTS_RAW, "event_type", "event_id", BLOCK_SIZE)
+    ),
+    "array_payloads": "SELECT doc_id, text || chr(10) AS payload FROM documents",
+    "array_events": (
+        "SELECT doc_id, unnest(range(0, len(l))) AS pos, unnest(l) AS raw FROM "
+        "(SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"
+    ),
+    "dead_letters": (
+        f"SELECT batch_id, n_events, n_bytes, payload AS dead_letter FROM "
+        + _payloads(f"(SELECT *, {_event(DOC_FIELDS, None)} AS raw FROM documents)", "", "doc_id", SMALL_BLOCK)
+        + f" WHERE n_bytes > {SMALL_LIMIT}"
+    ),
+    "stream_receipts": (
+        "SELECT unnest([0, 1])::BIGINT AS stream_batch_id, batch_id, n_events, n_bytes, md5(payload) AS status, "
+        "2::BIGINT AS n_keys FROM " + _payloads(_EVENTS_RAW, "", "event_id", BLOCK_SIZE)
+    ),
+    "search_page_large": (
+        "SELECT * FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS row_no FROM events) "
+        f"WHERE row_no > {LARGE_OFFSET} AND row_no <= {LARGE_OFFSET + LARGE_COUNT}"
+    ),
+    "search_empty_result": (
+        "SELECT count(*) AS scan_count, 0::BIGINT AS event_count, 0::BIGINT AS result_count, false AS written FROM events "
+        "WHERE ts >= TIMESTAMP '2024-01-09 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'"
+    ),
+    "extract_fields_compat": (
+        "SELECT date_trunc('millisecond', ts) AS _time, " + ", ".join(
+            f"cast({f} as varchar) AS {f}" for f in EVENT_FIELDS) + " FROM events"
+    ),
+    "search_raw_mixed": (
+        "SELECT cast(event_id AS VARCHAR) AS event_id, event_type, date_trunc('millisecond', ts) AS _time FROM events "
+        "UNION ALL SELECT NULL, NULL, NULL FROM events WHERE event_id % 7 = 0"
+    ),
+    "event_sink_hot": ("SELECT 'main' AS \"index\", 'hot' AS sourcetype, 'the same line' AS raw, count(*) AS n "
+                       "FROM lineitem"),
     "event_batches": (
         "SELECT \"index\", source, sourcetype, batch_id, n_events, n_bytes, md5(payload) AS payload_md5 FROM "
         + _payloads(

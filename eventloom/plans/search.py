@@ -66,13 +66,24 @@ def search_event_files(
     now: dt.datetime | str | None = None,
     delim: str = "|",
     escape: str = "none",
+    compat: bool = False,
+    partitions: Sequence[str] = (),
 ) -> DataFrame:
     """Search shipped event text: lines of event files, ``fields`` read out of the
     text (strings) plus the event time ``_time``, then the time window on ``_time``
-    and the predicate (cast string fields in it as needed)."""
+    and the predicate (cast string fields in it as needed). Lines without a stamp have
+    no ``_time``: they match only where both bounds are open.
+
+    ``partitions`` names the folder columns of an event sink (``path`` is its root);
+    conditions on them in the predicate prune its folders."""
     from eventloom.operators.extract import extract_fields
+    from eventloom.sinks.partitioned import read_events
     from eventloom.sources.text import read_event_file
 
-    extracted = extract_fields(read_event_file(spark, path), list(fields), delim=delim, escape=escape,
-                               keep=["file_path"])
+    if partitions:
+        lines = read_events(spark, path, partition_by=partitions)
+    else:
+        lines = read_event_file(spark, path)
+    extracted = extract_fields(lines, list(fields), delim=delim, escape=escape, compat=compat,
+                               keep=list(partitions) or ["file_path"])
     return search(extracted, predicate, earliest, latest, now, time_col="_time")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.fields import DEFAULT_DELIM, FieldSpec, event_size, event_text
-from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, ship_totals
+from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, present_destination, ship_totals
+from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, read_event_file
@@ -22,6 +23,7 @@ def table_batches(
     delim: str = DEFAULT_DELIM,
     block_size: int = BLOCK_SIZE,
     escape: str = "none",
+    split_rows: int | None = DEFAULT_SPLIT_ROWS,
 ) -> DataFrame:
     """Format every row as an event and cut the events into payloads, per destination
     (``index``/``source``/``sourcetype`` columns when present, see ``with_destination``).
@@ -34,29 +36,44 @@ def table_batches(
     fields = fields if fields is not None else [c for c in df.columns if c != ts_name]
     stamp = ts is not False
     raw = event_text(fields, ts if stamp else None, delim, escape, with_timestamp=stamp)
-    size = event_size(fields, ts if stamp else None, delim, escape, with_timestamp=stamp)
-    return batch_events(df, order, block_size, raw=raw, size=size)
+    size = event_size(fields, ts if stamp else None, delim, escape, with_timestamp=stamp, wire=True)
+    return batch_events(df, order, block_size, raw=raw, size=size, split_rows=split_rows)
 
 
-def file_batches(spark: SparkSession, path: str | list[str], block_size: int = BLOCK_SIZE) -> DataFrame:
-    """Lines of event files cut into payloads in file order (one destination)."""
-    lines = read_event_file(spark, path)
-    return batch_events(lines, list(FILE_ORDER), block_size, segment=list(FILE_SEGMENT))
+def file_batches(spark: SparkSession, path: str | list[str], block_size: int = BLOCK_SIZE,
+                 per_file: bool = True) -> DataFrame:
+    """Lines of event files cut into payloads in file order. Each file is batched on its
+    own: payloads are keyed by ``file_path``, none holds lines of two files, and the
+    windows over split offsets are partitioned by file. ``per_file=False`` takes the
+    files of a folder, by path, as the parts of one file."""
+    return batch_file_lines(read_event_file(spark, path), block_size, per_file=per_file)
+
+
+def batch_file_lines(lines: DataFrame, block_size: int = BLOCK_SIZE, destination: Sequence[str] | None = None,
+                     per_file: bool = True, **how) -> DataFrame:
+    """Payloads of lines that have :data:`FILE_ORDER`, per destination and (by default) file."""
+    dest = present_destination(lines, destination)
+    if per_file:
+        return batch_events(lines, list(FILE_ORDER), block_size, destination=["file_path", *dest],
+                            segment=list(FILE_SEGMENT[1:]), **how)
+    return batch_events(lines, list(FILE_ORDER), block_size, destination=dest, segment=list(FILE_SEGMENT), **how)
 
 
 def ship(payloads: DataFrame, send: Sender = md5_sender, limit: int = MAX_PAYLOAD,
-         receipts_path: str | None = None, tasks: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+         receipts_path: str | None = None, tasks: int | None = None, order: str = "none",
+         shipment: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Deliver every payload up to ``limit`` in one job; return (receipts, rejected, totals).
 
     The job writes one ledger row per batch (below the shared checkpoint folder by
     default): the receipt of a sent batch, or the text of a rejected one. Receipts,
     dead letters and totals are read from that ledger, so the batching runs once
     and later actions never send again. ``tasks`` fixes the number of concurrent
-    sending tasks (see :func:`eventloom.sinks.deliver.deliver`).
+    sending tasks, ``order`` what order they keep and ``shipment`` the id in their keys
+    (see :func:`eventloom.sinks.deliver.deliver`).
     """
     spark = payloads.sparkSession
     path = receipts_path or scratch_path(spark, "ledger")
-    deliver(payloads, send, limit=limit, tasks=tasks).write.mode("overwrite").parquet(path)
+    deliver(payloads, send, limit=limit, tasks=tasks, order=order, shipment=shipment).write.mode("overwrite").parquet(path)
     ledger = spark.read.parquet(path)
     receipts = ledger.where(~F.col("rejected")).drop("rejected", "dead_letter")
     rejected = ledger.where(F.col("rejected")).drop("status")

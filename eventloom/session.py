@@ -2,8 +2,8 @@
 
 Scratch output (checkpoints, exported files, receipts) always goes below the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
-absent (local tests) do we create one, and then we register it so every later
-call agrees on it.
+absent in a local session (tests) do we create one, and then we register it so every
+later call agrees on it.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set to a local temp folder only if unset."""
+    """The shared checkpoint folder. Where none is set, a local session gets a temporary
+    folder; on a cluster that is an error, because
+    executors could not read what others wrote."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -43,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = root or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventloom-ckpt-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:

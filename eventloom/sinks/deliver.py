@@ -1,15 +1,19 @@
 """Delivering payloads: one call per batch on the executors, one receipt per batch.
 
 The transport is a caller-supplied ``send(payload: str, destination: dict) -> str``
-that runs on executors (an HTTP client, a message-queue producer, ...). Payloads
-are sent from the tasks that built them (a destination cut into segments by its
-segments' tasks, so one holding most of the data is not funnelled through one
-task), or re-spread over ``tasks``; each task sends its share in
-(destination, batch_id) order.
+that runs on executors (an HTTP client, a message-queue producer, ...). In which order
+payloads are sent is the caller's choice, never a result of the data's size:
+
+* ``order='none'``: from the tasks that built them, or re-spread over ``tasks``; no order
+  is promised, and one destination is sent by many tasks at once;
+* ``order='destination'``: each destination's batches one after the other by batch id,
+  as a sequential shipper sends a file; a destination is one task's work.
 
 Task retries and speculative tasks can call ``send`` again for a batch, so
-delivery is at-least-once. Every receipt carries ``batch_key``, a SHA-256 of
-destination, batch id and payload, that a receiver can use to drop repeats.
+delivery is at-least-once. Every receipt carries ``batch_key``, a SHA-256 of the
+shipment, destination, batch id and payload, that a receiver can use to drop repeats.
+The shipment id keeps equal batches of different shipments apart; it is fixed when
+the plan is made, so a retried task writes the same keys.
 Every action on the returned frame sends again: write the receipts once and
 read them back (:func:`eventloom.plans.ship.ship`, or :func:`deliver_once`).
 """
@@ -17,6 +21,7 @@ read them back (:func:`eventloom.plans.ship.ship`, or :func:`deliver_once`).
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -28,12 +33,6 @@ from eventloom.session import scratch_path
 
 Sender = Callable[[str, dict], str]
 
-# Payloads are up to ~1 MB; Arrow batches to Python must stay small. Spark 4 caps
-# them by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB by default);
-# only where that setting is missing are rows per batch capped instead.
-ARROW_ROWS_PER_BATCH = 64
-
-
 def md5_sender(payload: str, destination: dict) -> str:
     """A sender stub for tests: the 'status' is the MD5 of the payload's UTF-8 bytes."""
     return hashlib.md5(payload.encode("utf-8")).hexdigest()
@@ -46,33 +45,33 @@ def _plain(v):
     return v.item() if hasattr(v, "item") else v
 
 
-def _cap_arrow_batch(spark) -> None:
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None:
-        return  # batches are already bounded by bytes; leave the session as it is
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > ARROW_ROWS_PER_BATCH:
-        spark.conf.set(key, str(ARROW_ROWS_PER_BATCH))
-
-
 def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequence[str] | None = None,
-            limit: int | None = None, tasks: int | None = None) -> DataFrame:
+            limit: int | None = None, tasks: int | None = None, order: str = "none",
+            shipment: str | None = None) -> DataFrame:
     """Receipts: destination, ``batch_id, n_events, n_bytes, batch_key, status``.
 
-    ``tasks`` fixes how many tasks send at once (batches hash-spread over them by
-    destination and batch); by default the payloads' own partitioning is used.
+    ``tasks`` fixes how many tasks send at once (hash-spread by destination and batch, or
+    by destination alone with ``order='destination'``); by default the payloads' own
+    partitioning, or Spark's shuffle partitions. ``shipment`` names what is sent (a file,
+    a run) in ``batch_key``; each call without one is a shipment of its own.
 
     With ``limit``, a batch larger than ``limit`` is not sent: its row comes back
     with ``status`` null, ``rejected = true`` and its text in ``dead_letter`` (null
     for sent batches), so one job yields receipts and dead letters together.
     """
+    if order not in ("none", "destination"):
+        raise ValueError(f"order must be 'none' or 'destination', got {order!r}")
     dest = batch_keys(payloads, destination)
-    _cap_arrow_batch(payloads.sparkSession)
+    shipment = uuid.uuid4().hex if shipment is None else shipment
     keyed = payloads.select(
         *dest, "batch_id", "n_events", "n_bytes", "payload",
-        F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dest],
+        F.sha2(F.concat_ws("\u001f", F.lit(shipment), *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dest],
                            F.col("batch_id").cast("string"), F.col("payload")), 256).alias("batch_key"),
     )
-    if tasks:
+    if order == "destination":
+        # a constant first: payloads without a destination are one destination
+        keyed = keyed.repartition(*([tasks] if tasks else []), F.lit(0), *dest)
+    elif tasks:
         keyed = keyed.repartition(tasks, *dest, "batch_id")
     keyed = keyed.sortWithinPartitions(*dest, "batch_id")
 
@@ -104,10 +103,10 @@ def deliver(payloads: DataFrame, send: Sender = md5_sender, destination: Sequenc
 
 
 def deliver_once(payloads: DataFrame, send: Sender = md5_sender, path: str | None = None,
-                 destination: Sequence[str] | None = None) -> DataFrame:
+                 destination: Sequence[str] | None = None, order: str = "none", shipment: str | None = None) -> DataFrame:
     """Send every batch in one job, write the receipts to ``path`` (below the shared
     checkpoint folder by default) and return them read back."""
     spark = payloads.sparkSession
     path = path or scratch_path(spark, "receipts")
-    deliver(payloads, send, destination).write.mode("overwrite").parquet(path)
+    deliver(payloads, send, destination, order=order, shipment=shipment).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

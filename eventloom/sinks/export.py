@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 # The output modes and the row tag of xml output.
 MODES = ("csv", "json", "xml", "raw")
 XML_ROW_TAG = "result"
+# Written for null in csv and xml (as databases do); text that is just this reads back as null.
+NULL_MARK = "\\N"
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -20,11 +22,14 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def _options(mode: str) -> dict:
     common = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT}
     if mode == "csv":
-        return {**common, "header": "true", "escape": '"', "nullValue": ""}
+        # text keeps its spaces, and null, empty and any other text read back apart
+        return {**common, "header": "true", "escape": '"', "quoteAll": "true", "nullValue": NULL_MARK, "emptyValue": "",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if mode == "json":
         return {**common, "ignoreNullFields": "false"}
     if mode == "xml":
-        return {**common, "rowTag": XML_ROW_TAG, "rootTag": "results"}
+        return {**common, "rowTag": XML_ROW_TAG, "rootTag": "results", "nullValue": NULL_MARK,
+                "ignoreSurroundingSpaces": "false"}
     return {}
 
 

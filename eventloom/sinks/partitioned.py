@@ -14,6 +14,10 @@ DEFAULT_PARTITIONS = ("index", "sourcetype")
 DEFAULT_ROWS_PER_FILE = 5_000_000
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT_PARTITIONS,
                  fmt: str = "text", raw: str = "raw", mode: str = "overwrite",
                  rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
@@ -26,8 +30,10 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     third of the data is spread evenly instead of landing in one task, and a
     small one becomes one file instead of one per input task. The per-destination
     counts table is checkpointed, measured and broadcast only within its limits.
-    The write uses at most ``max_tasks`` tasks (default: 4 x shuffle partitions),
-    so many small destinations share tasks while a hot one keeps its spread.
+    A row goes to one of its destination's tasks by its place in its input task, not by
+    its values, so equal rows spread like any others; pass a scan or a stored table, whose
+    row order a recomputed task keeps. ``max_tasks`` bounds the tasks
+    where the caller has a reason to; by default their number follows the rows.
     ``rows_per_file=None`` writes straight from the input tasks.
     """
     parts = list(partition_by)
@@ -37,11 +43,12 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
         groups = out.groupBy(*parts).agg(
             F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))).cast("long").alias("_groups")
         ).checkpoint(eager=True)
-        cap = max_tasks or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        n_tasks = max(1, min(cap, int(groups.agg(F.sum("_groups")).first()[0] or 1)))
-        cols = out.columns
+        total, most = groups.agg(F.sum("_groups"), F.count(F.lit(1))).first()
+        # as many tasks as full files; small destinations share them
+        n_tasks = max(1, int(total or 1) - int(most or 0) + min(int(most or 0), _shuffle_partitions(df)))
+        n_tasks = min(max_tasks, n_tasks) if max_tasks else n_tasks
         salted = _null_safe_join(out, groups, parts, "inner", broadcast_rows)
-        salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_groups")))
+        salted = salted.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.col("_groups")))
         # one task per (destination, salt) group, up to hash collisions; a fixed
         # count, so adaptive execution does not merge the groups back together
         out = salted.repartition(n_tasks, *parts, "_salt").drop("_salt", "_groups")

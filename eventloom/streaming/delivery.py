@@ -2,7 +2,8 @@
 
 Each micro-batch is formatted, batched and delivered like a batch job. Batch ids
 restart at 0 in every micro-batch, so receipts are keyed by
-``(stream_batch_id, batch_id)``. A micro-batch can be replayed after a failure;
+``(stream_batch_id, batch_id)``, and each micro-batch is a shipment of its own
+(``<shipment>/<stream_batch_id>``) in ``batch_key``, the same when it is replayed. A micro-batch can be replayed after a failure;
 its receipts and payloads are written to a folder named after the micro-batch id
 with ``overwrite``, so a replay replaces instead of duplicating. Stateless: no
 watermark or state store is needed.
@@ -19,8 +20,8 @@ from pyspark.sql.types import StructType
 
 from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events
 from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS
+from eventloom.plans.ship import batch_file_lines
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
-from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -67,15 +68,20 @@ def start_delivery(
     size: Column | None = None,
     file_lines: bool = False,
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
+    shipment: str | None = None,
+    send_order: str = "none",
+    per_file: bool = True,
 ) -> StreamingQuery:
     """Start the stream. ``raw`` is the event text: a column of ``events`` (see
     ``format_events``) or an expression over its columns (see ``event_text``,
     with ``size`` from ``event_size``), which is then built only after the
     batching shuffle, as in :func:`eventloom.plans.ship.table_batches`.
     With ``file_lines`` (a stream from :func:`read_event_file_stream`), lines are
-    batched in file order and ``order`` is ignored. ``split_rows=None`` skips the
+    batched in file order, each file on its own unless ``per_file=False``, and ``order``
+    is ignored. ``split_rows=None`` skips the
     per-micro-batch count of rows per destination when micro-batches are known to
-    be small (e.g. bounded by ``maxFilesPerTrigger``).
+    be small (e.g. bounded by ``maxFilesPerTrigger``). ``shipment`` names the stream in
+    ``batch_key`` (default: its checkpoint folder) and ``send_order`` is delivery's ``order``.
 
     Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
     ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
@@ -86,8 +92,7 @@ def start_delivery(
     def run(batch_df: DataFrame, epoch_id: int) -> None:
         if file_lines:
             lines = batch_df.withColumn("line_key", F.monotonically_increasing_id())
-            payloads = batch_events(lines, list(FILE_ORDER), block_size, raw=raw, destination=destination,
-                                    segment=list(FILE_SEGMENT), size=size)
+            payloads = batch_file_lines(lines, block_size, destination, per_file, raw=raw, size=size)
         else:
             payloads = batch_events(batch_df, order, block_size, raw=raw, destination=destination, size=size,
                                     split_rows=split_rows)
@@ -95,7 +100,8 @@ def start_delivery(
             payloads = payloads.checkpoint(eager=True)  # the same batches for both outputs
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")
         tag = F.lit(epoch_id).cast("long").alias("stream_batch_id")
-        ledger = deliver(payloads, send, destination, limit=limit).select(tag, "*")
+        key = f"{shipment or checkpoint}/{epoch_id}"
+        ledger = deliver(payloads, send, destination, limit=limit, order=send_order, shipment=key).select(tag, "*")
         ledger.write.mode("overwrite").parquet(f"{out_path}/ledger/stream_batch_id={epoch_id}")
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
