@@ -1,4 +1,4 @@
-"""Batching against a model of the sequential block loop, plus the scale paths."""
+"""Batching against a model of line end offsets, plus the scale paths."""
 
 import hypothesis.strategies as st
 from hypothesis import HealthCheck, given, settings
@@ -8,22 +8,14 @@ from eventloom.operators.batching import assign_batches, batch_events, ship_tota
 from eventloom.operators.prefix import quantile_segments, running_sum
 
 
-def block_loop(text: str, block: int) -> list[str]:
-    """What a sequential shipper sends: read ``block`` chars, send the carried text plus
-    everything up to the block's last LF (if past index 0), carry the rest.
-    Only called with well-formed text (ends with LF, short lines)."""
-    sent, carry, pos = [], "", 0
-    while pos < len(text):
-        chunk = text[pos:pos + block]
-        pos += len(chunk)
-        keep = len(chunk)
-        if len(chunk) == block:
-            cut = chunk.rfind("\n")
-            keep = cut + 1 if cut > 0 else block
-        sent.append(carry + chunk[:keep])
-        carry = chunk[keep:]
-    assert carry == ""
-    return sent
+def offset_batches(text: str, block: int) -> list[str]:
+    """Payloads by line end offsets: a line belongs to the block that its LF's offset falls in."""
+    batches: dict[int, str] = {}
+    end = -1
+    for line in text.split("\n")[:-1]:
+        end += len(line) + 1
+        batches[end // block] = batches.get(end // block, "") + line + "\n"
+    return [batches[b] for b in sorted(batches)]
 
 
 def _lines_df(spark, lines, dest=None):
@@ -36,11 +28,11 @@ def _lines_df(spark, lines, dest=None):
     lines=st.lists(st.text(alphabet="abcxyz ", min_size=0, max_size=10), min_size=1, max_size=80),
     block=st.sampled_from([32, 48, 64]),
 )
-def test_payloads_equal_block_loop(spark, lines, block):
+def test_payloads_equal_offset_batches(spark, lines, block):
     text = "".join(line + "\n" for line in lines)
     df = _lines_df(spark, lines)
     got = batch_events(df, ["k"], block, destination=[], unit="chars").orderBy("batch_id").collect()
-    assert [r.payload for r in got] == block_loop(text, block)
+    assert [r.payload for r in got] == offset_batches(text, block)
     assert sum(r.n_events for r in got) == len(lines)
     assert "".join(r.payload for r in got) == text
 
@@ -70,7 +62,7 @@ def test_single_destination_cut_when_large(spark):
     text = "".join(line + "\n" for line in lines)
     for split_rows in (100, 10**9):
         got = batch_events(df, ["k"], 64, destination=[], unit="chars", split_rows=split_rows).orderBy("batch_id")
-        assert [r.payload for r in got.collect()] == block_loop(text, 64)
+        assert [r.payload for r in got.collect()] == offset_batches(text, 64)
 
 
 def test_quantile_segments_are_balanced_and_ordered(spark):
@@ -163,7 +155,7 @@ def test_heavy_leading_order_value_is_cut_by_next_column(spark):
     block=st.sampled_from([16, 40]),
     split_rows=st.sampled_from([0, 5, 50, 10**9]),
 )
-def test_payloads_per_destination_equal_block_loop(spark, lines, block, split_rows):
+def test_payloads_per_destination_equal_offset_batches(spark, lines, block, split_rows):
     rows = [(i, text, dest) for i, (dest, text) in enumerate(lines)]
     df = spark.createDataFrame(rows, "k long, raw string, sourcetype string")
     got = batch_events(df, ["k"], block, unit="chars", split_rows=split_rows).collect()
@@ -172,7 +164,7 @@ def test_payloads_per_destination_equal_block_loop(spark, lines, block, split_ro
         by_dest.setdefault(r.sourcetype, []).append((r.batch_id, r.payload))
     for dest in {d for _, _, d in rows}:
         text = "".join(t + "\n" for _, t, d in rows if d == dest)
-        assert [p for _, p in sorted(by_dest[dest])] == block_loop(text, block)
+        assert [p for _, p in sorted(by_dest[dest])] == offset_batches(text, block)
 
 
 def test_offsets_too_big_to_broadcast_share_the_window_exchange(spark):
@@ -210,6 +202,76 @@ def test_batches_spanning_many_segments_merge_at_their_owner(spark):
             got = batch_events(df, ["k"], 2000, unit="chars", split_rows=10).orderBy("batch_id").collect()
         finally:
             prefix.DEFAULT_BROADCAST_BYTES = old
-        assert [r.payload for r in got] == block_loop(text, 2000)  # ~300 lines per batch, ~23 per segment
+        assert [r.payload for r in got] == offset_batches(text, 2000)  # ~300 lines per batch, ~23 per segment
     plan = batch_events(df, ["k"], 2000, unit="chars", split_rows=10)._jdf.queryExecution().executedPlan().toString()
     assert "_tkey" in plan
+
+
+def _one_window(df, order, part):
+    from pyspark.sql import Window
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return {r.i: r.c for r in df.select("i", F.sum(F.length("raw") + 1).over(w).alias("c")).collect()}
+
+
+KEYS = {
+    "bigint": lambda i, s: F.lit(1 << 60) + (i * s) % 700,
+    "decimal(38,0)": lambda i, s: F.lit("123456789012345678901234567890").cast("decimal(38,0)") + (i * s) % 700,
+    "timestamp": lambda i, s: F.timestamp_micros(F.lit(1700000000000000) + (i * s) % 700),
+    "timestamp_ntz": lambda i, s: F.timestamp_micros(F.lit(1700000000000000) + (i * s) % 700).cast("timestamp_ntz"),
+    "date": lambda i, s: F.date_from_unix_date(((i * s) % 50).cast("int")),
+    "string": lambda i, s: F.concat(F.lit("folder/with/a/long/prefix-"), ((i * s) % 700).cast("string")),
+    "double": lambda i, s: F.when(i % 11 == 0, F.lit(float("nan"))).otherwise(((i * s) % 700) / 7),
+    "binary": lambda i, s: F.concat(F.lit("k"), ((i * s) % 700).cast("string")).cast("binary"),
+    "null": lambda i, s: F.when(i % 3 == 0, i),
+}
+
+
+@settings(max_examples=14, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(kind=st.sampled_from(sorted(KEYS)), step=st.sampled_from([1, 7, 350, 699]), split=st.sampled_from([20, 150]),
+       part=st.booleans())
+def test_running_sums_of_any_key_type(spark, kind, step, split, part):
+    """Keys that repeat, that doubles cannot tell apart, and that are no numbers, against one global window."""
+    i = F.col("id")
+    df = spark.range(900).select(
+        i.alias("i"), KEYS[kind](i, F.lit(step)).alias("k"), F.repeat(F.lit("x"), (i % 6).cast("int")).alias("raw"),
+        F.when(i % 4 != 0, F.lit("hot")).alias("d"))
+    by = ["d"] if part else []
+    out = running_sum(df, F.length("raw") + 1, ["k", "i"], partition_by=by, split_rows=split, out="c")
+    got = out.collect()
+    assert {r.i: r.c for r in got} == _one_window(df, ["k", "i"], by)
+    assert len({r._seg for r in got}) > 3
+
+
+def test_string_keys_are_not_one_task(spark):
+    df = spark.range(3000).select(F.concat(F.lit("a/long/prefix/"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("k"),
+                                  F.lit("line").alias("raw"))
+    out = assign_batches(df, ["k"], 500, destination=[], split_rows=200)
+    per = [r["count"] for r in out.groupBy("_seg").count().collect()]
+    assert len(per) > 20 and max(per) < 400
+    main = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert not any("SinglePartition" in x for x in main)
+
+
+def test_null_events_are_sent_as_null(spark):
+    df = _lines_df(spark, [None, "a", None, "b"])
+    got = batch_events(df, ["k"], 1000, destination=[]).collect()
+    assert [(r.batch_id, r.n_events, r.n_bytes, r.payload) for r in got] == [(0, 4, 14, "null\na\nnull\nb\n")]
+    given_size = assign_batches(df, ["k"], 1000, destination=[], size=F.octet_length("raw"))
+    assert [r._size for r in given_size.orderBy("k").collect()] == [5, 2, 5, 2]
+
+
+def test_line_ends_are_sent_as_lf(spark):
+    lines = ["x\r\ny", "p\rq", "end\r", "end\r\n", "lf\n", "", "\r"]
+    df = _lines_df(spark, lines)
+    r = batch_events(df, ["k"], 1000, destination=[]).first()
+    want = "".join(line + "\n" for line in lines).replace("\r\n", "\n").replace("\r", "\n")
+    assert r.payload == want and r.n_bytes == len(want) and r.n_events == len(lines)
+    kept = batch_events(df, ["k"], 1000, destination=[], normalize=False).first()
+    assert kept.payload == "".join(line + "\n" for line in lines)
+
+
+def test_sizes_given_for_formatted_rows_follow_line_ends(spark):
+    from eventloom.plans.ship import table_batches
+    df = spark.createDataFrame([(i, "a\r\nb\rc" * (i % 3)) for i in range(50)], "k long, text string")
+    for r in table_batches(df, ["k"], ["k", "text"], ts=False, block_size=64).collect():
+        assert r.n_bytes == len(r.payload.encode()) and "\r" not in r.payload

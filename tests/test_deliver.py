@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from eventloom.operators.batching import batch_events
@@ -39,6 +41,35 @@ def test_ship_once_with_dead_letters(spark, tmp_path):
     assert sum(r.rejected for r in t.values()) == n_rej
 
 
+def test_order_is_the_callers_choice(spark, tmp_path):
+    """With order='destination' each destination is one task's, by batch id, cut or not."""
+    rows = [(i, "x" * 20, "hot" if i % 4 else "cold") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, raw string, sourcetype string")
+
+    def send(payload, dest):
+        import time
+
+        from pyspark import TaskContext
+        return f"{TaskContext.get().partitionId()} {time.monotonic_ns()}"
+
+    for split_rows in (10**9, 50):
+        got = deliver(batch_events(df, ["k"], 300, split_rows=split_rows), send, order="destination").collect()
+        for dest in ("hot", "cold"):
+            mine = sorted((r for r in got if r.sourcetype == dest), key=lambda r: r.batch_id)
+            tasks, times = zip(*[map(int, r.status.split()) for r in mine])
+            assert len(set(tasks)) == 1 and list(times) == sorted(times) and len(mine) > 10
+    with pytest.raises(ValueError):
+        deliver(batch_events(df, ["k"], 300), order="size")
+
+
+def test_equal_batches_of_two_shipments_have_two_keys(spark):
+    p = _payloads(spark)
+    keys = [{r.batch_key for r in deliver(p, shipment=s).select("batch_key").collect()} for s in ("a", "b", "a")]
+    assert keys[0] == keys[2] and not keys[0] & keys[1]
+    one, two = deliver(p), deliver(p)
+    assert not {r.batch_key for r in one.collect()} & {r.batch_key for r in two.collect()}
+
+
 class _FakeResponse:
     def __init__(self, status=200, reason="OK"):
         self.status, self.reason = status, reason

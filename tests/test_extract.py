@@ -30,3 +30,16 @@ def test_first_of_duplicate_names(spark):
     df = spark.createDataFrame([("1", "2")], "a string, b string")
     raw = format_events(df, [("a", "a"), ("a", "b")], ts=False, escape="backslash")
     assert extract_fields(raw, ["a"], escape="backslash", time_out=None).first().a == "1"
+
+
+def test_compat_stamps_and_lines_without_a_stamp(spark):
+    from eventloom.functions import event_text
+    times = [dt.datetime(2024, 1, 2, 3, 4, 5, 1000 * ms) for ms in (0, 7, 45, 700, 999)]
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    lines = df.select(event_text([], "ts", compat=True).alias("raw"))
+    stray = spark.createDataFrame([("hello world",), ("",), (None,), ("2024-13-45T99:00:00.1+0000",)], "raw string")
+    got = extract_fields(lines.union(stray), [], compat=True).collect()
+    assert sorted(r._time for r in got if r._time) == times
+    assert sum(r._time is None for r in got) == 4
+    plain = extract_fields(stray, ["a"]).collect()
+    assert all(r._time is None for r in plain)

@@ -6,10 +6,10 @@ from eventloom.sinks.export import read_export
 from eventloom.sources.tables import read_table
 
 from conftest import SF_SMALL
-from test_batching import block_loop
+from test_batching import offset_batches
 
 
-def test_file_batches_match_block_loop(spark, tmp_path):
+def test_file_batches_match_offset_batches(spark, tmp_path):
     lines = [f"line {i} " + "z" * (i % 17) for i in range(3000)]
     text = "".join(line + "\n" for line in lines)
     (tmp_path / "f.txt").write_text(text)
@@ -19,7 +19,7 @@ def test_file_batches_match_block_loop(spark, tmp_path):
         got = file_batches(spark, str(tmp_path / "f.txt"), block_size=1024).orderBy("batch_id").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert [r.payload for r in got] == block_loop(text, 1024)
+    assert [r.payload for r in got] == offset_batches(text, 1024)
 
 
 def test_table_batches_then_ship(spark, tmp_path):
@@ -67,3 +67,29 @@ def test_file_edge_cases_block_8(spark, tmp_path, content, lines):
         off += len(line) + 1
         ends.append((off - 1) // 8)
     assert [r.batch_id for r in got] == sorted(set(ends))
+
+
+def test_files_are_not_mixed_in_a_payload(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.log").write_text("".join(f"{name}{i}\n" for i in range(300)))
+    got = file_batches(spark, str(tmp_path), block_size=256).collect()
+    by_file = {}
+    for r in sorted(got, key=lambda r: (r.file_path, r.batch_id)):
+        by_file.setdefault(r.file_path[-5], []).append(r.payload)
+    assert by_file == {n: offset_batches("".join(f"{n}{i}\n" for i in range(300)), 256) for n in "ab"}
+    mixed = file_batches(spark, str(tmp_path), block_size=256, per_file=False).orderBy("batch_id").collect()
+    assert [r.payload for r in mixed] == offset_batches("".join(f"{n}{i}\n" for n in "ab" for i in range(300)), 256)
+
+
+def test_sink_search_prunes_folders(spark, tmp_path):
+    from eventloom.operators.format import format_events, with_destination
+    from eventloom.plans.search import search_event_files
+    from eventloom.sinks.partitioned import write_events
+    ev = read_table(spark, SF_SMALL, "events")
+    routed = with_destination(ev, index="main", sourcetype=ev.event_type)
+    write_events(format_events(routed, ["event_id"], "ts"), str(tmp_path / "sink"))
+    hits = search_event_files(spark, str(tmp_path / "sink"), ["event_id"], "sourcetype = 'error'", None, None,
+                              now="2024-01-16", partitions=("index", "sourcetype"))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "sourcetype" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert hits.count() == ev.where("event_type = 'error'").count()

@@ -56,3 +56,35 @@ def test_exports_round_trip_multiline_text(spark):
         path = export_results(docs, scratch_path(spark, f"docs-{mode}"), mode)
         got = sorted(map(tuple, read_export(spark, path, mode, docs.schema).collect()), key=repr)
         assert got == sorted(want, key=repr), mode
+
+
+def test_equal_lines_are_split(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.range(20_000).selectExpr("'main' AS index", "'hot' AS sourcetype", "'same' AS raw").write.parquet(src)
+    path = str(tmp_path / "sink")
+    write_events(spark.read.parquet(src), path, rows_per_file=1000)
+    files = glob.glob(os.path.join(path, "index=main", "sourcetype=hot", "*.txt"))
+    assert len(files) >= 10  # 20 groups, some of which share a task
+    assert read_events(spark, path).count() == 20_000
+
+
+def test_exports_keep_every_value(spark):
+    from eventloom.session import scratch_path
+    from eventloom.sinks.export import export_results, read_export
+    values = ["", None, " pad ", "null", "a,b", 'say "hi"', "\\", "tab\there", "é😀", "NULL", "  "]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    for mode in ("csv", "json", "xml"):
+        path = export_results(df, scratch_path(spark, f"values-{mode}"), mode)
+        got = [r.v for r in read_export(spark, path, mode, df.schema).orderBy("id").collect()]
+        assert got == values, mode
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import types
+
+    import pytest
+    from eventloom.session import checkpoint_root
+    context = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(sparkContext=context, conf=types.SimpleNamespace(get=lambda k, d=None: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(session)

@@ -44,6 +44,6 @@ def test_stream_of_event_files_in_file_order(spark, tmp_path):
     stream = read_event_file_stream(spark, str(src))
     q = start_delivery(stream, [], out, ckpt, block_size=1024, keep_payloads=True, file_lines=True)
     q.awaitTermination()
-    payloads = spark.read.parquet(f"{out}/payloads").orderBy("batch_id").collect()
+    payloads = spark.read.parquet(f"{out}/payloads").orderBy("file_path", "batch_id").collect()
     assert "".join(r.payload for r in payloads) == "".join(line + "\n" for line in lines)
     assert read_stream_receipts(spark, out).agg({"n_events": "sum"}).first()[0] == 2000
