@@ -36,6 +36,7 @@ LEAST_VOTES = 0.1
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_OPEN_END = re.compile(r"<[a-zA-Z/!?].*\Z", re.S)  # a tag that breaks off
 _ATTRIBUTE = re.compile(r"([a-zA-Z][-\w:]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _STEP = re.compile(r"\d+")
 
@@ -103,6 +104,7 @@ def parse(source: str) -> Page:
     links = 0
     lower = None
     at, end = 0, len(source)
+    last = source.rfind(">") + 1  # no tag ends behind it, so none is looked for there
 
     def flush() -> None:
         nonlocal links
@@ -130,9 +132,9 @@ def parse(source: str) -> Page:
             links += len(piece.strip())
 
     while at < end:
-        m = _TOKEN.search(source, at)
+        m = _TOKEN.search(source, at, last) if at < last else None
         if m is None:
-            say(source[at:])
+            say(_OPEN_END.sub("", source[at:]))
             break
         say(source[at : m.start()])
         at = m.end()
