@@ -1,8 +1,9 @@
 """HTML extraction by consensus host paths.
 
 1. Each page's containers are scored by the running text in them (link text counts
-   against it), and the page votes for the path of its best one. A path is the
-   container's ancestors as generalised ``tag.class`` steps: digits become #.
+   against it), and the page votes for the path of its best one: the innermost that
+   holds nearly all of the page's text, or most of it and is named as an article. A
+   path is the container's ancestors as generalised ``tag.class`` steps: digits become #.
 2. Votes are counted by host and path in Spark. A host's winning paths are those with a
    tenth of its votes at least (ten at most, therefore), by votes.
 3. Each page is extracted again from the first winning path that it has; a page
@@ -59,6 +60,11 @@ SKIP_WORDS = frozenset(
     "respond reply replies related recommended recommendations share sharing social widget pagination pager toolbar toc skip form login".split())
 
 
+#: Containers that can be an article, and words by which they say so.
+HOLDERS = frozenset("html body main article section div td center".split())
+NAMED = frozenset("article main content post entry story body text".split())
+
+
 @dataclass
 class Block:
     """A run of text between block boundaries; ``path``: the open containers, outermost first."""
@@ -80,7 +86,8 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _words(a: dict[str, str]) -> list[str]:
-    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{a.get('class', '')} {a.get('id', '')}").lower())
+    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{a.get('class', '')} {a.get('id', '')}").lower()
+    return re.findall(r"[a-z]+", re.sub(r"\b(?:has|with|no|without)[-_]\S+", "", names))  # what a layout has or lacks
 
 
 def _skipped(tag: str, a: dict[str, str]) -> bool:
@@ -175,13 +182,14 @@ def parse(source: str) -> Page:
             continue
         a = _attributes(m[3] or m[5] or "")
         above = stack[-1] if stack else ["", -1, False, False, False]
+        page_head = tag == "header" and stack and stack[-1][0] == "body"
         head = tag == "header" or "header" in _words(a) and tag in ("div", "section")
         container = -1
         if tag in BLOCK and tag not in HEADINGS and tag not in ("p", "li", "td", "th", "dt", "dd", "tr", "option"):
             container = len(page.steps)
             page.steps.append((page.steps[path[-1]] + ">" if path else "") + _step(tag, a))
             path.append(container)
-        stack.append([tag, container, above[2] or _skipped(tag, a), above[3] or head, above[4] or tag == "a"])
+        stack.append([tag, container, above[2] or page_head or _skipped(tag, a), above[3] or head, above[4] or tag == "a"])
     while stack:
         pop()
     flush()
@@ -189,28 +197,61 @@ def parse(source: str) -> Page:
 
 
 def scores(page: Page) -> dict[int, float]:
-    """Score of each container: its own blocks' text in full, that of its child containers' blocks by half."""
+    """Score of each container: the characters of all text below it, less twice those in links."""
     out: dict[int, float] = {}
     for b in page.blocks:
         value = b.chars - 2.0 * b.link_chars
-        if b.path and value > 0:
-            out[b.path[-1]] = out.get(b.path[-1], 0.0) + value
-            if len(b.path) > 1:
-                out[b.path[-2]] = out.get(b.path[-2], 0.0) + value / 2
+        if value > 0:
+            for c in b.path:
+                out[c] = out.get(c, 0.0) + value
     return out
 
 
+def best_container(page: Page) -> int | None:
+    """From the outermost container inwards: on to the largest one inside while that loses
+    next to nothing, or while it says that it is the article and holds a good part."""
+    score = scores(page)
+    inside: dict[int, list[int]] = {}
+    for b in page.blocks:
+        for outer, inner in zip(b.path, b.path[1:]):
+            if inner in score and inner not in inside.setdefault(outer, []):
+                inside[outer].append(inner)
+    tops = {b.path[0] for b in page.blocks if b.path and b.path[0] in score}
+    if not tops:
+        return None
+    at = max(tops, key=lambda c: (score[c], -c))
+    while True:
+        options = [c for c in inside.get(at, []) if _last(page.steps[c])[0] in HOLDERS]
+        if not options:
+            return at
+        said = [c for c in options if not NAMED.isdisjoint(re.findall(r"[a-z]+", page.steps[c].rpartition(">")[2]))]
+        best = max(options, key=lambda c: (score[c], -c))
+        named = max(said, key=lambda c: (score[c], -c), default=best)
+        if score[best] >= 0.9 * score[at]:
+            at = best
+        elif said and score[named] >= 0.4 * score[at] and named == best:
+            at = named
+        else:
+            return at
+
+
+def _last(path: str) -> list[str]:
+    return path.rpartition(">")[2].split(".")
+
+
 def best_path(page: Page) -> str | None:
-    """The path of the best container; paths of several containers (posts of a list) add up, the shorter one wins ties."""
-    total: dict[str, float] = {}
-    for c, value in scores(page).items():
-        total[page.steps[c]] = total.get(page.steps[c], 0.0) + value
-    return min(total, key=lambda p: (-total[p], len(p), p)) if total else None
+    """The path of the best container."""
+    best = best_container(page)
+    return None if best is None else page.steps[best]
 
 
 def extract(page: Page, path: str | None) -> str:
-    """The text of the blocks in the containers of this path, joined by empty lines."""
+    """The text of the blocks in the containers of this path, joined by empty lines. Where
+    the path ends in a bare tag that any container could have, it stands for the fullest of them."""
     chosen = {c for c, p in enumerate(page.steps) if p == path}
+    if path and _last(path) in (["div"], ["section"], ["td"]) and len(chosen) > 1:
+        score = scores(page)
+        chosen = {max(chosen, key=lambda c: (score.get(c, 0.0), -c))}
     return "\n\n".join(b.text for b in page.blocks if not chosen.isdisjoint(b.path))
 
 
