@@ -23,6 +23,9 @@ CASES = [
     (f"<article><p>{LONG}</p><!-- <p>comment --><table><tr><td>a<td>b</table><pre>x\n  y</pre>", f"{LONG}\n\na\n\nb\n\nx y"),
     (f"<article><p>{LONG} <a href='x>y'>link</a> tail", f"{LONG} link tail"),
     (f"<article><p>{LONG}</p><p>1 < 2 and a<b</p></article>", None),
+    (f"<body><header><h1>Site</h1></header><div class='content has-sidebar'><p>Intro.</p><section><h2>A</h2><p>{LONG}</p></section><section><p>{LONG}</p></section></div></body>", f"Intro.\n\nA\n\n{LONG}\n\n{LONG}"),
+    (f"<body><div><div><p>{LONG}</p><blockquote>{LONG} {LONG}</blockquote></div></div><div class=sidebar><p>{LONG}</p></div><div id=page-footer>x</div></body>", f"{LONG}\n\n{LONG} {LONG}"),
+    (f"<body><div class=teaser><p>{LONG}</p></div><div class=post-body><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n\n{LONG}"),
     ("", ""), ("<html><body></body></html>", ""), ("plain words", ""), ("<body>plain words</body>", "plain words"), ("<p", ""), ("<style>p{", ""),
 ]
 
