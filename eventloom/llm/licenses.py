@@ -200,3 +200,43 @@ def license_digest(documents: DataFrame) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort("base_labels"), ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"),
     )
+
+
+_TOKENS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TEMPLATE_ROWS = ", ".join(
+    f"('{t.label}', {str(t.short).lower()}, [{', '.join(repr(w) for w in sorted(t.words))}], {t.least})" for t in prepared())
+_PHRASE_ROWS = ", ".join(f"('{label}', [{', '.join(repr(w) for w in phrase.split())}])" for phrase, label in PHRASES)
+#: Every block against every template and every place against every phrase.
+ORACLE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+l AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS ln FROM d),
+lw AS (
+  SELECT r, ln, regexp_extract_all(line, '{_TOKENS}') AS w,
+    sum(CASE WHEN regexp_full_match(line, '[\\x20\\x09-\\x0D]*') THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY ln) AS p FROM l),
+pw AS (SELECT r, p, flatten(list(w ORDER BY ln)) AS w FROM lw GROUP BY r, p),
+b AS (
+  SELECT r, true AS short, w[a + 1 : a + {LINE}] AS w FROM (
+    SELECT r, w, unnest(range(0, greatest(1, len(w) - {LINE // 2}), {LINE // 2})) AS a FROM lw WHERE len(w) > 0)
+  UNION ALL
+  SELECT r, false AS short, w[a + 1 : a + {PARAGRAPH}] AS w FROM (
+    SELECT r, w, unnest(range(0, greatest(1, len(w) - {PARAGRAPH // 2}), {PARAGRAPH // 2})) AS a FROM pw WHERE len(w) > 0)),
+tm(label, short, words, least_words) AS (VALUES {_TEMPLATE_ROWS}),
+m AS (
+  SELECT r, label, len(list_intersect(words, w)) AS n, len(words) AS size, least_words
+  FROM b JOIN tm ON b.short = tm.short AND len(w) >= least_words),
+f AS (SELECT r, list(DISTINCT label) AS more, max(n / size) AS best FROM m WHERE n >= least_words GROUP BY r),
+dw AS (SELECT r, doc_id, regexp_extract_all(t, '{_TOKENS}') AS w FROM d),
+ph(label, words) AS (VALUES {_PHRASE_ROWS}),
+pl AS (
+  SELECT r, label, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i] = words[1] AND w[i : i + len(words) - 1] = words)) - 1 AS spot
+  FROM dw JOIN ph ON list_contains(w, words[1])),
+g AS (SELECT r, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS base FROM pl GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base, []::VARCHAR[])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []::VARCHAR[]), coalesce(more, []::VARCHAR[])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM dw LEFT JOIN g USING (r) LEFT JOIN f USING (r)
+"""

@@ -66,4 +66,5 @@ ORACLES = {
     "op1_secrets": secrets.ORACLE,
     "op4_mix": mixing.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op7_licenses": licenses.ORACLE,
 }
