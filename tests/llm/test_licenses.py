@@ -68,6 +68,14 @@ def test_matches_brute_force(spark, texts):
     assert {"mit", "apache-2.0", "gpl", "bsd", "cc-by"} <= {x for r in got for x in r.labels.split(",")}
 
 
+def test_oracle(texts):
+    import duckdb
+    import pandas as pd
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    assert sorted(con.sql(licenses.ORACLE).fetchall()) == sorted((k, *brute(t)) for k, t in enumerate(texts))
+
+
 def test_blocks_carry_places(spark):
     text = "one two\n\nReleased under the MIT License"
     _, found = licenses.scan(spark.createDataFrame([(1, text, "", "", 1)], SCHEMA))
