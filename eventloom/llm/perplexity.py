@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import small_side, stored
 
 ORDER = 4
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
+ASKERS = 1_024
 QUANTILE, SLACK, LEAST_TRUSTED, STEADY = 0.99, 1.15, 50, 40
 #: Trusted ids of up to so many are broadcast (8 bytes each); more are shuffled.
 TRUSTED = 2_000_000
@@ -114,7 +115,7 @@ def build_model(counts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
 
 
 def log_probabilities(grams: DataFrame, model: DataFrame, contexts: DataFrame, floor: float) -> DataFrame:
-    """(gram, logp) of distinct sequences of order ORDER, each join sharded by the sequence it looks up."""
+    """``grams`` with ``logp`` of each sequence of order ORDER; each join is sharded by what it looks up."""
     rows = grams
     for k in range(1, ORDER + 1):  # the order-k probability of the last k characters
         p = model.where(F.length("gram") == k).select(F.col("gram").alias(f"g{k}"), F.col("p").alias(f"p{k}"))
@@ -125,21 +126,20 @@ def log_probabilities(grams: DataFrame, model: DataFrame, contexts: DataFrame, f
     p: Column = F.coalesce("p1", F.lit(floor))
     for k in range(2, ORDER + 1):
         p = F.coalesce(f"p{k}", F.coalesce(f"w{k}", F.lit(1.0)) * p)
-    return rows.select("gram", F.log(p).alias("logp"))
+    return rows.select(*grams.columns, F.log(p).alias("logp"))
 
 
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked: dict[int, set[str]] = {}
-    words: set[str] = set()
+    known: dict[int, set[str]] = {}  # words that were asked for already: a memory, no more
     for b in batches:
-        for batch, text in zip(b.column("batch").to_pylist(), b.column("text").to_pylist()):
-            mine = asked.setdefault(batch, set())
-            for word in _WORD.findall(text or ""):
-                if (batch, word) not in words:
-                    words.add((batch, word))
-                    mine.update(sequences(word))
-            if len(words) > 500_000:  # a memory of what was asked already, no more
-                words.clear()
+        for batch, text in zip(b.column("batch").to_pylist(), b.column("text")):
+            words = set(_WORD.findall(text.as_py() or ""))
+            words -= known.setdefault(batch, set())
+            known[batch] |= words
+            asked.setdefault(batch, set()).update(*map(sequences, words))
+            if len(known[batch]) > 200_000:
+                known[batch].clear()
     for batch, grams in asked.items():
         yield pa.RecordBatch.from_arrays([pa.array([batch] * len(grams), pa.int64()), pa.array(list(grams), pa.string())], names=["batch", "gram"])
 
@@ -148,17 +148,14 @@ def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     logp = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
     of: dict[str, float] = {}
     out, sizes = [], []
-    for text in texts.column("text").to_pylist():
-        total, n = 0.0, 0
-        for word in _WORD.findall(text or ""):
-            value = of.get(word)
-            if value is None:
-                if len(of) > 300_000:
-                    of.clear()
-                value = of[word] = sum(map(logp.__getitem__, sequences(word)))
-            total += value
-            n += len(word) + 1
-        out.append(math.exp(-total / n) if n else None)
+    for text in texts.column("text"):
+        words = _WORD.findall(text.as_py() or "")
+        if len(of) > 300_000:
+            of.clear()
+        for word in set(words).difference(of):
+            of[word] = sum(map(logp.__getitem__, sequences(word)))
+        n = sum(map(len, words)) + len(words)
+        out.append(math.exp(-sum(map(of.__getitem__, words)) / n) if n else None)
         sizes.append(n)
     return pa.table([texts.column("id"), texts.column("lang"), pa.array(out, pa.float64()), pa.array(sizes, pa.int64())], names=["id", "lang", "perplexity", "n"])
 
@@ -180,7 +177,9 @@ def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     batch = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(max(1, math.ceil(size / BATCH_BYTES))))
     dealt = documents.select(F.col("doc_id").alias("id"), "lang", "text", batch.alias("batch")).repartition("batch")
     asked = dealt.mapInArrow(_questions, "batch long, gram string")
-    answers = asked.join(log_probabilities(asked.select("gram").distinct(), model, contexts, floor), "gram").select("batch", "gram", "logp")
+    # A common sequence is looked up once for each ASKERS batches, whose numbers travel with it.
+    grouped = asked.groupBy("gram", F.floor(F.col("batch") / ASKERS).alias("part")).agg(F.collect_list("batch").alias("batches"))
+    answers = log_probabilities(grouped, model, contexts, floor).select(F.explode("batches").alias("batch"), "gram", "logp")
     scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score, f"id {kind['doc_id']}, lang {kind['lang']}, perplexity double, n long")
     return stored(scored, "perplexities")
 
