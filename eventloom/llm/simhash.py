@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import itertools
 import re
-import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,13 +51,13 @@ PIVOTS = 8
 BUCKET = 4_096
 BLOCKS = (11, 11, 11, 11, 10, 10)
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+# On UTF-8 bytes, whose lower() changes A-Z alone.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64 bits of one text."""
-    words = [w.encode("utf-8", "surrogatepass") for w in _WORD.findall(text.translate(_LOWER) if text else "")]
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """The 64 bits of one text in UTF-8."""
+    words = _WORD.findall(text.lower()) if text else []
     if not words:
         return 0
     if len(words) <= shingle:
@@ -83,7 +82,9 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
+            # One text at a time: a batch of long ones is not copied whole.
+            texts = (t.as_buffer().to_pybytes() if t.is_valid else None for t in b.column("text"))
+            fps = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, b.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps)], names=["id", "fp"])
 
     kind = dict(documents.dtypes)[id_col]
