@@ -88,7 +88,8 @@ def text_counts(text: Column) -> Column:
         for b in batches:
             yield pd.DataFrame([counts_of(t) for t in b], columns=NAMES).astype("int64")
 
-    return run(text)
+    # Said to be nondeterministic so that a filter on the counts is not pushed below, which would count twice.
+    return run.asNondeterministic()(text)
 
 
 def votes(c: str) -> Column:
