@@ -77,18 +77,20 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(id, fp) of every row; fp is the fingerprint as a signed long. With ``row``, a long column of that name, (id, row, fp)."""
+    keys = {"id": id_col} | ({"row": row} if row else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             # One text at a time: a batch of long ones is not copied whole.
             texts = (t.as_buffer().to_pybytes() if t.is_valid else None for t in b.column("text"))
             fps = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, b.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(fps)], names=[*keys, "fp"])
 
-    kind = dict(documents.dtypes)[id_col]
-    return documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    kinds = dict(documents.dtypes)
+    read = documents.select(*[F.col(c).alias(k) for k, c in keys.items()], F.col(text).alias("text"))
+    return read.mapInArrow(run, ", ".join(f"{k} {kinds[c]}" for k, c in keys.items()) + ", fp long")
 
 
 def pivots(n: int = PIVOTS) -> list[int]:
@@ -219,14 +221,19 @@ def near_links(classes: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKE
     return links.union(_midpoint_links(crowded, max_bits))
 
 
+def _rooted(marked: DataFrame, first: Column, max_bits: int, bucket: int) -> DataFrame:
+    """(fp, first, root) of every distinct fingerprint: the least ``first`` of its rows, and one fingerprint for each component."""
+    classes = stored(marked.groupBy("fp").agg(F.min(first).alias("first")), "classes")
+    linked = components(near_links(classes, max_bits, bucket))
+    linked = stored(linked.select(F.col("node").alias("fp"), F.col("component").alias("root")), "linked")
+    return classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_groups(documents: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the least id that links lead to."""
     marked = stored(fingerprints(documents, id_col, text, shingle), "fingerprints")
-    classes = stored(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
-    linked = components(near_links(classes, max_bits, bucket))
-    linked = stored(linked.select(F.col("node").alias("fp"), F.col("component").alias("root")), "linked")
-    rooted = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = _rooted(marked, F.col("id"), max_bits, bucket)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
     # A fingerprint that many rows share is a hot key of this join; its other side has one row for each.
     return marked.join(of, "fp").select("id", "fp", "component_id")
@@ -238,18 +245,17 @@ def simhash_digest(documents: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: that with the least id. Rows with a null id stay if their group has no other.
+    """One row of each group: that with the least id, one with a null id only if the group has no other.
 
-    The ids to drop are joined, not those to keep: texts are shuffled only if those are
-    too many to broadcast. Of several rows with a kept id one stays, too.
+    Rows are told apart by a stored number and not by their id, which may be null or
+    that of other texts, too. The numbers to drop are joined, not those to keep: texts
+    are shuffled only if those are too many to broadcast.
     """
-    found = stored(near_groups(documents, id_col, text), "groups")
-    gone, many = fresh(documents, "gone"), fresh(documents, "many")
-    drop = stored(found.where(F.col("component_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(gone)).distinct(), "drop")
-    limit = 1_000_000
-    kept = documents.join(small_side(drop, limit), documents[id_col].eqNullSafe(F.col(gone)), "left_anti")
-    again = stored(found.groupBy(F.col("id").alias(many)).count().where("count > 1").select(many), "again")
-    again = small_side(again, limit)
-    once = kept.join(again, kept[id_col].eqNullSafe(F.col(many)), "left_anti")
-    twice = kept.join(again, kept[id_col].eqNullSafe(F.col(many)), "left_semi")
-    return once.union(twice.dropDuplicates([id_col]))
+    row = fresh(documents, "row")
+    numbered = stored(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
+    marked = stored(fingerprints(numbered, id_col, text, row=row), "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    rooted = _rooted(marked, first, MAX_BITS, BUCKET)
+    keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    drop = stored(marked.select("row").join(keep, "row", "left_anti").select(F.col("row").alias(fresh(numbered, "gone"))), "drop")
+    return numbered.join(small_side(drop, 1_000_000), F.col(row) == F.col(drop.columns[0]), "left_anti").drop(row)

@@ -122,6 +122,23 @@ def test_one_of_each_group_stays(spark, texts):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(comps))
 
 
+def test_ids_that_are_null_or_repeated_lose_no_text(spark):
+    rnd = random.Random(5)
+    a, b, c, d, e = (" ".join(f"w{rnd.randint(0, 10_000)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c)]  # b and c have null ids alone
+    rows += [(7, d), (7, e), (2, e)]  # 7 is the id of d and of a copy of e
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, a), (None, b), (None, c), (7, d), (2, e)], key=repr)
+
+
+def test_one_id_for_all_texts(spark):
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{rnd.randint(0, 10_000)}" for _ in range(60)) for _ in range(20)]
+    for key in (None, 3):
+        df = spark.createDataFrame([(key, t, 1) for t in texts * 2], "doc_id long, text string, row int")
+        assert sorted(r.text for r in simhash.drop_near_copies(df).collect()) == sorted(texts)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.simhash_digest(empty).count() == 0
