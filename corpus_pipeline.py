@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import stored
-from eventloom.llm.decontaminate import decontaminate
+from eventloom.llm.decontaminate import decontaminate_rows
 from eventloom.llm.mixing import mix_documents
 from eventloom.llm.quality import keep_good
 from eventloom.llm.sharding import place, shard_names
@@ -26,7 +26,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,8 @@ unless candidates are too many to broadcast.
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a null text has
 none; a text of fewer than five words has no shingle, so such an item is never found
 and such a document never holds one; repeated items are searched once for each
-item_id; rows that share a doc_id are one document, and null is a doc_id like others;
+item_id; rows that share a doc_id are one document, and null is a doc_id like others
+(``decontaminate_rows`` takes each row as a document of its own, whatever its doc_id);
 either table may be empty; other columns are not read.
 """
 
@@ -98,6 +99,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return documents.join(small_side(drop, BROADCAST_ROWS), documents["doc_id"].eqNullSafe(F.col(bad)), "left_anti")
 
 
+def decontaminate_rows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows that contain no test item themselves, with their columns as they are.
+
+    Rows are told apart by a stored number and not by their doc_id: a clean row stays
+    though another one has its doc_id (or a null, too) and goes.
+    """
+    row = fresh(documents, "row")
+    numbered = stored(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = contaminated(numbered.select(F.col(row).alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
+    drop = stored(found.select(F.col("doc_id").alias(fresh(numbered, "bad"))), "contaminated")
+    return numbered.join(small_side(drop, BROADCAST_ROWS), F.col(row) == F.col(drop.columns[0]), "left_anti").drop(row)
+
+
 _SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
 ORACLE = f"""
 WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),

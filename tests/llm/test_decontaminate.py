@@ -77,6 +77,30 @@ def test_contaminated_documents_go(spark, tables):
     assert sorted(map(tuple, clean.collect()), key=repr) == sorted((r for r in docs if r[0] not in bad), key=repr)
 
 
+def test_rows_go_by_their_own_text(spark):
+    """Clean rows stay though a contaminated one shares their id; pieces of an item in several rows are no document."""
+    item = [f"w{k}" for k in range(40)]
+    held, first, second = "a b " + " ".join(item), " ".join(item[:22]), " ".join(item[18:])
+    rows = [(None, held, 1), (None, "clean one two three four five", 1), (None, None, 1), (5, held, 1), (5, "clean six seven eight nine ten", 1)]
+    rows += [(6, first, 1), (6, second, 1), (None, first, 1), (None, second, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    items = spark.createDataFrame([(1, " ".join(item), "x")], ITEMS)
+    clean = d.decontaminate_rows(df, items)
+    assert clean.columns == df.columns
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted((r for r in rows if r[1] != held), key=repr)
+    assert d.decontaminate_rows(df, items.limit(0)).count() == len(rows)
+    assert d.decontaminate_rows(df.limit(0), items).count() == 0
+
+
+def test_pipeline_drops_by_row(spark, monkeypatch):
+    import corpus_pipeline
+    item = " ".join(f"w{k}" for k in range(40))
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: spark.createDataFrame([(1, item, "x")], ITEMS))
+    rows = [(None, item), (None, "clean"), (5, item), (5, "clean too")]
+    out = corpus_pipeline.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.text for r in out.collect()) == ["clean", "clean too"]
+
+
 @pytest.mark.parametrize("n", range(1, 70))
 def test_sketch_is_large_enough(spark, n):
     """A document with the needed shingles can lack fewer than the sketch has."""
