@@ -13,7 +13,11 @@ Below a chosen container, menus, headers, footers, sidebars, notices, adverts, f
 scripts, styles and reader comments are left out by tag, role and class. Headings
 that stand in an article's own header stay.
 
-Defined cases: null and empty html give the empty text; a null or odd url belongs to the
+Every block lies in the root ``html>body``, whether the page has these tags or not. A page
+without running text outside links casts no vote and gives what the root holds.
+
+Defined cases: null and empty html give the empty text; a page without any tag is a body
+(of ``parse`` itself it has no blocks); an open head ends where its content can't be a head's; a null or odd url belongs to the
 host ''; repeated pages vote each; markup that breaks off is closed at its end; an empty
 table gives no rows; columns other than page_id, url and html are not read.
 """
@@ -38,15 +42,20 @@ LEAST_VOTES = 0.1
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _OPEN_END = re.compile(r"<[a-zA-Z/!?].*\Z", re.S)  # a tag that breaks off
+_TAG = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z][-\w:]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _STEP = re.compile(r"\d+")
 
+#: The container of everything; html and body tags open no other.
+ROOT = "html>body"
+
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math object xmp".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
+IN_HEAD = frozenset("base link meta".split()) | RAW
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the key ends an open element of these, up to the stop elements.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -104,9 +113,9 @@ def _step(tag: str, a: dict[str, str]) -> str:
 
 def parse(source: str) -> Page:
     """Containers and text blocks in page order, without what is skipped. One pass over the whole html."""
-    page = Page()
+    page = Page([ROOT])
     stack: list[list] = []  # [tag, container or -1, skipped, in a header, link]
-    path: list[int] = []
+    path: list[int] = [0]
     text: list[str] = []
     links = 0
     lower = None
@@ -131,6 +140,8 @@ def parse(source: str) -> Page:
 
     def say(piece: str) -> None:
         nonlocal links
+        if stack and stack[-1][0] == "head" and piece.strip():
+            pop()
         top = stack[-1] if stack else None
         if not piece or top and (top[2] or top[3] and not any(s[0] in HEADINGS for s in stack)):
             return
@@ -141,7 +152,8 @@ def parse(source: str) -> Page:
     while at < end:
         m = _TOKEN.search(source, at, last) if at < last else None
         if m is None:
-            say(_OPEN_END.sub("", source[at:]))
+            if at:
+                say(_OPEN_END.sub("", source[at:]))
             break
         say(source[at : m.start()])
         at = m.end()
@@ -157,6 +169,8 @@ def parse(source: str) -> Page:
         tag = (m[2] or m[4] or "").lower()
         if not tag:
             continue
+        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop()
         if tag in RAW:
             if not (m[3] or m[5] or "").rstrip().endswith("/"):
                 lower = lower if lower is not None else source.lower()
@@ -185,9 +199,9 @@ def parse(source: str) -> Page:
         page_head = tag == "header" and stack and stack[-1][0] == "body"
         head = tag == "header" or "header" in _words(a) and tag in ("div", "section")
         container = -1
-        if tag in BLOCK and tag not in HEADINGS and tag not in ("p", "li", "td", "th", "dt", "dd", "tr", "option"):
+        if tag in BLOCK and tag not in HEADINGS and tag not in ("p", "li", "td", "th", "dt", "dd", "tr", "option", "html", "body"):
             container = len(page.steps)
-            page.steps.append((page.steps[path[-1]] + ">" if path else "") + _step(tag, a))
+            page.steps.append(page.steps[path[-1]] + ">" + _step(tag, a))
             path.append(container)
         stack.append([tag, container, above[2] or page_head or _skipped(tag, a), above[3] or head, above[4] or tag == "a"])
     while stack:
@@ -216,10 +230,9 @@ def best_container(page: Page) -> int | None:
         for outer, inner in zip(b.path, b.path[1:]):
             if inner in score and inner not in inside.setdefault(outer, []):
                 inside[outer].append(inner)
-    tops = {b.path[0] for b in page.blocks if b.path and b.path[0] in score}
-    if not tops:
+    if not score:
         return None
-    at = max(tops, key=lambda c: (score[c], -c))
+    at = 0
     while True:
         options = [c for c in inside.get(at, []) if _last(page.steps[c])[0] in HOLDERS]
         if not options:
@@ -247,7 +260,9 @@ def best_path(page: Page) -> str | None:
 
 def extract(page: Page, path: str | None) -> str:
     """The text of the blocks in the containers of this path, joined by empty lines. Where
-    the path ends in a bare tag that any container could have, it stands for the fullest of them."""
+    the path ends in a bare tag that any container could have, it stands for the fullest of
+    them. Without a path it is all blocks."""
+    path = path or ROOT
     chosen = {c for c, p in enumerate(page.steps) if p == path}
     if path and _last(path) in (["div"], ["section"], ["td"]) and len(chosen) > 1:
         score = scores(page)
@@ -259,9 +274,14 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
 
 
+def _read(source: str | None) -> Page:
+    source = source or ""
+    return parse(source if _TAG.search(source) else f"<body>{source}")
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        paths = [best_path(parse(h or "")) for h in b.column("html").to_pylist()]
+        paths = [best_path(_read(h)) for h in b.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(paths, pa.string())], names=["host", "path"])
 
 
@@ -269,7 +289,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, used = [], []
         for source, winners in zip(b.column("html").to_pylist(), b.column("paths").to_pylist()):
-            page = parse(source or "")
+            page = _read(source)
             there = set(page.steps)
             path = next((p for p in winners or () if p in there), None) or best_path(page)
             found = extract(page, path)
@@ -277,7 +297,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 path = best_path(page)
                 found = extract(page, path)
             texts.append(found)
-            used.append(path)
+            used.append(path or (ROOT if found else None))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(used, pa.string())], names=["page_id", "url", "text", "path"])
 
 

@@ -69,5 +69,24 @@ def test_hosts_agree_on_a_path(spark):
     assert winners["example.com"][0] == "html>body>div.post-#" and "other.example.org" in winners
 
 
+@pytest.mark.parametrize("source, want", [
+    (f"<!DOCTYPE html><title>t</title><h1>A</h1><p>{LONG}</p>", f"A\n\n{LONG}"),
+    (f"<title>t</title><h1>A</h1><p>{LONG}</p><ul><li>one<li>two</ul><p>end</p>", f"A\n\n{LONG}\n\none\n\ntwo\n\nend"),
+    (f"<html><head><meta charset=utf-8><title>t</title><h1>A</h1><p>{LONG}", f"A\n\n{LONG}"),
+    (f"<head><title>t</title>{LONG}", LONG),
+    (f"<html><head><title>t</title><body class=x><p>{LONG}", LONG),
+    ("<html><body><ul><li><a href=/a>A long title</a><li><a href=/b>Another one</a></ul></body></html>", "A long title\n\nAnother one"),
+])
+def test_text_outside_containers(source, want):
+    assert text_of(source) == want
+
+
+def test_plain_pages_and_lists_of_links(spark):
+    links = "<html><body><p><a href=/a>A title</a></p></body></html>"
+    pages = [page(1, f"{LONG} 1 < 2"), page(2, links), page(3, f"<p>{LONG}"), page(4, "", "http://other.example.com/")]
+    got = {r.page_id: (r.text, r.path) for r in html.extract_pages(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert got == {1: (f"{LONG} 1 < 2", "html>body"), 2: ("A title", "html>body"), 3: (LONG, "html>body"), 4: ("", None)}
+
+
 def test_empty_table(spark):
     assert html.page_digest(spark.createDataFrame([], SCHEMA)).count() == 0
