@@ -1,8 +1,8 @@
 """HTML extraction by consensus host paths.
 
 1. Each page's containers are scored by the running text in them (link text counts
-   against it), and the page votes for the path of its best one: the innermost that
-   holds nearly all of the page's text, or most of it and is named as an article. A
+   against it), and the page votes for the path of its best one: the innermost outside
+   which there are only links, teasers and one lone word at most. A
    path is the container's ancestors as generalised ``tag.class`` steps: digits become #.
 2. Votes are counted by host and path in Spark. A host's winning paths are those with a
    tenth of its votes at least (ten at most, therefore), by votes.
@@ -69,9 +69,11 @@ SKIP_WORDS = frozenset(
     "respond reply replies related recommended recommendations share sharing social widget pagination pager toolbar toc skip form login".split())
 
 
-#: Containers that can be an article, and words by which they say so.
+#: Containers that can be an article, and words by which others say that they only lead to one.
 HOLDERS = frozenset("html body main article section div td center".split())
-NAMED = frozenset("article main content post entry story body text".split())
+TEASERS = frozenset("teaser teasers".split())
+#: A single word shorter than this, alone outside the article, is no running text.
+LONE_WORD = 20
 
 
 @dataclass
@@ -82,6 +84,7 @@ class Block:
     text: str
     link_chars: int
     chars: int
+    heading: bool = False
 
 
 @dataclass
@@ -128,13 +131,14 @@ def parse(source: str) -> Page:
             joined = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if joined:
-                page.blocks.append(Block(tuple(path), joined, min(links, len(joined)), len(joined)))
+                page.blocks.append(Block(tuple(path), joined, min(links, len(joined)), len(joined), any(e[0] in HEADINGS for e in stack)))
         links = 0
 
     def pop() -> None:
-        tag, container, *_ = stack.pop()
+        tag, container, *_ = stack[-1]
         if tag in BLOCK:
             flush()
+        stack.pop()
         if container >= 0:
             path.pop()
 
@@ -222,30 +226,43 @@ def scores(page: Page) -> dict[int, float]:
 
 
 def best_container(page: Page) -> int | None:
-    """From the outermost container inwards: on to the largest one inside while that loses
-    next to nothing, or while it says that it is the article and holds a good part."""
+    """From the outermost container inwards: on to the largest one inside while that loses no running text and no heading."""
     score = scores(page)
-    inside: dict[int, list[int]] = {}
-    for b in page.blocks:
-        for outer, inner in zip(b.path, b.path[1:]):
-            if inner in score and inner not in inside.setdefault(outer, []):
-                inside[outer].append(inner)
     if not score:
         return None
-    at = 0
+    at, level, blocks = 0, 0, page.blocks
     while True:
-        options = [c for c in inside.get(at, []) if _last(page.steps[c])[0] in HOLDERS]
+        inside = {b.path[level + 1] for b in blocks if len(b.path) > level + 1}
+        options = [c for c in inside if c in score and _last(page.steps[c])[0] in HOLDERS]
         if not options:
             return at
-        said = [c for c in options if not NAMED.isdisjoint(re.findall(r"[a-z]+", page.steps[c].rpartition(">")[2]))]
         best = max(options, key=lambda c: (score[c], -c))
-        named = max(said, key=lambda c: (score[c], -c), default=best)
-        if score[best] >= 0.9 * score[at]:
-            at = best
-        elif said and score[named] >= 0.4 * score[at] and named == best:
-            at = named
-        else:
+        within, outside = [], []
+        for b in blocks:
+            (within if b.path[level + 1 : level + 2] == (best,) else outside).append(b)
+        if _is_article(outside, page, level, most=not _teaser(page.steps[best]) and 2 * score[best] >= score[at]):
             return at
+        at, level, blocks = best, level + 1, within
+
+
+def _is_article(blocks: list[Block], page: Page, level: int, most: bool) -> bool:
+    """If these blocks are more than links, teasers (of a container that holds ``most``) and one lone word."""
+    lone = 0
+    for b in blocks:
+        if most and any(_teaser(page.steps[c]) for c in b.path[level + 1 :]):
+            continue
+        if not b.heading:
+            if b.chars <= 2 * b.link_chars:
+                continue
+            if " " not in b.text and b.text.isalnum() and b.text.isascii() and b.chars < LONE_WORD and not lone:
+                lone += 1
+                continue
+        return True
+    return False
+
+
+def _teaser(path: str) -> bool:
+    return not TEASERS.isdisjoint(_last(path)[1:])
 
 
 def _last(path: str) -> list[str]:

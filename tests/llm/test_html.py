@@ -69,6 +69,20 @@ def test_hosts_agree_on_a_path(spark):
     assert winners["example.com"][0] == "html>body>div.post-#" and "other.example.org" in winners
 
 
+PARTS = [" ".join(f"Part {c} has sentence {k}." for k in range(n)) for c, n in (("a", 45), ("b", 35), ("c", 20))]
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<article><h1>Title</h1><p>lead</p><div class=x><p>{LONG * 20}</p></div></article>", f"Title\n\nlead\n\n{LONG * 20}"),
+    (f"<article><p>A lead.</p><div><p>Next.</p><div class=content><p>{LONG * 50}</p></div></div></article>", f"A lead.\n\nNext.\n\n{LONG * 50}"),
+    ("<body>" + "".join(f"<section class={n}><p>{t}</p></section>" for n, t in zip(("text-a", "b", "c"), PARTS)), "\n\n".join(PARTS)),
+    ("<body>" + "".join(f"<div class=teaser><p>{t}</p></div>" for t in PARTS), "\n\n".join(PARTS)),
+    (f"<body><p><a href=/>All news of today</a></p><div class=story><h2><a href=/x>T</a></h2><p>{LONG}</p></div>", f"T\n\n{LONG}"),
+])
+def test_no_text_is_lost_on_the_way_inwards(source, want):
+    assert text_of(source) == want
+
+
 @pytest.mark.parametrize("source, want", [
     (f"<!DOCTYPE html><title>t</title><h1>A</h1><p>{LONG}</p>", f"A\n\n{LONG}"),
     (f"<title>t</title><h1>A</h1><p>{LONG}</p><ul><li>one<li>two</ul><p>end</p>", f"A\n\n{LONG}\n\none\n\ntwo\n\nend"),
