@@ -10,7 +10,9 @@
    that has none keeps its own best container.
 
 Below a chosen container, menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out by tag, role and class. Headings
+scripts, styles and reader comments are left out by tag, role and class. Class and id
+count on layout elements only and by whole names: one that only begins or ends with such
+a word (as the ids made from headings do) drops an element only if links are half its text. Headings
 that stand in an article's own header stay.
 
 Every block lies in the root ``html>body``, whether the page has these tags or not. A page
@@ -67,6 +69,16 @@ SKIP_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead banner cookie cookies consent gdpr notice notices newsletter subscribe "
     "subscription signup popup modal overlay promo promotion sponsor sponsored ad ads advert adverts advertisement advertising comment comments commentlist disqus "
     "respond reply replies related recommended recommendations share sharing social widget pagination pager toolbar toc skip form login".split())
+#: Those that an id made from a heading is unlikely to be.
+SKIP_IDS = frozenset("nav navbar breadcrumb breadcrumbs sidebar footer masthead cookie cookies gdpr newsletter modal overlay popup ad ads comments commentlist disqus pager pagination toolbar toc widget".split())
+#: Layout elements, whose class and id count.
+NAMEABLE = frozenset("div section ul ol dl table fieldset details center dir figure header hgroup".split())
+#: Words that say nothing about the content of what they name.
+LAYOUT = frozenset(
+    "page site main body content article articles post posts entry story stories news text title header head list lists item items row col column columns group panel "
+    "box boxes bar block area region zone slot unit section wrap wrapper container inner outer top bottom left right primary secondary global local sub "
+    "mobile desktop small large sticky fixed link links button buttons icon icons".split())
+HEADER = frozenset(["header"])
 
 
 #: Containers that can be an article, and words by which others say that they only lead to one.
@@ -97,17 +109,29 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
-def _words(a: dict[str, str]) -> list[str]:
-    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{a.get('class', '')} {a.get('id', '')}").lower()
-    return re.findall(r"[a-z]+", re.sub(r"\b(?:has|with|no|without)[-_]\S+", "", names))  # what a layout has or lacks
+def _names(text: str) -> list[list[str]]:
+    """The parts of each class or id name; what a layout has or lacks is left out."""
+    text = re.sub(r"([a-z])([A-Z])", r"\1-\2", text).lower()
+    return [re.findall(r"[^\W\d_]+", t) for t in text.split() if not re.match(r"(?:has|with|no|without)[-_]", t)]
 
 
-def _skipped(tag: str, a: dict[str, str]) -> bool:
+def _named(a: dict[str, str], words: frozenset[str], ids: frozenset[str]) -> tuple[bool, bool]:
+    """(whether a name consists of ``words`` and layout words, whether one begins or ends with one of ``words``); ids say the first only by ``ids``."""
+    sure = maybe = False
+    for attribute, certain in (("class", words), ("id", ids)):
+        for parts in _names(a.get(attribute, "")):
+            sure = sure or not certain.isdisjoint(parts) and all(p in words or p in LAYOUT for p in parts)
+            maybe = maybe or bool(parts) and (parts[0] in words or parts[-1] in words)
+    return sure, maybe
+
+
+def _skipped(tag: str, a: dict[str, str]) -> tuple[bool, bool]:
+    """(whether the element is left out, whether it is if links are half its text)."""
     if tag in SKIP_TAGS or a.get("role", "").lower() in SKIP_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I):
-        return True
-    return tag not in ("html", "body", "article", "main") and not SKIP_WORDS.isdisjoint(_words(a))
+        return True, False
+    return _named(a, SKIP_WORDS, SKIP_IDS) if tag in NAMEABLE else (False, False)
 
 
 def _step(tag: str, a: dict[str, str]) -> str:
@@ -121,6 +145,7 @@ def parse(source: str) -> Page:
     path: list[int] = [0]
     text: list[str] = []
     links = 0
+    doubtful: set[int] = set()  # containers that are left out if links are half their text
     lower = None
     at, end = 0, len(source)
     last = source.rfind(">") + 1  # no tag ends behind it, so none is looked for there
@@ -201,16 +226,26 @@ def parse(source: str) -> Page:
         a = _attributes(m[3] or m[5] or "")
         above = stack[-1] if stack else ["", -1, False, False, False]
         page_head = tag == "header" and stack and stack[-1][0] == "body"
-        head = tag == "header" or "header" in _words(a) and tag in ("div", "section")
+        head = tag == "header" or tag in ("div", "section") and _named(a, HEADER, HEADER)[0]
+        skipped, doubt = _skipped(tag, a)
         container = -1
         if tag in BLOCK and tag not in HEADINGS and tag not in ("p", "li", "td", "th", "dt", "dd", "tr", "option", "html", "body"):
             container = len(page.steps)
             page.steps.append(page.steps[path[-1]] + ">" + _step(tag, a))
             path.append(container)
-        stack.append([tag, container, above[2] or page_head or _skipped(tag, a), above[3] or head, above[4] or tag == "a"])
+            if doubt:
+                doubtful.add(container)
+        stack.append([tag, container, above[2] or page_head or skipped, above[3] or head, above[4] or tag == "a"])
     while stack:
         pop()
     flush()
+    if doubtful:
+        plain = dict.fromkeys(doubtful, 0)
+        for b in page.blocks:
+            for c in doubtful.intersection(b.path):
+                plain[c] += b.chars - 2 * b.link_chars
+        gone = {c for c, n in plain.items() if n <= 0}
+        page.blocks = [b for b in page.blocks if gone.isdisjoint(b.path)]
     return page
 
 

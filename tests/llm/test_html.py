@@ -69,6 +69,22 @@ def test_hosts_agree_on_a_path(spark):
     assert winners["example.com"][0] == "html>body>div.post-#" and "other.example.org" in winners
 
 
+@pytest.mark.parametrize("inner, want", [
+    ("<h2 id=related-methods>Related methods</h2><p>They differ.</p>", "Related methods\n\nThey differ."),
+    ("<section id=share-of-voters><h2>Share</h2><p>It rose to 12 per cent.</p></section>", "Share\n\nIt rose to 12 per cent."),
+    ("<section id=form-of-the-argument><p>It has two steps.</p></section>", "It has two steps."),
+    ("<section id=sharing><h2 id=comments>Comments</h2><p>They share it.</p></section>", "Comments\n\nThey share it."),
+    ("<h2 id=comments-on-the-law>Comments on the law</h2><p class=article-social-history>Long ago.</p>", "Comments on the law\n\nLong ago."),
+    ("<section id=header-files-of-c><p>They declare names.</p></section>", "They declare names."),
+    ("<p>A <span class=share>share</span> of it.</p>", "A share of it."),
+    ("<div class=share-this-now><p>Share <a href=/f>on one site</a> <a href=/t>on another one</a></p></div>", ""),
+    ("<div class='post-related-articles'><p>You may also read this one.</p></div>", ""),
+    ("<div id=sidebarLeft><p>About the site.</p></div><div class=site-header><p>All the news.</p></div>", ""),
+])
+def test_skip_words_are_whole_names_of_layout(inner, want):
+    assert text_of(f"<article><p>{LONG}</p>{inner}<p>End of it.</p></article>") == "\n\n".join(x for x in (LONG, want, "End of it.") if x)
+
+
 PARTS = [" ".join(f"Part {c} has sentence {k}." for k in range(n)) for c, n in (("a", 45), ("b", 35), ("c", 20))]
 
 
