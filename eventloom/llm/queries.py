@@ -38,8 +38,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    return sharding.place(documents, sharding.shard_names())
+    return sharding.place(read_table(spark, sf_dir, "documents"), sharding.shard_names())
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,3 +48,11 @@ def test_rows_keep_columns(spark, tmp_path):
     sharding.write_shards(got, f"{tmp_path}/out", "bin", rows_per_file=50)
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows)
     assert sharding.place(df.limit(0), sharding.shard_names(4)).count() == 0
+
+
+def test_query_shards_whole_rows(spark):
+    from eventloom.llm.queries import op8_shard
+    sf = "/root/testdata/sf0.001"
+    documents, got = spark.read.parquet(f"{sf}/documents.parquet"), op8_shard(spark, sf)
+    assert got.columns[: len(documents.columns)] == documents.columns
+    assert documents.exceptAll(got.select(*documents.columns)).count() == 0 and got.count() == documents.count()
