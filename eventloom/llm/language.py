@@ -2,8 +2,9 @@
 
 For each page the log odds of its languages add up from
 
-* its text: trigram likelihoods of a naive Bayes model, tempered to the evidence of
-  ``TEXT_WEIGHT`` independent trigrams (neighbouring trigrams are not independent);
+* its text: trigram likelihoods of a naive Bayes model, of which the
+  first ``TEXT_WEIGHT`` count in full and all together as the square root of their number
+  (neighbouring trigrams are not independent, but a long text outweighs the host's others);
 * the declared markup language: how pages of each language declare it;
 * the address suffix (the last label of the host): how often pages of each language have it;
 * its host: the languages of the host's other pages, smoothed towards those of its domain's,
@@ -89,6 +90,11 @@ def fit_text_model(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str
     return languages, np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
 
 
+def weight(n: int) -> float:
+    """The number of independent trigrams that the n trigrams of a text count for."""
+    return float(n) if n <= TEXT_WEIGHT else (TEXT_WEIGHT * n) ** 0.5
+
+
 def text_evidence(pages: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
     """page_id, host, domain, suffix, declared, text (tempered log likelihood of each language) of every row."""
     shared = pages.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages x 4 bytes
@@ -99,7 +105,7 @@ def text_evidence(pages: DataFrame, languages: list[str], model: np.ndarray) ->
             for source in b.column("html").to_pylist():
                 at = trigrams(entities.unescape(_DROP.sub(" ", source or "")))
                 like = shared.value[at].sum(axis=0, dtype=np.float64) if len(at) else np.zeros(len(languages))
-                out.append((like * (min(len(at), TEXT_WEIGHT) / max(len(at), 1))).tolist())
+                out.append((like * (weight(len(at)) / max(len(at), 1))).tolist())
             kept = [c for c in b.schema.names if c != "html"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(out, pa.list_(pa.float64()))], names=[*kept, "text"])
 

@@ -89,6 +89,19 @@ def test_posterior_matches_plain_arithmetic(spark, documents):
     assert sorted(((r.page_id, r.host, r.lang, round(r.posterior, 9)) for r in got), key=repr) == sorted(want, key=repr)
 
 
+def test_long_text_outweighs_a_large_host(spark):
+    """20,000 pages of one language on the host; the other language is only 0.3 nats a trigram apart."""
+    from pyspark.sql import functions as F
+    model = np.tile(np.array([-0.3, 0.0], np.float32), (language.BUCKETS, 1))
+    model[language.trigrams("aaaa " * 3)] = (0.0, -5.0)
+    others = spark.range(20_000).select(F.col("id").alias("page_id"), F.lit("http://big.example.com/").alias("url"), F.lit("<p>" + "aaaa " * 10).alias("html"))
+    rnd = random.Random(4)
+    short, long = ("<p>" + " ".join(rnd.choices(["bcd", "efgh", "ijk"], k=n)) for n in (2, 1_000))
+    own = spark.createDataFrame([(-1, "http://big.example.com/", short), (-2, "http://big.example.com/", long)], others.schema)
+    got = {r.page_id: r.lang for r in language.identify(others.union(own), ["a", "b"], model).where("page_id < 1").collect()}
+    assert got == {0: "a", -1: "a", -2: "b"}  # a few words say less than the host
+
+
 def test_sample_is_bounded(documents):
     few, _ = language.fit_text_model(documents, sample=5)
     assert set(few) <= set(SYLLABLES)
