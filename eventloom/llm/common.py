@@ -47,6 +47,17 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def small_bytes(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` hinted for broadcast if its values take at most ``max_bytes``, else as it is (a shuffled join).
+
+    The size is measured on the data: bytes of strings and binaries, 16 for any other
+    value, as each row is held as an object. Call it on a stored table.
+    """
+    sized = [F.coalesce(F.octet_length(c), F.lit(0)) + 16 if t in ("string", "binary") else F.lit(16) for c, t in df.dtypes]
+    size = df.agg(F.sum(sum(sized[1:], sized[0]).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def global_prefix(df: DataFrame, group: str, order: Sequence[Column], value: str, out: str, parts: int = 64) -> DataFrame:
     """Running sum of ``value`` (the row included) within ``group`` by ``order``, no group in one task.
 
