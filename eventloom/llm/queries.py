@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import decontaminate, divergence, html, language, licenses, mixing, perplexity, quality, secrets, sharding, simhash
+from eventloom.llm import decontaminate, divergence, html, language, licenses, mixing, perplexity, quality, secrets, sharding, simhash, vectors
 from eventloom.session import scratch_path
 from eventloom.sources.tables import read_table
 
@@ -49,6 +49,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.code_digest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
+    "op12_codes": op12_codes,
     "op13_divergence": op13_divergence,
 }
 ORACLES = {
@@ -71,5 +76,6 @@ ORACLES = {
     "op4_mix": mixing.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_licenses": licenses.ORACLE,
+    "op12_codes": vectors.ORACLE,
     "op13_divergence": divergence.ORACLE,
 }
