@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import decontaminate, divergence, html, language, licenses, mixing, perplexity, quality, secrets, sharding, simhash, vectors
+from eventloom.llm import decontaminate, divergence, html, language, licenses, mixing, perplexity, quality, secrets, sharding, simhash, vectors, warc
 from eventloom.session import scratch_path
 from eventloom.sources.tables import read_table
 
@@ -49,6 +49,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.code_digest(read_table(spark, sf_dir, "embeddings"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
+    "op11_warc": op11_warc,
     "op12_codes": op12_codes,
     "op13_divergence": op13_divergence,
 }
@@ -76,6 +81,7 @@ ORACLES = {
     "op4_mix": mixing.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_licenses": licenses.ORACLE,
+    "op11_warc": warc.ORACLE,
     "op12_codes": vectors.ORACLE,
     "op13_divergence": divergence.ORACLE,
 }
