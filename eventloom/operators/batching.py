@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.fields import NULL_TEXT
 from eventloom.functions.lines import LF, byte_length, split_lines, wire_event, wire_text
-from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS, PKEY, SEG, _running_sum, join_segments
+from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, DEFAULT_SPLIT_ROWS, PKEY, SEG, _null_safe_join, _running_sum, join_segments
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -37,8 +37,8 @@ def present_destination(df: DataFrame, destination: Sequence[str] | None) -> lis
 
 
 # Columns of payload, receipt and ledger rows that are not destination keys.
-BATCH_FIELDS = ("batch_id", "n_events", "n_bytes", "payload", "batch_key", "status", "rejected", "dead_letter",
-                "stream_batch_id")
+BATCH_FIELDS = ("batch_id", "part", "n_events", "n_bytes", "payload", "batch_key", "status", "attempts", "outcome",
+                "rejected", "dead_letter", "stream_batch_id")
 
 
 def batch_keys(df: DataFrame, destination: Sequence[str] | None = None) -> list[str]:
@@ -79,10 +79,9 @@ def assign_batches(
     event are sent, and sized, as LF.
 
     ``order`` is the event order (unique per destination), e.g. ``["event_id"]``
-    or the file order key of :func:`eventloom.sources.read_event_file`. Its first
-    column should be a number, time or date, which large destinations are cut on;
-    with another first column pass ``segment`` (stored, order-preserving columns,
-    as the file readers do), or each destination is summed by one window task.
+    or the file order key of :func:`eventloom.sources.read_event_file`. Large destinations
+    are cut on it, fastest if its first column is a number, time or date; ``segment``
+    (stored, order-preserving columns, as the file readers pass) replaces that search.
     ``raw`` may be a column name or an expression over the row (such as
     :func:`eventloom.functions.event_text`); an expression is only sized here,
     so the shuffle carries the narrower source columns, not the text.
@@ -95,7 +94,7 @@ def assign_batches(
 
 
 def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segment=None, unit="bytes",
-            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True):
+            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True, start=None):
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
@@ -103,7 +102,21 @@ def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segme
     size = size + F.lit(1)
     with_cum, mode, bases, measured = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
                                                    split_rows=split_rows)
-    return with_cum.withColumn("batch_id", batch_of("_cum", block_size)).drop("_cum"), mode, bases, measured
+    if start is not None:  # bytes that a destination had before these events
+        with_cum = _started(with_cum, start, dest)
+        bases = bases if bases is None else _started(bases, start, dest)
+    cum = F.col("_cum") + F.col(FROM) if start is not None else F.col("_cum")
+    return with_cum.withColumn("batch_id", batch_of(cum, block_size)).drop("_cum", FROM), mode, bases, measured
+
+
+FROM = "_from"
+
+
+def _started(df: DataFrame, start: DataFrame, dest: list[str]) -> DataFrame:
+    if dest:
+        return _null_safe_join(df, start, dest, "left", DEFAULT_BROADCAST_ROWS).withColumn(FROM, F.coalesce(FROM, F.lit(0)))
+    only = start.agg(F.max(FROM)).first()[0]  # one destination: one number
+    return df.withColumn(FROM, F.lit(only or 0).cast("long"))
 
 
 def batch_of(cum: Column | str, block_size: int = BLOCK_SIZE) -> Column:
@@ -167,7 +180,8 @@ def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], blo
     # continues it) and the segment holding that batch's first line, which is the
     # segment just before the run of segments that all continue the same batch
     w = Window.partitionBy(*dest).orderBy(SEG)
-    ended = F.when(F.col("_size_base") > 0, batch_of("_size_base", block_size))
+    before = F.col("_size_base") + F.col(FROM) if FROM in segments.columns else F.col("_size_base")
+    ended = F.when(F.col("_size_base") > 0, batch_of(before, block_size))
     table = segments.select(*keys, ended.alias("_c"))
     table = table.select(*keys, "_c", F.lag(SEG).over(w).alias("_prev"), F.lag("_c").over(w).alias("_prev_c"))
     starts = F.col("_prev_c").isNull() | (F.col("_prev_c") != F.col("_c"))
@@ -201,10 +215,12 @@ def batch_events(
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
     normalize: bool = True,
+    start: DataFrame | None = None,
 ) -> DataFrame:
-    """:func:`assign_batches` then :func:`build_payloads`."""
+    """:func:`assign_batches` then :func:`build_payloads`. ``start`` (destination columns and
+    ``_from``) gives the bytes that a destination's earlier events took, which these continue."""
     assigned, mode, bases, measured = _assign(df, order, block_size, raw, destination, segment, unit,
-                                              split_rows=split_rows, size=size, normalize=normalize)
+                                              split_rows=split_rows, size=size, normalize=normalize, start=start)
     return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"), segments=bases,
                           block_size=block_size, segments_size=measured, normalize=normalize)
 
@@ -233,14 +249,61 @@ def split_oversize(payloads: DataFrame, limit: int = MAX_PAYLOAD) -> tuple[DataF
     return payloads.where(~oversize(payloads, limit)), payloads.where(oversize(payloads, limit))
 
 
+def repack_oversize(payloads: DataFrame, limit: int = MAX_PAYLOAD, destination: Sequence[str] | None = None,
+                    unit: str = "bytes", only: Column | None = None) -> DataFrame:
+    """Batches with a ``part`` number: one over ``limit`` is cut on its line ends into parts
+    that fit, by next fit in line order, so that only a line which is over the limit alone
+    stays over it, as a part of its own. Other batches are part 0 as they are.
+
+    The cuts are a fold over the batch's line sizes, which a batch bounds (a block plus a
+    line); the fold keeps the open part's size and the cuts alone. ``n_events`` of a
+    repacked part counts its lines: to the receiver each line is an event.
+    ``only`` restricts what is cut.
+    """
+    dest = batch_keys(payloads, destination)
+    text = F.col("payload")
+    lines = F.split(F.when(text.endswith(LF), text.substr(F.lit(1), F.length(text) - 1)).otherwise(text), LF, -1)
+    start = F.struct(F.array(F.lit(1)).alias("cuts"), F.lit(0).cast("long").alias("fill"), F.lit(1).alias("at"))
+
+    def add(open_, line):
+        size = byte_length(line, unit) + F.lit(1)
+        closes = (open_["fill"] > 0) & (open_["fill"] + size > F.lit(limit))
+        return F.struct(F.when(closes, F.array_append(open_["cuts"], open_["at"])).otherwise(open_["cuts"]).alias("cuts"),
+                        F.when(closes, size).otherwise(open_["fill"] + size).alias("fill"), (open_["at"] + 1).alias("at"))
+
+    big = oversize(payloads, limit) if only is None else oversize(payloads, limit) & only
+    cuts = F.when(big, F.aggregate(lines, start, add, lambda done: done["cuts"])).otherwise(F.array(F.lit(1)))
+    parts = payloads.select(*dest, "batch_id", "n_events", "n_bytes", "payload", cuts.alias("_cuts")).select(
+        "*", F.posexplode("_cuts").alias("part", "_at"))
+    whole = F.size("_cuts") == 1
+    upto = F.coalesce(F.get("_cuts", F.col("part") + 1), F.size(lines) + 1)
+    piece = F.slice(lines, F.col("_at"), upto - F.col("_at"))
+    cut = parts.withColumn("_n", F.when(whole, F.col("n_events")).otherwise(F.size(piece).cast("long"))).withColumn(
+        "_text", F.when(whole, F.col("payload")).otherwise(F.concat(F.array_join(piece, LF), F.lit(LF))))
+    return cut.select(*dest, "batch_id", "part", F.col("_n").alias("n_events"),
+                      F.when(whole, F.col("n_bytes")).otherwise(byte_length("_text", unit)).alias("n_bytes"),
+                      F.col("_text").alias("payload"))
+
+
 def ship_totals(payloads: DataFrame, limit: int = MAX_PAYLOAD, destination: Sequence[str] | None = None) -> DataFrame:
-    """Per destination: bytes read, bytes sent, calls made, batches rejected, events."""
+    """Per destination: bytes read, bytes sent, calls made, batches rejected, events.
+
+    A ledger with outcomes (see :class:`eventloom.sinks.retry.Retry`) counts as sent what the
+    receiver accepted, and ``calls`` every attempt; it adds ``refused`` (batches given up) and
+    ``retried`` (accepted after more than one attempt)."""
     dest = batch_keys(payloads, destination)
     big = oversize(payloads, limit)
+    if "outcome" not in payloads.columns:
+        sent, calls, more = ~big, F.count_if(~big), []
+    else:
+        sent, calls = F.col("outcome") == "sent", F.coalesce(F.sum("attempts"), F.lit(0))
+        more = [F.count_if(F.col("outcome") == "refused").cast("long").alias("refused"),
+                F.count_if(sent & (F.col("attempts") > 1)).cast("long").alias("retried")]
     return payloads.groupBy(*dest).agg(
         F.sum("n_bytes").cast("long").alias("read_bytes"),
-        F.coalesce(F.sum(F.when(~big, F.col("n_bytes"))), F.lit(0)).cast("long").alias("sent_bytes"),
-        F.count_if(~big).cast("long").alias("calls"),
+        F.coalesce(F.sum(F.when(sent, F.col("n_bytes"))), F.lit(0)).cast("long").alias("sent_bytes"),
+        calls.cast("long").alias("calls"),
         F.count_if(big).cast("long").alias("rejected"),
         F.sum("n_events").cast("long").alias("n_events"),
+        *more,
     )

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.fields import DEFAULT_DELIM, FieldSpec, event_size, event_text
-from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, present_destination, ship_totals
+from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events, present_destination, repack_oversize, ship_totals
 from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS
 from eventloom.session import scratch_path
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
+from eventloom.sinks.resume import read_log, send_logged
+from eventloom.sinks.retry import Retry
 from eventloom.sources.text import FILE_ORDER, FILE_SEGMENT, read_event_file
 
 
@@ -61,7 +63,8 @@ def batch_file_lines(lines: DataFrame, block_size: int = BLOCK_SIZE, destination
 
 def ship(payloads: DataFrame, send: Sender = md5_sender, limit: int = MAX_PAYLOAD,
          receipts_path: str | None = None, tasks: int | None = None, order: str = "none",
-         shipment: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+         shipment: str | None = None, retry: Retry | None = None,
+         repack: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Deliver every payload up to ``limit`` in one job; return (receipts, rejected, totals).
 
     The job writes one ledger row per batch (below the shared checkpoint folder by
@@ -70,11 +73,34 @@ def ship(payloads: DataFrame, send: Sender = md5_sender, limit: int = MAX_PAYLOA
     and later actions never send again. ``tasks`` fixes the number of concurrent
     sending tasks, ``order`` what order they keep and ``shipment`` the id in their keys
     (see :func:`eventloom.sinks.deliver.deliver`).
+
+    ``repack`` cuts batches over the limit on their line ends, so that only lines which are
+    over it alone are rejected. With ``retry`` a status decides what was sent: batches that the
+    receiver refused are rejected rows, too, and totals count what it accepted.
     """
     spark = payloads.sparkSession
     path = receipts_path or scratch_path(spark, "ledger")
-    deliver(payloads, send, limit=limit, tasks=tasks, order=order, shipment=shipment).write.mode("overwrite").parquet(path)
-    ledger = spark.read.parquet(path)
+    batches = repack_oversize(payloads, limit) if repack else payloads
+    deliver(batches, send, limit=limit, tasks=tasks, order=order, shipment=shipment, retry=retry).write.mode("overwrite").parquet(path)
+    return _from_ledger(spark.read.parquet(path), limit)
+
+
+def _from_ledger(ledger: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     receipts = ledger.where(~F.col("rejected")).drop("rejected", "dead_letter")
-    rejected = ledger.where(F.col("rejected")).drop("status")
-    return receipts, rejected, ship_totals(ledger, limit)
+    rejected = ledger.where(F.col("rejected"))
+    # a refused batch has an answer, one over the limit was not sent
+    return receipts, rejected if "outcome" in ledger.columns else rejected.drop("status"), ship_totals(ledger, limit)
+
+
+def ship_resumable(payloads: DataFrame, shipment: str, log: str, send: Sender = md5_sender, limit: int = MAX_PAYLOAD,
+                   tasks: int | None = None, order: str = "none", retry: Retry | None = None,
+                   repack: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As :func:`ship`, with an attempt log in the folder ``log`` that outlives a failed job.
+
+    Call it again with the same shipment, payloads and log: batches that were sent, or are over the
+    limit, are left alone; the others, refused ones included, are sent. Each batch has one row in
+    what is returned, whatever number of runs it took.
+    """
+    batches = repack_oversize(payloads, limit) if repack else payloads
+    send_logged(batches, shipment, log, send, limit, tasks, order, retry or Retry(attempts=1, outcome=lambda status: "sent"))
+    return _from_ledger(read_log(payloads.sparkSession, log, batches), limit)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
-from eventloom.plans.catalog import ORACLES, QUERIES
+from eventloom.plans.registry import ORACLES, QUERIES
 from eventloom.sources.tables import TABLES
 from tools.check_oracles import canon
 from tools.check_types import SPARK_TO_DUCK
