@@ -14,6 +14,7 @@ Two readers, one per escape mode of the formatter:
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,9 +26,16 @@ from eventloom.functions.fields import DEFAULT_DELIM
 FIELD_NAME = r"[A-Za-z_][A-Za-z0-9_.:-]*"
 
 
-def _unescaped_pairs_pattern(delim: str) -> str:
+def _unescaped_pairs_pattern(delim: str, names: Sequence[str] = ()) -> str:
     d = re.escape(delim)
-    return rf'(?s){d}{FIELD_NAME}="(?:.*?)"(?={d}{FIELD_NAME}="|\z)'
+    # names that the caller gives may have any shape; the longest first, since the first match counts
+    odd = sorted({n for n in names if not re.fullmatch(FIELD_NAME, n)}, key=len, reverse=True)
+    name = "(?:" + "|".join([*map(_quoted, odd), FIELD_NAME]) + ")"
+    return rf'(?s){d}{name}="(?:.*?)"(?={d}{name}="|\z)'
+
+
+def _quoted(name: str) -> str:
+    return "".join(rf"\x{{{ord(c):x}}}" for c in name)  # the same in every regular expression dialect
 
 
 def _escaped_pairs_pattern(delim: str) -> str:
@@ -39,16 +47,17 @@ def unescape(v: Column) -> Column:
     return F.regexp_replace(v, r"(?s)\\(.)", "$1")
 
 
-def field_pairs(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash") -> Column:
+def field_pairs(raw: Column | str, delim: str = DEFAULT_DELIM, escape: str = "backslash", names: Sequence[str] = ()) -> Column:
     """All ``delim name="value"`` pairs of event text, in order, as
     ``array<struct<key, value>>`` (repeated names kept).
 
     One left-to-right regex pass finds the whole pairs; names and values are then
-    cut out with plain string functions.
+    cut out with plain string functions. In unescaped text a value ends where a field name
+    can begin: ``names`` adds those that don't have the usual shape (``user id``, ``2nd``).
     """
     if escape not in ("none", "backslash"):
         raise ValueError(f"escape must be 'none' or 'backslash', got {escape!r}")
-    pat = _escaped_pairs_pattern(delim) if escape == "backslash" else _unescaped_pairs_pattern(delim)
+    pat = _escaped_pairs_pattern(delim) if escape == "backslash" else _unescaped_pairs_pattern(delim, names)
     d = len(delim)
 
     def entry(p: Column) -> Column:

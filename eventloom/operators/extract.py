@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.extract import event_time_text, field_pairs, first_value
-from eventloom.functions.fields import DEFAULT_DELIM
+from eventloom.functions.fields import DEFAULT_DELIM, NULL_TEXT
 from eventloom.functions.timefmt import parse_event_timestamp
 
+#: A discovered field becomes a column; more names than this are an error, not a wide table.
+MAX_FIELDS = 2_000
+
 
 def extract_fields(
     df: DataFrame,
@@ -25,12 +28,44 @@ def extract_fields(
     """One string column per name (null when the event lacks it), plus the parsed
     event time in ``time_out`` (null for a line without a stamp; ``compat`` as the
     formatter had it). All names come from one pass over the text
-    (:func:`eventloom.functions.extract.fields_map`)."""
+    (:func:`eventloom.functions.extract.field_pairs`) and may have any shape."""
     cols = [F.col(k) for k in keep]
     if time_out:
         cols.append(parse_event_timestamp(event_time_text(raw, delim), compat).alias(time_out))
     # project the pairs once; looking names up in a second projection keeps
     # Catalyst from inlining (and re-running) the scan once per name
-    with_pairs = df.select(*cols, field_pairs(raw, delim, escape).alias("_pairs"))
+    with_pairs = df.select(*cols, field_pairs(raw, delim, escape, names).alias("_pairs"))
     return with_pairs.select(*[c for c in with_pairs.columns if c != "_pairs"],
                              *[first_value("_pairs", n).alias(n) for n in names])
+
+
+def discover_fields(df: DataFrame, raw: str = "raw", delim: str = DEFAULT_DELIM, escape: str = "backslash") -> DataFrame:
+    """(name, n_events, type) of every field in event text, one aggregation over the events.
+
+    The type is the first of ``bigint``, ``double``, ``boolean`` that gives back every value of the field as it
+    is written, else ``string``; ``null`` (how a null is written) fits any. A name that an event repeats counts once.
+    """
+    pairs = df.select(F.monotonically_increasing_id().alias("_event"), F.explode(field_pairs(raw, delim, escape)).alias("p"))
+    value = F.when(F.col("p.value") != F.lit(NULL_TEXT), F.col("p.value"))
+    fits = lambda t: F.coalesce(value.try_cast(t).cast("string") == value, value.isNull())
+    # events are counted by their first pair of a name: no shuffle of events
+    first = df.select(F.explode(F.array_distinct(F.transform(field_pairs(raw, delim, escape), lambda p: p["key"]))).alias("name"))
+    counts = first.groupBy("name").agg(F.count("*").alias("n_events"))
+    types = pairs.groupBy(F.col("p.key").alias("name")).agg(
+        *[F.bool_and(fits(t)).alias(t) for t in ("bigint", "double", "boolean")], F.count(value).alias("_values"))
+    kind = F.when(F.col("_values") == 0, "string")
+    for t in ("bigint", "double", "boolean"):
+        kind = kind.when(F.col(t), t)
+    return types.join(counts, "name").select("name", "n_events", kind.otherwise("string").alias("type"))
+
+
+def extract_discovered(df: DataFrame, raw: str = "raw", delim: str = DEFAULT_DELIM, escape: str = "backslash",
+                       keep: Sequence[str] = (), time_out: str | None = "_time", compat: bool = False) -> DataFrame:
+    """:func:`extract_fields` with the fields that the events have, by name, in the types found by :func:`discover_fields`."""
+    found = discover_fields(df, raw, delim, escape).limit(MAX_FIELDS + 1).collect()
+    if len(found) > MAX_FIELDS:
+        raise ValueError(f"over {MAX_FIELDS} field names: choose some and use extract_fields")
+    types = {r["name"]: r["type"] for r in sorted(found, key=lambda r: r["name"])}
+    rows = extract_fields(df, list(types), raw, delim, escape, time_out, keep, compat)
+    return rows.select(*[c for c in rows.columns if c not in types],
+                       *[F.when(F.col(f"`{n}`") != F.lit(NULL_TEXT), F.col(f"`{n}`")).try_cast(t).alias(n) for n, t in types.items()])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from eventloom.functions.timerange import DEFAULT_EARLIEST, DEFAULT_LATEST
 from eventloom.functions.timerange import now_in
 from eventloom.operators.format import format_events
-from eventloom.operators.search import dequote_columns, page, search, search_stats, session_zone
+from eventloom.operators.search import dequote_columns, page, search, search_stats, session_zone, time_bounds
 from eventloom.sinks.export import export_results
 
 
@@ -87,3 +87,30 @@ def search_event_files(
     extracted = extract_fields(lines, list(fields), delim=delim, escape=escape, compat=compat,
                                keep=list(partitions) or ["file_path"])
     return search(extracted, predicate, earliest, latest, now, time_col="_time")
+
+
+def search_bucketed_events(
+    spark,
+    path: str,
+    fields: Sequence[str],
+    predicate: str | Column | None = None,
+    earliest: str | dt.datetime | None = DEFAULT_EARLIEST,
+    latest: str | dt.datetime | None = DEFAULT_LATEST,
+    now: dt.datetime | str | None = None,
+    unit: str = "day",
+    partitions: Sequence[str] = ("index", "sourcetype"),
+    delim: str = "|",
+    escape: str = "none",
+    compat: bool = False,
+) -> DataFrame:
+    """Search a sink of :func:`eventloom.sinks.partitioned.write_bucketed_events`: the time window picks the
+    bucket folders that are read, and then the events by the time in their text."""
+    from eventloom.operators.extract import extract_fields
+    from eventloom.sinks.partitioned import BUCKET, bucket_range, read_events
+
+    lines = read_events(spark, path, partition_by=(BUCKET, *partitions))
+    now = now if now is not None else now_in(session_zone(lines))
+    for condition in bucket_range(*time_bounds(earliest, latest, now, session_zone(lines)), unit):
+        lines = lines.where(condition)
+    extracted = extract_fields(lines, list(fields), delim=delim, escape=escape, compat=compat, keep=list(partitions))
+    return search(extracted, predicate, earliest, latest, now, time_col="_time")

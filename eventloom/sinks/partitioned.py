@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ def _shuffle_partitions(df: DataFrame) -> int:
 def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT_PARTITIONS,
                  fmt: str = "text", raw: str = "raw", mode: str = "overwrite",
                  rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, max_tasks: int | None = None) -> None:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, max_tasks: int | None = None,
+                 dynamic: bool = False) -> None:
     """Write event text (``fmt='text'``, one line per event) or whole rows
     (``parquet``) into one folder per destination.
 
@@ -34,7 +36,8 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     its values, so equal rows spread like any others; pass a scan or a stored table, whose
     row order a recomputed task keeps. ``max_tasks`` bounds the tasks
     where the caller has a reason to; by default their number follows the rows.
-    ``rows_per_file=None`` writes straight from the input tasks.
+    ``rows_per_file=None`` writes straight from the input tasks. ``dynamic`` with mode
+    ``overwrite`` replaces only the folders that ``df`` has rows for.
     """
     parts = list(partition_by)
     out = df.select(*parts, raw) if fmt == "text" else df
@@ -52,7 +55,8 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
         # one task per (destination, salt) group, up to hash collisions; a fixed
         # count, so adaptive execution does not merge the groups back together
         out = salted.repartition(n_tasks, *parts, "_salt").drop("_salt", "_groups")
-    out.write.mode(mode).partitionBy(*parts).format(fmt).save(path)
+    writer = out.write.mode(mode).partitionBy(*parts).format(fmt)
+    (writer.option("partitionOverwriteMode", "dynamic") if dynamic else writer).save(path)
 
 
 def read_events(spark: SparkSession, path: str, fmt: str = "text", raw: str = "raw",
@@ -65,3 +69,28 @@ def read_events(spark: SparkSession, path: str, fmt: str = "text", raw: str = "r
         cols = ", ".join(["value string", *[f"`{p}` string" for p in partition_by]])
         return reader.schema(cols).text(path).withColumnRenamed("value", raw)
     return reader.format(fmt).load(path)
+
+
+#: Formats of a time bucket's folder name: text that sorts as the times do.
+BUCKETS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
+BUCKET = "bucket"
+
+
+def write_bucketed_events(df: DataFrame, path: str, time_col: str = "ts", unit: str = "day",
+                          partition_by: Sequence[str] = DEFAULT_PARTITIONS, **how) -> None:
+    """:func:`write_events` with a folder for each ``unit`` of ``time_col`` (session time zone) above the
+    destinations' ones; rows without a time go to Spark's null folder. Buckets that ``df`` has no rows for are left alone,
+    so a day that is written again replaces itself."""
+    bucketed = df.withColumn(BUCKET, F.date_format(time_col, BUCKETS[unit]))
+    write_events(bucketed, path, (BUCKET, *partition_by), dynamic=True, **how)
+
+
+def bucket_range(earliest, latest, unit: str = "day"):
+    """The condition on the bucket column for ``earliest <= time < latest`` (wall-clock datetimes or None): it holds
+    for every bucket that may have such a time, and is a partition filter."""
+    name = {"day": "%Y-%m-%d", "hour": "%Y-%m-%d-%H"}[unit]
+    c = F.col(BUCKET)
+    conditions = [c >= earliest.strftime(name)] if earliest else []
+    if latest:  # the bucket of the last instant before it
+        conditions.append(c <= (latest - dt.timedelta(microseconds=1)).strftime(name))
+    return conditions

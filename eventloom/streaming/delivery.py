@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,6 +22,7 @@ from eventloom.operators.batching import BLOCK_SIZE, MAX_PAYLOAD, batch_events
 from eventloom.operators.prefix import DEFAULT_SPLIT_ROWS
 from eventloom.plans.ship import batch_file_lines
 from eventloom.sinks.deliver import Sender, deliver, md5_sender
+from eventloom.sinks.retry import Retry
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -71,6 +72,7 @@ def start_delivery(
     shipment: str | None = None,
     send_order: str = "none",
     per_file: bool = True,
+    retry: Retry | None = None,
 ) -> StreamingQuery:
     """Start the stream. ``raw`` is the event text: a column of ``events`` (see
     ``format_events``) or an expression over its columns (see ``event_text``,
@@ -85,7 +87,8 @@ def start_delivery(
 
     Each micro-batch is one delivery job writing ``ledger/stream_batch_id=N`` below
     ``out_path`` (receipts of sent batches and dead letters of rejected ones, see
-    :func:`read_stream_receipts`), plus ``payloads/...`` when ``keep_payloads``.
+    :func:`read_stream_receipts`), plus ``payloads/...`` when ``keep_payloads``. Its totals are observed
+    in that job (:func:`stream_totals`). ``retry`` says what was sent and how often to try.
     """
     order = list(order)
 
@@ -101,8 +104,14 @@ def start_delivery(
             payloads.write.mode("overwrite").parquet(f"{out_path}/payloads/stream_batch_id={epoch_id}")
         tag = F.lit(epoch_id).cast("long").alias("stream_batch_id")
         key = f"{shipment or checkpoint}/{epoch_id}"
-        ledger = deliver(payloads, send, destination, limit=limit, order=send_order, shipment=key).select(tag, "*")
+        ledger = deliver(payloads, send, destination, limit=limit, order=send_order, shipment=key, retry=retry).select(tag, "*")
+        # counted while the ledger is written: no second pass
+        seen = Observation(f"totals-{epoch_id}")
+        ledger = ledger.observe(seen, *_observed(ledger))
         ledger.write.mode("overwrite").parquet(f"{out_path}/ledger/stream_batch_id={epoch_id}")
+        counts = seen.get
+        batch_df.sparkSession.createDataFrame([tuple(int(counts[c] or 0) for c in TOTALS)], ", ".join(f"{c} long" for c in TOTALS)).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{out_path}/totals/stream_batch_id={epoch_id}")
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if processing_time:
@@ -112,6 +121,22 @@ def start_delivery(
     return writer.start()
 
 
+#: Totals of a micro-batch.
+TOTALS = ("read_bytes", "sent_bytes", "batches", "rejected", "n_events")
+
+
+def _observed(ledger: DataFrame) -> list[Column]:
+    sent = ~F.col("rejected")
+    return [F.sum("n_bytes").alias("read_bytes"), F.sum(F.when(sent, F.col("n_bytes"))).alias("sent_bytes"), F.count_if(sent).alias("batches"),
+            F.count_if(~sent).alias("rejected"), F.sum("n_events").alias("n_events")]
+
+
+def stream_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """Totals of each finished micro-batch of a running or ended stream: one small row each, however much was shipped."""
+    return spark.read.option("basePath", f"{out_path}/totals").parquet(f"{out_path}/totals").select(
+        F.col("stream_batch_id").cast("long").alias("stream_batch_id"), *TOTALS)
+
+
 def read_stream_receipts(spark: SparkSession, out_path: str, rejected: bool = False) -> DataFrame:
     """Receipts of sent batches (or, with ``rejected=True``, the dead letters)."""
     ledger = spark.read.parquet(f"{out_path}/ledger")
