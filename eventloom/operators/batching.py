@@ -72,6 +72,7 @@ def assign_batches(
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
     normalize: bool = True,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
@@ -89,19 +90,24 @@ def assign_batches(
     :func:`eventloom.functions.fields.event_size`) so the text is not built
     just to be measured; it must equal the size of ``raw`` in ``unit`` as it is sent
     (``event_size(..., wire=normalize)``); null stands for a null event.
+
+    A destination of more than ``split_rows`` rows is cut into segments, and with ``split_bytes``
+    also one of more bytes, however few its rows: segments then hold about equal bytes. That sizes
+    every row in the counting pass, too.
     """
-    return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size, normalize)[0]
+    return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size, normalize,
+                   split_bytes=split_bytes)[0]
 
 
 def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segment=None, unit="bytes",
-            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True, start=None):
+            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True, start=None, split_bytes=None):
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
     size = F.coalesce(size, F.lit(len(NULL_TEXT))) if size is not None else byte_length(sent_text(raw, normalize), unit)
     size = size + F.lit(1)
     with_cum, mode, bases, measured = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
-                                                   split_rows=split_rows)
+                                                   split_rows=split_rows, split_bytes=split_bytes)
     if start is not None:  # bytes that a destination had before these events
         with_cum = _started(with_cum, start, dest)
         bases = bases if bases is None else _started(bases, start, dest)
@@ -216,11 +222,12 @@ def batch_events(
     size: Column | None = None,
     normalize: bool = True,
     start: DataFrame | None = None,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`. ``start`` (destination columns and
     ``_from``) gives the bytes that a destination's earlier events took, which these continue."""
     assigned, mode, bases, measured = _assign(df, order, block_size, raw, destination, segment, unit,
-                                              split_rows=split_rows, size=size, normalize=normalize, start=start)
+                                              split_rows=split_rows, size=size, normalize=normalize, start=start, split_bytes=split_bytes)
     return build_payloads(assigned, order, raw, destination, whole_segments=(mode == "none"), segments=bases,
                           block_size=block_size, segments_size=measured, normalize=normalize)
 

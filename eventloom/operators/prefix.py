@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -60,10 +61,12 @@ DEFAULT_SPLIT_ROWS = 1_000_000
 MAX_SEGMENTS = 10_000
 
 
-def default_segments(rows: int, split_rows: int | None = DEFAULT_SPLIT_ROWS) -> int:
-    """Segments for so many rows: a quarter of ``split_rows`` in each."""
+def default_segments(rows: int, split_rows: int | None = DEFAULT_SPLIT_ROWS, size: int = 0,
+                     split_bytes: int | None = None) -> int:
+    """Segments for so many rows: a quarter of ``split_rows`` in each, or of ``split_bytes`` if that gives more."""
     per = max(1, (split_rows if split_rows is not None else DEFAULT_SPLIT_ROWS) // 4)
-    return max(2, min(MAX_SEGMENTS, math.ceil(rows / per)))
+    by_size = math.ceil(size / max(1, split_bytes // 4)) if split_bytes else 0
+    return max(2, min(MAX_SEGMENTS, max(math.ceil(rows / per), by_size)))
 
 
 def key_number(df: DataFrame, key: str) -> Column | None:
@@ -84,16 +87,33 @@ def key_number(df: DataFrame, key: str) -> Column | None:
 SAMPLE_ROWS_PER_SEGMENT = 200
 
 
-def _quantiles(df: DataFrame, key: str, n: int, total_rows: int | None = None) -> list[float]:
+class Weight(NamedTuple):
+    """The size of a row, and the sum of all that a sample is drawn from."""
+
+    size: Column
+    total: int
+
+
+def _drawn(df: DataFrame, wanted: int, rows: int | None, weight: Weight | None, seed: int) -> DataFrame:
+    """About ``wanted`` rows by a fixed seed: each with equal chance, or with one that grows with its size, so that
+    boundaries among them cut equal sizes. A row of over ``total / wanted`` is always in, and counts as often as it
+    outweighs that (``_times``, which is 1 otherwise)."""
+    if weight is not None and weight.total:
+        share = weight.size * F.lit(wanted / weight.total)
+        return df.withColumn("_times", F.floor(share + F.rand(seed)).cast("int")).where(F.col("_times") > 0)
+    frac = wanted / rows if rows else 1.0
+    return (df.sample(withReplacement=False, fraction=frac, seed=seed) if frac < 1.0 else df).withColumn("_times", F.lit(1))
+
+
+def _quantiles(df: DataFrame, key: str, n: int, total_rows: int | None = None, weight: Weight | None = None) -> list[float]:
     """``n - 1`` quantiles of ``key`` (repeats kept), on a fixed-seed sample of about
     ``200 n`` rows with ``approxQuantile`` (a tree aggregation), so the sketches
     merged grow with the number of segments, not with the data."""
     probs = [i / n for i in range(1, n)]
-    keyed = df.select(key_number(df, key).alias("_k")).where(F.col("_k").isNotNull() & ~F.isnan("_k"))
-    if total_rows:
-        frac = SAMPLE_ROWS_PER_SEGMENT * n / total_rows
-        if frac < 1.0:
-            keyed = keyed.sample(withReplacement=False, fraction=frac, seed=17)
+    drawn = _drawn(df, SAMPLE_ROWS_PER_SEGMENT * n, total_rows, weight, 17)
+    keyed = drawn.select(key_number(df, key).alias("_k"), "_times").where(F.col("_k").isNotNull() & ~F.isnan("_k"))
+    if weight is not None:  # a row that outweighs a segment is several quantiles, but not more often than there are
+        keyed = keyed.withColumn("_k", F.explode(F.array_repeat("_k", F.least("_times", F.lit(SAMPLE_ROWS_PER_SEGMENT * n)))))
     return [float(b) for b in keyed.approxQuantile("_k", probs, 1.0 / (4 * n)) if b is not None and not math.isnan(b)]
 
 
@@ -121,15 +141,17 @@ def quantile_segments(df: DataFrame, key: str, n_segments: int | None = None, ou
     return _bucketize(df, key, _splits(df, key, n_segments or default_segments(rows), rows), out)
 
 
-def hot_partitions(df: DataFrame, partition_by: Sequence[str],
-                   split_rows: int = DEFAULT_SPLIT_ROWS) -> tuple[DataFrame, int] | None:
-    """The partitions with more than ``split_rows`` rows, as a checkpointed DataFrame of
-    their keys, their row count ``_n`` and ``_hot = true``, with the total rows
-    they hold; ``None`` when there are none. The list stays off the driver."""
-    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > split_rows).withColumn(HOT, F.lit(True)).checkpoint(eager=True)
-    total = hot.agg(F.sum("_n")).first()[0]
-    return (hot, int(total)) if total else None
+def hot_partitions(df: DataFrame, partition_by: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
+                   size: Column | None = None, split_bytes: int | None = None) -> tuple[DataFrame, int, int] | None:
+    """The partitions with more than ``split_rows`` rows, or ``split_bytes`` of ``size``, as a checkpointed
+    DataFrame of their keys, their row count ``_n`` and ``_hot = true``, with the total rows
+    and size they hold; ``None`` when there are none. The list stays off the driver."""
+    by_size = size is not None and split_bytes is not None
+    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"), (F.sum(size) if by_size else F.lit(0)).cast("long").alias("_b"))
+    over = (F.col("_n") > split_rows) | (F.col("_b") > split_bytes) if by_size else F.col("_n") > split_rows
+    hot = counts.where(over).withColumn(HOT, F.lit(True)).checkpoint(eager=True)
+    rows, total = hot.agg(F.sum("_n"), F.sum("_b")).first()
+    return (hot.drop("_b"), int(rows), int(total)) if rows else None
 
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
@@ -193,15 +215,14 @@ def _comparable(df: DataFrame, c: str) -> Column:
     return F.col(c)
 
 
-def _key_segments(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None) -> DataFrame:
+def _key_segments(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None,
+                  weight: Weight | None = None) -> DataFrame:
     """``_seg`` = how many of at most ``n - 1`` boundaries, whole keys in ``order``, are
     not after the row's key. Boundaries are every ``SAMPLE_ROWS_PER_KEY``-th row of
     a sorted sample (bounded by ``SAMPLE_ROWS_PER_KEY * n`` rows)."""
-    sampled = (df if where is None else df.where(where)).select(
-        F.struct(*[_comparable(df, c).alias(f"k{i}") for i, c in enumerate(order)]).alias("key"))
-    frac = SAMPLE_ROWS_PER_KEY * n / max(rows or sampled.count(), 1)
-    if frac < 1.0:
-        sampled = sampled.sample(withReplacement=False, fraction=frac, seed=23)
+    chosen = df if where is None else df.where(where)
+    drawn = _drawn(chosen, SAMPLE_ROWS_PER_KEY * n, rows or chosen.count(), weight, 23)
+    sampled = drawn.select(F.struct(*[_comparable(df, c).alias(f"k{i}") for i, c in enumerate(order)]).alias("key"))
     got = sampled.agg(F.sort_array(F.collect_list("key")).alias("keys")).select(
         F.size("keys").alias("n"), F.col("keys")).first()
     step = max(1, math.ceil(got["n"] / n))
@@ -223,22 +244,24 @@ def _key_segments(df: DataFrame, order: Sequence[str], n: int, rows: int | None,
 SAMPLE_ROWS_PER_KEY = 20
 
 
-def _segment(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None) -> DataFrame:
+def _segment(df: DataFrame, order: Sequence[str], n: int, rows: int | None, where: Column | None,
+             weight: Weight | None = None) -> DataFrame:
     """``_seg`` for the rows selected by ``where`` (all rows when ``None``): buckets of
     ``order[0]`` as a double where they are balanced, buckets of whole keys elsewhere."""
     key = order[0]
     if key_number(df, key) is None:
-        return _key_segments(df, order, n, rows, where)
-    q = _quantiles(df if where is None else df.where(where), key, n, rows)
+        return _key_segments(df, order, n, rows, where, weight)
+    q = _quantiles(df if where is None else df.where(where), key, n, rows, weight)
     if q and len(set(q)) <= 0.9 * len(q):  # some values fill two or more quantiles
-        return _key_segments(df, order, n, rows, where)
+        return _key_segments(df, order, n, rows, where, weight)
     return _bucketize(df, key, _to_splits(q), SEG)
 
 
 def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (),
                  segment: Sequence[str] | None = None, n_segments: int | None = None,
                  split_rows: int | None = DEFAULT_SPLIT_ROWS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, str]:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, size: Column | None = None,
+                 split_bytes: int | None = None) -> tuple[DataFrame, str]:
     """Add ``_seg`` (and ``_hot`` when only some partitions are cut).
 
     Returns the frame and the mode: ``'all'`` (every row segmented), ``'hot'``
@@ -250,18 +273,21 @@ def add_segments(df: DataFrame, order: Sequence[str], partition_by: Sequence[str
         return df.withColumn(SEG, cols[0] if len(cols) == 1 else F.struct(*cols)), "all"
     if split_rows is None:  # never cut (the caller knows partitions are small): no counting job
         return df.withColumn(SEG, F.lit(0)), "none"
+    by_size = size is not None and split_bytes is not None
     if not partition_by:
-        total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        if total <= split_rows:
+        total, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)) if by_size else F.lit(0)).first()
+        if total <= split_rows and not (by_size and held > split_bytes):
             return df.withColumn(SEG, F.lit(0)), "none"
-        return _segment(df, order, n_segments or default_segments(total, split_rows), total, None), "all"
-    found = hot_partitions(df, partition_by, split_rows)
+        n = n_segments or default_segments(total, split_rows, held, split_bytes)
+        return _segment(df, order, n, total, None, Weight(size, held) if by_size else None), "all"
+    found = hot_partitions(df, partition_by, split_rows, size, split_bytes)
     if found is None:
         return df.withColumn(SEG, F.lit(0)), "none"
-    hot, hot_rows = found
+    hot, hot_rows, held = found
     flagged = _null_safe_join(df, hot.drop("_n"), list(partition_by), "left", broadcast_rows)
     flagged = flagged.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-    segmented = _segment(flagged, order, n_segments or default_segments(hot_rows, split_rows), hot_rows, F.col(HOT))
+    n = n_segments or default_segments(hot_rows, split_rows, held, split_bytes)
+    segmented = _segment(flagged, order, n, hot_rows, F.col(HOT), Weight(size, held) if by_size else None)
     return segmented.withColumn(SEG, F.when(F.col(HOT), F.col(SEG)).otherwise(F.lit(0))), "hot"
 
 
@@ -275,6 +301,7 @@ def _running_sums(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
     ``order``, all in the same pass (one offsets table, one exchange, one sort).
@@ -284,7 +311,8 @@ def _running_sums(
     ``sizes`` order) for later per-segment work.
     """
     checkpoint_root(df.sparkSession)
-    seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, broadcast_rows)
+    first_size = next(iter(sizes.values()))
+    seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, broadcast_rows, first_size, split_bytes)
     tmp = {out: f"_sz_{i}" for i, out in enumerate(sizes)}
     keys = [*partition_by, SEG]
     base_cols = [c for c in seg_df.columns if c != HOT]
@@ -385,12 +413,12 @@ def running_sum(
 
 
 def _running_sum(df, size, order, partition_by=(), segment=None, n_segments=None, out="cum",
-                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS):
+                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS, split_bytes=None):
     """(frame, mode, offsets table or None, its measured (rows, bytes) or None); the
     offsets' base column is ``_size_base``."""
     size_c = size if isinstance(size, Column) else F.col(size)
     res, mode, bases, measured = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments,
-                                               broadcast_rows, split_rows)
+                                               broadcast_rows, split_rows, split_bytes=split_bytes)
     if bases is not None:
         bases = bases.withColumnRenamed("_sz_0_base", "_size_base")
     return res.withColumnRenamed("_sz_0", "_size"), mode, bases, measured

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from eventloom.functions.fields import event_size, event_text
-from eventloom.operators.batching import BLOCK_SIZE, batch_events, oversize, repack_oversize
+from eventloom.operators.batching import assign_batches, batch_events, oversize, repack_oversize
 from eventloom.operators.format import format_events, with_destination
 from eventloom.plans.catalog import (
     _EVENTS_RAW,
@@ -19,6 +19,7 @@ from eventloom.plans.catalog import (
     SMALL_LIMIT,
     STREAM_FILES,
     Query,
+    _batched,
     _event,
     _events,
     _formatted_events,
@@ -37,6 +38,7 @@ from eventloom.streaming.delivery import read_event_stream, read_stream_receipts
 
 # Blocks small enough that every table size has many.
 SHIP_BLOCK = 32_768
+WIDE_BYTES = 100_000
 TRY = Retry(attempts=4, wait=0.001)
 
 
@@ -52,6 +54,13 @@ def q_oversize_repacked(spark, sf):
                         oversize(parts, SMALL_LIMIT).alias("rejected"))
 
 
+def q_batch_assign_wide_rows(spark, sf):
+    """Documents for one destination: too few rows to be cut by their number, cut by their bytes."""
+    docs = with_destination(format_events(read_table(spark, sf, "documents"), DOC_FIELDS, ts=False), index="main")
+    assigned = assign_batches(docs, ["doc_id"], SMALL_BLOCK, destination=["index"], split_bytes=WIDE_BYTES)
+    return assigned.select("doc_id", "batch_id")
+
+
 def _small_lineitem_batches(spark, sf):
     return table_batches(_lineitem_routed(spark, sf, "l_linestatus"), LINEITEM_ORDER, LINEITEM_FIELDS, "l_shipdate", block_size=SHIP_BLOCK)
 
@@ -132,6 +141,7 @@ def q_file_batches_streamed(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "oversize_repacked": q_oversize_repacked,
+    "batch_assign_wide_rows": q_batch_assign_wide_rows,
     "ship_resumed": q_ship_resumed,
     "ship_outcomes": q_ship_outcomes,
     "ship_redelivered": q_ship_redelivered,
@@ -166,6 +176,8 @@ cut AS (
   JOIN l ON l.batch_id = r.batch_id AND l.pos >= r.pos AND (n.follows IS NULL OR l.pos < n.follows) GROUP BY r.batch_id, r.part)
 SELECT batch_id, 0::BIGINT AS part, n_events, n_bytes, md5(payload) AS payload_md5, false AS rejected FROM p WHERE n_bytes <= {SMALL_LIMIT}
 UNION ALL SELECT *, n_bytes > {SMALL_LIMIT} FROM cut""",
+    "batch_assign_wide_rows": "SELECT doc_id, batch_id FROM "
+    + _batched(f"(SELECT *, {_event(DOC_FIELDS, None)} AS raw FROM documents)", "", "doc_id", SMALL_BLOCK),
     "ship_resumed": (
         "SELECT sourcetype, batch_id, n_events, n_bytes, "
         "sha256(concat_ws(chr(31), 'lineitem', '', '', sourcetype, cast(batch_id AS VARCHAR), payload)) AS batch_key, "

@@ -264,3 +264,25 @@ def test_text_is_in_no_exchange(spark, tmp_path, per_file):
     assert "MapInArrow" in plan and "Exchange hashpartitioning" not in plan and "SinglePartition" not in plan and "rangepartitioning" not in plan
     starts = split_starts(spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block_start"), F.col("value").alias("raw")), per_file)
     assert "SinglePartition" not in starts._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", ["k", "t"])
+def test_a_destination_of_few_wide_rows_is_cut_into_equal_bytes(spark, key):
+    from eventloom.operators.batching import assign_batches, batch_of
+    from eventloom.operators.prefix import SEG, add_segments
+
+    rows = [(k, f"key-{k:05d}", "w" if k % 2 else "n", "x" * (40_000 if k < 200 and k % 2 else 10)) for k in range(1000)]
+    df = spark.createDataFrame(rows, "k long, t string, sourcetype string, raw string")
+    size = F.octet_length("raw") + 1
+    cut, mode = add_segments(df, [key], ["sourcetype"], size=size, split_bytes=1_000_000)
+    held = cut.groupBy("sourcetype", SEG).agg(F.sum(size).alias("b")).collect()
+    wide = [r.b for r in held if r.sourcetype == "w"]
+    assert mode == "hot" and len([r for r in held if r.sourcetype == "n"]) == 1
+    assert len(wide) >= 8 and max(wide) < 1_000_000
+    assert add_segments(df, [key], ["sourcetype"], size=size)[1] == "none"
+    got = assign_batches(df, [key], 50_000, destination=["sourcetype"], split_bytes=1_000_000).select("k", "batch_id").collect()
+    want, total = {}, {"w": 0, "n": 0}
+    for k, _, d, raw in rows:
+        total[d] += len(raw) + 1
+        want[k] = (total[d] - 1) // 50_000
+    assert {r.k: r.batch_id for r in got} == want
