@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import small_bytes, stored
+from eventloom.llm.terms import LETTERS, LOWER, cut, pieces
 from eventloom.llm.transducer import COLUMNS, Transducer, build
 
 LEAST_DOCUMENTS = 30
@@ -41,47 +41,6 @@ SHARD_TERMS = 100_000
 BROADCAST_BYTES = 64 << 20
 #: Sources of a tile and ordinals of a block.
 TILE, BLOCK = 128, 2_048
-#: Bytes of text that are cut at a time, at least one text.
-PIECE = 8 << 20
-
-_LETTER = np.array([b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
-_LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
-
-
-def _pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices of about ``PIECE`` bytes of ``column``."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // PIECE
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        if a < b:
-            yield batch.slice(a, b - a)
-
-
-def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Of every term in ``texts`` in order: its row and its number in the distinct terms, which come third."""
-    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if not len(offsets) or offsets[0] == offsets[-1]:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.large_binary())
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    letter = _LETTER[data]
-    first, last = letter.copy(), letter.copy()
-    first[1:] &= ~letter[:-1]
-    last[:-1] &= ~letter[1:]
-    # A term ends where its text does.
-    heads = offsets[:-1][np.diff(offsets) > 0]
-    first[heads] = letter[heads]
-    last[heads[1:] - 1] = letter[heads[1:] - 1]
-    starts = np.flatnonzero(first)
-    ends = np.cumsum(np.flatnonzero(last) + 1 - starts)
-    # The last of rows that begin at one place is the one with text.
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    spots = np.concatenate([[0], ends]).astype(np.int64)
-    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(spots), pa.py_buffer(_LOWER[data[letter]])])
-    coded = terms.dictionary_encode()
-    return rows, coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
 def _coded(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -97,8 +56,8 @@ def kept_terms(documents: DataFrame, least: int = LEAST_DOCUMENTS, text: str = "
     """(lang, term, documents) of every term in at least ``least`` documents of its language; term is binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in (p for b in batches for p in _pieces(b, "text")):
-            rows, codes, terms = cut(piece.column("text"))
+        for piece in (p for b in batches for p in pieces(b)):
+            rows, codes, terms = cut(piece.column("text"), LETTERS, LOWER)
             if not len(terms):
                 continue
             langs, names = _coded(piece.column("lang"))
@@ -196,11 +155,11 @@ def recount(documents: DataFrame, vocab: DataFrame, text: str = "text", lang: st
     """(lang, source, ord, n): occurrences of each kept term in each group; each group has one row with ord -1 and n 0 at least."""
 
     def run(batches: Iterator[pa.RecordBatch], walker: _Walker) -> Iterator[pa.RecordBatch]:
-        for piece in (p for b in batches for p in _pieces(b, "text")):
+        for piece in (p for b in batches for p in pieces(b)):
             langs, lang_names = _coded(piece.column("lang"))
             sources, source_names = _coded(piece.column("source"))
             groups, of_row = np.unique(langs * len(source_names) + sources, return_inverse=True)
-            rows, codes, terms = cut(piece.column("text"))
+            rows, codes, terms = cut(piece.column("text"), LETTERS, LOWER)
             size = max(1, len(terms))
             seen, n = np.unique(of_row[rows] * size + codes, return_counts=True)
             group, term = seen // size, seen % size

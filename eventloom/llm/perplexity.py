@@ -7,8 +7,8 @@ three discounts from its counts of counts. A document's perplexity is that of al
 words; it is kept up to a quantile of the trusted documents' perplexities in its own
 language.
 
-The count joins are sharded by sequence: texts are dealt by a hash of their ids into
-batches of about ``BATCH_BYTES``; each batch asks for the distinct sequences it holds;
+The count joins are sharded by sequence: texts are dealt by their row numbers (pass a scan or a
+stored table, whose row order a recomputed task keeps) into batches of about ``BATCH_BYTES``; each batch asks for the distinct sequences it holds;
 these are joined, once for the whole corpus, with the model's probabilities and back-off
 weights; and each batch scores its documents with the answers. A batch's questions grow
 much less than its text, so little more than the text itself is shuffled, and no task
@@ -29,11 +29,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import small_side, stored
+from eventloom.llm.terms import BLACK, cut, pieces
 
 ORDER = 4
 BATCH_BYTES = 16 << 20
@@ -53,6 +55,12 @@ def sequences(word: str) -> list[str]:
     return [padded[k : k + ORDER] for k in range(len(padded) - ORDER + 1)]
 
 
+def _words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Of every word its row and its number among the distinct words, which come third."""
+    rows, codes, words = cut(texts, BLACK)
+    return rows, codes, [w.decode("utf-8", "replace") for w in words.to_pylist()]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: Counter[str] = Counter()
 
@@ -61,11 +69,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total.clear()
         return made
 
-    for b in batches:
-        words: Counter[str] = Counter()
-        for text in b.column("text").to_pylist():
-            words.update(_WORD.findall(text or ""))
-        for word, n in words.items():
+    for piece in (p for b in batches for p in pieces(b)):
+        _, codes, words = _words(piece.column("text"))
+        for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
             for gram in sequences(word):
                 total[gram] += n
         if len(total) > _FLUSH:
@@ -132,9 +138,10 @@ def log_probabilities(grams: DataFrame, model: DataFrame, contexts: DataFrame, f
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked: dict[int, set[str]] = {}
     known: dict[int, set[str]] = {}  # words that were asked for already: a memory, no more
-    for b in batches:
-        for batch, text in zip(b.column("batch").to_pylist(), b.column("text")):
-            words = set(_WORD.findall(text.as_py() or ""))
+    for piece in (p for b in batches for p in pieces(b)):
+        numbers = piece.column("batch").to_numpy()
+        for batch in np.unique(numbers).tolist():
+            words = set(_words(piece.column("text").filter(pa.array(numbers == batch)))[2])
             words -= known.setdefault(batch, set())
             known[batch] |= words
             asked.setdefault(batch, set()).update(*map(sequences, words))
@@ -147,17 +154,20 @@ def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     logp = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
     of: dict[str, float] = {}
-    out, sizes = [], []
-    for text in texts.column("text"):
-        words = _WORD.findall(text.as_py() or "")
+    scores, sizes = [], []
+    for piece in pieces(texts):
+        rows, codes, words = _words(piece.column("text"))
         if len(of) > 300_000:
             of.clear()
         for word in set(words).difference(of):
             of[word] = sum(map(logp.__getitem__, sequences(word)))
-        n = sum(map(len, words)) + len(words)
-        out.append(math.exp(-sum(map(of.__getitem__, words)) / n) if n else None)
-        sizes.append(n)
-    return pa.table([texts.column("id"), texts.column("lang"), pa.array(out, pa.float64()), pa.array(sizes, pa.int64())], names=["id", "lang", "perplexity", "n"])
+        value = np.fromiter((of[w] for w in words), np.float64, len(words))
+        size = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        scores.append(np.bincount(rows, value[codes], piece.num_rows))
+        sizes.append(np.bincount(rows, size[codes], piece.num_rows).astype(np.int64))
+    n, total = (np.concatenate([*x, np.zeros(0, x[0].dtype)]) if x else np.zeros(0) for x in (sizes, scores))
+    out = pa.array(np.exp(-total / np.maximum(n, 1)), pa.float64(), mask=n == 0)
+    return pa.table([texts.column("id"), texts.column("lang"), out, pa.array(n.astype(np.int64))], names=["id", "lang", "perplexity", "n"])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -165,6 +175,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.where("good AND doc_id IS NOT NULL").select(F.col("doc_id").alias("trusted_id"))
 
 
+def batch_number(batches: int) -> Column:
+    """The batch of a row, by its number in the scan and nothing of its own: equal rows are dealt like any others."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, batches)))
+
+
 def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     """(id, lang, perplexity, n) of every row, n being the characters and word ends it is over; the model is counted over the documents whose id is in ``trusted``."""
     learned = documents.select("doc_id", "text").join(small_side(trusted, TRUSTED), F.col("doc_id") == F.col("trusted_id"), "left_semi")
@@ -174,7 +189,7 @@ def perplexities(documents: DataFrame, trusted: DataFrame) -> DataFrame:
         return documents.select(F.col("doc_id").alias("id"), "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(0).cast("long").alias("n"))
     model, contexts, floor = build_model(counts)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batch = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(max(1, math.ceil(size / BATCH_BYTES))))
+    batch = batch_number(math.ceil(size / BATCH_BYTES))
     dealt = documents.select(F.col("doc_id").alias("id"), "lang", "text", batch.alias("batch")).repartition("batch")
     asked = dealt.mapInArrow(_questions, "batch long, gram string")
     # A common sequence is looked up once for each ASKERS batches, whose numbers travel with it.

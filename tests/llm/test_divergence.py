@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from eventloom.llm import divergence, transducer
+from eventloom.llm import divergence, terms as cutting, transducer
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, ord long, value long"
 
@@ -100,13 +100,16 @@ def test_empty_and_long(spark):
 
 def test_cut_keeps_rows_apart(monkeypatch):
     texts = pa.array(["ab", "cd", None, "", "1", "AB é", "\n", "é"])
-    rows, codes, terms = divergence.cut(texts)
+    rows, codes, terms = cutting.cut(texts, cutting.LETTERS, cutting.LOWER)
     assert [(int(r), terms[int(c)].as_py().decode()) for r, c in zip(rows, codes)] == [(0, "ab"), (1, "cd"), (5, "ab"), (5, "é"), (7, "é")]
-    assert [divergence.cut(texts.slice(k, 2))[0].tolist() for k in (1, 2, 5)] == [[0], [], [0, 0]]
-    assert divergence.cut(pa.array([], pa.string()))[0].tolist() == []
-    monkeypatch.setattr(divergence, "PIECE", 3)
+    assert [cutting.cut(texts.slice(k, 2), cutting.LETTERS)[0].tolist() for k in (1, 2, 5)] == [[0], [], [0, 0]]
+    assert cutting.cut(pa.array([], pa.string()), cutting.LETTERS)[0].tolist() == []
+    monkeypatch.setattr(cutting, "PIECE", 3)
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-    assert sum((p.column("text").to_pylist() for p in divergence._pieces(batch, "text")), []) == texts.to_pylist()
+    assert sum((p.column("text").to_pylist() for p in cutting.pieces(batch)), []) == texts.to_pylist()
+    chunked = pa.chunked_array([texts, texts.slice(5)])
+    rows, codes, terms = cutting.cut(chunked, cutting.BLACK)
+    assert [(int(r), terms[int(c)].as_py().decode()) for r, c in zip(rows, codes)] == [(0, "ab"), (1, "cd"), (4, "1"), (5, "AB"), (5, "é"), (7, "é"), (8, "AB"), (8, "é"), (10, "é")]
 
 
 @pytest.mark.parametrize("seed", range(5))

@@ -118,3 +118,24 @@ def test_without_trusted_documents_or_rows(spark, corpus):
     assert all(r.perplexity is None and r.threshold is None for r in got)
     assert sum(not r.kept for r in got) == 2  # those without words
     assert p.classify(docs.limit(0), labels).count() == 0
+
+
+def test_equal_rows_and_null_ids_are_dealt_over_batches(spark, monkeypatch, tmp_path):
+    """A third of the rows are one row with a null id: no batch holds more than its share of them."""
+    monkeypatch.setattr(p, "BATCH_BYTES", 10_000)
+    rows = [(None, "the same words again and again " * 3, "en")] * 1000 + [(k, f"word{k} and others {k % 7} here", "en") for k in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    got = p.perplexities(docs, spark.createDataFrame([(k,) for k in range(0, 2000, 3)], "trusted_id long"))
+    assert got.count() == 3000 and got.where("id IS NULL").select("perplexity").distinct().count() == 1
+    per = [r["count"] for r in docs.where("doc_id IS NULL").groupBy(p.batch_number(15).alias("b")).count().collect()]
+    assert len(per) == 15 and max(per) < 2 * 1000 / 15
+
+
+def test_one_very_long_text(spark):
+    """Long words and a long text, beside short ones."""
+    rows = [(1, "x" * 200_000 + " " + "word " * 200_000, "en"), (2, "word", "en"), (3, None, "en"), (4, "\t\n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.id: r for r in p.perplexities(docs, spark.createDataFrame([(2,)], "trusted_id long")).collect()}
+    assert got[1].n == 200_001 + 5 * 200_000 and got[1].perplexity > got[2].perplexity > 0
+    assert got[3].perplexity is None and got[4].perplexity is None
