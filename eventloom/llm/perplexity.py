@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,10 +56,43 @@ def sequences(word: str) -> list[str]:
     return [padded[k : k + ORDER] for k in range(len(padded) - ORDER + 1)]
 
 
-def _words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Of every sequence of every word, in order: the word's number and the sequence's among the distinct ones, which come third.
+
+    Characters are packed as 16-bit numbers of the alphabet at hand, so a sequence is one 64-bit number.
+    """
+    sizes = np.asarray(pc.utf8_length(words))
+    of_word = np.repeat(np.arange(len(words)), sizes + 1)
+    padded = pc.binary_join_element_wise(pa.scalar(_START, words.type), words, pa.scalar(_END, words.type), pa.scalar("", words.type))
+    line = b"" if not len(words) else padded.buffers()[2].to_pybytes()
+    chars = np.frombuffer(line.decode().encode("utf-32-le"), np.uint32)
+    letters = None
+    if chars.max(initial=0) >= 1 << 16:
+        letters, chars = np.unique(chars, return_inverse=True)
+        if len(letters) > 1 << 16:  # a larger alphabet than 16 bits number
+            places: dict[str, int] = {}
+            return of_word, np.array([places.setdefault(g, len(places)) for w in words.to_pylist() for g in sequences(w)], np.int64), list(places)
+    chars = chars.astype(np.uint64)
+    # The sequences of a word start at its padding and end at its characters and its end.
+    heads = np.cumsum(sizes + ORDER) - (sizes + ORDER)
+    at = np.arange(len(of_word)) + np.repeat(heads - (np.cumsum(sizes + 1) - (sizes + 1)), sizes + 1)
+    packed = np.zeros(len(at), np.uint64)
+    for k in range(ORDER):
+        packed = packed << np.uint64(16) | chars[at + k]
+    kinds, number = np.unique(packed, return_inverse=True)
+    points = np.stack([kinds >> np.uint64(16 * (ORDER - 1 - k)) & np.uint64(0xFFFF) for k in range(ORDER)], axis=1)
+    points = (points if letters is None else letters[points]).astype(np.uint32)
+    line = points.tobytes().decode("utf-32-le")
+    return of_word, number, [line[k : k + ORDER] for k in range(0, len(line), ORDER)]
+
+
+def _words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Of every word its row and its number among the distinct words, which come third."""
     rows, codes, words = cut(texts, BLACK)
-    return rows, codes, [w.decode("utf-8", "replace") for w in words.to_pylist()]
+    try:
+        return rows, codes, words.cast(pa.large_string())
+    except pa.ArrowInvalid:  # bytes that aren't UTF-8
+        return rows, codes, pa.array([w.decode("utf-8", "replace") for w in words.to_pylist()], pa.large_string())
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,9 +105,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for piece in (p for b in batches for p in pieces(b)):
         _, codes, words = _words(piece.column("text"))
-        for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-            for gram in sequences(word):
-                total[gram] += n
+        of_word, number, found = grams(words)
+        times = np.bincount(number, np.bincount(codes, minlength=len(words))[of_word], len(found)).astype(np.int64)
+        for gram, n in zip(found, times.tolist()):
+            total[gram] += n
         if len(total) > _FLUSH:
             yield out()
     if total:
@@ -137,32 +172,23 @@ def log_probabilities(grams: DataFrame, model: DataFrame, contexts: DataFrame, f
 
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked: dict[int, set[str]] = {}
-    known: dict[int, set[str]] = {}  # words that were asked for already: a memory, no more
     for piece in (p for b in batches for p in pieces(b)):
         numbers = piece.column("batch").to_numpy()
         for batch in np.unique(numbers).tolist():
-            words = set(_words(piece.column("text").filter(pa.array(numbers == batch)))[2])
-            words -= known.setdefault(batch, set())
-            known[batch] |= words
-            asked.setdefault(batch, set()).update(*map(sequences, words))
-            if len(known[batch]) > 200_000:
-                known[batch].clear()
-    for batch, grams in asked.items():
-        yield pa.RecordBatch.from_arrays([pa.array([batch] * len(grams), pa.int64()), pa.array(list(grams), pa.string())], names=["batch", "gram"])
+            words = _words(piece.column("text").filter(pa.array(numbers == batch)))[2]
+            asked.setdefault(batch, set()).update(grams(words)[2])
+    for batch, found in asked.items():
+        yield pa.RecordBatch.from_arrays([pa.array([batch] * len(found), pa.int64()), pa.array(list(found), pa.string())], names=["batch", "gram"])
 
 
 def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     logp = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
-    of: dict[str, float] = {}
     scores, sizes = [], []
     for piece in pieces(texts):
         rows, codes, words = _words(piece.column("text"))
-        if len(of) > 300_000:
-            of.clear()
-        for word in set(words).difference(of):
-            of[word] = sum(map(logp.__getitem__, sequences(word)))
-        value = np.fromiter((of[w] for w in words), np.float64, len(words))
-        size = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        of_word, number, found = grams(words)
+        value = np.bincount(of_word, np.fromiter(map(logp.__getitem__, found), np.float64, len(found))[number], len(words))
+        size = np.asarray(pc.utf8_length(words)) + 1
         scores.append(np.bincount(rows, value[codes], piece.num_rows))
         sizes.append(np.bincount(rows, size[codes], piece.num_rows).astype(np.int64))
     n, total = (np.concatenate([*x, np.zeros(0, x[0].dtype)]) if x else np.zeros(0) for x in (sizes, scores))

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from eventloom.llm import perplexity as p
@@ -139,3 +140,10 @@ def test_one_very_long_text(spark):
     got = {r.id: r for r in p.perplexities(docs, spark.createDataFrame([(2,)], "trusted_id long")).collect()}
     assert got[1].n == 200_001 + 5 * 200_000 and got[1].perplexity > got[2].perplexity > 0
     assert got[3].perplexity is None and got[4].perplexity is None
+
+
+@pytest.mark.parametrize("words", [[], ["a"], ["ab", "日本語", "a", "\x02\x03", "\U0001f600x\U0001f601"], ["".join(map(chr, range(0x4E00, 0x9000)))], ["".join(map(chr, [*range(33, 0xD800), *range(0xE000, 0x20000)]))]])
+def test_packed_sequences(words):
+    of_word, number, found = p.grams(pa.array(words, pa.large_string()))
+    assert [(int(w), found[int(g)]) for w, g in zip(of_word, number)] == [(k, g) for k, w in enumerate(words) for g in p.sequences(w)]
+    assert len(set(found)) == len(found)
