@@ -1,11 +1,12 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
 A block meets a template if it has at least ``CONTAINED`` of the template's distinct
-words. Blocks of short templates are lines (long ones in windows of ``LINE`` words);
-blocks of longer templates are paragraphs (in windows of ``PARAGRAPH`` words). A window
+words, and all of its naming words (``NAMES``: without them a sentence about some other
+license, of the same common words, would do). Blocks are windows over a paragraph's words, across
+its line ends: of ``LINE`` words for short templates, of ``PARAGRAPH`` words for longer ones. A window
 starts every half window, so any stretch of half a window lies in one.
 
-The join: words are ordered by their number of lines in the whole corpus, rarest first.
+The join: words are ordered by their number of short blocks in the whole corpus, rarest first.
 With c the least number of common words, a template's prefix is its first n - c + 1 words
 and a block's its first m - c + 1; if no word is in both prefixes, fewer than c can be
 common. Blocks of fewer than c words can't meet the template (length filter), nor can
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import stored
 
 CONTAINED = 0.8
-#: Templates of up to so many distinct words are looked for in lines.
+#: Templates of up to so many distinct words are looked for in windows of LINE words.
 SHORT = 16
 LINE, PARAGRAPH = 64, 400
 
@@ -55,6 +56,9 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
 )
 
+#: Words that name a license: a template that has some isn't met without them.
+NAMES = frozenset(("apache", "commons", "creative", "gnu", "mit", "nc", "redistribution"))
+
 
 class Template(NamedTuple):
     number: int
@@ -63,6 +67,10 @@ class Template(NamedTuple):
     short: bool
     least: int
 
+    @property
+    def names(self) -> list[str]:
+        return sorted(self.words & NAMES)
+
 
 def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
@@ -106,19 +114,21 @@ _ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "arr
 
 
 def _parts(templates: list[Template]):
-    """Of each text: its base result ('d'), the blocks that are long enough ('b'), and of each batch the lines of each word ('t')."""
+    """Of each text: its base result ('d'), the blocks that are long enough ('b'), and of each batch the short blocks of each word ('t')."""
     vocabulary = frozenset(w.encode() for t in templates for w in t.words)
     least = {s: min((t.least for t in templates if t.short == s), default=None) for s in (True, False)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, lines_with = [], Counter()
+            rows, blocks_with = [], Counter()
             for row, key, text in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "text"))):
                 every: list[bytes] = []
                 paragraph: list[bytes] = []
                 blocks = []
 
                 def close() -> None:
+                    for at, w in windows(paragraph, LINE) if paragraph else ():
+                        blocks.append((True, len(every) - len(paragraph) + at, w))
                     if least[False] is not None and len(paragraph) >= least[False]:
                         for at, w in windows(paragraph, PARAGRAPH):
                             blocks.append((False, len(every) - len(paragraph) + at, w))
@@ -130,21 +140,19 @@ def _parts(templates: list[Template]):
                         if not line.strip():
                             close()
                         continue
-                    for at, part in windows(w, LINE):
-                        blocks.append((True, len(every) + at, part))
                     every += w
                     paragraph += w
                 close()
                 for short, at, w in blocks:
                     known = vocabulary.intersection(w)
                     if short:
-                        lines_with.update(known)
+                        blocks_with.update(known)
                     if known and least[short] is not None and len(known) >= least[short]:
                         rows.append((row, None, "b", None, None, None, None, None, None, None, short, at, sorted(w.decode() for w in known)))
                 places = phrase_places(every)
                 starts = [s for x in places.values() for s in x]
                 rows.append((row, key, "d", len(every), len(starts), min(starts, default=None), max(starts, default=None), sorted(places), None, None, None, None, None))
-            rows += [(None, None, "t", None, None, None, None, None, w.decode(), n, None, None, None) for w, n in lines_with.items()]
+            rows += [(None, None, "t", None, None, None, None, None, w.decode(), n, None, None, None) for w, n in blocks_with.items()]
             kinds = [(c.split()[0], _ARROW.get(c.split()[1], batch.schema.field("id").type)) for c in _PARTS.split(", ")]
             columns = zip(*rows) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])
@@ -162,10 +170,10 @@ def met_templates(blocks: DataFrame, counts: DataFrame, templates: list[Template
     prefix, whole = [], []
     for t in templates:
         inorder = sorted(t.words, key=rank.__getitem__)
-        whole.append((t.number, t.label, inorder))
+        whole.append((t.number, t.label, inorder, t.names))
         prefix += [(w, t.number, t.short, k, len(inorder), t.least) for k, w in enumerate(inorder[: len(inorder) - t.least + 1])]
     prefixes = F.broadcast(spark.createDataFrame(prefix, "word string, template int, for_short boolean, t_at int, t_size int, least int"))
-    wholes = F.broadcast(spark.createDataFrame(whole, "template int, label string, t_words array<string>"))
+    wholes = F.broadcast(spark.createDataFrame(whole, "template int, label string, t_words array<string>, t_names array<string>"))
     ranks = F.create_map(*[x for w, k in rank.items() for x in (F.lit(w), F.lit(k))])
     inorder = F.transform(F.array_sort(F.transform("words", lambda w: F.struct(ranks[w].alias("rank"), w.alias("word")))), lambda s: s["word"])
     blocks = blocks.select("row", "short", "start", inorder.alias("words"))
@@ -175,6 +183,7 @@ def met_templates(blocks: DataFrame, counts: DataFrame, templates: list[Template
     # One row for each block and template, by the first common word of their prefixes.
     pairs = both.join(wholes, "template").withColumn("common", F.array_intersect("words", "t_words"))
     pairs = pairs.where((F.size("common") >= F.col("least")) & (F.element_at("common", 1) == F.col("word")))
+    pairs = pairs.where(F.size(F.array_except("t_names", "words")) == 0)
     return pairs.select("row", "start", "template", "label", (F.size("common") / F.col("t_size")).alias("containment"))
 
 
@@ -204,7 +213,7 @@ def license_digest(documents: DataFrame) -> DataFrame:
 
 _TOKENS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _TEMPLATE_ROWS = ", ".join(
-    f"('{t.label}', {str(t.short).lower()}, [{', '.join(repr(w) for w in sorted(t.words))}], {t.least})" for t in prepared())
+    f"('{t.label}', {str(t.short).lower()}, [{', '.join(repr(w) for w in sorted(t.words))}], {t.least}, [{', '.join(repr(w) for w in t.names)}]::VARCHAR[])" for t in prepared())
 _PHRASE_ROWS = ", ".join(f"('{label}', [{', '.join(repr(w) for w in phrase.split())}])" for phrase, label in PHRASES)
 #: Every block against every template and every place against every phrase.
 ORACLE = f"""
@@ -219,14 +228,14 @@ lw AS (
 pw AS (SELECT r, p, flatten(list(w ORDER BY ln)) AS w FROM lw GROUP BY r, p),
 b AS (
   SELECT r, true AS short, w[a + 1 : a + {LINE}] AS w FROM (
-    SELECT r, w, unnest(range(0, greatest(1, len(w) - {LINE // 2}), {LINE // 2})) AS a FROM lw WHERE len(w) > 0)
+    SELECT r, w, unnest(range(0, greatest(1, len(w) - {LINE // 2}), {LINE // 2})) AS a FROM pw WHERE len(w) > 0)
   UNION ALL
   SELECT r, false AS short, w[a + 1 : a + {PARAGRAPH}] AS w FROM (
     SELECT r, w, unnest(range(0, greatest(1, len(w) - {PARAGRAPH // 2}), {PARAGRAPH // 2})) AS a FROM pw WHERE len(w) > 0)),
-tm(label, short, words, least_words) AS (VALUES {_TEMPLATE_ROWS}),
+tm(label, short, words, least_words, names) AS (VALUES {_TEMPLATE_ROWS}),
 m AS (
   SELECT r, label, len(list_intersect(words, w)) AS n, len(words) AS size, least_words
-  FROM b JOIN tm ON b.short = tm.short AND len(w) >= least_words),
+  FROM b JOIN tm ON b.short = tm.short AND len(w) >= least_words AND list_has_all(w, names)),
 f AS (SELECT r, list(DISTINCT label) AS more, max(n / size) AS best FROM m WHERE n >= least_words GROUP BY r),
 dw AS (SELECT r, doc_id, regexp_extract_all(t, '{_TOKENS}') AS w FROM d),
 ph(label, words) AS (VALUES {_PHRASE_ROWS}),
