@@ -38,13 +38,16 @@ from eventloom.llm.html import host_of
 SAMPLE = 2_000
 BUCKETS = 1 << 16
 TEXT_WEIGHT = 20.0
+#: The languages of most documents that are told apart; the model has 256 KB for each.
+LANGUAGES = 200
 #: Pages that a domain's languages count for in its hosts, and all pages' in a domain.
 STRENGTH = 5.0
 #: Hosts and domains of up to so many are broadcast; more are shuffled.
 HOSTS = 100_000
 
-_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|textarea)\b[^>]*>.*?(?:</\1|\Z)|<[^>]*>", re.S | re.I)
-_DECLARED = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
+# No tag goes past the next "<", so a text of many of them takes linear time.
+_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|textarea)\b[^<>]*>.*?(?:</\1|\Z)|<[^<>]*>", re.S | re.I)
+_DECLARED = r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -58,14 +61,16 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def fit_text_model(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities [bucket, language], from about ``sample`` documents of each.
+    """Languages and their log probabilities [bucket, language], from about ``sample`` documents of each,
+    drawn by their row numbers (``documents`` is a scan or a stored table): equal rows and null ids are drawn like any others.
+    Of more than ``LANGUAGES`` languages those with the most documents are taken.
 
     What comes to the driver is a count for each language and bucket.
     """
-    known = documents.where(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    rates = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("rate"))
-    chosen = known.join(small_side(rates, HOSTS), "lang")
-    chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("rate") * (1 << 30)).select("lang", "text")
+    draw = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    known = documents.select("lang", "text", draw.alias("draw")).where(F.col("lang").isNotNull())
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    chosen = known.join(F.broadcast(sizes), "lang").where(F.col("draw").cast("double") * F.col("n") < float(sample << 30)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}

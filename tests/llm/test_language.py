@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.llm import language
 
@@ -112,3 +113,22 @@ def test_nothing_to_learn_from(spark, documents):
     df = spark.createDataFrame(rows, PAGES)
     assert all(r.lang is None for r in language.language_digest(df, documents.limit(0)).collect())
     assert language.language_digest(df.limit(0), documents).count() == 0
+
+
+def test_equal_rows_and_null_ids_are_drawn_like_others(spark, tmp_path):
+    rows = [(None, "ein Text der oft steht", "de")] * 4000 + [(k, f"word {k}", "en") for k in range(2000)] + [(k, "mot", f"l{k:03d}") for k in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    languages, model = language.fit_text_model(docs, sample=100)
+    assert len(languages) == language.LANGUAGES and {"de", "en"} <= set(languages) and model.shape == (language.BUCKETS, language.LANGUAGES)
+    draw = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    taken = docs.withColumn("draw", draw).where("lang = 'de'").where(F.col("draw") * 4000 < 100 * (1 << 30)).count()
+    assert 50 < taken < 200
+
+
+@pytest.mark.parametrize("text", ["<" * 4_000_000, "<script " * 500_000, "<html lang" * 400_000, "<!-- " * 800_000, "<a " * 1_000_000 + ">"])
+def test_many_tags_take_linear_time(text):
+    import time
+    began = time.perf_counter()
+    language._DROP.sub(" ", text)
+    assert time.perf_counter() - began < 3
