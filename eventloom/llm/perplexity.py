@@ -48,6 +48,8 @@ TRUSTED = 2_000_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _START, _END = "\x02" * (ORDER - 1), "\x03"
 _FLUSH = 1_000_000
+#: Bytes of text whose words are taken apart at a time: the arrays of their sequences are some thirty times as large.
+_PIECE = 2 << 20
 
 
 def sequences(word: str) -> list[str]:
@@ -103,7 +105,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total.clear()
         return made
 
-    for piece in (p for b in batches for p in pieces(b)):
+    for piece in (p for b in batches for p in pieces(b, size=_PIECE)):
         _, codes, words = _words(piece.column("text"))
         of_word, number, found = grams(words)
         times = np.bincount(number, np.bincount(codes, minlength=len(words))[of_word], len(found)).astype(np.int64)
@@ -172,7 +174,7 @@ def log_probabilities(grams: DataFrame, model: DataFrame, contexts: DataFrame, f
 
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked: dict[int, set[str]] = {}
-    for piece in (p for b in batches for p in pieces(b)):
+    for piece in (p for b in batches for p in pieces(b, size=_PIECE)):
         numbers = piece.column("batch").to_numpy()
         for batch in np.unique(numbers).tolist():
             words = _words(piece.column("text").filter(pa.array(numbers == batch)))[2]
@@ -184,7 +186,7 @@ def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     logp = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
     scores, sizes = [], []
-    for piece in pieces(texts):
+    for piece in pieces(texts, size=_PIECE):
         rows, codes, words = _words(piece.column("text"))
         of_word, number, found = grams(words)
         value = np.bincount(of_word, np.fromiter(map(logp.__getitem__, found), np.float64, len(found))[number], len(words))
