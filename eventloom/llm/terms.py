@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut at a time, at least one text.
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 #: ASCII letters and other scripts.
 LETTERS = np.array([b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
