@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from eventloom.llm import html
@@ -39,9 +41,10 @@ def test_extraction(source, want):
 
 def test_long_pages_take_linear_time():
     import time
-    for source in ("<p>" * 100_000, "<div>" * 3_000 + "x", "<" * 200_000, "<a href='" * 20_000, "<script>" + "<" * 200_000, f"<article>{'<p>word ' * 100_000}"):
+    for source in ("<p>" * 100_000, "<div>" * 100_000 + "x y", "<div>" * 50_000 + "</span>x" * 50_000, "<table>" + "<b>" * 50_000 + "<tr>" * 50_000,
+                   "<form>" * 50_000 + "x", "<div class=share-this>" * 50_000 + "x", "<" * 200_000, "<a href='" * 20_000, "<script>" + "<" * 200_000, f"<article>{'<p>word ' * 100_000}"):
         began = time.time()
-        html.parse(source)
+        text_of(source)
         assert time.time() - began < 20, source[:20]
 
 
@@ -99,6 +102,61 @@ def test_no_text_is_lost_on_the_way_inwards(source, want):
     assert text_of(source) == want
 
 
+FIELD = "<input type=hidden name=state value=x><input name=q><input type=submit>"
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<body><form action=/page>{FIELD}<div class=nav>menu</div><div class=story><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div></form></body>", f"T\n\n{LONG}\n\n{LONG}"),
+    (f"<body><article><p>{LONG}</p></article><form>{FIELD}<p>{LONG}{LONG}{LONG}</p><textarea></textarea><input><input></form></body>", LONG),
+    (f"<body><form>{FIELD}<p>Your name</p></form></body>", ""),
+    (f"<body><p>Abstract</p><div class=body><p>{LONG}</p></div></body>", f"Abstract\n\n{LONG}"),
+    (f"<body><div class=label><p>Sponsored</p></div><div class=body><p>{LONG}</p></div></body>", LONG),
+    (f"<article><p>{LONG} <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding='application/x-tex'>x+1</annotation></math> holds.</p></article>", f"{LONG} x+1 holds."),
+    (f"<article><p>{LONG}</p><div hidden=until-found><p>Found late.</p></div><div hidden><p>Never.</p></div></article>", f"{LONG}\n\nFound late."),
+    (f"<article class='a b c d'><p>{LONG}</p></article><article class='a b c e'><p>Other.</p></article>", f"{LONG}\n\nOther."),
+])
+def test_layout_forms_words_and_formulas(source, want):
+    assert text_of(source) == want
+
+
+def test_paths_hold_all_classes():
+    page = html.parse(f"<div class='d c b a'><p>{LONG}</p></div><div class='a b c e.f x>y'><p>o</p></div>")
+    assert page.path(1) == "html>body>div.a.b.c.d" and page.path(2) == "html>body>div.a.b.c.e_f.x_y"
+    assert [page.number(page.path(c)) for c in range(3)] == page.paths and page.number("html>body>div") is None
+    assert html.extract(page, page.path(1)) == LONG
+
+
+def test_built_pages_give_their_blocks():
+    """Pages built from known article blocks and boilerplate around, between and after them."""
+    rnd = random.Random(11)
+    words = lambda n: " ".join(rnd.choice(["stone", "river", "of", "the", "a&b", "é", "12"]) for _ in range(n)) + "."
+    escape = lambda t: t.replace("&", "&amp;")
+    noise = [
+        lambda: f"<nav><ul><li><a href=/>{words(2)}</a></ul></nav>", lambda: f"<div class='ad-box'>{words(9)}</div>", lambda: f"<aside><p>{words(30)}</p></aside>",
+        lambda: f"<div id=cookie-consent>{words(12)}</div>", lambda: f"<form><label>{words(4)}</label>{FIELD}</form>", lambda: "<script>var a='<p>x</p>';</script>",
+        lambda: f"<!-- {words(5)} -->", lambda: f"<section id=comments><p>{words(40)}</p></section>", lambda: f"<style>p{{}}</style><p hidden>{words(3)}</p>",
+    ]
+    for k in range(300):
+        blocks, body = [words(6)], ""
+        body += f"<h1>{escape(blocks[0])}</h1>"
+        for _ in range(rnd.randint(2, 12)):
+            if rnd.random() < 0.3:
+                body += rnd.choice(noise)()
+            kind = rnd.choice(["p", "h2", "blockquote", "pre", "list", "deep", "table"])
+            new = [words(rnd.randint(5, 40)) for _ in range(3 if kind in ("list", "table") else 1)]
+            blocks += new
+            inner = [escape(t).replace(" ", rnd.choice([" ", "\n", " \t "])) for t in new]
+            body += {
+                "list": "<ul>" + "".join(f"<li>{t}" + rnd.choice(["", "</li>"]) for t in inner) + "</ul>", "deep": f"<div><section class=x{k}><p>{inner[0]}</p></section></div>",
+                "table": "<table><tr>" + "".join(f"<td>{t}" for t in inner) + "</table>"}.get(kind, f"<{kind}>{inner[0]}</{kind}>")
+        wrap = rnd.choice(["<article>{}</article>", "<main>{}</main>", "<div class='post p-9'>{}</div>", "<div><div class=content>{}</div></div>"]).format(body)
+        if rnd.random() < 0.2:
+            wrap = f"<form>{FIELD}{wrap}</form>" if sum(map(len, blocks)) > 400 else wrap
+        around = ["".join(rnd.choice(noise)() for _ in range(rnd.randint(0, 3))) for _ in range(2)]
+        source = f"<!DOCTYPE html><html><head><title>{words(3)}</title></head><body>{around[0]}{wrap}{around[1]}<footer>{words(20)}</footer></body></html>"
+        assert text_of(source) == "\n\n".join(blocks), source
+
+
 @pytest.mark.parametrize("source, want", [
     (f"<!DOCTYPE html><title>t</title><h1>A</h1><p>{LONG}</p>", f"A\n\n{LONG}"),
     (f"<title>t</title><h1>A</h1><p>{LONG}</p><ul><li>one<li>two</ul><p>end</p>", f"A\n\n{LONG}\n\none\n\ntwo\n\nend"),
