@@ -10,10 +10,14 @@ DOCS = "doc_id long, text string, item_id long, hash string, q int"
 ITEMS = "item_id long, text string, doc_id string"
 
 
-def shingles(text):
+def shingles(text, sizes=(5,)):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
-    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    return {tuple(w[k : k + n]) for n in sizes for k in range(len(w) - n + 1)}
+
+
+def of_item(text):
+    return shingles(text) or shingles(text, (len((text or "").split()) or 1,))
 
 
 @pytest.fixture(scope="module")
@@ -39,11 +43,11 @@ def tables():
 def brute(docs, items):
     by = {}
     for r in docs:
-        by.setdefault(r[0], set()).update(shingles(r[1]))
+        by.setdefault(r[0], set()).update(shingles(r[1], range(1, 6)))
     out = set()
     for doc, have in by.items():
         for item, text, _ in items:
-            want = shingles(text)
+            want = of_item(text)
             if want and 10 * len(want & have) >= 8 * len(want):
                 out.add((doc, item, len(want), len(want & have)))
     return out
@@ -59,6 +63,15 @@ def test_pairs_match_brute_force(spark, tables):
     assert all(r.containment == r.n_found / r.n_item for r in got)
 
 
+def test_short_items(spark):
+    docs = [(1, "Well, WHAT is two\tplus two?", 1, "x", 2), (2, "what is two", 1, "x", 2), (3, "plus two what is", 1, "x", 2), (None, "two", 1, "x", 2), (4, None, 1, "x", 2)]
+    items = [(1, "What is two plus", "x"), (2, "two", "x"), (3, "is two", "x"), (4, "a b c d e", "x"), (5, " ", "x"), (6, "what is", "x"), (6, "two plus", "x")]
+    got = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (1, 2), (2, 2), (3, 2), (None, 2), (1, 3), (2, 3), (1, 6)}
+    only = spark.createDataFrame(items[:1], ITEMS)
+    assert [r.doc_id for r in d.contaminated(spark.createDataFrame(docs, DOCS), only).collect()] == [1]
+
+
 def test_oracle(spark, tables):
     docs, items = (spark.createDataFrame(t, s) for t, s in zip(tables, (DOCS, ITEMS)))
     docs = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
