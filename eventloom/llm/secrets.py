@@ -6,6 +6,10 @@ often: the ledger has a row for each scan of a blob, with the rules it ran and t
 spans it found, and a run scans only pairs that no row has. Findings are joined
 back to all paths through the blob's address.
 
+A run moves the addresses of all rows, but only the texts of blobs that it scans: an
+unchanged corpus ends with a comparison of addresses. Where more addresses are unseen than
+can be broadcast, rows meet them in a shuffled join.
+
 Defined cases: a null text is the empty blob; null paths stay rows of their own;
 repeated rows each get the findings of their blob; an empty table gives no rows;
 columns other than the path columns and the text are not read.
@@ -20,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fresh
+from eventloom.llm.common import fresh, small_bytes, stored
 
 
 @dataclass(frozen=True)
@@ -108,13 +112,28 @@ def scan_new(versions: DataFrame, text: str, ledger: str, rules: Sequence[Rule]
     a third of all rows hold arrives once from each task. Positions are running sums
     over one blob's matches; they need no further shuffle.
     """
-    spark = versions.sparkSession
-    t = F.coalesce(F.col(text), F.lit(""))
-    blobs = versions.select(blob_of(F.col(text)).alias("blob"), t.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
-    seen = read_ledger(spark, ledger).select("blob", F.explode("rules").alias("rule"))
+    rows = versions.select(blob_of(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keys = F.array(*[F.lit(r.key) for r in rules])
+    if read_ledger(versions.sparkSession, ledger).isEmpty():
+        _scan(rows.groupBy("blob").agg(F.first("text").alias("text")).withColumn("rules", keys), ledger, rules)
+        return
+    todo = stored(unseen(rows.select("blob"), ledger, rules), "unseen")
+    if todo.isEmpty():
+        return
+    texts = rows.join(small_bytes(todo.select("blob")), "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text"))
+    _scan(texts.join(todo, "blob"), ledger, rules)
+
+
+def unseen(blobs: DataFrame, ledger: str, rules: Sequence[Rule]) -> DataFrame:
+    """(blob, rules): each address once with the rules that no row of the ledger has run on it; none whose rules all have."""
+    seen = read_ledger(blobs.sparkSession, ledger).select("blob", F.explode("rules").alias("rule"))
     seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     todo = F.array_except(F.array(*[F.lit(r.key) for r in rules]), F.coalesce("seen", F.array().cast("array<string>")))
-    unseen = blobs.join(seen, "blob", "left").withColumn("rules", todo).where(F.size("rules") > 0)
+    return blobs.distinct().join(seen, "blob", "left").select("blob", todo.alias("rules")).where(F.size("rules") > 0)
+
+
+def _scan(unseen: DataFrame, ledger: str, rules: Sequence[Rule]) -> None:
+    """Append the findings of these blobs (blob, text, rules) to the ledger."""
     found = F.concat(*[_matches(F.col("text"), r, k, F.array_contains("rules", r.key)) for k, r in enumerate(rules)])
     rows = unseen.select("blob", "rules", F.explode_outer(found).alias("m")).select("blob", "rules", "m.*")
     upto = Window.partitionBy("blob", "rank").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)

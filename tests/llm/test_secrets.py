@@ -82,5 +82,20 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert secrets.read_ledger(spark, ledger).count() == 6
 
 
+def test_an_unchanged_corpus_moves_no_text(spark, texts, monkeypatch):
+    ledger, docs = scratch_path(spark, "ledger"), frame(spark, texts)
+    first = secrets.secret_digest(docs, ledger).collect()
+    scanned = []
+    monkeypatch.setattr(secrets, "_scan", lambda blobs, *_: scanned.append(blobs))
+    assert sorted(map(repr, secrets.secret_digest(docs, ledger).collect())) == sorted(map(repr, first)) and not scanned
+    plan = secrets.unseen(docs.select(secrets.blob_of(docs["text"]).alias("blob")), ledger, secrets.RULES)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert exchanges and not any("text#" in x for x in exchanges)
+    # One new text among all: it alone is scanned, by the rows that hold it.
+    more = docs.union(spark.createDataFrame([(9000 + k, "token = brandnew1", "x", "y", 1) for k in range(3)], SCHEMA))
+    secrets.scan_new(more, "text", ledger)
+    assert [r.text for r in scanned[0].collect()] == ["token = brandnew1"]
+
+
 def test_empty_table(spark):
     assert secrets.secret_digest(frame(spark, []), scratch_path(spark, "ledger")).count() == 0
