@@ -80,6 +80,77 @@ def test_em_learns_which_rule_errs():
     assert posterior[vote(prose="+", variety="-")] > 0.5 > posterior[vote(prose="-", symbols="-")]
 
 
+def plain_verdicts(rows):
+    """p_good of each document: the same model, summed over documents and rules one by one."""
+    rules, n = list(quality.RULES.values()), len(rows)
+    held = max(10.0, quality.HELD * n)
+    held_of = {True: held * quality.GOOD_SHARE, False: held * (1 - quality.GOOD_SHARE)}
+    right = {True: [r[3][0] for r in rules], False: [r[3][1] for r in rules]}
+    share, before = quality.GOOD_SHARE, None
+    while True:
+        p = []
+        for pattern in rows:
+            like = {True: share, False: 1 - share}
+            for k, vote in enumerate(pattern):
+                for good in (True, False):
+                    if vote != "0":
+                        like[good] *= right[good][k] if (vote == "+") == good else 1 - right[good][k]
+            p.append(like[True] / (like[True] + like[False]))
+        if before and max(abs(a - b) for a, b in zip(p, before)) < 1e-9:
+            return p
+        before = p
+        weight = {True: p, False: [1 - x for x in p]}
+        for good in (True, False):
+            for k, rule in enumerate(rules):
+                voted = [(w, pattern[k]) for w, pattern in zip(weight[good], rows) if pattern[k] != "0"]
+                hits = sum(w for w, vote in voted if (vote == "+") == good) + held_of[good] * rule[3][0 if good else 1]
+                right[good][k] = hits / (sum(w for w, _ in voted) + held_of[good])
+        share = (sum(p) + held_of[True]) / (n + held)
+
+
+def plain_votes(text):
+    words = text.split(" ")
+    n, lines = len(words), text.split("\n")
+    plain = sum(w.isalpha() or (w[-1] in ".,;:?" and w[:-1].isalpha()) for w in words)
+    measures = {
+        "prose": plain / n, "symbols": sum(c in "#*$%&|<>" for c in text) / n, "repetition": brute(text)[4] / n,
+        "duplicate_lines": brute(text)[3] / len(lines), "capitals": sum(len(w) > 1 and w.isupper() for w in words) / n,
+        "shouting": sum(w[-1] in "!?" for w in words) / n, "bare_marks": sum(not (w[0].isalnum() or w[-1].isalnum()) for w in words) / n,
+        "variety": len(set(words)) / n**0.5, "word_length": abs(sum(map(len, words)) / n - 6),
+    }
+    test = {"<": float.__lt__, ">": float.__gt__, "<=": float.__le__, ">=": float.__ge__}
+    out = ""
+    for name, (_, bad, good, _) in quality.RULES.items():
+        hit = [test[limit.split()[0]](float(measures[name]), float(limit.split()[1])) for limit in (bad, good)]
+        out += "-" if hit[0] else "+" if hit[1] else "0"
+    return out
+
+
+def test_verdicts_match_plain_expectation_maximisation(spark):
+    rows = [(k, text) for k, text, *_ in corpus(200)]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    patterns = [plain_votes(text) for _, text in rows]
+    assert [got[k].votes for k, _ in rows] == patterns
+    for (k, _), p in zip(rows, plain_verdicts(patterns)):
+        assert got[k].p_good == pytest.approx(p, abs=1e-6)
+        assert got[k].kept == (not got[k].base_failed and p >= quality.KEEP_FROM)
+
+
+def test_one_bad_vote_rejects_only_where_nothing_speaks_for_the_text():
+    names = list(quality.RULES)
+    clean, odd = "+" * 9, []
+    for k in range(9):
+        for prose in "0+":
+            odd.append("".join("-" if j == k else prose if j == 0 else "+" for j in range(9)))
+    posterior = quality.fit({clean: 1000, **{p: 3 for p in odd}})[0]
+    assert all(posterior[p] > 0.5 for p in odd)
+    few = {"".join("-" if n in {"prose", fault} else "+" for n in names): 1 for fault in names[1:]}
+    for pattern in few:
+        assert quality.fit({pattern: 1})[0][pattern] < 0.5
+        assert quality.fit({clean: 500, pattern: 30})[0][pattern] < 0.5
+    assert quality.fit({"000000000": 1})[0]["000000000"] > 0.5  # all abstain
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert quality.judge(empty).count() == 0
