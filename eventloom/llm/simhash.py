@@ -51,29 +51,45 @@ PIVOTS = 8
 BUCKET = 4_096
 BLOCKS = (11, 11, 11, 11, 10, 10)
 
+#: Bytes of a text whose words are held at once; a piece ends at white space.
+PIECE = 1 << 20
+
 # On UTF-8 bytes, whose lower() changes A-Z alone.
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """The 64 bits of one text in UTF-8."""
-    words = _WORD.findall(text.lower()) if text else []
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    line = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    starts = (ends - sizes).tolist()
-    ends = ends.tolist()
+def _shingles(text: bytes, shingle: int, piece: int) -> Iterator[np.ndarray]:
+    """The hashes of the shingles, one array for each piece of the text; each piece goes on with the last words of the one before."""
+    words, at, whole = [], 0, True
     digest = xxhash.xxh64_intdigest
-    n = len(words) - shingle + 1
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:])), np.uint64, n)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, 8192):  # 8192 hashes are 512 KB of bits
-        part = hashes[at : at + 8192]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    while at < len(text):
+        stop = _SPACE.search(text, at + piece)
+        end = stop.start() if stop else len(text)
+        words += _WORD.findall(text, at, end)
+        at = end
+        n = len(words) - shingle + 1
+        if n < 1:
+            continue
+        line = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = (ends - sizes).tolist()
+        ends = ends.tolist()
+        yield np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:])), np.uint64, n)
+        words, whole = words[n:], False
+    if whole and words:
+        yield np.array([digest(b" ".join(words), SEED)], np.uint64)
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE, piece: int = PIECE) -> int:
+    """The 64 bits of one text in UTF-8."""
+    n, counts = 0, np.zeros(64, np.int64)
+    for hashes in _shingles(text.lower() if text else b"", shingle, piece):
+        n += len(hashes)
+        for at in range(0, len(hashes), 8192):  # 8192 hashes are 512 KB of bits
+            part = hashes[at : at + 8192]
+            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import pytest
 import xxhash
@@ -59,6 +60,23 @@ def test_fingerprint(text):
     assert simhash.fingerprint(None if text is None else text.encode()) == brute_fingerprint(text)
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_fingerprint_by_pieces(piece):
+    rnd = random.Random(piece)
+    for _ in range(200):
+        text = "".join(rnd.choice(["a", "Bc", "é", " ", "\n", "  ", "long-word"]) for _ in range(rnd.randint(0, 80)))
+        assert simhash.fingerprint(text.encode(), piece=piece) == brute_fingerprint(text)
+
+
+def test_long_text_is_hashed_in_bounded_memory():
+    text = b"some words of a very long text that go on " * 200_000
+    tracemalloc.start()
+    simhash.fingerprint(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(text) + (64 << 20)
+
+
 def test_hash_is_sparks(spark):
     assert spark.sql("SELECT xxhash64('a b cé d')").first()[0] % (1 << 64) == xxhash.xxh64_intdigest("a b cé d".encode(), 42)
 
