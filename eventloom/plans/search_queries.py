@@ -34,6 +34,7 @@ from eventloom.sources.tables import read_table
 from eventloom.streaming.delivery import read_event_stream, start_delivery, stream_totals
 
 PAGE_ROWS = 25
+RUN_GROWTH = 4  # each run of pages is so many times the one before
 ODD_NAMES = {"a": "event_id", "user id": "user_id", "2nd": "event_type", "price ($)": "value", "é": "props"}
 
 
@@ -48,13 +49,14 @@ def q_search_sink_window(spark, sf):
 
 
 def q_search_page_next(spark, sf):
-    """A search's results page by page, each from the token of the one before."""
-    hits, pages, token = _week_search(spark, sf), [], None
+    """A search's results page by page, in runs of pages that grow, each run from the token of the page before."""
+    hits, runs, taken, pages, token = _week_search(spark, sf), [], 0, 1, None
     while True:
-        page = next_page(hits, ["event_type", "ts"], PAGE_ROWS, token)
-        pages.append(page.rows.withColumn("page", F.lit(len(pages)).cast("long")))
-        if (token := page.token) is None:
-            return reduce(DataFrame.unionByName, pages)
+        run = next_page(hits, ["event_type", "ts"], PAGE_ROWS, token, pages=pages, number="page")
+        runs.append(run.rows.withColumn("page", F.col("page") + F.lit(taken)))
+        if (token := run.token) is None:
+            return reduce(DataFrame.unionByName, runs)
+        taken, pages = taken + pages, pages * RUN_GROWTH
 
 
 def _one_token(spark, sf) -> str:

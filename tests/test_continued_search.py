@@ -135,3 +135,30 @@ def test_exports_keep_every_text(spark, tmp_path, mode):
     export_results(df, f"{tmp_path}/x", mode)
     got = {r[0]: (r[1], r[2]) for r in read_export(spark, f"{tmp_path}/x", mode, df.schema).collect()}
     assert got == {k: (t, t) for k, t in enumerate(HOSTILE)}
+
+
+@pytest.mark.parametrize("topk_rows", [10_000, 40])
+def test_runs_of_pages_are_the_pages(spark, monkeypatch, topk_rows):
+    from eventloom.operators import seek
+
+    monkeypatch.setattr(seek, "RUN_TOPK_ROWS", topk_rows)
+    rows = [(k % 5 if k % 7 else None, "same" if k % 3 else "other") for k in range(400)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got, token, taken = [], None, 0
+    for pages in (1, 2, 4, 8, 16, 32):
+        run = next_page(df, ["a"], 7, token, pages=pages, number="page")
+        got += [(r.page + taken, r.a, r.b) for r in run.rows.collect()]
+        taken, token = taken + pages, run.token
+    assert token is None
+    assert got == [(n // 7, *r) for n, r in enumerate(want)]
+
+
+def test_a_long_search_is_paged_in_few_calls(spark, monkeypatch):
+    from eventloom.plans import search_queries
+
+    calls = []
+    monkeypatch.setattr(search_queries, "next_page", lambda *a, **k: calls.append(a) or next_page(*a, **k))
+    hits = search_queries.q_search_page_next(spark, "/root/testdata/sf0.1")
+    assert hits.agg(F.max("page")).first()[0] >= 25
+    assert len(calls) <= 5
