@@ -20,7 +20,18 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.fields import NULL_TEXT
 from eventloom.functions.lines import LF, byte_length, split_lines, wire_event, wire_text
-from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, DEFAULT_SPLIT_ROWS, PKEY, SEG, _null_safe_join, _running_sum, join_segments
+from eventloom.operators.prefix import (
+    DEFAULT_BROADCAST_ROWS,
+    DEFAULT_SPLIT_BYTES,
+    DEFAULT_SPLIT_ROWS,
+    PKEY,
+    SEG,
+    _null_safe_join,
+    _running_sum,
+    exchange_on,
+    join_segments,
+    row_width,
+)
 
 # Read block size, and the largest payload accepted
 # (1,000,000 less 16 K kept for headers).
@@ -72,7 +83,7 @@ def assign_batches(
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     size: Column | None = None,
     normalize: bool = True,
-    split_bytes: int | None = None,
+    split_bytes: int | None = DEFAULT_SPLIT_BYTES,
 ) -> DataFrame:
     """Add ``batch_id`` (and ``_size`` = event size + 1 for its LF) per destination.
 
@@ -91,23 +102,25 @@ def assign_batches(
     just to be measured; it must equal the size of ``raw`` in ``unit`` as it is sent
     (``event_size(..., wire=normalize)``); null stands for a null event.
 
-    A destination of more than ``split_rows`` rows is cut into segments, and with ``split_bytes``
-    also one of more bytes, however few its rows: segments then hold about equal bytes. That sizes
-    every row in the counting pass, too.
+    A destination of more than ``split_rows`` rows is cut into segments, and also one of more than
+    ``split_bytes``, however few its rows: segments then hold about equal bytes, of the events or, where
+    ``size`` spares building them, of the rows' columns. That sizes every row in the counting pass, too
+    (``split_bytes=None``: it counts rows alone).
     """
     return _assign(df, order, block_size, raw, destination, segment, unit, n_segments, split_rows, size, normalize,
                    split_bytes=split_bytes)[0]
 
 
 def _assign(df, order, block_size=BLOCK_SIZE, raw="raw", destination=None, segment=None, unit="bytes",
-            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True, start=None, split_bytes=None):
+            n_segments=None, split_rows=DEFAULT_SPLIT_ROWS, size=None, normalize=True, start=None, split_bytes=DEFAULT_SPLIT_BYTES):
     if block_size <= 0:
         raise ValueError("block_size must be positive")
     dest = present_destination(df, destination)
+    weight = row_width(df) if size is not None else None  # no value is formatted just to place the cuts
     size = F.coalesce(size, F.lit(len(NULL_TEXT))) if size is not None else byte_length(sent_text(raw, normalize), unit)
     size = size + F.lit(1)
     with_cum, mode, bases, measured = _running_sum(df, size, order, dest, segment, n_segments, out="_cum",
-                                                   split_rows=split_rows, split_bytes=split_bytes)
+                                                   split_rows=split_rows, split_bytes=split_bytes, weight=weight)
     if start is not None:  # bytes that a destination had before these events
         with_cum = _started(with_cum, start, dest)
         bases = bases if bases is None else _started(bases, start, dest)
@@ -203,7 +216,7 @@ def _merge_at_owner(pieces: DataFrame, segments: DataFrame, dest: list[str], blo
     moves = F.col("_c").isNotNull() & (F.col("batch_id") == F.col("_c"))
     target = flagged.withColumn("_tseg", F.when(moves, F.col("_owner")).otherwise(F.col(SEG)))
     target = target.withColumn("_tkey", F.xxhash64(*[F.col(d) for d in dest], F.col("_tseg")))
-    return target.repartition("_tkey").groupBy("_tkey", *dest, "_tseg", "batch_id").agg(
+    return exchange_on(target, "_tkey", segments_size[0] if segments_size else None).groupBy("_tkey", *dest, "_tseg", "batch_id").agg(
         F.sum("_n").cast("long").alias("n_events"),
         F.sum("_b").cast("long").alias("n_bytes"),
         F.expr(f"listagg(_piece, '') WITHIN GROUP (ORDER BY {SEG})").alias("payload"),
@@ -222,7 +235,7 @@ def batch_events(
     size: Column | None = None,
     normalize: bool = True,
     start: DataFrame | None = None,
-    split_bytes: int | None = None,
+    split_bytes: int | None = DEFAULT_SPLIT_BYTES,
 ) -> DataFrame:
     """:func:`assign_batches` then :func:`build_payloads`. ``start`` (destination columns and
     ``_from``) gives the bytes that a destination's earlier events took, which these continue."""

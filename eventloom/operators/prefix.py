@@ -57,6 +57,10 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # A partition with more rows than this is cut into segments of about a quarter of it.
 DEFAULT_SPLIT_ROWS = 1_000_000
+# Likewise for a partition of more bytes than this, however few its rows (callers that know their rows' sizes).
+DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
+# A task takes about this many segments at most, where the session's shuffle partitions would give it more.
+SEGMENTS_PER_TASK = 4
 # Boundaries are literals of the plan; beyond these many, segments hold more rows.
 MAX_SEGMENTS = 10_000
 
@@ -171,6 +175,25 @@ def _width_parts(col: Column, kind) -> tuple[list[Column], int]:
     return [], 16 if name.startswith("decimal") else _FIXED_WIDTH.get(name, 8)
 
 
+def row_width(df: DataFrame) -> Column:
+    """The bytes of a row's columns: strings and binaries as they are, other values at fixed width."""
+    measured, fixed = [], 0
+    for f in df.schema.fields:
+        c, w = _width_parts(F.col(f"`{f.name}`"), f.dataType)
+        measured, fixed = measured + c, fixed + w
+    width = F.lit(fixed).cast("long")
+    for m in measured:
+        width = width + F.coalesce(m, F.lit(0))
+    return width
+
+
+def exchange_on(df: DataFrame, key: str, segments: int | None = None) -> DataFrame:
+    """``df`` shuffled on ``key``; to more tasks than the session's where ``segments`` would crowd those."""
+    wanted = math.ceil((segments or 0) / SEGMENTS_PER_TASK)
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(wanted, key) if wanted > session else df.repartition(key)
+
+
 def table_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of a small table: one aggregation that measures strings and
     binaries exactly (inside structs too) and counts other values at fixed width."""
@@ -302,16 +325,18 @@ def _running_sums(
     split_rows: int | None = DEFAULT_SPLIT_ROWS,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     split_bytes: int | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Add one inclusive running sum per ``sizes`` entry, per ``partition_by`` in
     ``order``, all in the same pass (one offsets table, one exchange, one sort).
 
     ``order`` must be unique within a partition (ties would make the sums depend
     on row arrival order). Keeps ``_seg`` and the per-row sizes ``_sz_<i>`` (in
-    ``sizes`` order) for later per-segment work.
+    ``sizes`` order) for later per-segment work. ``weight`` is what ``split_bytes`` bounds,
+    the first of ``sizes`` by default.
     """
     checkpoint_root(df.sparkSession)
-    first_size = next(iter(sizes.values()))
+    first_size = weight if weight is not None else next(iter(sizes.values()))
     seg_df, mode = add_segments(df, order, partition_by, segment, n_segments, split_rows, broadcast_rows, first_size, split_bytes)
     tmp = {out: f"_sz_{i}" for i, out in enumerate(sizes)}
     keys = [*partition_by, SEG]
@@ -346,7 +371,7 @@ def _running_sums(
     measured = table_size(bases)  # cheap: the table is checkpointed and small
     joined, broadcasted = join_segments(big, bases, keys, how, broadcast_rows, broadcast_bytes, measured)
     if broadcasted:
-        joined = joined.repartition(PKEY)  # the exchange the window needs
+        joined = exchange_on(joined, PKEY, measured[0])  # the exchange the window needs
     joined = sized(joined)
     return joined.select(
         *out_cols,
@@ -413,12 +438,12 @@ def running_sum(
 
 
 def _running_sum(df, size, order, partition_by=(), segment=None, n_segments=None, out="cum",
-                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS, split_bytes=None):
+                 broadcast_rows=DEFAULT_BROADCAST_ROWS, split_rows=DEFAULT_SPLIT_ROWS, split_bytes=None, weight=None):
     """(frame, mode, offsets table or None, its measured (rows, bytes) or None); the
     offsets' base column is ``_size_base``."""
     size_c = size if isinstance(size, Column) else F.col(size)
     res, mode, bases, measured = _running_sums(df, {out: size_c}, order, partition_by, segment, n_segments,
-                                               broadcast_rows, split_rows, split_bytes=split_bytes)
+                                               broadcast_rows, split_rows, split_bytes=split_bytes, weight=weight)
     if bases is not None:
         bases = bases.withColumnRenamed("_sz_0_base", "_size_base")
     return res.withColumnRenamed("_sz_0", "_size"), mode, bases, measured
