@@ -35,3 +35,9 @@ def test_few_wide_rows_are_cut_by_default(spark, wide_documents, monkeypatch):
     assert {r.batch_id: r.n_events for r in letters.drop("dead_letter").collect()} == {b: len(v) for b, v in want.items()}
     one = spark.range(10).withColumn("k", F.lit(1))
     assert exchange_on(one, "k", 100).rdd.getNumPartitions() == 25  # more tasks than the session's eight
+
+
+def test_oversize_batches_of_wide_rows_are_cut(spark, wide_documents):
+    batches = catalog.q_oversize_batches(spark, wide_documents)
+    assert _cut_into(batches) > 0
+    assert batches.agg(F.sum("n_events"), F.count_if("rejected")).first() == (700, 700)
