@@ -41,3 +41,11 @@ def test_oversize_batches_of_wide_rows_are_cut(spark, wide_documents):
     batches = catalog.q_oversize_batches(spark, wide_documents)
     assert _cut_into(batches) > 0
     assert batches.agg(F.sum("n_events"), F.count_if("rejected")).first() == (700, 700)
+
+
+def test_repacked_batches_of_wide_rows_are_cut(spark, wide_documents):
+    from eventloom.plans.shipping_queries import q_oversize_repacked
+
+    parts = q_oversize_repacked(spark, wide_documents)
+    assert _cut_into(parts) > 0
+    assert parts.agg(F.sum("n_events"), F.count_if("rejected")).first() == (700, 700)
