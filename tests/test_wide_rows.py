@@ -49,3 +49,9 @@ def test_repacked_batches_of_wide_rows_are_cut(spark, wide_documents):
     parts = q_oversize_repacked(spark, wide_documents)
     assert _cut_into(parts) > 0
     assert parts.agg(F.sum("n_events"), F.count_if("rejected")).first() == (700, 700)
+
+
+def test_normalized_payloads_of_wide_rows_are_cut(spark, wide_documents):
+    payloads = catalog.q_batch_payload_normalized(spark, wide_documents)
+    assert _cut_into(payloads) > 0
+    assert payloads.agg(F.sum("n_events"), F.sum("n_bytes"), F.sum(F.length("payload"))).first() == (700, 70_000_700, 70_000_700)
