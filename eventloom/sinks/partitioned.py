@@ -8,11 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, _null_safe_join
+from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, _null_safe_join, row_width
 from eventloom.session import checkpoint_root
 
 DEFAULT_PARTITIONS = ("index", "sourcetype")
 DEFAULT_ROWS_PER_FILE = 5_000_000
+DEFAULT_BYTES_PER_FILE = 128 * 1024 * 1024
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -23,12 +24,13 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
                  fmt: str = "text", raw: str = "raw", mode: str = "overwrite",
                  rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS, max_tasks: int | None = None,
-                 dynamic: bool = False) -> None:
+                 dynamic: bool = False, bytes_per_file: int | None = DEFAULT_BYTES_PER_FILE) -> None:
     """Write event text (``fmt='text'``, one line per event) or whole rows
     (``parquet``) into one folder per destination.
 
     With ``rows_per_file``, rows are first clustered so each destination is
-    written by ``ceil(rows / rows_per_file)`` tasks: a destination holding a
+    written by ``ceil(rows / rows_per_file)`` tasks, or ``ceil(bytes / bytes_per_file)`` if these are
+    more (a writing task sorts its rows, so its memory follows their bytes): a destination holding a
     third of the data is spread evenly instead of landing in one task, and a
     small one becomes one file instead of one per input task. The per-destination
     counts table is checkpointed, measured and broadcast only within its limits.
@@ -43,9 +45,11 @@ def write_events(df: DataFrame, path: str, partition_by: Sequence[str] = DEFAULT
     out = df.select(*parts, raw) if fmt == "text" else df
     if parts and rows_per_file:
         checkpoint_root(df.sparkSession)
-        groups = out.groupBy(*parts).agg(
-            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))).cast("long").alias("_groups")
-        ).checkpoint(eager=True)
+        files = [F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))]
+        if bytes_per_file:
+            held = F.sum(row_width(out.drop(*parts)).cast("long"))
+            files.append(F.coalesce(F.ceil(held / F.lit(bytes_per_file)), F.lit(1)))
+        groups = out.groupBy(*parts).agg(F.greatest(*files).cast("long").alias("_groups")).checkpoint(eager=True)
         total, most = groups.agg(F.sum("_groups"), F.count(F.lit(1))).first()
         # as many tasks as full files; small destinations share them
         n_tasks = max(1, int(total or 1) - int(most or 0) + min(int(most or 0), _shuffle_partitions(df)))

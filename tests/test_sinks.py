@@ -88,3 +88,13 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     session = types.SimpleNamespace(sparkContext=context, conf=types.SimpleNamespace(get=lambda k, d=None: None))
     with pytest.raises(RuntimeError):
         checkpoint_root(session)
+
+
+def test_a_destination_of_few_wide_rows_is_several_files(spark, tmp_path):
+    df = spark.range(0, 400, 1, 4).select(F.lit("main").alias("index"), F.when(F.col("id") % 4 > 0, "wide").otherwise("thin").alias("sourcetype"),
+                                          F.when(F.col("id") % 4 > 0, F.expr("repeat('x', 1000)")).otherwise("x").alias("raw"))
+    write_events(df, f"{tmp_path}/s", bytes_per_file=30_000)
+    files = lambda d: glob.glob(f"{tmp_path}/s/index=main/sourcetype={d}/*.txt")
+    assert len(files("thin")) == 1 and len(files("wide")) > 1
+    assert read_events(spark, f"{tmp_path}/s").exceptAll(df.select("raw", "index", "sourcetype")).isEmpty()
+    assert read_events(spark, f"{tmp_path}/s").count() == 400
