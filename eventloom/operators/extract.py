@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.extract import event_time_text, field_pairs, first_value
@@ -14,6 +14,18 @@ from eventloom.functions.timefmt import parse_event_timestamp
 #: A discovered field becomes a column; more names than this are an error, not a wide table.
 MAX_FIELDS = 2_000
 
+# How Spark writes values of the types that are tried: text of another shape isn't given back by them. It is
+# not cast, as a cast that fails costs an exception.
+_SHAPES = {
+    "bigint": r"\A-?[0-9]{1,19}\z",
+    "double": r"\A(?:-?[0-9]+\.[0-9]+(?:E-?[0-9]+)?|NaN|-?Infinity)\z",
+    "boolean": r"\A(?:true|false)\z",
+}
+
+
+def _written_as(value: Column, kind: str) -> Column:
+    return value.rlike(_SHAPES[kind])
+
 
 def extract_fields(
     df: DataFrame,
@@ -45,18 +57,22 @@ def discover_fields(df: DataFrame, raw: str = "raw", delim: str = DEFAULT_DELIM,
     The type is the first of ``bigint``, ``double``, ``boolean`` that gives back every value of the field as it
     is written, else ``string``; ``null`` (how a null is written) fits any. A name that an event repeats counts once.
     """
-    pairs = df.select(F.monotonically_increasing_id().alias("_event"), F.explode(field_pairs(raw, delim, escape)).alias("p"))
+    # one pass over the text; rows are projected once so that the scan isn't run again for each use
+    found = df.select(field_pairs(raw, delim, escape).alias("_pairs")).select("_pairs", F.array_distinct("_pairs.key").alias("_names"))
+    entry = lambda name, value, first: F.struct(name.alias("name"), value.alias("value"), F.lit(first).alias("first"))
+    nothing = F.lit(None).cast("string")
+    # where an event repeats a name, each of its names has an entry without a value to be counted by: no shuffle of events
+    once = F.transform("_pairs", lambda p: entry(p["key"], p["value"], True))
+    again = F.concat(F.transform("_pairs", lambda p: entry(p["key"], p["value"], False)), F.transform("_names", lambda n: entry(n, nothing, True)))
+    entries = found.select(F.explode(F.when(F.size("_names") == F.size("_pairs"), once).otherwise(again)).alias("p"))
     value = F.when(F.col("p.value") != F.lit(NULL_TEXT), F.col("p.value"))
-    fits = lambda t: F.coalesce(value.try_cast(t).cast("string") == value, value.isNull())
-    # events are counted by their first pair of a name: no shuffle of events
-    first = df.select(F.explode(F.array_distinct(F.transform(field_pairs(raw, delim, escape), lambda p: p["key"]))).alias("name"))
-    counts = first.groupBy("name").agg(F.count("*").alias("n_events"))
-    types = pairs.groupBy(F.col("p.key").alias("name")).agg(
-        *[F.bool_and(fits(t)).alias(t) for t in ("bigint", "double", "boolean")], F.count(value).alias("_values"))
+    fits = lambda t: F.coalesce(F.when(_written_as(value, t), value.try_cast(t).cast("string") == value), value.isNull())
+    types = entries.groupBy(F.col("p.name").alias("name")).agg(
+        F.count_if("p.first").alias("n_events"), *[F.bool_and(fits(t)).alias(t) for t in _SHAPES], F.count(value).alias("_values"))
     kind = F.when(F.col("_values") == 0, "string")
-    for t in ("bigint", "double", "boolean"):
+    for t in _SHAPES:
         kind = kind.when(F.col(t), t)
-    return types.join(counts, "name").select("name", "n_events", kind.otherwise("string").alias("type"))
+    return types.select("name", "n_events", kind.otherwise("string").alias("type"))
 
 
 def extract_discovered(df: DataFrame, raw: str = "raw", delim: str = DEFAULT_DELIM, escape: str = "backslash",

@@ -162,3 +162,19 @@ def test_a_long_search_is_paged_in_few_calls(spark, monkeypatch):
     hits = search_queries.q_search_page_next(spark, "/root/testdata/sf0.1")
     assert hits.agg(F.max("page")).first()[0] >= 25
     assert len(calls) <= 5
+
+
+def test_discovery_reads_the_text_once(spark):
+    values = ["1", "-0", "007", "+1", " 1", "1\n", "9223372036854775807", "9223372036854775808", "1.5", "1e5", "1.0E10", "-1.0E-5", ".5", "NaN",
+              "Infinity", "-Infinity", "inf", "1.50", "1d", "true", "TRUE", "t", "yes", "false", "", "null", "Null", "٣", "1.0E400"]
+    df = spark.createDataFrame([(f't|f{k}="{v}"|same="x"|same="y"',) for k, v in enumerate(values)], "raw string")
+    found = discover_fields(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Join" not in plan and plan.count("regexp_extract_all") == 1
+    v = F.col("v")
+    fits = lambda t: F.coalesce(v.try_cast(t).cast("string") == v, F.lit(False))
+    kind = F.when(v == "null", "string").when(fits("bigint"), "bigint").when(fits("double"), "double").when(fits("boolean"), "boolean").otherwise("string")
+    want = {r.k: r.t for r in spark.createDataFrame([(f"f{k}", x) for k, x in enumerate(values)], "k string, v string").select("k", kind.alias("t")).collect()}
+    got = {r.name: (r.n_events, r.type) for r in found.collect()}
+    assert got.pop("same") == (len(values), "string")
+    assert got == {k: (1, t) for k, t in want.items()}
