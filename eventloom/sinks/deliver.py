@@ -24,9 +24,11 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,26 @@ def plain(v):
     return v.item() if hasattr(v, "item") else v
 
 
+#: Bytes of rows that are Python objects at once, where a task sends from Arrow batches.
+SLICE_BYTES = 4 * 1024 * 1024
+
+
+def row_slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, about ``most`` bytes at a time."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch  # not held while the next one is read
+
+
+def plain_values(values: pa.Array) -> list:
+    """:func:`plain` values of a column; times as wall-clock times of the session's zone."""
+    if pa.types.is_timestamp(values.type) and values.type.tz:
+        values = pc.local_timestamp(values)
+    return [plain(v) for v in values.to_pylist()]
+
+
 def keyed_batches(payloads: DataFrame, shipment: str, destination: Sequence[str] | None = None,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Payload rows with their ``batch_key`` (and ``part``, where batches were repacked); ``keep`` names other columns to carry."""

@@ -21,7 +21,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from eventloom.operators.batching import batch_keys
 from eventloom.operators.prefix import DEFAULT_BROADCAST_ROWS, _null_safe_join
 from eventloom.session import checkpoint_root
-from eventloom.sinks.deliver import Sender, keyed_batches, ledger_columns, plain, send_row, spread
+from eventloom.sinks.deliver import Sender, keyed_batches, ledger_columns, plain_values, row_slices, send_row, spread
 from eventloom.sinks.retry import Retry
 
 #: Rows of a log file: what a lost process may send again.
@@ -106,21 +106,22 @@ def send_logged(payloads: DataFrame, shipment: str, log: str, send: Sender, limi
     columns = ledger_columns(keyed, dest, 0, retry)
     run_folder = f"{log}/{uuid.uuid4().hex}"
 
-    def run(frames):
+    def run(batches):
         mine = _Log(f"{run_folder}/{TaskContext.get().partitionId():06d}")
         sent_before = mine.earlier()
         n = 0
         try:
-            for pdf in frames:
-                for i, (size, text, key) in enumerate(zip(pdf["n_bytes"].tolist(), pdf["payload"].tolist(), pdf["batch_key"].tolist())):
+            for part in row_slices(batches):
+                values = {c: plain_values(part.column(c)) for c in part.schema.names}
+                for i, (size, text, key) in enumerate(zip(values["n_bytes"], values["payload"], values["batch_key"])):
                     if key in sent_before:
                         continue
-                    got = send_row(send, retry, limit, size, text, {d: plain(pdf[d].iat[i]) for d in dest})
+                    got = send_row(send, retry, limit, size, text, {d: values[d][i] for d in dest})
                     done_row = dict(zip(("status", "attempts", "outcome", "rejected", "dead_letter"), got))
-                    mine.add({c: done_row[c] if c in done_row else plain(pdf[c].iat[i]) for c in columns})
+                    mine.add({c: done_row[c] if c in done_row else values[c][i] for c in columns})
                     n += 1
         finally:
             mine.close()
-        yield pd.DataFrame({"n": [n]})
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
-    spread(keyed, dest, tasks, order).mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    spread(keyed, dest, tasks, order).mapInArrow(run, "n long").agg(F.sum("n")).collect()

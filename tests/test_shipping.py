@@ -1,6 +1,7 @@
 """Repacked, answered, resumed, continued and in-place shipments."""
 
 import collections
+import datetime as dt
 import os
 import random
 
@@ -286,3 +287,24 @@ def test_a_destination_of_few_wide_rows_is_cut_into_equal_bytes(spark, key):
         total[d] += len(raw) + 1
         want[k] = (total[d] - 1) // 50_000
     assert {r.k: r.batch_id for r in got} == want
+
+
+def test_a_resumable_task_holds_few_rows_as_python_objects(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    from eventloom.sinks.deliver import plain_values, row_slices
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1000)), "payload": ["x" * 1000] * 1000})
+    slices = list(row_slices(iter([batch, batch.slice(0, 0), batch.slice(5, 1)]), 50_000))
+    assert [k for s in slices for k in s.column("k").to_pylist()] == [*range(1000), 5] and max(s.num_rows for s in slices) <= 50
+    noon = dt.datetime(2024, 7, 1, 12, 0, 0, 5)
+    assert plain_values(pa.array([noon, None], pa.timestamp("us", "Europe/Berlin"))) == [noon + dt.timedelta(hours=2), None]
+    assert plain_values(pa.array([1.5, float("nan")])) == [1.5, None] and plain_values(pa.array(["a", None])) == ["a", None]
+
+    def no_frames(self, *a, **k):
+        raise AssertionError("a whole Arrow batch as pandas objects")
+
+    p = _payloads(spark, 100)
+    monkeypatch.setattr(type(p), "mapInPandas", no_frames)
+    receipts, _, _ = ship_resumable(p, "s", f"{tmp_path}/log", lambda t, d: f"200 {len(t)} {d['sourcetype']}")
+    assert {(r.batch_id, r.sourcetype, r.status) for r in receipts.collect()} == {(r.batch_id, r.sourcetype, f"200 {r.n_bytes} {r.sourcetype}") for r in p.collect()}
